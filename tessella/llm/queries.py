@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import mixing, secrets
+from tessella.llm import bpe, mixing, secrets, tokenfile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file, given by the installed package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document with linked weak parts."""
     return secrets.secret_digest(_table(spark, sf_dir, "documents"))
@@ -21,6 +28,21 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_secret_scans": op1_secret_scans, "op2_mixing": op2_mixing}
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of every document, written and read back."""
+    return tokenfile.read_tokens(tokenfile.write_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document."""
+    return bpe.bpe_digest(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
+    "op2_mixing": op2_mixing,
+    "op3_token_output": op3_token_output,
+    "op6_bpe": op6_bpe,
+}
 
 ORACLES = {"op1_secret_scans": secrets.ORACLE}
