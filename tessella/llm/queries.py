@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import bpe, mixing, secrets, tokenfile
+from tessella.llm import bpe, mixing, neardup, secrets, tokenfile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,11 +38,20 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return neardup.near_duplicate_digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_mixing": op2_mixing,
     "op3_token_output": op3_token_output,
     "op6_bpe": op6_bpe,
+    "op7_near_dedup": op7_near_dedup,
 }
 
-ORACLES = {"op1_secret_scans": secrets.ORACLE}
+ORACLES = {
+    "op1_secret_scans": secrets.ORACLE,
+    "op7_near_dedup": neardup.ORACLE,
+}
