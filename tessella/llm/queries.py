@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import bpe, mixing, neardup, secrets, tokenfile
+from tessella.llm import bpe, langid, mixing, neardup, secrets, sharding, tokenfile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,12 +43,24 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicate_digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, equal texts together."""
+    return sharding.shard_digest(_table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.language_digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_mixing": op2_mixing,
     "op3_token_output": op3_token_output,
+    "op4_sharding": op4_sharding,
     "op6_bpe": op6_bpe,
     "op7_near_dedup": op7_near_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES = {
