@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import bpe, langid, mixing, neardup, secrets, sharding, tokenfile
+from tessella.llm import bpe, langid, mixing, neardup, secrets, sharding, tokenfile, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,17 +53,30 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_digest(_table(spark, sf_dir, "documents"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate nearest vectors of every twentieth vector."""
+    return vectors.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact best vectors of every hundredth vector."""
+    return vectors.exact_top_k(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_mixing": op2_mixing,
     "op3_token_output": op3_token_output,
     "op4_sharding": op4_sharding,
+    "op5_nearest": op5_nearest,
     "op6_bpe": op6_bpe,
     "op7_near_dedup": op7_near_dedup,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_language_id": op10_language_id,
 }
 
 ORACLES = {
     "op1_secret_scans": secrets.ORACLE,
     "op7_near_dedup": neardup.ORACLE,
+    "op9_exact_top_k": vectors.EXACT_ORACLE,
 }
