@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import bpe, langid, mixing, neardup, secrets, sharding, tokenfile, vectors
+from tessella.llm import bpe, langid, mixing, neardup, secrets, sharding, substring, tokenfile, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,11 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.exact_top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages removed from every document."""
+    return substring.substring_digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_mixing": op2_mixing,
@@ -71,6 +76,7 @@ QUERIES = {
     "op5_nearest": op5_nearest,
     "op6_bpe": op6_bpe,
     "op7_near_dedup": op7_near_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_language_id": op10_language_id,
 }
@@ -78,5 +84,6 @@ QUERIES = {
 ORACLES = {
     "op1_secret_scans": secrets.ORACLE,
     "op7_near_dedup": neardup.ORACLE,
+    "op8_substring_dedup": substring.ORACLE,
     "op9_exact_top_k": vectors.EXACT_ORACLE,
 }
