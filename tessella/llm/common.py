@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 #: A word everywhere in the contracts: a run of anything but these six white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
+#: A table is broadcast only if it is proven to have at most so many rows (some 100 bytes each as a rule).
+BROADCAST_ROWS = 400_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if its rows are proven few; else as it is, for a shuffle join."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def shared_dir(spark: SparkSession) -> str:

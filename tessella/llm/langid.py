@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 GRAM = 3
 PROFILE = 400
@@ -150,25 +151,26 @@ def fit_profiles(labelled: DataFrame, sample: int = SAMPLE) -> dict[str, list[st
     return {lang: [r.gram for r in sorted((r for r in top if r.lang == lang), key=lambda r: r["at"])] for lang in limits}
 
 
-def predict_languages(docs: DataFrame, profiles: dict[str, list[str]]) -> DataFrame:
-    """``id, lang_pred, score`` of (id, text) rows."""
+def with_language(rows: DataFrame, profiles: dict[str, list[str]], text_col: str = "text") -> DataFrame:
+    """``rows`` with ``lang_pred`` and ``score`` added, in one pass over whole rows."""
+    at = rows.columns.index(text_col)
+
     def run(batches):
         model = Profiles(profiles)
         for batch in batches:
-            found = [model.predict(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["id", "lang_pred", "score"]
-            )
+            found = [model.predict(t) for t in batch.column(at).to_pylist()]
+            added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "lang_pred", "score"])
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, lang_pred string, score double")
+    schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> DataFrame:
     """``id, held_out, lang_pred, score`` of every document, learned from those not held out."""
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     profiles = fit_profiles(rows.filter(~held_out(F.col("id"))), sample)
-    return predict_languages(rows, profiles).select("id", held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
+    return with_language(rows.select("id", "text"), profiles).select("id", held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
 
 
 def language_digest(docs: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import written
+from tessella.llm.common import BROADCAST_ROWS, written
 from tessella.llm.components import connected_components
 
 WORDS = 5
@@ -37,8 +37,6 @@ HASHES = BANDS * ROWS
 #: Pairs whose estimated similarity is below this surely fail 0.75 (more than six deviations).
 POSSIBLE = 0.56
 BLOCK = 256
-#: Rows of a table of wanted documents up to which it is broadcast (about 40 bytes each); beyond, it is shuffled.
-BROADCAST_ROWS = 400_000
 
 _rng = np.random.default_rng(7)
 _A = _rng.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -204,7 +202,7 @@ def _across(open_members: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_shingles, component_id`` of every row."""
+    """``id, th`` (xxhash64 of the text)``, n_shingles, component_id`` of every row."""
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).withColumn("th", F.xxhash64("text"))
     signed = written(_signed(rows), "near-signed")
     # One node for each distinct non-empty set, standing for its least (id, text hash).
@@ -239,9 +237,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = nodes.select("node", "set_key", "rep_id").join(rooted, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy(F.col("root").alias("c_root")).agg(F.min("rep_id").alias("component_id"))
     classes = named.join(least, F.col("root") == F.col("c_root")).select(F.col("set_key").alias("c_key"), "component_id")
-    joined = signed.select("id", "n", F.when(F.col("n") > 0, F.col("set_key")).alias("set_key")).join(classes, F.col("set_key") == F.col("c_key"), "left")
+    joined = signed.select("id", "th", "n", F.when(F.col("n") > 0, F.col("set_key")).alias("set_key")).join(classes, F.col("set_key") == F.col("c_key"), "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return joined.select("id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return joined.select("id", "th", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def near_duplicate_digest(docs: DataFrame) -> DataFrame:

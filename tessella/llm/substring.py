@@ -13,7 +13,7 @@ cover, so two equal windows share an aligned anchor inside them.
    one a batch, sorted by (hash, document, start), and all but the first are repeats.
 
 Every exchange carries numbers only; candidate and repeat runs come back to the texts per document,
-broadcast up to ``BROADCAST_ROWS`` documents and by a shuffle join beyond. Sorted partitions are
+broadcast up to :data:`~tessella.llm.common.BROADCAST_ROWS` documents and by a shuffle join beyond. Sorted partitions are
 streamed, so no group is held in memory.
 
 Defined cases: a null or empty text has no words; fewer than WINDOW words lose none; documents are
@@ -30,23 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import partition_count, written
+from tessella.llm.common import partition_count, small, written
 from tessella.llm.neardup import mixed, word_hashes
 
 WINDOW, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
-#: A table with a row a document is broadcast up to so many rows (under 100 bytes each as a rule).
-BROADCAST_ROWS = 400_000
 
 _C = np.random.default_rng(8).integers(0, 2**64, WINDOW, dtype=np.uint64) | np.uint64(1)
 _RUN = "h long, d long, s int, n int, known boolean"
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if its rows are proven few."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def windows(h: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """Hashes of the ``width`` words from each position."""
     total = np.zeros(len(at), np.uint64)
@@ -196,7 +189,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
     ranked = keys.repartitionByRange(partition_count(docs.sparkSession), *order).sortWithinPartitions(*order)
     ranked = written(ranked.select(F.col("id").alias("k_id"), F.col("t1").alias("k1"), F.col("t2").alias("k2"), F.monotonically_increasing_id().alias("d")), "substring-keys")
     where = F.col("id").eqNullSafe(F.col("k_id")) & (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2"))
-    return docs.join(_small(ranked), where).drop("k_id", "k1", "k2")
+    return docs.join(small(ranked), where).drop("k_id", "k1", "k2")
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
@@ -206,7 +199,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     texts = docs.select("d", "text")
     anchors = texts.mapInArrow(_anchors, _RUN).repartition(parts, "h").sortWithinPartitions("h")
     candidates = written(_merged(anchors.mapInArrow(_repeated(False), "d long, s int, n int")), "substring-candidates").withColumnRenamed("d", "c_d")
-    found = texts.join(_small(candidates), F.col("d") == F.col("c_d")).select("d", "text", "starts", "lengths")
+    found = texts.join(small(candidates), F.col("d") == F.col("c_d")).select("d", "text", "starts", "lengths")
     hashed = found.mapInArrow(_candidates, _RUN).repartition(parts, "h").sortWithinPartitions("h", "known", "d", "s")
     return written(_merged(hashed.mapInArrow(_repeated(True), "d long, s int, n int")), "substring-repeats")
 
@@ -219,10 +212,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = _numbered(rows)
     copies = rows.select("t1", "t2", "d").groupBy("t1", "t2").agg(F.min("d").alias("first_d"), F.count("*").alias("n")).filter("n > 1")
     copies = written(copies.select(F.col("t1").alias("k1"), F.col("t2").alias("k2"), "first_d"), "substring-copies")
-    rows = rows.join(_small(copies), (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2")), "left").withColumn("copy", F.coalesce(F.col("d") > F.col("first_d"), F.lit(False)))
+    rows = rows.join(small(copies), (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2")), "left").withColumn("copy", F.coalesce(F.col("d") > F.col("first_d"), F.lit(False)))
     firsts = rows.filter(~F.col("copy")).select("d", "text")
     repeats = repeated_windows(firsts).withColumnRenamed("d", "r_d")
-    joined = rows.join(_small(repeats), F.col("d") == F.col("r_d"), "left").select("id", "text", "copy", "starts", "lengths")
+    joined = rows.join(small(repeats), F.col("d") == F.col("r_d"), "left").select("id", "text", "copy", "starts", "lengths")
     name = "kept" if texts else "kept_sha256"
 
     def run(batches):
