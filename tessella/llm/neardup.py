@@ -6,9 +6,10 @@
    member is paired with the leader, so a bucket of any size gives one pair a member.
 3. Pairs that the signatures leave possible are confirmed on the full shingle sets; confirmed links
    give components.
-4. Buckets that still hold several components are worked off in blocks: block pairs compare
-   signatures in numpy and pass on only pairs across components that may link, which are confirmed
-   as before. So no link between different texts is lost to the leaders, and nothing is capped.
+4. Buckets that still hold several components are worked off in pairs of blocks: nodes of different
+   components are compared by signature, and where those leave it possible by full sets, until they
+   are one component. So no link between different texts is lost to the leaders, nothing is capped,
+   and a task returns at most a link a member.
 
 At similarity 0.75 a pair misses all bands with probability (1 - 0.75^5)^40 = 2e-5.
 
@@ -25,10 +26,11 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessella.llm.common import BROADCAST_ROWS, written
+from tessella.llm.common import small, written
 from tessella.llm.components import connected_components
 
 WORDS = 5
@@ -137,32 +139,34 @@ def _possible(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "a_sig", "b_sig").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that link by their full sets.
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``wanted`` (node and other columns, one row a node) with ``items``, the node's shingle set.
 
-    Only the documents that stand for a node of some pair are shingled again; each ships its set
-    once for every pair to where the other one is.
+    Only the documents that stand for wanted nodes are shingled again.
     """
-    spark = docs.sparkSession
-    wanted = pairs.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("to")).withColumn("lead", F.lit(False))
-    leads = pairs.select(F.col("b").alias("node")).distinct().select("node", F.array().cast("array<long>").alias("to"), F.lit(True).alias("lead"))
-    wanted = wanted.unionByName(leads).groupBy("node").agg(F.flatten(F.collect_list("to")).alias("to"), F.max("lead").alias("lead"))
-    wanted = wanted.join(nodes.select("node", "rep_th", "rep_id"), "node")
-    wanted = written(wanted, "near-wanted")
-    n = wanted.count()
-    if not n:
-        return spark.createDataFrame([], "a long, b long")
+    other = [c for c in wanted.columns if c != "node"]
+    wanted = written(wanted.join(nodes.select("node", "rep_th", "rep_id"), "node"), "near-wanted")
     where = (F.col("th") == F.col("rep_th")) & F.col("id").eqNullSafe(F.col("rep_id"))
-    found = docs.join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, where).select("node", "to", "lead", "text")
+    found = docs.join(small(wanted), where).select("text", "node", *other)
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(t).view(np.int64) for t in batch.column(3).to_pylist()]
+            sets = [shingles(t).view(np.int64) for t in batch.column(0).to_pylist()]
             ends = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32)
             lists = pa.ListArray.from_arrays(ends, np.concatenate(sets) if sets else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), lists], names=["node", "to", "lead", "items"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], lists], names=[*batch.schema.names[1:], "items"])
 
-    sets = written(found.mapInArrow(run, "node long, to array<long>, lead boolean, items array<long>"), "near-sets")
+    schema = T.StructType([*found.drop("text").schema.fields, T.StructField("items", T.ArrayType(T.LongType()))])
+    return written(found.mapInArrow(run, schema), "near-sets")
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that link by their full sets; ``a`` ships its set once for each pair
+    to where ``b`` is."""
+    wanted = pairs.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("to")).withColumn("lead", F.lit(False))
+    leads = pairs.select(F.col("b").alias("node")).distinct().select("node", F.array().cast("array<long>").alias("to"), F.lit(True).alias("lead"))
+    wanted = wanted.unionByName(leads).groupBy("node").agg(F.flatten(F.collect_list("to")).alias("to"), F.max("lead").alias("lead"))
+    sets = _sets(wanted, nodes, docs)
     left = sets.select(F.col("node").alias("a"), F.explode("to").alias("b"), F.col("items").alias("a_items"))
     right = sets.filter("lead").select(F.col("node").alias("k"), F.col("items").alias("b_items"))
     both = F.size(F.array_intersect("a_items", "b_items"))
@@ -170,35 +174,70 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     return written(linked.select("a", "b").distinct(), "near-links")
 
 
-def _across(open_members: DataFrame) -> DataFrame:
-    """Pairs (a, b) across components within open buckets that signatures leave possible.
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members (key, node, root) of buckets that hold several components, dealt to block pairs (i, j).
 
-    ``open_members``: key, blocks, node, n, sig, root. Members are dealt to blocks by hash and each
-    pair of blocks meets once, so a task's work is bounded whatever the bucket's size.
+    A bucket's largest component never meets itself. Its members and the others are cut into blocks
+    by hash; blocks of others (the lower numbers) meet all blocks, so each pair of nodes of different
+    components meets in one task of bounded size, whatever the bucket's size.
+    """
+    sizes = members.groupBy("key", "root").agg(F.count("*").alias("n"))
+    main = sizes.groupBy(F.col("key").alias("m_key")).agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("all"))
+    main = main.select("m_key", F.col("main.root").alias("main"), F.col("main.n").alias("n_main"), (F.col("all") - F.col("main.n")).alias("n_rest")).filter("n_rest > 0")
+    rows = members.join(main, F.col("key") == F.col("m_key"))
+    blocks = lambda n: F.ceil(F.col(n) / F.lit(BLOCK)).cast("int")
+    rows = rows.withColumn("rest_blocks", blocks("n_rest")).withColumn("main_blocks", blocks("n_main"))
+    in_main = F.col("root") == F.col("main")
+    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    rows = rows.withColumn("own", F.when(in_main, F.col("rest_blocks") + part("main_blocks")).otherwise(part("rest_blocks")))
+    last = F.when(in_main, F.col("rest_blocks") - 1).otherwise(F.col("rest_blocks") + F.col("main_blocks") - 1)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return rows.select("key", "band", "node", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
+def _linked_across(dealt: DataFrame, facts: DataFrame) -> DataFrame:
+    """Links (a, b) between components within block pairs, confirmed on the full sets.
+
+    A task keeps its own union of components, so it returns at most a link a member. A pair that
+    shares an earlier band is left to that band's bucket.
     """
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = open_members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
 
     def run(key, table):
-        i, j = key[1].as_py(), key[2].as_py()
-        node, n, root, own_block = (table.column(c).to_numpy() for c in ("node", "n", "root", "own"))
+        i, j, band = key[1].as_py(), key[2].as_py(), table.column("band")[0].as_py()
+        node, root, own, n = (table.column(c).to_numpy() for c in ("node", "root", "own", "n"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
-        first = np.flatnonzero(own_block == i)
-        second = np.flatnonzero(own_block == j)
-        out_a, out_b = [], []
-        for x in first.tolist():
-            y = second[node[second] > node[x]] if i == j else second
-            y = y[(root[y] != root[x]) & (100 * np.minimum(n[y], n[x]) >= 75 * np.maximum(n[y], n[x]))]
-            if len(y):
-                y = y[similarity((sig[y] == sig[x]).sum(axis=1)) >= POSSIBLE]
-                out_a.append(np.maximum(node[y], node[x]))
-                out_b.append(np.minimum(node[y], node[x]))
-        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        return pa.table({"a": a, "b": b})
+        bands = np.array(table.column("bands").to_pylist(), dtype=np.int64).reshape(-1, BANDS)
+        items = table.column("items").combine_chunks()
+        label = np.unique(root, return_inverse=True)[1]
+        first, second = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        sets, a, b = {}, [], []
 
-    return dealt.select("key", "i", "j", "node", "n", "sig", "root", "own").groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+        def of(x: int) -> np.ndarray:
+            if x not in sets:
+                sets[x] = items[x].values.to_numpy(zero_copy_only=False)
+            return sets[x]
+
+        for x in first.tolist():
+            y = second[label[second] != label[x]]
+            y = y[100 * np.minimum(n[y], n[x]) >= 75 * np.maximum(n[y], n[x])]
+            if not len(y):
+                continue
+            estimate = similarity((sig[y] == sig[x]).sum(axis=1))
+            y, estimate = y[estimate >= POSSIBLE], estimate[estimate >= POSSIBLE]
+            y = y[np.argsort(-estimate, kind="stable")]
+            y = y[~(bands[y, :band] == bands[x, :band]).any(axis=1)]
+            for z in y.tolist():
+                if label[z] == label[x]:
+                    continue
+                both = len(np.intersect1d(of(x), of(z), assume_unique=True))
+                if 100 * both >= 75 * (int(n[x]) + int(n[z]) - both):
+                    a.append(node[x])
+                    b.append(node[z])
+                    label[label == label[z]] = label[x]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    ready = dealt.join(facts, "node")
+    return ready.groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,10 +251,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = written(nodes, "near-nodes")
     facts = nodes.select("node", "n", "sig")
 
-    members = nodes.select("node", F.explode("bands").alias("key"))
+    members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1")
     buckets = buckets.select(F.col("key").alias("b_key"), "leader", "size")
-    met = written(members.join(buckets, F.col("key") == F.col("b_key")).select("key", "node", "leader", "size"), "near-met")
+    met = written(members.join(buckets, F.col("key") == F.col("b_key")).select("key", "band", "node", "leader", "size"), "near-met")
 
     pairs = met.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     left = facts.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("sig").alias("a_sig"))
@@ -223,16 +262,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     possible = written(_possible(pairs.join(left, "a").join(right, "b")), "near-possible")
     links = _confirmed(possible, nodes, rows)
 
-    rooted = connected_components(links)
-    rooted = rooted.select(F.col("node").alias("r_node"), "root")
+    rooted = connected_components(links).select(F.col("node").alias("r_node"), "root")
     placed = met.filter("size > 2").join(rooted, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "node"))
-    still = placed.groupBy(F.col("key").alias("o_key")).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("o_key")
-    open_members = placed.join(still, F.col("key") == F.col("o_key")).join(facts, "node")
-    open_members = open_members.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).select("key", "blocks", "node", "n", "sig", "root")
-    more = written(_across(open_members).join(possible, ["a", "b"], "left_anti"), "near-more")
-    if more.limit(1).count():
-        links = links.unionByName(_confirmed(more, nodes, rows))
-        rooted = connected_components(links).select(F.col("node").alias("r_node"), "root")
+    dealt = written(_dealt(placed.select("key", "band", "node", "root")), "near-dealt")
+    items = _sets(dealt.select("node").distinct(), nodes, rows).select("node", "items")
+    more = written(_linked_across(dealt, items.join(nodes.select("node", "n", "sig", "bands"), "node")), "near-more")
+    rooted = connected_components(links.unionByName(more)).select(F.col("node").alias("r_node"), "root")
 
     named = nodes.select("node", "set_key", "rep_id").join(rooted, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy(F.col("root").alias("c_root")).agg(F.min("rep_id").alias("component_id"))

@@ -43,11 +43,12 @@ HEADER = struct.Struct("<8sIIQQQ")
 BLOCK_IDS = 65_536
 FILE_IDS = 2_000_000
 END_ID = 2
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 600_000
 CACHE_ENTRIES = 1_000_000
 #: A text may be cut before a space that surely starts a pre-token: one followed by none of these.
 UNSURE = re.compile(" (?=[\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿]|$)")
 CUT = re.compile(" (?=[^\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿])")
+MARKS = frozenset(",.;:!?")
 
 
 def vocabulary_bits(size: int) -> int:
@@ -57,12 +58,19 @@ def vocabulary_bits(size: int) -> int:
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """One block: each id in ``bits`` bits."""
-    wide = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
+    raw = ids.astype(">u4").view(np.uint8).reshape(-1, 4)
+    if bits % 8 == 0:
+        return raw[:, 4 - bits // 8 :].tobytes()
+    wide = np.unpackbits(raw, axis=1)
     return np.packbits(wide[:, 32 - bits :]).tobytes()
 
 
 def unpack(block: bytes, n: int, bits: int) -> np.ndarray:
     """The ``n`` ids of a block."""
+    if bits % 8 == 0:
+        raw = np.zeros((n, 4), dtype=np.uint8)
+        raw[:, 4 - bits // 8 :] = np.frombuffer(block, dtype=np.uint8).reshape(n, bits // 8)
+        return raw.view(">u4").ravel().astype(np.uint32)
     flat = np.unpackbits(np.frombuffer(block, dtype=np.uint8), count=n * bits).reshape(n, bits)
     wide = np.zeros((n, 32), dtype=np.uint8)
     wide[:, 32 - bits :] = flat
@@ -166,15 +174,30 @@ class ChunkEncoder:
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
         parts = [self._chunks(t) for t in texts]
-        new = set()
+        seen = set()
         for p in parts:
-            new.update(p)
-        new = list(new.difference(self.cache))
+            seen.update(p)
+        # The slice's own small table keeps the many look-ups near; each distinct chunk asks the cache once.
+        cache = self.cache
+        table = {c: cache[c] for c in seen if c in cache}
+        seen.difference_update(table)
+        # One mark after a letter is a pre-token of its own, so "word" and "word," share an entry.
+        marked = [c for c in seen if c[-1:] in MARKS and c[-2:-1].isalpha()]
+        seen.difference_update(marked)
+        stems = [c[:-1] for c in marked]
+        seen.update(stems)
+        seen.update(MARKS)
+        new = [c for c in seen if c not in cache]
         for i in range(0, len(new), 20_000):
             some = new[i : i + 20_000]
-            for chunk, found in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                self.cache[chunk] = array("I", found.ids).tobytes()
-        get = self.cache.__getitem__
+            found = [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(some, add_special_tokens=False)]
+            cache.update(zip(some, found))
+            table.update(zip(some, found))
+        get = cache.__getitem__
+        joined = [get(stem) + get(c[-1]) for stem, c in zip(stems, marked)]
+        cache.update(zip(marked, joined))
+        table.update(zip(marked, joined))
+        get = table.__getitem__
         return [np.frombuffer(b"".join(map(get, p)), dtype="<u4") for p in parts]
 
 
