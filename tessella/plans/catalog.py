@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from tessella.plans import flows, shapes, sheets, texts
+
+QUERIES = sheets.QUERIES | shapes.QUERIES | texts.QUERIES | flows.QUERIES
+ORACLES = sheets.ORACLES | shapes.ORACLES | texts.ORACLES | flows.ORACLES

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -36,3 +37,16 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_checkpoint(df):
+    """``df`` with its lineage cut by a checkpoint in the folder that the cluster names.
+
+    Reads ``spark.checkpoint.dir``; a folder of its own is set only where the session names none, as
+    in local tests.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessella-checkpoint-"))
+    return df.checkpoint()
