@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 #: Characters of the Unicode property White_Space.
 SPACE = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f"[^{SPACE}]+")
-#: The tokenizer's own split pattern, with white space spelled out.
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + SPACE + r"\p{L}\p{N}]+")
+#: The tokenizer's own split pattern, with white space spelled out and letters and numbers as parameters.
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^" + SPACE + r"{letter}{number}]+"
 SUFFIX = "</w>"
 #: Texts are worked off in slices of about so many characters; the chunk cache holds so many entries.
 SLICE_CHARS = 2_000_000
@@ -48,11 +48,46 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
-def lowered(text: str) -> str:
+def recent_characters(path: str) -> tuple[set[str], dict[int, str]]:
+    """(letters and numbers the library does not know, lower case of others).
+
+    Unicode tables differ by release. Characters that this Python has no category for are looked up
+    in the tokenizers library, once for a file and worker; the others are the same in both.
+    """
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    split, lower = library.pre_tokenizer.pre_tokenize_str, library.normalizer.normalize_str
+    doubtful = [c for c in regex.findall(r"[\p{L}\p{N}]", every_character()) if unicodedata.category(c) == "Cn"]
+    unknown = {c for c in doubtful if len(split(c + "a")) == 2 and len(split(c + "!")) == 1}
+    return unknown, {ord(c): low for c in doubtful if (low := lower(c)) != c}
+
+
+def every_character() -> str:
+    """All characters."""
+    return "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+
+
+def piece_pattern(unknown: set[str]) -> regex.Pattern:
+    """The split pattern; letters and numbers without the unknown ones."""
+    if not unknown:
+        return regex.compile(PIECE.format(letter=r"\p{L}", number=r"\p{N}"))
+    known = lambda kind: ranges("".join(c for c in regex.findall(rf"[\p{{{kind}}}]", every_character()) if c not in unknown))
+    return regex.compile(PIECE.format(letter=known("L"), number=known("N")))
+
+
+def ranges(chars: str) -> str:
+    """Sorted characters as the inside of a regex class."""
+    codes = np.array([ord(c) for c in chars])
+    cut = np.flatnonzero(np.diff(codes) != 1) + 1
+    return "".join(f"{chr(r[0])}-{chr(r[-1])}" for r in np.split(codes, cut))
+
+
+def lowered(text: str, recent: dict[int, str]) -> str:
     """NFC, then lower case character by character (no final-sigma rule)."""
     if text.isascii():
         return text.lower()
-    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+    return unicodedata.normalize("NFC", text).translate(recent).replace("Σ", "σ").lower()
 
 
 class Bpe:
@@ -86,6 +121,8 @@ class Bpe:
         np.minimum.at(first_use, right, rank)
         self.together = bool((first_use[made] > rank).all())
         self.by_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        unknown, self.recent = recent_characters(path)
+        self.piece = piece_pattern(unknown)
         self.cache: dict[str, bytes] = {}
 
     def _look_up(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,7 +178,7 @@ class Bpe:
 
     def _learn(self, chunks: set[str]) -> None:
         """Put chunks without white space or special tokens into the cache."""
-        split = {c: [p.encode() for p in PIECE.findall(lowered(c))] for c in chunks}
+        split = {c: [p.encode() for p in self.piece.findall(lowered(c, self.recent))] for c in chunks}
         pieces = list({p for ps in split.values() for p in ps})
         known: dict[bytes, bytes] = {}
         for i in range(0, len(pieces), 50_000):
