@@ -5,7 +5,7 @@ in one task (a grid, so neither side is ever held whole); a task returns the bes
 for each query, and a ranking by query merges them.
 
 :func:`nearest` is a permutation index: each vector is represented by its ``LENGTH`` nearest pivots
-in order; the pivots' inverted files hold (vector, place); a query walks the files of its own pivots
+in order; the pivots' inverted files hold the places of vectors; a query walks the files of its own pivots
 and accumulates the footrule distance of the orders (a pivot that a vector lacks counts as placed
 last); the nearest orders are reranked by the exact inner product in double precision. Reranked are
 the ``SHARE`` of a block with the least footrule, and beyond them all whose footrule is under
@@ -119,23 +119,25 @@ def orders(vectors: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
 
 
 class InvertedFiles:
-    """Per pivot the places of the vectors that have it in their order, and at which place of it."""
+    """A file for each pivot: the place that every vector of the block gives it, ``length`` if it gives
+    none. As a quarter of the vectors list a pivot, a file is a dense row, read from end to end."""
 
     def __init__(self, order: np.ndarray, pivots: int):
         n, self.length = order.shape
-        flat = order.ravel()
-        by = np.argsort(flat, kind="stable")
-        self.vector, self.place = (by // self.length).astype(np.int32), (by % self.length).astype(np.int32)
-        self.begin = np.r_[0, np.cumsum(np.bincount(flat, minlength=pivots))]
-        self.n = n
+        places = np.full((n, pivots), self.length, dtype=np.int16)
+        np.put_along_axis(places, order, np.arange(self.length, dtype=np.int16)[None, :], 1)
+        self.files = np.ascontiguousarray(places.T)
+        self.step, self.total = np.empty(n, dtype=np.int16), np.empty(n, dtype=np.int16)
 
     def footrule(self, order: np.ndarray) -> np.ndarray:
-        """Footrule distance of every vector's order to one query's, over the query's pivots."""
-        out = np.full(self.n, int((self.length - np.arange(self.length)).sum()), dtype=np.int32)
+        """Footrule distance of every vector's order to one query's, over the query's pivots; valid up
+        to the next call."""
+        self.total.fill(0)
         for rank, pivot in enumerate(order.tolist()):
-            a, b = self.begin[pivot], self.begin[pivot + 1]
-            out[self.vector[a:b]] += np.abs(self.place[a:b] - rank) - (self.length - rank)
-        return out
+            np.subtract(self.files[pivot], rank, out=self.step)
+            np.abs(self.step, out=self.step)
+            self.total += self.step
+        return self.total
 
 
 def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
