@@ -24,6 +24,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import string
 import struct
 import uuid
 import zlib
@@ -31,6 +32,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -43,8 +45,10 @@ HEADER = struct.Struct("<8sIIQQQ")
 BLOCK_IDS = 65_536
 FILE_IDS = 2_000_000
 END_ID = 2
-SLICE_CHARS = 600_000
-CACHE_ENTRIES = 1_000_000
+SLICE_CHARS = 4_000_000
+CACHE_ENTRIES = 1_500_000
+#: New chunks that go through the library as one text.
+JOINED = 512
 #: A text may be cut before a space that surely starts a pre-token: one followed by none of these.
 UNSURE = re.compile(" (?=[\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿]|$)")
 CUT = re.compile(" (?=[^\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿])")
@@ -148,10 +152,11 @@ class TokenFile:
 
 
 class ChunkEncoder:
-    """The tokenizers library over cached chunks.
+    """The tokenizers library over cached chunks, a slice of texts at a time.
 
     A text is cut only before a single space that starts a word, where byte-level pre-tokenisation
-    always starts a pre-token; each distinct chunk goes through the library once.
+    always starts a pre-token. Arrow splits a slice and numbers its distinct chunks; each of them
+    is looked up once and goes through the library once, and numpy gathers the ids of all places.
     """
 
     def __init__(self, path: str):
@@ -161,44 +166,86 @@ class ChunkEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.bits = vocabulary_bits(self.library.get_vocab_size(with_added_tokens=True))
+        self.line_end = self.library.encode("\n", add_special_tokens=False).ids
         self.cache: dict[str, bytes] = {}
 
-    def _chunks(self, text: str) -> list[str]:
-        if not UNSURE.search(text):
-            first, *rest = text.split(" ")
-            return [first, *map(" ".__add__, rest)]
-        cuts = [m.start() for m in CUT.finditer(text)]
-        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, straight from the library."""
+        return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Put new chunks into the cache. Chunks that keep their pre-tokens between line ends, which
+        are a token of their own, share texts of ``JOINED`` chunks, as a text has its price."""
+        joined = [c for c in chunks if _stands_alone(c)] if len(self.line_end) == 1 else []
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        for i in range(0, len(groups), 16):
+            some = groups[i : i + 16]
+            for group, x in zip(some, self.library.encode_batch_fast(["\n".join(g) for g in some], add_special_tokens=False)):
+                ids = np.array(x.ids, dtype="<u4")
+                ends, raw = (np.flatnonzero(ids == self.line_end[0]) * 4).tolist(), ids.tobytes()
+                if len(ends) == len(group) - 1:
+                    self.cache.update(zip(group, [raw[a:b] for a, b in zip([0, *[e + 4 for e in ends]], [*ends, len(raw)])]))
+        others = [c for c in chunks if c not in self.cache]
+        for i in range(0, len(others), 2000):
+            self.cache.update(zip(others[i : i + 2000], self._ids(others[i : i + 2000])))
+
+    def look_up(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each distinct chunk, learned if they are new."""
+        cache = self.cache
+        if len(cache) > CACHE_ENTRIES:
+            cache.clear()
+        found = list(map(cache.get, chunks))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            # One mark after a letter is a pre-token of its own, so "word" and "word," share an entry.
+            marked = {c: c[:-1] for c in map(chunks.__getitem__, new) if c[-1:] in MARKS and c[-2:-1].isalpha()}
+            whole = [c for c in map(chunks.__getitem__, new) if c not in marked]
+            todo = [c for c in {*marked.values(), *MARKS, *whole} if c not in cache]
+            self._learn(todo)
+            for i in new:
+                c = chunks[i]
+                found[i] = cache[marked[c]] + cache[c[-1]] if c in marked else cache[c]
+                cache[c] = found[i]
+        return found
 
     def encode_slice(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        parts = [self._chunks(t) for t in texts]
-        seen = set()
-        for p in parts:
-            seen.update(p)
-        # The slice's own small table keeps the many look-ups near; each distinct chunk asks the cache once.
-        cache = self.cache
-        table = {c: cache[c] for c in seen if c in cache}
-        seen.difference_update(table)
-        # One mark after a letter is a pre-token of its own, so "word" and "word," share an entry.
-        marked = [c for c in seen if c[-1:] in MARKS and c[-2:-1].isalpha()]
-        seen.difference_update(marked)
-        stems = [c[:-1] for c in marked]
-        seen.update(stems)
-        seen.update(MARKS)
-        new = [c for c in seen if c not in cache]
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            found = [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(some, add_special_tokens=False)]
-            cache.update(zip(some, found))
-            table.update(zip(some, found))
-        get = cache.__getitem__
-        joined = [get(stem) + get(c[-1]) for stem, c in zip(stems, marked)]
-        cache.update(zip(marked, joined))
-        table.update(zip(marked, joined))
-        get = table.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), dtype="<u4") for p in parts]
+        """Ids of each text."""
+        sure = [not UNSURE.search(t) for t in texts]
+        out: list[np.ndarray] = [None] * len(texts)
+        for i, ok in enumerate(sure):
+            if not ok:
+                cuts = [m.start() for m in CUT.finditer(texts[i])]
+                parts = [texts[i][a:b] for a, b in zip([0, *cuts], [*cuts, len(texts[i])])]
+                out[i] = np.frombuffer(b"".join(self.look_up(parts)), dtype="<u4")
+        places = [i for i, ok in enumerate(sure) if ok]
+        if not places:
+            return out
+        split = pc.split_pattern(pa.array([texts[i] for i in places], pa.string()), " ")
+        offsets = split.offsets.to_numpy()
+        numbered = split.flatten().dictionary_encode()
+        words, codes = numbered.dictionary.to_pylist(), numbered.indices.to_numpy().astype(np.int64)
+        # A text's first chunk has no leading space: its places get numbers beyond those of the others.
+        firsts: dict[str, int] = {}
+        codes[offsets[:-1]] = [len(words) + firsts.setdefault(texts[i].split(" ", 1)[0], len(firsts)) for i in places]
+        found = self.look_up([" " + w for w in words] + list(firsts))
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        begin, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = sizes[codes]
+        upto = np.cumsum(sizes)
+        shift = (begin[codes] - (upto - sizes)).astype(np.int32)
+        ids = flat[np.repeat(shift, sizes) + np.arange(int(upto[-1]), dtype=np.int32)]
+        ends = upto[offsets[1:] - 1]
+        for i, a, b in zip(places, [0, *ends.tolist()], ends.tolist()):
+            out[i] = ids[a:b]
+        return out
+
+
+def _stands_alone(chunk: str) -> bool:
+    """Whether a chunk keeps its pre-tokens between line ends: it has none itself, no special token,
+    and a letter, digit or ASCII mark at both ends, a leading space aside."""
+    first = chunk[1:2] if chunk[:1] == " " else chunk[:1]
+    edge = lambda c: c.isalnum() or c in string.punctuation
+    return bool(first) and edge(first) and edge(chunk[-1]) and "\n" not in chunk and "<|" not in chunk
 
 
 @functools.lru_cache(maxsize=2)
