@@ -13,13 +13,26 @@ from pyspark.sql import functions as F
 #: A word everywhere in the contracts: a run of anything but these six white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
-#: A table is broadcast only if it is proven to have at most so many rows (some 100 bytes each as a rule).
+#: A table is broadcast only if it is proven to have at most so many rows and so many bytes.
 BROADCAST_ROWS = 400_000
+BROADCAST_BYTES = 64 * 2**20
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: texts by their length, arrays by their entries."""
+    total = F.lit(0)
+    for field in df.schema.fields:
+        kind = field.dataType.typeName()
+        column = F.col(f"`{field.name}`")
+        own = F.octet_length(column) if kind in ("string", "binary") else F.size(column) * 12 if kind == "array" else F.lit(0)
+        total = total + F.greatest(F.coalesce(own, F.lit(0)), F.lit(0)) + 8
+    return total
 
 
 def small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if its rows are proven few; else as it is, for a shuffle join."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """``df`` marked for broadcast if its rows and bytes are proven few; else as it is, for a shuffle join."""
+    n, size = df.select(row_bytes(df).alias("b")).limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def shared_dir(spark: SparkSession) -> str:

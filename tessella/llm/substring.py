@@ -13,7 +13,7 @@ cover, so two equal windows share an aligned anchor inside them.
    one a batch, sorted by (hash, document, start), and all but the first are repeats.
 
 Every exchange carries numbers only; candidate and repeat runs come back to the texts per document,
-broadcast up to :data:`~tessella.llm.common.BROADCAST_ROWS` documents and by a shuffle join beyond. Sorted partitions are
+broadcast up to the bounds of :func:`~tessella.llm.common.small` and by a shuffle join beyond. Sorted partitions are
 streamed, so no group is held in memory.
 
 Defined cases: a null or empty text has no words; fewer than WINDOW words lose none; documents are
