@@ -46,8 +46,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     spans = secrets.scan_secrets(docs).filter(F.size("spans") > 0).groupBy("id", "h").agg(F.first("spans").alias("spans"))
     where = F.col("doc_id").eqNullSafe(F.col("id")) & (F.md5("text") == F.col("h"))
     joined = docs.join(small(written(spans, "pipeline-spans")), where, "left")
-    masked = F.when(F.col("spans").isNotNull(), secrets.mask_secrets(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    return joined.select("doc_id", masked.alias("text"), "lang", "source", F.when(F.col("spans").isNotNull(), F.length(masked)).otherwise(F.col("n_chars")).cast("long").alias("n_chars"))
+    hit = F.col("spans").isNotNull()
+    masked = joined.withColumn("text", F.when(hit, secrets.mask_secrets(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
+    return masked.select("doc_id", "text", "lang", "source", F.when(hit, F.length("text")).otherwise(F.col("n_chars")).cast("long").alias("n_chars"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
