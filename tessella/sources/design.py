@@ -19,8 +19,8 @@ _FIELDS = [
     ("fill_opacity", pa.float64()), ("opacity", pa.float64()), ("text", pa.string()), ("is_slice", pa.bool_()), ("image_url", pa.string()),
     ("canvas_w", pa.float64()), ("canvas_h", pa.float64()),
 ]
-#: Keys under which a file may hold its layers, in order.
-LAYER_KEYS = ("artboard", "layers", "children", "info")
+#: Rows a batch.
+BATCH = 20_000
 
 
 def decoded(body: bytes | None, charset: str | None = None) -> str:
@@ -134,11 +134,11 @@ def design_nodes(files: DataFrame, key: str = "doc", text: str = "json") -> Data
 
     def run(batches):
         for batch in batches:
-            for i, body in enumerate(batch.column(1).to_pylist()):
-                rows = list(layer_rows(body))
-                if rows:
-                    columns = [pa.array(c, t) for c, (_, t) in zip(zip(*rows), _FIELDS)]
-                    yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[i].as_py()] * len(rows), batch.column(0).type), *columns], names=[key, *[n for n, _ in _FIELDS]])
+            rows = [(i, *r) for i, body in enumerate(batch.column(1).to_pylist()) for r in layer_rows(body)]
+            for k in range(0, len(rows), BATCH):  # the rows of many files share a batch
+                at, *columns = zip(*rows[k : k + BATCH])
+                made = [pa.array(c, t) for c, (_, t) in zip(columns, _FIELDS)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *made], names=[key, *[n for n, _ in _FIELDS]])
 
     return narrow.mapInArrow(run, f"{key} {kind}, {schema}")
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: Elements without an end tag, and those whose content is no text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(["script", "style", "template"])
+#: Rows a batch.
+BATCH = 20_000
 _NODES = "seq int, parent int, depth int, tag string, text string, href string, src string, width double, height double"
 
 
@@ -69,16 +71,13 @@ def html_elements(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     kind = narrow.schema[0].dataType.simpleString()
 
     def run(batches):
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
         for batch in batches:
-            keys = batch.column(0)
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                found = elements(text)
-                if not found:
-                    continue
-                columns = list(zip(*found))
-                kinds = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-                own = pa.array([keys[i].as_py()] * len(found), keys.type)
-                yield pa.RecordBatch.from_arrays([own, *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=[key, "seq", "parent", "depth", "tag", "text", "href", "src", "width", "height"])
+            rows = [(i, *r) for i, text in enumerate(batch.column(1).to_pylist()) for r in elements(text)]
+            for k in range(0, len(rows), BATCH):  # the rows of many pages share a batch
+                at, *columns = zip(*rows[k : k + BATCH])
+                made = [pa.array(c, t) for c, t in zip(columns, kinds)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *made], names=[key, "seq", "parent", "depth", "tag", "text", "href", "src", "width", "height"])
 
     return narrow.mapInArrow(run, f"{key} {kind}, {_NODES}")
 
