@@ -113,15 +113,24 @@ def _anchors(batches):
 
 def _repeated(keep_first: bool):
     """A stream over rows sorted by hash (and order): rows that share their hash, as (d, s, n);
-    without the first of each hash if ``keep_first``."""
+    without the first of each hash if ``keep_first``, however often a repeated row sends it."""
 
     def run(batches):
-        last, held = None, None
+        last, held, first = None, None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             h, known = batch.column(0).to_numpy(), batch.column(4).to_numpy(zero_copy_only=False)
             same = np.r_[last is not None and h[0] == last, h[1:] == h[:-1]]
+            if keep_first:
+                # A row is the first itself while hash, document and start stay those of the row that opened its hash.
+                d, s = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+                opened = np.maximum.accumulate(np.where(same, -1, np.arange(len(h))))
+                held_d, held_s = first or (-1, -1)
+                d_first = np.where(opened < 0, held_d, d[opened])
+                s_first = np.where(opened < 0, held_s, s[opened])
+                same &= (d != d_first) | (s != s_first)
+                first = int(d_first[-1]), int(s_first[-1])
             out = known | same
             if not keep_first:
                 out[:-1] |= same[1:]
@@ -171,6 +180,9 @@ def _candidates(batches):
         h, d, s = np.concatenate(hs), np.concatenate(ds), np.concatenate(ss)
         order = np.lexsort((s, d, h))
         h, d, s = h[order], d[order], s[order]
+        # Repeated rows are one document and send each of its windows once.
+        new = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]) | (s[1:] != s[:-1])] if len(h) else np.zeros(0, bool)
+        h, d, s = h[new], d[new], s[new]
         first = np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
         yield _batch(h[first], d[first], s[first], np.ones(first.sum(), int), np.zeros(first.sum(), bool))
         kd, ks, kn = runs(d[~first], s[~first], np.ones((~first).sum(), int))

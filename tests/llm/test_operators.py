@@ -253,6 +253,15 @@ def test_repeated_windows_equal_brute_force(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.substring_digest(df).collect()} == want
 
 
+@pytest.mark.parametrize("ids", [(1, 1, 2), (None, None, None), (1, 1, None)])
+def test_repeated_rows_are_one_document(spark, ids):
+    other = " ".join(f"o{i}" for i in range(40))
+    rows = [(ids[0], COPY), (ids[1], COPY), (ids[2], other), (ids[2], other), (9, "a " + other)]
+    got = sorted((r.id or 0, r.n_removed, r.kept) for r in substring.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    first = ids[2] is not None  # null ids come last, so the passage of 9 is the earlier one there
+    assert got == sorted([(ids[0] or 0, 0, COPY)] * 2 + [(ids[2] or 0, 0 if first else 40, other if first else "")] * 2 + [(9, 40, "a") if first else (9, 0, "a " + other)])
+
+
 def test_language_held_out_accuracy(spark):
     rows = queries.op10_language_id(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id")
     held = rows.filter("held_out").select("lang", "lang_pred", "score").collect()
@@ -262,3 +271,11 @@ def test_language_held_out_accuracy(spark):
 def test_out_of_place_distance_by_hand():
     model = langid.Profiles({"aa": ["a", "_a", "a_"], "bb": ["b"]})
     assert model.predict("aaa")[0] == "aa" and model.predict("bb")[0] == "bb" and model.predict("12 !") == (langid.UND, 0.0)
+
+
+def test_repeated_rows_stay_one_document_across_batches():
+    h, d, s = [1, 1, 1, 1, 1, 1, 2, 2, 2], [5, 5, 5, 5, 7, 7, 5, 6, 6], [0, 0, 0, 9, 0, 0, 1, 1, 1]
+    for size in range(1, 10):
+        batches = [substring._batch(*(np.array(x[i : i + size]) for x in (h, d, s)), np.ones(len(h[i : i + size]), int), np.zeros(len(h[i : i + size]), bool)) for i in range(0, len(h), size)]
+        got = [(r["d"], r["s"]) for b in substring._repeated(True)(batches) for r in b.to_pylist()]
+        assert got == [(5, 9), (7, 0), (7, 0), (6, 1), (6, 1)]
