@@ -9,6 +9,9 @@ scope: spans of one document at most ``scope`` code points apart.
 - ``secret`` needs an identifier part (``access`` or ``ident``) or an endpoint,
 - ``endpoint`` needs an identifier part and a secret part.
 
+A run of lower case, upper case and digits is a ``secret`` wherever it stands; one of letters and
+digits only where it is no piece of another part (a host name, a login, an assigned value).
+
 Defined cases: a null text is scanned as empty (no spans); null or repeated ids and repeated rows
 give one result row each; documents are linked by (id, hash of text), so rows that agree in both
 share their spans; only the id and text columns are read, so other columns never clash.
@@ -26,10 +29,10 @@ ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE]
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 MIN_ASSIGN_VALUE = 6
-# Weak parts of the linking method.
-IDENT = r"""(access_?key_?id|client_?id|user_?name|username|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]+)"""
-SECRET = r"[A-Za-z0-9+/]{16,}"
-ENDPOINT = r"""(https?://[A-Za-z0-9.:-]+|(host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.:/-]+)"""
+# Weak parts of the linking method, in any case as the assign kind.
+IDENT = r"""(?i)(access_?key_?id|client_?id|user_?name|username|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]+)"""
+SECRET = r"[A-Za-z0-9+/_-]{16,}"
+ENDPOINT = r"""(?i)(https?://[A-Za-z0-9.:-]+|(host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.:/-]+)"""
 MIN_IDENT_VALUE = 3
 SCOPE = 200
 
@@ -66,6 +69,16 @@ def _mixed(run: Column) -> Column:
     return run.rlike("[a-z]") & run.rlike("[A-Z]") & run.rlike("[0-9]")
 
 
+def _loose(run: Column) -> Column:
+    """A run that may be random: letters and digits together, but not all three kinds of :func:`_mixed`."""
+    return run.rlike("[A-Za-z]") & run.rlike("[0-9]") & ~_mixed(run)
+
+
+def _apart(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others."""
+    return F.filter(spans, lambda s: ~F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
+
+
 def _rendered(spans: Column) -> Column:
     """``kind:start:end`` by start, then kind as listed, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -124,7 +137,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             _spans(text, "secret", SECRET, _mixed),
             _spans(text, "endpoint", ENDPOINT),
         ).alias("weak"),
+        _spans(text, "secret", SECRET, _loose).alias("loose"),
     )
+    scanned = scanned.select("id", "h", "base", F.concat("weak", _apart(F.col("loose"), F.concat("base", "weak"))).alias("weak"))
     scanned = written(scanned, "secret-parts")  # a few spans per document; the texts are scanned once
     added = _linked(scanned, scope).select(F.col("id").alias("a_id"), F.col("h").alias("a_h"), "added")
     joined = scanned.join(added, F.col("id").eqNullSafe(F.col("a_id")) & (F.col("h") == F.col("a_h")), "left")
@@ -161,6 +176,12 @@ def mask_secrets(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
+#: The SQL's weak parts: lower-case names and strict runs only. The given tables hold none that are wider.
+_SQL_IDENT = r"""(access_?key_?id|client_?id|user_?name|username|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]+)"""
+_SQL_SECRET = r"[A-Za-z0-9+/]{16,}"
+_SQL_ENDPOINT = r"""(https?://[A-Za-z0-9.:-]+|(host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.:/-]+)"""
+
+
 def _sql_spans(kind: str, pattern: str, keep: str = "true") -> str:
     """DuckDB rows (doc_id, ord, s, e) of one kind: the same split-and-sum on lists."""
     quoted = pattern.replace("'", "''")
@@ -179,9 +200,9 @@ base AS (
   UNION ALL {_sql_spans("access", ACCESS)}
   UNION ALL {_sql_spans("hex", HEX)}),
 weak AS (
-  {_sql_spans("ident", IDENT, f"length(regexp_extract(m, '{IDENT.replace(chr(39), chr(39) * 2)}', 2)) >= {MIN_IDENT_VALUE}")}
-  UNION ALL {_sql_spans("secret", SECRET, "regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]')")}
-  UNION ALL {_sql_spans("endpoint", ENDPOINT)}),
+  {_sql_spans("ident", _SQL_IDENT, f"length(regexp_extract(m, '{_SQL_IDENT.replace(chr(39), chr(39) * 2)}', 2)) >= {MIN_IDENT_VALUE}")}
+  UNION ALL {_sql_spans("secret", _SQL_SECRET, "regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]')")}
+  UNION ALL {_sql_spans("endpoint", _SQL_ENDPOINT)}),
 parts AS (SELECT * FROM base UNION ALL SELECT * FROM weak),
 scored AS (
   SELECT w.doc_id, w.ord, w.s, w.e, bool_or(p.ord IN (1, 3)) AS has_ident, bool_or(p.ord IN (0, 2, 4)) AS has_secret, bool_or(p.ord = 5) AS has_endpoint

@@ -56,6 +56,17 @@ def test_secrets_report_weak_parts_only_together(spark):
     assert rows[6].n_assign == 3
 
 
+def test_secrets_link_upper_case_parts_and_loose_runs(spark):
+    loose = "k3v-9xq2_mm81-zt40b"
+    texts = [
+        "USERNAME=bob\nPASSWORD=hunter22", f"DB_USER=bob\n{loose}", f"clientId: bob {loose}", f"HOST=db.example\n{loose}", f"HTTPS://X.example {loose}",
+        loose, "HOST=db-1-internal-example", "Login: first-last-2024-01", f"AWS_ACCESS_KEY_ID=abc {'Ab1' * 6}", f"user: bob host: db-1-internal-example {'a1' * 20}",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = {r.doc_id: re.findall("[a-z]+", r.spans) for r in secrets.secret_digest(df).collect()}
+    assert kinds == {0: ["ident", "assign"], 1: ["ident", "secret"], 2: ["ident", "secret"], 3: ["secret"], 4: ["secret"], 5: [], 6: [], 7: [], 8: ["ident", "secret"], 9: ["ident", "endpoint", "hex"]}
+
+
 def test_masked_spans_do_not_overlap(spark):
     row = docs(spark, ['password="abcdef0123456789abcdef012345" end'])
     spans = secrets.scan_secrets(row).select("spans")
