@@ -22,7 +22,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that have a language; those without a letter go."""
+    """Keep the documents that have a language; only those without a letter go. A text in a script that
+    no profile knows stays."""
     docs = docs.select(*COLUMNS)
     labelled = docs.select(F.col("doc_id").alias("id"), "text", "lang").filter(~langid.held_out(F.col("id")))
     found = langid.with_language(docs, langid.fit_profiles(labelled))
@@ -30,11 +31,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate component: the one with the least id."""
+    """Keep one document of each near-duplicate component: the one with the least id, null last, then hash of the text."""
     docs = docs.select(*COLUMNS)
     found = written(neardup.near_duplicates(docs), "pipeline-components")
     repeated = found.groupBy("id", "th").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count()
-    gone = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("g_id"), F.col("th").alias("g_th")).distinct()
+    place = F.struct(F.col("id").isNull().alias("no"), "id", "th")
+    groups = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(place).alias("kept"), F.count("*").alias("n")).filter("n > 1")
+    groups = written(groups.select(F.col("root").alias("k_root"), F.col("kept.id").alias("k_id"), F.col("kept.th").alias("k_th")), "pipeline-groups")
+    other = ~(F.col("id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")))
+    gone = found.join(small(groups), F.col("root") == F.col("k_root")).filter(other).select(F.col("id").alias("g_id"), F.col("th").alias("g_th")).distinct()
     where = F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.xxhash64("text") == F.col("g_th"))
     kept = docs.join(small(gone), where, "left_anti")
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept

@@ -241,7 +241,8 @@ def _linked_across(dealt: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, th`` (xxhash64 of the text)``, n_shingles, component_id`` of every row."""
+    """``id, th`` (xxhash64 of the text)``, n_shingles, component_id, root`` of every row; ``root`` tells components
+    apart that share a least id, null without shingles."""
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).withColumn("th", F.xxhash64("text"))
     signed = written(_signed(rows), "near-signed")
     # One node for each distinct non-empty set, standing for its least (id, text hash).
@@ -271,10 +272,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = nodes.select("node", "set_key", "rep_id").join(rooted, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy(F.col("root").alias("c_root")).agg(F.min("rep_id").alias("component_id"))
-    classes = named.join(least, F.col("root") == F.col("c_root")).select(F.col("set_key").alias("c_key"), "component_id")
+    classes = named.join(least, F.col("root") == F.col("c_root")).select(F.col("set_key").alias("c_key"), "component_id", "root")
     joined = signed.select("id", "th", "n", F.when(F.col("n") > 0, F.col("set_key")).alias("set_key")).join(classes, F.col("set_key") == F.col("c_key"), "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return joined.select("id", "th", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return joined.select("id", "th", F.col("n").alias("n_shingles"), own.alias("component_id"), "root")
 
 
 def near_duplicate_digest(docs: DataFrame) -> DataFrame:

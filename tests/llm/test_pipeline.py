@@ -45,6 +45,14 @@ def test_dedup_stage_keeps_one_of_each_group(staged):
     assert all(any(like(sets[g], sets[o]) for o in sets if o < g) for g in set(before.doc_id) - set(ids))
 
 
+def test_dedup_stage_keeps_one_where_ids_are_null_or_repeat(spark):
+    words = lambda c: " ".join(f"{c}{i}" for i in range(60))
+    texts = [(1, "a", ""), (1, "a", " more"), (1, "c", ""), (None, "b", ""), (None, "b", " more"), (None, "d", ""), (None, "d", "")]
+    docs = spark.createDataFrame([(i, words(c) + end, "en", "s", 0) for i, c, end in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text[0]) for r in pipeline.near_dedup(spark, docs, SF).collect()]
+    assert sorted(kept, key=str) == sorted([(1, "a"), (1, "c"), (None, "b"), (None, "d")], key=str)
+
+
 def test_secret_stage_masks_and_loses_no_document(spark, staged):
     before, after = staged[0][2]
     assert sorted(before.doc_id) == sorted(after.doc_id) and (after.n_chars == after.text.str.len()).all()
