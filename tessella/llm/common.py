@@ -6,7 +6,11 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,8 @@ WORD_RE = re.compile(WORD)
 #: A table is broadcast only if it is proven to have at most so many rows and so many bytes.
 BROADCAST_ROWS = 400_000
 BROADCAST_BYTES = 64 * 2**20
+#: Python tasks work off Arrow batches in slices of about so many bytes of text.
+SLICE_BYTES = 4 * 2**20
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -35,6 +41,22 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
+def slices(batches: Iterable[pa.RecordBatch], text: int | str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``most`` bytes of the text column (one row at least).
+
+    A batch of Spark's holds up to 64 MB; what a task makes of it in Python is several times larger, so tasks
+    make it slice by slice. What they free goes back to the system at once, as workers are reused.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        slot = (np.cumsum(sizes, dtype=np.int64) - sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(slot)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the cluster names it.
 
