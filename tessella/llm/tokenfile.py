@@ -2,17 +2,18 @@
 
 A token file holds the ids of consecutive documents (ascending id order across files):
 
-    magic 8 bytes | u32 bits, u32 ids a block, u64 documents, u64 ids, u64 blocks
-    document ids i64 | null flags u8 | ids per document u64 | block offsets u64 (blocks + 1) | blocks
+    blocks | document ids i64 | null flags u8 | ids per document u64 | block offsets u64 (blocks + 1)
+    | magic 8 bytes, u32 bits, u32 ids a block, u64 documents, u64 ids, u64 blocks
 
 Each block packs its ids, most significant bit first, in the minimum number of bits the vocabulary
 needs, padded to a byte. Offsets let a reader unpack any block alone with numpy, so a document or a
-range of ids is read without the rest of the file.
+range of ids is read without the rest of the file. The index comes last, so a writer holds one block
+and the documents' lengths only, however large the file.
 
 Documents are dealt out by range of (id, hash of text), so one id may hold any share of the rows;
 every task writes files of bounded size under names that no other attempt uses and reports them in a
-manifest, which is written once; files of lost attempts are never listed. ``start`` is the running
-total over the manifest (a row a file, not a document).
+manifest, which is written once; files of lost attempts are never listed. ``start`` is a running
+total in two steps: over the files of a part, and over the parts, whose number the session fixes.
 
 Defined cases: a null text is encoded as empty, so only the end id is left; null ids come first;
 equal ids are ordered by their text; an empty table gives no file and no rows; only the id and text
@@ -22,9 +23,9 @@ columns are read.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
-import string
 import struct
 import uuid
 import zlib
@@ -38,21 +39,30 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import new_folder, partition_count, written
+from tessella.llm.common import new_folder, partition_count, slices, written
 
 MAGIC = b"TSLATOK1"
-HEADER = struct.Struct("<8sIIQQQ")
+FOOTER = struct.Struct("<8sIIQQQ")
 BLOCK_IDS = 65_536
-FILE_IDS = 2_000_000
+FILE_IDS = 32_000_000
 END_ID = 2
-SLICE_CHARS = 4_000_000
-CACHE_ENTRIES = 1_500_000
-#: New chunks that go through the library as one text.
+#: Larger slices share more chunks.
+SLICE_BYTES = 6 * 2**20
+#: Documents a batch when files are read back.
+READ_DOCS = 10_000
+#: Chunks that go through the library as one text.
 JOINED = 512
-#: A text may be cut before a space that surely starts a pre-token: one followed by none of these.
-UNSURE = re.compile(" (?=[\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿]|$)")
+#: A text may be cut before a space or line end that surely starts a pre-token: one followed by none of these.
+UNSURE = re.compile("[ \n](?=[\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿]|$)")
 CUT = re.compile(" (?=[^\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁤　﻿])")
-MARKS = frozenset(",.;:!?")
+MARKS = ",.;:!?"
+#: A chunk (a leading space aside) that keeps its pre-tokens between line ends: no line end in it, and no white space at its ends.
+EDGE = r"[!-~\x{A1}-\x{24F}\x{370}-\x{167F}\x{2E80}-\x{2FFF}\x{3001}-\x{9FBF}\x{AC00}-\x{D7A3}]"
+STANDS_ALONE = rf"^ ?{EDGE}(?:[^\n]*{EDGE})?$"
+#: A line end before a word.
+LED = rf"^\n{EDGE}"
+#: A letter and a mark at the end.
+MARKED = rf"[A-Za-z\x{{C0}}-\x{{D6}}\x{{D8}}-\x{{F6}}\x{{F8}}-\x{{24F}}][{MARKS}]$"
 
 
 def vocabulary_bits(size: int) -> int:
@@ -87,22 +97,52 @@ def _open(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
+class TokenWriter:
+    """Writes one token file, block by block."""
+
+    def __init__(self, uri: str, bits: int):
+        store, path = _open(uri)
+        store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        self.out, self.bits = store.open_output_stream(path), bits
+        self.doc_ids, self.null, self.lengths, self.offsets = array("q"), array("B"), array("Q"), array("Q", [0])
+        self.held: list[np.ndarray] = []
+        self.n_held = self.n_ids = 0
+
+    def add(self, doc_id: int | None, *ids: np.ndarray) -> None:
+        """Append a document, given in one or more pieces."""
+        self.doc_ids.append(doc_id or 0)
+        self.null.append(doc_id is None)
+        n = sum(map(len, ids))
+        self.lengths.append(n)
+        self.held.extend(ids)
+        self.n_held, self.n_ids = self.n_held + n, self.n_ids + n
+        if self.n_held >= BLOCK_IDS:
+            self._write(self.n_held // BLOCK_IDS * BLOCK_IDS)
+
+    def _write(self, upto: int) -> None:
+        ids = np.concatenate(self.held) if self.held else np.zeros(0, np.uint32)
+        for i in range(0, upto, BLOCK_IDS):
+            block = pack(ids[i : min(i + BLOCK_IDS, upto)], self.bits)
+            self.out.write(block)
+            self.offsets.append(self.offsets[-1] + len(block))
+        self.held, self.n_held = [ids[upto:].copy()], len(ids) - upto
+
+    def close(self) -> None:
+        """Write what is held and the index."""
+        self._write(self.n_held)
+        for kind, values in (("<i8", self.doc_ids), ("u1", self.null), ("<u8", self.lengths), ("<u8", self.offsets)):
+            self.out.write(np.array(values, dtype=kind).tobytes())
+        self.out.write(FOOTER.pack(MAGIC, self.bits, BLOCK_IDS, len(self.doc_ids), self.n_ids, len(self.offsets) - 1))
+        self.out.close()
+
+
 def write_file(uri: str, doc_ids: list[int | None], docs: list[np.ndarray], bits: int) -> int:
     """Write one token file; returns its number of ids."""
-    ids = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
-    blocks = [pack(ids[i : i + BLOCK_IDS], bits) for i in range(0, len(ids), BLOCK_IDS)]
-    offsets = np.r_[0, np.cumsum([len(b) for b in blocks])].astype("<u8")
-    store, path = _open(uri)
-    store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with store.open_output_stream(path) as out:
-        out.write(HEADER.pack(MAGIC, bits, BLOCK_IDS, len(docs), len(ids), len(blocks)))
-        out.write(np.array([0 if i is None else i for i in doc_ids], dtype="<i8").tobytes())
-        out.write(np.array([i is None for i in doc_ids], dtype=np.uint8).tobytes())
-        out.write(np.array([len(d) for d in docs], dtype="<u8").tobytes())
-        out.write(offsets.tobytes())
-        for block in blocks:
-            out.write(block)
-    return len(ids)
+    writer = TokenWriter(uri, bits)
+    for doc_id, ids in zip(doc_ids, docs):
+        writer.add(doc_id, ids)
+    writer.close()
+    return writer.n_ids
 
 
 class TokenFile:
@@ -111,19 +151,21 @@ class TokenFile:
     def __init__(self, uri: str):
         store, path = _open(uri)
         self.file = store.open_input_file(path)
-        magic, self.bits, self.block_ids, n_docs, self.n_ids, n_blocks = HEADER.unpack(self.file.read(HEADER.size))
+        size = self.file.size()
+        self.file.seek(size - FOOTER.size)
+        magic, self.bits, self.block_ids, n_docs, self.n_ids, n_blocks = FOOTER.unpack(self.file.read(FOOTER.size))
         if magic != MAGIC:
             raise ValueError(f"not a token file: {uri}")
+        self.file.seek(size - FOOTER.size - n_docs * 17 - 8 * (n_blocks + 1))
         read = lambda kind, n: np.frombuffer(self.file.read(np.dtype(kind).itemsize * n), dtype=kind)
         ids, null = read("<i8", n_docs), read(np.uint8, n_docs)
         self.doc_ids = [None if no else int(i) for i, no in zip(ids, null)]
         self.ends = np.cumsum(read("<u8", n_docs).astype(np.int64))
         self.offsets = read("<u8", n_blocks + 1).astype(np.int64)
-        self.base = HEADER.size + n_docs * 17 + 8 * (n_blocks + 1)
 
     def block(self, k: int) -> np.ndarray:
         """Ids of block ``k``."""
-        self.file.seek(self.base + int(self.offsets[k]))
+        self.file.seek(int(self.offsets[k]))
         raw = self.file.read(int(self.offsets[k + 1] - self.offsets[k]))
         return unpack(raw, min(self.block_ids, self.n_ids - k * self.block_ids), self.bits)
 
@@ -152,11 +194,11 @@ class TokenFile:
 
 
 class ChunkEncoder:
-    """The tokenizers library over cached chunks, a slice of texts at a time.
+    """The tokenizers library over the distinct chunks of a slice of texts.
 
-    A text is cut only before a single space that starts a word, where byte-level pre-tokenisation
-    always starts a pre-token. Arrow splits a slice and numbers its distinct chunks; each of them
-    is looked up once and goes through the library once, and numpy gathers the ids of all places.
+    A text is cut only before a single space or line end that starts a word, where byte-level
+    pre-tokenisation always starts a pre-token. Arrow splits a slice and numbers its distinct chunks; each of them goes
+    through the library once, and numpy gathers the ids of all places. Nothing outlives a slice.
     """
 
     def __init__(self, path: str):
@@ -166,86 +208,104 @@ class ChunkEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.bits = vocabulary_bits(self.library.get_vocab_size(with_added_tokens=True))
-        self.line_end = self.library.encode("\n", add_special_tokens=False).ids
-        self.cache: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, straight from the library."""
-        return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Put new chunks into the cache. Chunks that keep their pre-tokens between line ends, which
-        are a token of their own, share texts of ``JOINED`` chunks, as a text has its price."""
-        joined = [c for c in chunks if _stands_alone(c)] if len(self.line_end) == 1 else []
-        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
-        for i in range(0, len(groups), 16):
-            some = groups[i : i + 16]
-            for group, x in zip(some, self.library.encode_batch_fast(["\n".join(g) for g in some], add_special_tokens=False)):
-                ids = np.array(x.ids, dtype="<u4")
-                ends, raw = (np.flatnonzero(ids == self.line_end[0]) * 4).tolist(), ids.tobytes()
-                if len(ends) == len(group) - 1:
-                    self.cache.update(zip(group, [raw[a:b] for a, b in zip([0, *[e + 4 for e in ends]], [*ends, len(raw)])]))
-        others = [c for c in chunks if c not in self.cache]
-        for i in range(0, len(others), 2000):
-            self.cache.update(zip(others[i : i + 2000], self._ids(others[i : i + 2000])))
-
-    def look_up(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each distinct chunk, learned if they are new."""
-        cache = self.cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-        found = list(map(cache.get, chunks))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        if new:
-            # One mark after a letter is a pre-token of its own, so "word" and "word," share an entry.
-            marked = {c: c[:-1] for c in map(chunks.__getitem__, new) if c[-1:] in MARKS and c[-2:-1].isalpha()}
-            whole = [c for c in map(chunks.__getitem__, new) if c not in marked]
-            todo = [c for c in {*marked.values(), *MARKS, *whole} if c not in cache]
-            self._learn(todo)
-            for i in new:
-                c = chunks[i]
-                found[i] = cache[marked[c]] + cache[c[-1]] if c in marked else cache[c]
-                cache[c] = found[i]
-        return found
-
-    def encode_slice(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        sure = [not UNSURE.search(t) for t in texts]
-        out: list[np.ndarray] = [None] * len(texts)
-        for i, ok in enumerate(sure):
-            if not ok:
-                cuts = [m.start() for m in CUT.finditer(texts[i])]
-                parts = [texts[i][a:b] for a, b in zip([0, *cuts], [*cuts, len(texts[i])])]
-                out[i] = np.frombuffer(b"".join(self.look_up(parts)), dtype="<u4")
-        places = [i for i, ok in enumerate(sure) if ok]
-        if not places:
-            return out
-        split = pc.split_pattern(pa.array([texts[i] for i in places], pa.string()), " ")
-        offsets = split.offsets.to_numpy()
-        numbered = split.flatten().dictionary_encode()
-        words, codes = numbered.dictionary.to_pylist(), numbered.indices.to_numpy().astype(np.int64)
-        # A text's first chunk has no leading space: its places get numbers beyond those of the others.
-        firsts: dict[str, int] = {}
-        codes[offsets[:-1]] = [len(words) + firsts.setdefault(texts[i].split(" ", 1)[0], len(firsts)) for i in places]
-        found = self.look_up([" " + w for w in words] + list(firsts))
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        begin, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), dtype="<u4")
+        one = lambda text: self.library.encode(text, add_special_tokens=False).ids
+        self.line_end = one("\n")
+        self.mark = np.zeros(128, dtype="<u4")
+        for m in MARKS:
+            self.mark[ord(m)] = one(m)[0]
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = "|".join(map(re.escape, special)) or None
+
+    def _alone(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of each chunk as a text of its own."""
+        return [x.ids for i in range(0, len(chunks), 2000) for x in self.library.encode_batch_fast(chunks[i : i + 2000], add_special_tokens=False)]
+
+    def _joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of chunks that share texts, ``JOINED`` a text, with line ends between them, and the number of ids of
+        each; None if a line end is not a token of its own."""
+        texts = ["\n".join(chunks[i : i + JOINED]) + "\n" for i in range(0, len(chunks), JOINED)]
+        parts = [np.array(x.ids, dtype="<u4") for i in range(0, len(texts), 16) for x in self.library.encode_batch_fast(texts[i : i + 16], add_special_tokens=False)]
+        ids = np.concatenate(parts) if parts else np.zeros(0, "<u4")
+        ends = np.flatnonzero(ids == self.line_end[0])
+        if len(ends) != len(chunks):
+            return None
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
+    def encode_chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all the distinct chunks one after the other, and the number of ids of each."""
+        # A line end before a word and one mark after a letter are pre-tokens of their own, so "word" and "word," share their ids.
+        marked = pc.match_substring_regex(chunks, MARKED)
+        bare = pc.if_else(marked, pc.utf8_slice_codeunits(chunks, 0, stop=-1), chunks)
+        led = pc.match_substring_regex(bare, LED)
+        led = led if len(self.line_end) == 1 else pc.and_(led, False)
+        numbered = pc.if_else(led, pc.utf8_slice_codeunits(bare, 1), bare).dictionary_encode()
+        bases, code = numbered.dictionary, numbered.indices.to_numpy().astype(np.int64)
+        shared = pc.match_substring_regex(bases, STANDS_ALONE)
+        if self.special:
+            shared = pc.and_not(shared, pc.match_substring_regex(bases, self.special))
+        shared = shared.to_numpy(zero_copy_only=False) & (len(self.line_end) == 1)
+        together = self._joined(bases.filter(pa.array(shared)).to_pylist())
+        if together is None:
+            shared, together = np.zeros(len(bases), bool), (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        others = self._alone(bases.filter(pa.array(~shared)).to_pylist())
+        flat = np.concatenate([together[0], np.fromiter(itertools.chain.from_iterable(others), dtype="<u4")])
+        sizes, begin = np.empty(len(bases), np.int64), np.empty(len(bases), np.int64)
+        sizes[shared], sizes[~shared] = together[1], list(map(len, others))
+        order = np.r_[np.flatnonzero(shared), np.flatnonzero(~shared)]
+        begin[order] = np.cumsum(sizes[order]) - sizes[order]
+        marked, led = marked.to_numpy(zero_copy_only=False), led.to_numpy(zero_copy_only=False)
+        own = sizes[code] + marked + led
+        ends = np.cumsum(own)
+        # Line ends and marks get a place next to their base's ids, whatever is there, and are then put there.
+        flat = np.r_[flat, np.zeros(1, "<u4")]
+        out = flat[np.repeat(begin[code] - led - (ends - own), own) + np.arange(int(ends[-1]))]
+        raw, offsets = np.frombuffer(chunks.buffers()[2] or b"", np.uint8), np.frombuffer(chunks.buffers()[1], np.int32)[chunks.offset :][: len(chunks) + 1]
+        out[ends[marked] - 1] = self.mark[raw[offsets[1:][marked] - 1]]
+        out[(ends - own)[led]] = self.line_end[:1]
+        return out, own
+
+    def _gathered(self, chunks: pa.Array, codes: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """Ids of texts: ``codes`` number the chunks of all places, a text's places end before ``ends``."""
+        flat, sizes = self.encode_chunks(chunks)
+        begin = np.cumsum(sizes) - sizes
         sizes = sizes[codes]
         upto = np.cumsum(sizes)
         shift = (begin[codes] - (upto - sizes)).astype(np.int32)
         ids = flat[np.repeat(shift, sizes) + np.arange(int(upto[-1]), dtype=np.int32)]
-        ends = upto[offsets[1:] - 1]
-        for i, a, b in zip(places, [0, *ends.tolist()], ends.tolist()):
-            out[i] = ids[a:b]
+        return np.split(ids, upto[ends[:-1] - 1])
+
+    def encode_slice(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        sure = np.array([bool(t) and not UNSURE.search(t) for t in texts], dtype=bool)
+        out: list[np.ndarray] = [np.zeros(0, "<u4")] * len(texts)
+        places = [i for i, (t, ok) in enumerate(zip(texts, sure.tolist())) if t and not ok]
+        if places:
+            cut = [_cut(texts[i]) for i in places]
+            numbered = pa.array(list(itertools.chain.from_iterable(cut)), pa.string()).dictionary_encode()
+            found = self._gathered(numbered.dictionary, numbered.indices.to_numpy().astype(np.int64), np.cumsum(list(map(len, cut))))
+            for i, ids in zip(places, found):
+                out[i] = ids
+        places = np.flatnonzero(sure).tolist()
+        if places:
+            split = pc.split_pattern(pa.array([texts[i].replace("\n", " \n") for i in places], pa.string()), " ")
+            offsets = split.offsets.to_numpy()
+            numbered = split.flatten().dictionary_encode()
+            codes = numbered.indices.to_numpy().astype(np.int64)
+            # A text's first chunk has no leading space: its places get numbers beyond those of the others.
+            firsts = pc.list_element(split, 0).dictionary_encode()
+            codes[offsets[:-1]] = len(numbered.dictionary) + firsts.indices.to_numpy()
+            words = numbered.dictionary
+            spaced = pc.if_else(pc.starts_with(words, "\n"), words, pc.binary_join_element_wise("", words, " "))
+            chunks = pa.concat_arrays([spaced, firsts.dictionary])
+            for i, ids in zip(places, self._gathered(chunks, codes, offsets[1:])):
+                out[i] = ids
         return out
 
 
-def _stands_alone(chunk: str) -> bool:
-    """Whether a chunk keeps its pre-tokens between line ends: it has none itself, no special token,
-    and a letter, digit or ASCII mark at both ends, a leading space aside."""
-    first = chunk[1:2] if chunk[:1] == " " else chunk[:1]
-    edge = lambda c: c.isalnum() or c in string.punctuation
-    return bool(first) and edge(first) and edge(chunk[-1]) and "\n" not in chunk and "<|" not in chunk
+def _cut(text: str) -> list[str]:
+    """The chunks of a text that has other white space than single spaces between words."""
+    cuts = [m.start() for m in CUT.finditer(text)]
+    return [c for c in (text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])) if c]
 
 
 @functools.lru_cache(maxsize=2)
@@ -260,55 +320,54 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     spark = docs.sparkSession
     folder = new_folder(spark, "token-files")
 
+    schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
+
     def run(batches):
-        encoder, part, seq = load(tokenizer), TaskContext.get().partitionId(), 0
-        ids, held, n = [], [], 0
-
-        def flush():
-            nonlocal ids, held, n, seq
-            path = f"{folder}/{part:06d}-{seq:06d}-{uuid.uuid4().hex}.tok"
-            write_file(path, ids, held, encoder.bits)
-            row = pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "path": [path], "n_docs": [len(ids)], "n_ids": [n]}, schema=schema)
-            ids, held, n, seq = [], [], 0, seq + 1
-            return row
-
-        schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
-        for batch in batches:
-            doc_ids, texts, at = batch.column(0).to_pylist(), batch.column(1), 0
-            while at < len(doc_ids):
-                upto, size = at, 0
-                while upto < len(doc_ids) and size < SLICE_CHARS:
-                    size += len(texts[upto].as_buffer() or b"") if texts[upto].is_valid else 0
-                    upto += 1
-                part_texts = [t or "" for t in texts.slice(at, upto - at).to_pylist()]
-                for doc_id, found in zip(doc_ids[at:upto], encoder.encode_slice(part_texts)):
-                    ids.append(doc_id)
-                    held.append(np.r_[found, np.array([end_id], dtype=np.uint32)])
-                    n += len(held[-1])
-                    if n >= file_ids:
-                        yield flush()
-                at = upto
-        if ids:
-            yield flush()
+        encoder, part, seq, writer, path = load(tokenizer), TaskContext.get().partitionId(), 0, None, ""
+        end = np.array([end_id], dtype=np.uint32)
+
+        def closed():
+            writer.close()
+            row = {"part": [part], "seq": [seq], "path": [path], "n_docs": [len(writer.doc_ids)], "n_ids": [writer.n_ids]}
+            return pa.RecordBatch.from_pydict(row, schema=schema)
+
+        for some in slices(batches, "text", SLICE_BYTES):
+            texts = [t or "" for t in some.column("text").to_pylist()]
+            for doc_id, found in zip(some.column("id").to_pylist(), encoder.encode_slice(texts)):
+                if writer is None:
+                    path = f"{folder}/{part:06d}-{seq:06d}-{uuid.uuid4().hex}.tok"
+                    writer = TokenWriter(path, encoder.bits)
+                writer.add(doc_id, found, end)
+                if writer.n_ids >= file_ids:
+                    yield closed()
+                    writer, seq = None, seq + 1
+        if writer is not None:
+            yield closed()
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     dealt = rows.repartitionByRange(partition_count(spark), F.col("id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(
         F.col("id").asc_nulls_first(), F.xxhash64("text"), "text"
     )
     manifest = written(dealt.mapInArrow(run, "part int, seq int, path string, n_docs long, n_ids long"), "token-manifest")
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    before = lambda window: F.coalesce(F.sum("n_ids").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))  # at most a row a shuffle partition
+    parts = parts.select("part", before(Window.orderBy("part")).alias("part_start"))
+    inside = manifest.withColumn("in_part", before(Window.partitionBy("part").orderBy("seq")))
+    return inside.join(F.broadcast(parts), "part").select(*manifest.columns, (F.col("part_start") + F.col("in_part")).alias("start"))
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """Documents read back from the files: ``doc_id, start, n_tokens, ids_crc32``."""
 
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+
     def run(batches):
         for batch in batches:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                out = [(d, start + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for d, at, ids in TokenFile(path).documents()]
-                columns = list(zip(*out)) or [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                found = TokenFile(path).documents()
+                while some := list(itertools.islice(found, READ_DOCS)):
+                    rows = zip(*((d, start + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for d, at, ids in some))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=names)
 
     dealt = manifest.select("path", "start").repartition(partition_count(manifest.sparkSession))
     return dealt.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
