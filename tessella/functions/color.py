@@ -5,28 +5,51 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INT_RGB = r"^rgba?\((\d+),\s*(\d+),\s*(\d+)(?:,\s*([\d.]+))?\)$"
-PERCENT_RGB = r"^rgba?\((\d+(?:\.\d+)?)%,\s*(\d+(?:\.\d+)?)%,\s*(\d+(?:\.\d+)?)%(?:,\s*([\d.]+))?\)$"
-OPAQUE_RGBA = r"^rgba\((\d+),\s*(\d+),\s*(\d+),\s*1\)$"
-SHORT_HEX = r"^#([0-9a-fA-F]{3})$"
-LONG_HEX = r"^#([0-9a-fA-F]{6})$"
 #: Two alphas closer than this are one alpha written twice.
 SAME_ALPHA = 1e-3
 
 
-def _group(text: Column, pattern: str, i: int) -> Column:
-    return F.regexp_extract(text, pattern, i)
+def _arguments(value: Column) -> Column:
+    """The arguments of a call of rgb or rgba, in order; an empty array for any other text."""
+    inside = F.regexp_extract(value, r"^rgba?\((.*)\)$", 1)
+    return F.when(inside != "", F.split(inside, r",\s*")).otherwise(F.array().cast("array<string>"))
 
 
-def _hex_byte(n: Column) -> Column:
-    return F.lpad(F.lower(F.hex(n.cast("long"))), 2, "0")
+def _channels(value: Column) -> Column:
+    """Red, green and blue as texts of numbers from 0 to 255, of any syntax known; else null.
+
+    The three of a call are whole numbers or shares in percent, a fourth is a plain number; after a number sign
+    there are three hex digits, or six.
+    """
+    args = _arguments(value)
+    three, fourth = F.slice(args, 1, 3), F.coalesce(F.get(args, 3), F.lit("0"))
+    call = F.size(args).between(3, 4) & fourth.rlike("^[0-9.]+$")
+    whole = F.forall(three, lambda c: c.rlike("^[0-9]+$"))
+    share = F.forall(three, lambda c: c.rlike(r"^[0-9]+(\.[0-9]+)?%$"))
+    byte = lambda c: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(F.rtrim(c, F.lit("%")).try_cast("double") * 2.55 + 0.5))).cast("string")
+    digits = F.upper(F.substring(value, 2, 6))
+    sixfold = F.when(F.length(value) == 4, F.regexp_replace(digits, "(.)", "$1$1")).otherwise(digits)
+    of_hex = F.array(*[F.conv(F.substring(sixfold, i, 2), 16, 10) for i in (1, 3, 5)])
+    return F.when(call & whole, three).when(call & share, F.transform(three, byte)).when(_is_hex(value, 3) | _is_hex(value, 6), of_hex)
+
+
+def _is_hex(value: Column, n: int) -> Column:
+    """Whether a text is a number sign and ``n`` hex digits."""
+    return (F.length(value) == n + 1) & value.rlike("^#[0-9A-Fa-f]+$")
+
+
+def _is_opaque_call(value: Column) -> Column:
+    """Whether a text is a call of rgba with whole numbers and an alpha written as 1."""
+    args = _arguments(value)
+    return value.startswith("rgba") & (F.size(args) == 4) & (F.get(args, 3) == "1") & F.forall(F.slice(args, 1, 3), lambda c: c.rlike("^[0-9]+$"))
 
 
 def short_color(text: Column) -> Column:
-    """``rgba(r,g,b,1)`` as ``#rrggbb``; anything else unchanged."""
+    """An opaque call of rgba as ``#rrggbb``; anything else unchanged."""
     value = F.trim(text)
-    parts = [_hex_byte(F.try_to_number(_group(value, OPAQUE_RGBA, i), F.lit("999"))) for i in (1, 2, 3)]
-    return F.when(value.rlike(OPAQUE_RGBA), F.concat(F.lit("#"), *parts)).otherwise(text)
+    digits = lambda c: F.lower(F.hex(c.try_cast("long")))
+    padded = lambda c: F.when(F.length(digits(c)) == 1, F.concat(F.lit("0"), digits(c))).otherwise(digits(c))
+    return F.when(_is_opaque_call(value), F.concat(F.lit("#"), F.array_join(F.transform(_channels(value), padded), ""))).otherwise(text)
 
 
 def _number(x: Column) -> Column:
@@ -43,23 +66,12 @@ def effective_alpha(color_alpha: Column, layer_opacity: Column, fill_opacity: Co
 
 def composed_color(text: Column, alpha: Column) -> Column:
     """``text`` with ``alpha`` composed in; unknown syntaxes pass unchanged."""
-    value = F.trim(text)
-    a = _number(alpha)
-    rgba = lambda r, g, b: F.concat(F.lit("rgba("), r, F.lit(","), g, F.lit(","), b, F.lit(","), a, F.lit(")"))
-    ints = [_group(value, INT_RGB, i) for i in (1, 2, 3)]
-    byte = lambda i: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(_group(value, PERCENT_RGB, i).try_cast("double") * 2.55 + 0.5))).cast("string")
-    doubled = F.regexp_replace(_group(value, SHORT_HEX, 1), "(.)", "$1$1")
-    digits = F.when(value.rlike(SHORT_HEX), doubled).otherwise(_group(value, LONG_HEX, 1))
-    of_hex = [F.conv(F.substring(digits, i, 2), 16, 10) for i in (1, 3, 5)]
-    translucent = (
-        F.when(value.rlike(INT_RGB), rgba(*ints))
-        .when(value.rlike(PERCENT_RGB), rgba(byte(1), byte(2), byte(3)))
-        .when(value.rlike(SHORT_HEX) | value.rlike(LONG_HEX), rgba(*of_hex))
-        .otherwise(text)
-    )
+    channels = _channels(F.trim(text))
+    parts = F.concat(channels, F.array(_number(alpha)))
+    translucent = F.when(channels.isNotNull(), F.concat(F.lit("rgba("), F.array_join(parts, ","), F.lit(")"))).otherwise(text)
     return F.when(alpha >= 1, short_color(text)).otherwise(translucent)
 
 
 def is_opaque_solid(text: Column) -> Column:
-    """Whether a fill hides what lies under it."""
-    return F.coalesce(text.rlike(LONG_HEX) | text.rlike(OPAQUE_RGBA), F.lit(False))
+    """Whether a fill hides what lies under it: six hex digits, or a call with an alpha of 1."""
+    return F.coalesce(_is_hex(text, 6) | _is_opaque_call(text), F.lit(False))

@@ -71,8 +71,11 @@ def safe_slice_name(text: Column) -> Column:
 
 
 def safe_sheet_name(text: Column) -> Column:
-    """A legal worksheet name of at most 31 characters."""
-    return F.substring(F.regexp_replace(text, r"[:\\/?*\[\]]", "_"), 1, 31)
+    """A legal worksheet name: trimmed, "sheet" if nothing is left, at most 31 UTF-16 units."""
+    clean = trimmed(F.regexp_replace(F.coalesce(text, F.lit("")), r"[:\\/?*\[\]]", "_"))
+    named = F.when(clean == "", F.lit("sheet")).otherwise(clean)
+    grow = lambda out, c: F.when(utf16_length(F.concat(out, c)) <= 31, F.concat(out, c)).otherwise(out)
+    return F.aggregate(F.slice(F.split(named, ""), 1, 31), F.lit(""), grow)
 
 
 def xml_escaped(text: Column) -> Column:

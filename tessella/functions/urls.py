@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessella.functions.text import js_round
 
 #: Factors of the named scales, relative to the logical size at 1x (fixed values of the service).
-SCALES = {"1x": 1.0, "2x": 2.0, "3x": 3.0, "ios_1x": 1.0, "ios_2x": 2.0, "ios_3x": 3.0, "android_mdpi": 1.0, "android_hdpi": 1.5, "android_xhdpi": 2.0, "android_xxhdpi": 3.0, "android_xxxhdpi": 4.0}
+SCALES = {"1x": 1.0, "2x": 2.0, "3x": 3.0, "ios_1x": 1.0, "ios_2x": 2.0, "ios_3x": 3.0, "android_mdpi": 1.0, "android_hdpi": 1.5, "android_xhdpi": 2.0, "android_xxhdpi": 3.0}
 
 
 def host(url: Column) -> Column:
@@ -44,14 +44,15 @@ def is_allowed_asset(url: Column, suffixes: Sequence[str]) -> Column:
 def scale_url(url: Column, w: Column, h: Column, scale: str, stored: int = 4, image_format: str = "png") -> Column:
     """Address of an image at a named scale; null without a URL or size.
 
-    ``original`` is the stored file, converted only if another format than png is wanted.
+    ``original`` is the stored file, converted only if another format than png is wanted, and
+    ``android_xxxhdpi`` has the stored size, whatever that is.
     """
     convert = f"format,{image_format}"
     if scale == "original":
         made = url if image_format == "png" else F.concat(url, F.lit(f"?x-oss-process=image/{convert}"))
     else:
         lw, lh = F.greatest(F.lit(1), js_round(w)), F.greatest(F.lit(1), js_round(h))
-        factor = SCALES[scale] if scale[-1] == "x" and scale[0].isdigit() or scale == "android_xxxhdpi" else SCALES[scale] * stored / 4
+        factor = stored if scale == "android_xxxhdpi" else SCALES[scale] if scale[0].isdigit() else SCALES[scale] * stored / 4
         sw, sh = js_round(lw * factor), js_round(lh * factor)
         same = (sw == lw * stored) & (sh == lh * stored)
         resize = F.when(same, F.lit("")).otherwise(F.concat(F.lit("resize,w_"), F.greatest(F.lit(1), sw).cast("string"), F.lit(",h_"), F.greatest(F.lit(1), sh).cast("string"), F.lit("/")))

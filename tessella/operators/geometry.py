@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.color import is_opaque_solid
+from tessella.functions.text import utf16_length
 from tessella.operators.sequence import anchored_clusters
 
 
@@ -73,7 +74,7 @@ def inferred_titles(tables: DataFrame, blocks: DataFrame, doc: str = "doc") -> D
     It has 2 to 80 characters, overlaps by a fifth of the width (80 at most), ends at most 30 below
     the table's top and at most 120 above it; the least gap wins.
     """
-    text = renamed(blocks.filter(F.length("text").between(2, 80)).select(doc, "seq", "x", "y", "w", "h", "text"), "b_", doc).withColumnRenamed(doc, "_doc")
+    text = renamed(blocks.filter(utf16_length(F.col("text")).between(2, 80)).select(doc, "seq", "x", "y", "w", "h", "text"), "b_", doc).withColumnRenamed(doc, "_doc")
     overlap = F.least(F.col("b_x") + F.col("b_w"), F.col("x") + F.col("w")) - F.greatest("b_x", "x")
     bottom = F.col("b_y") + F.col("b_h")
     above = (overlap >= F.least(F.col("w") * 0.2, F.lit(80.0))) & (bottom <= F.col("y") + 30) & (F.col("y") - bottom <= 120)
@@ -155,11 +156,12 @@ def connector_edges(connectors: DataFrame, nodes: DataFrame, doc: str = "doc", t
     ``connectors`` has two end candidates on each side (``sx1, sy1, sx2, sy2, ex1, ey1, ex2, ey2``)
     and ``seq``. Each candidate takes its nearest node within ``tolerance``; the pair of different
     nodes with the least sum wins, the first connector of an edge stays, and a document counts only
-    with two edges or more.
+    with three nodes and two edges or more.
     """
     ends = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("side"), F.col(f"{p}x{k}").cast("double").alias("px"), F.col(f"{p}y{k}").cast("double").alias("py")) for i, (s, p, k) in enumerate([("s", "s", 1), ("s", "s", 2), ("e", "e", 1), ("e", "e", 2)])])
     points = connectors.select(doc, F.col("seq").alias("c_seq"), F.explode(ends).alias("p")).select(doc, "c_seq", "p.*")
-    boxes = renamed(nodes.select(doc, "seq", "x", "y", "w", "h"), "n_", doc)
+    several = nodes.groupBy(doc).agg(F.count("*").alias("_n")).filter("_n >= 3").select(doc)
+    boxes = renamed(nodes.join(several, doc, "left_semi").select(doc, "seq", "x", "y", "w", "h"), "n_", doc)
     dx = F.greatest(F.col("n_x") - F.col("px"), F.lit(0.0), F.col("px") - (F.col("n_x") + F.col("n_w")))
     dy = F.greatest(F.col("n_y") - F.col("py"), F.lit(0.0), F.col("py") - (F.col("n_y") + F.col("n_h")))
     best = points.join(boxes, doc).groupBy(doc, "c_seq", "i", "side").agg(F.min(F.struct(F.sqrt(dx * dx + dy * dy).alias("d"), "n_seq")).alias("b")).filter(F.col("b.d") <= tolerance)
@@ -170,3 +172,9 @@ def connector_edges(connectors: DataFrame, nodes: DataFrame, doc: str = "doc", t
     edges = chosen.groupBy(doc, F.col("b.from").alias("from"), F.col("b.to").alias("to")).agg(F.min("c_seq").alias("c_seq"))
     enough = edges.groupBy(doc).agg(F.count("*").alias("_n")).filter("_n >= 2").select(doc)
     return edges.join(enough, doc, "left_semi")
+
+
+def linked_nodes(nodes: DataFrame, edges: DataFrame, doc: str = "doc") -> DataFrame:
+    """The nodes that an edge of :func:`connector_edges` begins or ends at; isolated ones go."""
+    ends = edges.select(doc, F.explode(F.array("from", "to")).alias("seq")).distinct()
+    return nodes.join(ends, [doc, "seq"], "left_semi")

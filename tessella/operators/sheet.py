@@ -76,6 +76,9 @@ def read_sheet(
 ) -> Sheet:
     """Data rows of a grid: blank rows skipped, columns and rows pruned, at most ``limit`` rows (0: all).
 
+    Without ``columns`` the headers are those that have a name or any cell in the rows read (a cell of white space
+    counts); if no header has a name, all columns stay, used or not.
+
     ``totals`` is one row ``total_rows, kept_rows, truncated``; reading stops at the limit, so
     ``total_rows`` counts up to there and exactly ``limit`` rows count as truncated. An empty grid
     gives no headers and no rows.
@@ -91,13 +94,16 @@ def read_sheet(
     out = kept.select("_row", values.alias("values"))
     end = kept.agg(F.count("*").alias("kept_rows"), F.max("_row").alias("_last"))
     reached = F.lit(bool(limit)) & (F.col("kept_rows") >= limit)
-    counted = data.join(F.broadcast(end), ~reached | (F.col("_row") <= F.col("_last")), "right")
-    totals = counted.groupBy("kept_rows").agg(F.count("_row").alias("total_rows"), F.max(reached).alias("truncated"))
+    # The one row of ``end`` is joined to two sums, not to the rows.
+    seen = data.join(F.broadcast(end.select("_last")), F.lit(True), "left").agg(F.count("*").alias("all_rows"), F.count(F.when(F.col("_row") <= F.col("_last"), 1)).alias("upto_last"))
+    totals = end.join(F.broadcast(seen), F.lit(True)).select("kept_rows", F.when(reached, F.col("upto_last")).otherwise(F.col("all_rows")).alias("total_rows"), reached.alias("truncated"))
     if columns:
         headers = [names[i] for i in indexes]
     else:
-        used = data.agg(*[F.max(F.coalesce(F.get(F.col("cells"), i) != "", F.lit(False))).alias(f"c{i}") for i in indexes]).first() if indexes and synthesised else None
-        headers = [n for i, n in enumerate(names) if not synthesised or (used and used[f"c{i}"])]
+        unnamed = [] if synthesised else [i for i, c in enumerate(_header(grid)) if not (c or "").strip()]
+        has_cell = [F.max(F.coalesce(F.get(F.col("cells"), i) != "", F.lit(False))).alias(f"c{i}") for i in unnamed]
+        used = before_blank_tail(grid).agg(*has_cell).first() if unnamed else {}
+        headers = [n for i, n in enumerate(names) if i not in unnamed or used[f"c{i}"]]
     return Sheet(headers, indexes, synthesised, out, totals)
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.similarity import header_similarity
-from tessella.functions.text import merge_key
-from tessella.operators.sequence import anchored_clusters, islands, nearest_of
+from tessella.functions.text import merge_key, trimmed
+from tessella.operators.sequence import anchored_clusters, nearest_of, neighbour, running_sum
 
 ROW_TOLERANCE, COLUMN_TOLERANCE = 2, 3
 
@@ -39,10 +39,28 @@ def pruned_grid(grid: DataFrame, table: str = "table_id") -> DataFrame:
 
 
 def adjacent_merged(tables: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
-    """Adjacent tables (``headers, rows``) of equal headers as one, their rows one after another."""
-    runs = islands(tables, F.array_join("headers", "\u0001", ""), keys, pos, "_run")
-    rows = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), "rows"))), lambda s: s["rows"]))
-    return runs.groupBy(*keys, "_run").agg(F.min(pos).alias(pos), F.first("headers").alias("headers"), rows.alias("rows")).drop("_run")
+    """Adjacent tables (``headers, rows, title, source, notes``) as one, their rows one after another.
+
+    A table joins the one before it if it has headers, these and the source are the same, and it has no title
+    or that of the table which the run began with. Notes are joined. A null title or note is as an empty one;
+    tables without a position or key are left out.
+    """
+    keys = list(keys)
+    mark = F.struct(F.array_join(F.coalesce("headers", F.array()), "\u0001", "").alias("h"), F.col("source").alias("s"))
+    same = F.col("_prior").eqNullSafe(mark) & (F.size("headers") > 0)
+    runs = running_sum(neighbour(tables, mark, keys, pos, "_prior"), F.when(same, 0).otherwise(1), keys, pos, "_run").drop("_prior")
+    # Within a run a title opens a new table unless it is the last one that was named before.
+    titled = F.coalesce("title", F.lit("")) != ""
+    named = neighbour(runs.filter(titled), F.col("title"), [*keys, "_run"], pos, "_earlier")
+    named = named.withColumn("_opens", F.when(F.col("_earlier") == F.col("title"), 0).otherwise(1)).drop("_earlier")
+    parts = running_sum(named.unionByName(runs.filter(~titled).withColumn("_opens", F.lit(0))), F.col("_opens"), [*keys, "_run"], pos, "_part")
+    entries = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), "rows", "notes")))
+    notes = F.array_join(F.filter(F.transform(entries, lambda e: e["notes"]), lambda n: n != ""), "；")
+    first = lambda c: F.min_by(c, pos).alias(c)
+    merged = parts.groupBy(*keys, "_run", "_part").agg(
+        F.min(pos).alias(pos), first("headers"), first("title"), first("source"), F.flatten(F.transform(entries, lambda e: F.coalesce(e["rows"], F.array().cast("array<array<string>>")))).alias("rows"), notes.alias("notes")
+    )
+    return merged.drop("_run", "_part")
 
 
 def _row_key(row: Column) -> Column:
@@ -85,4 +103,4 @@ def similar_merged(tables: DataFrame, doc: str = "doc", seq: str = "seq", alike:
 
 def header_only(rows: Column) -> Column:
     """Whether no cell of a table's rows has text."""
-    return ~F.exists(rows, lambda r: F.exists(r, lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""))
+    return ~F.exists(rows, lambda r: F.exists(r, lambda c: trimmed(F.coalesce(c, F.lit(""))) != ""))

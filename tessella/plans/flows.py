@@ -171,11 +171,17 @@ def cache_totals(spark, sf_dir):
     return cache.cache_totals(table(spark, sf_dir, "documents"), "text")
 
 
+_ADJACENT = {
+    "doc": "l_suppkey % 97", "pos": "l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey % 100000", "title": "CASE l_partkey % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN '' END",
+    "source": "CASE WHEN l_orderkey % 6 = 0 THEN 'vlm' WHEN l_orderkey % 6 > 1 THEN 'dom' END", "notes": "CASE l_linenumber % 3 WHEN 0 THEN 'n' || l_linenumber WHEN 1 THEN '' END",
+}
+
+
 def adjacent_tables(spark, sf_dir):
-    """Adjacent turns of one kind as tables merged."""
-    t = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("pos"), F.array((F.length("text") % 2).cast("string")).alias("headers"), F.array(F.array("text")).alias("rows"))
-    found = tables.adjacent_merged(t, ["conv_id"])
-    return found.select("conv_id", "pos", F.array_join("headers", "|").alias("headers"), F.size("rows").cast("long").alias("n_rows"), F.md5(F.array_join(F.flatten("rows"), "|")).alias("rows_md5"))
+    """Adjacent lines of an order as tables merged: by headers, source and title."""
+    t = table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _ADJACENT.items()], "CASE WHEN l_suppkey % 5 = 0 THEN array() ELSE array(l_returnflag) END AS headers", "array(array(CAST(l_partkey AS STRING))) AS rows")
+    found = tables.adjacent_merged(t, ["doc"])
+    return found.select("doc", "pos", F.array_join("headers", "|").alias("headers"), "title", "source", F.array_join(F.flatten("rows"), "|").alias("rows"), "notes")
 
 
 def similar_tables(spark, sf_dir):
@@ -245,8 +251,11 @@ ORACLES = {
     "cache_resume": f"WITH {_KEYED} SELECT key, min(doc_id) AS doc_id FROM k WHERE key NOT IN (SELECT key FROM done WHERE NOT coalesce(failed, false)) GROUP BY key",
     "cache_lookup": f"WITH {_KEYED}, r AS (SELECT key, arg_max(quality, written_at) AS quality FROM done WHERE NOT coalesce(failed, false) GROUP BY key) SELECT k.key, doc_id, quality FROM k LEFT JOIN r ON r.key = k.key",
     "cache_totals": "SELECT count(*) AS n_entries, CAST(coalesce(sum(strlen(text)), 0) AS BIGINT) AS n_bytes FROM documents",
-    "adjacent_tables": """
-        WITH c AS (SELECT *, length(text) % 2 AS h, CASE WHEN length(text) % 2 = lag(length(text) % 2) OVER (PARTITION BY conv_id ORDER BY turn) THEN 0 ELSE 1 END AS c FROM conversations),
-        i AS (SELECT *, sum(c) OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM c)
-        SELECT conv_id, min(turn) AS pos, CAST(any_value(h) AS VARCHAR) AS headers, count(*) AS n_rows, md5(string_agg(text, '|' ORDER BY turn)) AS rows_md5 FROM i GROUP BY conv_id, run""",
+    "adjacent_tables": f"""
+        WITH RECURSIVE t AS (SELECT {', '.join(f'{e} AS {n}' for n, e in _ADJACENT.items())}, CASE WHEN l_suppkey % 5 = 0 THEN '' ELSE l_returnflag END AS headers, CAST(l_partkey AS VARCHAR) AS row FROM lineitem),
+        k AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY pos) AS n FROM t),
+        f AS (SELECT *, n AS g, title AS g_title FROM k WHERE n = 1 UNION ALL
+          SELECT k.*, CASE WHEN joins THEN f.g ELSE k.n END, CASE WHEN joins THEN f.g_title ELSE k.title END FROM f JOIN k ON k.doc = f.doc AND k.n = f.n + 1,
+            LATERAL (SELECT k.headers <> '' AND k.headers = f.headers AND k.source IS NOT DISTINCT FROM f.source AND (coalesce(k.title, '') = '' OR k.title = coalesce(f.g_title, '')) AS joins))
+        SELECT doc, min(pos) AS pos, any_value(headers) AS headers, arg_min_null(g_title, pos) AS title, any_value(source) AS source, string_agg(row, '|' ORDER BY pos) AS rows, coalesce(string_agg(notes, '；' ORDER BY pos) FILTER (notes <> ''), '') AS notes FROM f GROUP BY doc, g""",
 }

@@ -81,6 +81,11 @@ def connector_edges(spark, sf_dir):
     return geometry.connector_edges(ends, nodes)
 
 
+def connector_nodes(spark, sf_dir):
+    """The nodes that connectors link."""
+    return geometry.linked_nodes(_two(spark, sf_dir)[0].select("doc", "seq"), connector_edges(spark, sf_dir))
+
+
 _LAYER = {"name": "'n' || l_linenumber", "text": "CASE WHEN l_suppkey % 9 = 0 THEN 'words' END", "parent_path": "CASE WHEN l_partkey % 2 = 0 THEN 'Panel' END", "canvas_w": "CAST(240 AS BIGINT)", "canvas_h": "CAST(190 AS BIGINT)"}
 
 
@@ -142,7 +147,7 @@ def table_grid_pruned(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     occlusion_anti_join, outer_containers, containment_argmin, nearest_anchor, title_inference, grid_cells, anchored_cluster,
-    run_chain_fragments, reading_lines, connector_edges, layer_clean, layer_counters, design_layers, table_grid, table_grid_pruned,
+    run_chain_fragments, reading_lines, connector_edges, connector_nodes, layer_clean, layer_counters, design_layers, table_grid, table_grid_pruned,
 )}
 
 _R = f"WITH r AS ({RECT_SQL}), a AS (SELECT * FROM r WHERE type = 'rect'), b AS (SELECT * FROM r WHERE type <> 'rect')"
@@ -175,6 +180,13 @@ WITH c AS ({select_sql(_CELL, 'lineitem')}), axes AS ({_AXES}),
 g AS (SELECT table_id, CAST({sql_nearest('ys', 'y')} AS INTEGER) AS "row", CAST({sql_nearest('xs', 'x')} AS INTEGER) AS col, seq, text FROM c JOIN axes USING (table_id)),
 grid AS (SELECT table_id, "row", col, arg_max(text, seq) AS text FROM g GROUP BY ALL)"""
 
+_CONNECT = _R + """, e AS (SELECT doc, seq AS c, unnest([{'i': 0, 's': 's', 'px': x, 'py': y}, {'i': 1, 's': 's', 'px': x, 'py': y + h}, {'i': 2, 's': 'e', 'px': x + w, 'py': y}, {'i': 3, 's': 'e', 'px': x + w, 'py': y + h}]) AS p FROM b),
+        d AS (SELECT e.doc, c, p.i AS i, p.s AS s, a.seq AS n, sqrt(pow(greatest(a.x - p.px, 0, p.px - a.x - a.w), 2) + pow(greatest(a.y - p.py, 0, p.py - a.y - a.h), 2)) AS dist FROM e JOIN a USING (doc) WHERE doc IN (SELECT doc FROM a GROUP BY doc HAVING count(*) >= 3)),
+        k AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY doc, c, i ORDER BY dist, n) = 1),
+        m AS (SELECT u.doc, u.c, u.n AS f, v.n AS t FROM k u JOIN k v ON u.doc = v.doc AND u.c = v.c AND u.s = 's' AND v.s = 'e' AND u.n <> v.n AND u.dist <= 60 AND v.dist <= 60
+              QUALIFY row_number() OVER (PARTITION BY u.doc, u.c ORDER BY u.dist + v.dist, u.i, v.i) = 1),
+        x AS (SELECT doc, f AS "from", t AS "to", min(c) AS c_seq FROM m GROUP BY ALL),
+        ce AS (SELECT * FROM x WHERE doc IN (SELECT doc FROM x GROUP BY doc HAVING count(*) >= 2))"""
 ORACLES = {
     "occlusion_anti_join": f"WITH r AS ({RECT_SQL}) SELECT doc, seq, x, y, w, h FROM r i WHERE {_EXEMPT} OR NOT EXISTS (SELECT 1 FROM r o WHERE {_COVERED})",
     "outer_containers": f"WITH r AS ({RECT_SQL}) SELECT doc, seq, x, y, w, h FROM r i WHERE NOT EXISTS (SELECT 1 FROM r o WHERE o.doc = i.doc AND o.w * o.h > i.w * i.h AND o.x - 2 <= i.x AND o.y - 2 <= i.y AND o.x + o.w + 2 >= i.x + i.w AND o.y + o.h + 2 >= i.y + i.h)",
@@ -194,13 +206,8 @@ ORACLES = {
         b AS (SELECT r.*, list_max(list_filter(ys, lambda v: v <= y)) AS band FROM r JOIN k USING (doc)),
         o AS (SELECT doc, band, text, x, y, seq FROM b QUALIFY row_number() OVER (PARTITION BY doc, band, text ORDER BY y, x, seq) = 1)
         SELECT doc, band, string_agg(text, ' ｜ ' ORDER BY x, y, seq) AS line FROM o GROUP BY doc, band""",
-    "connector_edges": _R + """, e AS (SELECT doc, seq AS c, unnest([{'i': 0, 's': 's', 'px': x, 'py': y}, {'i': 1, 's': 's', 'px': x, 'py': y + h}, {'i': 2, 's': 'e', 'px': x + w, 'py': y}, {'i': 3, 's': 'e', 'px': x + w, 'py': y + h}]) AS p FROM b),
-        d AS (SELECT e.doc, c, p.i AS i, p.s AS s, a.seq AS n, sqrt(pow(greatest(a.x - p.px, 0, p.px - a.x - a.w), 2) + pow(greatest(a.y - p.py, 0, p.py - a.y - a.h), 2)) AS dist FROM e JOIN a USING (doc)),
-        k AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY doc, c, i ORDER BY dist, n) = 1),
-        m AS (SELECT u.doc, u.c, u.n AS f, v.n AS t FROM k u JOIN k v ON u.doc = v.doc AND u.c = v.c AND u.s = 's' AND v.s = 'e' AND u.n <> v.n AND u.dist <= 60 AND v.dist <= 60
-              QUALIFY row_number() OVER (PARTITION BY u.doc, u.c ORDER BY u.dist + v.dist, u.i, v.i) = 1),
-        x AS (SELECT doc, f AS "from", t AS "to", min(c) AS c_seq FROM m GROUP BY ALL)
-        SELECT * FROM x WHERE doc IN (SELECT doc FROM x GROUP BY doc HAVING count(*) >= 2)""",
+    "connector_edges": _CONNECT + ' SELECT doc, "from", "to", c_seq FROM ce',
+    "connector_nodes": _CONNECT + ' SELECT DISTINCT doc, "from" AS seq FROM ce UNION SELECT DISTINCT doc, "to" FROM ce',
     "layer_clean": _CLEAN + " SELECT doc, seq FROM s5",
     "layer_counters": _CLEAN + """, n AS (SELECT doc, 0 AS k FROM r UNION ALL SELECT doc, 1 FROM s1 UNION ALL SELECT doc, 2 FROM s2 UNION ALL SELECT doc, 3 FROM s3 UNION ALL SELECT doc, 4 FROM s4 UNION ALL SELECT doc, 5 FROM s5),
         t AS (SELECT doc, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS b, count(*) FILTER (k = 2) AS c, count(*) FILTER (k = 3) AS d, count(*) FILTER (k = 4) AS e, count(*) FILTER (k = 5) AS f FROM n GROUP BY doc)

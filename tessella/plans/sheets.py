@@ -35,6 +35,16 @@ def sheet_read_all(spark, sf_dir):
     return sheet.flat_rows(sheet.read_sheet(_part_grid(spark, sf_dir), limit=0))
 
 
+def sheet_headers(spark, sf_dir):
+    """Headers of two sheets: unnamed columns stay if they have a cell, and all of them if none is named."""
+    part = table(spark, sf_dir, "part").selectExpr("p_partkey + 1 AS _row", f"array(p_name, '', p_type, '', CASE WHEN {_BLANK_ROW} THEN ' ' ELSE '' END, null) AS cells")
+    found = []
+    for name, head in (("named", "array('Name', '', ' ', 'Unused', '', '')"), ("unnamed", "array('', ' ', null, '', '', '')")):
+        grid = spark.range(1).selectExpr("CAST(1 AS BIGINT) AS _row", f"{head} AS cells").unionByName(part)
+        found += [(name, i, h) for i, h in enumerate(sheet.read_sheet(grid, limit=0).headers, 1)]
+    return spark.createDataFrame(found, "sheet string, place int, header string")
+
+
 def sheet_totals(spark, sf_dir):
     """Totals of a limited read."""
     return sheet.read_sheet(_part_grid(spark, sf_dir), limit=200).totals
@@ -167,6 +177,7 @@ SELECT p_partkey, l AS letters, p_partkey AS back FROM s WHERE n = 0"""
 QUERIES = {
     "sheet_read": sheet_read,
     "sheet_read_all": sheet_read_all,
+    "sheet_headers": sheet_headers,
     "sheet_totals": sheet_totals,
     "sheet_rows_lookup": sheet_rows_lookup,
     "sheet_read_column": sheet_read_column,
@@ -184,6 +195,11 @@ QUERIES = {
 ORACLES = {
     "sheet_read": f'SELECT p_partkey + 2 AS _row, {_BRAND} AS "Brand", CAST(p_size AS VARCHAR) AS "Size", p_name AS "Name" FROM part WHERE {_NONBLANK} ORDER BY p_partkey LIMIT 200',
     "sheet_read_all": f'SELECT p_partkey + 2 AS _row, p_name AS "Name", {_BRAND} AS "Brand", p_type AS "Col3", CAST(p_size AS VARCHAR) AS "Size" FROM part WHERE {_NONBLANK}',
+    "sheet_headers": f"""
+        WITH h AS (SELECT * FROM (VALUES ('named', 1, 'Name', (SELECT count(*) FROM part WHERE p_name <> '')), ('named', 2, '', 0), ('named', 3, ' ', 1), ('named', 4, 'Unused', 0),
+            ('named', 5, '', (SELECT count(*) FROM part WHERE {_BLANK_ROW})), ('named', 6, '', 0), ('unnamed', 1, '', 1), ('unnamed', 2, ' ', 0), ('unnamed', 3, '', 1), ('unnamed', 4, '', 0), ('unnamed', 5, '', 1), ('unnamed', 6, '', 0)) AS t(sheet, i, raw, n_cells)),
+        k AS (SELECT *, max(trim(raw) <> '') OVER (PARTITION BY sheet) AS any_named FROM h)
+        SELECT sheet, CAST(row_number() OVER (PARTITION BY sheet ORDER BY i) AS INTEGER) AS place, CASE WHEN trim(raw) = '' THEN 'Col' || i ELSE raw END AS header FROM k WHERE trim(raw) <> '' OR n_cells > 0 OR NOT any_named""",
     "sheet_totals": f"SELECT least(count(*), 200) AS kept_rows, least(count(*), 200) AS total_rows, count(*) >= 200 AS truncated FROM part WHERE {_NONBLANK}",
     "sheet_rows_lookup": f'SELECT p_partkey + 2 AS _row, p_name AS "Name", {_BRAND} AS "Brand", p_type AS "Col3", CAST(p_size AS VARCHAR) AS "Size" FROM part WHERE {_NONBLANK} AND p_partkey + 2 IN (3, 5, 13, 17, 99999999)',
     "sheet_read_column": f"""

@@ -159,7 +159,7 @@ def scale_urls(spark, sf_dir):
     """Image addresses at several scales."""
     pages = table(spark, sf_dir, "pages")
     w, h = (F.col("page_id") % 50 + 0.5), (F.col("page_id") % 30 + 1)
-    return pages.select("page_id", *[urls.scale_url(F.col("url"), w, h, s).alias(f"u_{s}") for s in ("original", "1x", "2x", "ios_3x", "android_hdpi", "android_xxxhdpi")], urls.scale_url(F.col("url"), w, h, "2x", image_format="webp").alias("webp"))
+    return pages.select("page_id", *[urls.scale_url(F.col("url"), w, h, s).alias(f"u_{s}") for s in ("original", "1x", "2x", "ios_3x", "android_hdpi", "android_xxxhdpi")], urls.scale_url(F.col("url"), w, h, "2x", image_format="webp").alias("webp"), *[urls.scale_url(F.col("url"), w, h, s, n).alias(f"u{n}_{s}") for n in (2, 3) for s in ("2x", "ios_3x", "android_xxxhdpi")])
 
 
 def url_checks(spark, sf_dir):
@@ -192,19 +192,21 @@ _PAGES = "SELECT conv_id AS page, coalesce(string_agg(text, chr(10) ORDER BY tur
 _HOST = "nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '')"
 
 
-def _scaled(scale: str, fmt: str = "png") -> str:
+def _scaled(scale: str, fmt: str = "png", stored: int = 4) -> str:
     if scale == "original":
         return "url"
-    f = urls.SCALES[scale]
+    f = stored if scale == "android_xxxhdpi" else urls.SCALES[scale] * (1 if scale[0].isdigit() else stored / 4)
     lw, lh = "CAST(floor(greatest(1, floor(page_id % 50 + 0.5 + 0.5))) AS BIGINT)", "CAST(page_id % 30 + 1 AS BIGINT)"
     w, h = f"CAST(floor({lw} * {f} + 0.5) AS BIGINT)", f"CAST(floor({lh} * {f} + 0.5) AS BIGINT)"
-    return f"url || '?x-oss-process=image/' || CASE WHEN {w} = {lw} * 4 AND {h} = {lh} * 4 THEN '' ELSE 'resize,w_' || {w} || ',h_' || {h} || '/' END || 'format,{fmt}'"
+    return f"url || '?x-oss-process=image/' || CASE WHEN {w} = {lw} * {stored} AND {h} = {lh} * {stored} THEN '' ELSE 'resize,w_' || {w} || ',h_' || {h} || '/' END || 'format,{fmt}'"
 
 
-_INT, _PCT = r"^rgba?\((\d+),\s*(\d+),\s*(\d+)(?:,\s*([\d.]+))?\)$", r"^rgba?\((\d+(?:\.\d+)?)%,\s*(\d+(?:\.\d+)?)%,\s*(\d+(?:\.\d+)?)%(?:,\s*([\d.]+))?\)$"
-_byte = lambda i: f"CAST(least(255, greatest(0, floor(CAST(regexp_extract(c, '{_PCT}', {i}) AS DOUBLE) * 2.55 + 0.5))) AS BIGINT)"
+_ARGS = "regexp_split_to_array(regexp_extract(c, '^rgba?\\((.*)\\)$', 1), ',\\s*')"
+_CALL = "len(g) BETWEEN 3 AND 4 AND regexp_matches(coalesce(g[4], '0'), '^[0-9.]+$')"
+_WHOLE, _SHARE = (f"len(list_filter(g[1:3], lambda v: regexp_matches(v, '{p}'))) = 3" for p in ("^[0-9]+$", "^[0-9]+(\\.[0-9]+)?%$"))
+_byte = "list_transform(g[1:3], lambda v: CAST(CAST(least(255, greatest(0, floor(CAST(rtrim(v, '%') AS DOUBLE) * 2.55 + 0.5))) AS BIGINT) AS VARCHAR))"
 _hexed = lambda i: f"CAST(('0x' || substr(h, {i}, 2)) AS INTEGER)"
-_SHORT = "CASE WHEN regexp_matches(c, '^rgba\\((\\d+),\\s*(\\d+),\\s*(\\d+),\\s*1\\)$') THEN '#' || " + " || ".join(f"lpad(lower(to_hex(CAST(regexp_extract(c, '{_INT}', {i}) AS BIGINT))), 2, '0')" for i in (1, 2, 3)) + " ELSE c END"
+_SHORT = f"CASE WHEN starts_with(c, 'rgba') AND len(g) = 4 AND g[4] = '1' AND {_WHOLE} THEN '#' || array_to_string(list_transform(g[1:3], lambda v: lpad(lower(to_hex(CAST(v AS BIGINT))), 2, '0')), '') ELSE c END"
 
 ORACLES = {
     "page_type_classify": f"""
@@ -260,13 +262,14 @@ ORACLES = {
         SELECT page, CAST(sum(n) AS BIGINT) AS n_images, string_agg(size || CASE WHEN n > 1 THEN '×' || n ELSE '' END, '、' ORDER BY seq) AS sizes FROM g GROUP BY page""",
     "color_normalize": f"""
         WITH p AS (SELECT p_partkey, {_COLOR} AS c, CASE WHEN p_partkey % 5 = 0 THEN 1.0 ELSE 0.25 * (p_partkey % 4 + 1) END AS a FROM part),
-        h AS (SELECT *, CASE WHEN a = 0.25 THEN '0.25' WHEN a = 0.5 THEN '0.5' ELSE '0.75' END AS t, CASE WHEN regexp_matches(c, '^#[0-9a-fA-F]{{3}}$') THEN substr(c, 2, 1) || substr(c, 2, 1) || substr(c, 3, 1) || substr(c, 3, 1) || substr(c, 4, 1) || substr(c, 4, 1) ELSE regexp_extract(c, '^#([0-9a-fA-F]{{6}})$', 1) END AS h FROM p)
+        h AS (SELECT *, {_ARGS} AS g, CASE WHEN a = 0.25 THEN '0.25' WHEN a = 0.5 THEN '0.5' ELSE '0.75' END AS t,
+          CASE WHEN length(c) = 4 AND c[1] = '#' THEN array_to_string(list_transform([2, 3, 4], lambda i: c[i] || c[i]), '') WHEN c[1] = '#' THEN c[2:] ELSE '' END AS h FROM p)
         SELECT p_partkey, {_SHORT} AS short, CASE WHEN a >= 1 THEN {_SHORT}
-          WHEN regexp_matches(c, '{_INT}') THEN 'rgba(' || regexp_extract(c, '{_INT}', 1) || ',' || regexp_extract(c, '{_INT}', 2) || ',' || regexp_extract(c, '{_INT}', 3) || ',' || t || ')'
-          WHEN regexp_matches(c, '{_PCT}') THEN 'rgba(' || {_byte(1)} || ',' || {_byte(2)} || ',' || {_byte(3)} || ',' || t || ')'
-          WHEN h <> '' THEN 'rgba(' || {_hexed(1)} || ',' || {_hexed(3)} || ',' || {_hexed(5)} || ',' || t || ')' ELSE c END AS composed,
-          regexp_matches(c, '^#[0-9a-fA-F]{{6}}$') OR regexp_matches(c, '^rgba\\(\\d+,\\s*\\d+,\\s*\\d+,\\s*1\\)$') AS opaque FROM h""",
-    "scale_urls": "SELECT page_id, " + ", ".join(f"{_scaled(s)} AS u_{s}" for s in ("original", "1x", "2x", "ios_3x", "android_hdpi", "android_xxxhdpi")) + f", {_scaled('2x', 'webp')} AS webp FROM pages",
+          WHEN {_CALL} AND {_WHOLE} THEN 'rgba(' || array_to_string(g[1:3], ',') || ',' || t || ')'
+          WHEN {_CALL} AND {_SHARE} THEN 'rgba(' || array_to_string({_byte}, ',') || ',' || t || ')'
+          WHEN length(h) = 6 THEN 'rgba(' || {_hexed(1)} || ',' || {_hexed(3)} || ',' || {_hexed(5)} || ',' || t || ')' ELSE c END AS composed,
+          (c[1] = '#' AND length(c) = 7) OR (starts_with(c, 'rgba') AND len(g) = 4 AND g[4] = '1' AND {_WHOLE}) AS opaque FROM h""",
+    "scale_urls": "SELECT page_id, " + ", ".join(f"{_scaled(s)} AS u_{s}" for s in ("original", "1x", "2x", "ios_3x", "android_hdpi", "android_xxxhdpi")) + f", {_scaled('2x', 'webp')} AS webp, " + ", ".join(f"{_scaled(s, 'png', n)} AS u{n}_{s}" for n in (2, 3) for s in ("2x", "ios_3x", "android_xxxhdpi")) + " FROM pages",
     "url_checks": f"""SELECT page_id, {_HOST} AS host, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page, nullif(regexp_extract(url, '/en/([A-Za-z0-9_-]+)', 1), '') AS en_id,
         coalesce(regexp_matches(url, '(?i)^https://') AND NOT regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*@') AND ({_HOST} = 'example.com' OR ends_with({_HOST}, '.example.com') OR {_HOST} = 'm.example.net' OR ends_with({_HOST}, '.m.example.net')), false) AS allowed FROM pages""",
 }

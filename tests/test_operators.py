@@ -51,7 +51,7 @@ def test_sheet_headers_limits_and_blanks(spark):
     with pytest.raises(ValueError, match="1.A"):
         sheet.read_sheet(g, columns=["none"])
     blank = sheet.read_sheet(grid(spark, [["", ""], ["1", ""]]))
-    assert blank.synthesised and blank.headers == ["Col1"]
+    assert blank.synthesised and blank.headers == ["Col1", "Col2"]
     assert sheet.read_sheet(grid(spark, [])).rows.count() == 0
 
 
@@ -140,3 +140,29 @@ def test_empty_layers(spark):
     schema = "doc int, seq int, name string, type string, x int, y int, w int, h int, fill string, parent_path string, is_slice boolean, image_url string, text string, canvas_w int, canvas_h int"
     kept, counters = layers.clean_layers(spark.createDataFrame([], schema))
     assert kept.count() == 0 and counters.count() == 0
+
+
+def test_colors_of_every_syntax(spark):
+    short = lambda v: one(spark, color.short_color(F.lit(v)))
+    assert [short(v) for v in ("rgba(1, 2,  255,1)", "rgb(1,2,3)", "rgba(1,2,3,1.0)", "rgba(1 ,2,3,1)", " rgba(0,0,0,1) ", "rgba(999,0,0,1)", "#abc", "", None)] == [
+        "#0102ff", "rgb(1,2,3)", "rgba(1,2,3,1.0)", "rgba(1 ,2,3,1)", "#000000", "#3e70000", "#abc", "", None]
+    half = lambda v: one(spark, color.composed_color(F.lit(v).cast("string"), F.lit(0.5)))
+    assert [half(v) for v in ("rgba(1,2,3,.9)", "rgb(100%, 0.5%,200%)", "#AbCdEf", "#12345", "rgb(1,2)", "rgb(1%,2,3)", "hsl(1,2%,3%)", None)] == [
+        "rgba(1,2,3,0.5)", "rgba(255,1,255,0.5)", "rgba(171,205,239,0.5)", "#12345", "rgb(1,2)", "rgb(1%,2,3)", "hsl(1,2%,3%)", None]
+    solid = lambda v: one(spark, color.is_opaque_solid(F.lit(v).cast("string")))
+    assert [solid(v) for v in ("#abcdef", "#abc", "rgba(1,2,3,1)", "rgba(1,2,3,0.5)", None)] == [True, False, True, False, False]
+
+
+def test_adjacent_tables_need_headers_source_and_title(spark):
+    rows = [
+        (1, ["h"], "A", "dom", "n1"), (2, ["h"], None, "dom", ""), (3, ["h"], "A", "dom", "n2"), (4, ["h"], "B", "dom", None), (5, ["h"], "", "vlm", None), (6, ["h"], "C", "vlm", None),
+        (7, [], "", "vlm", None), (8, [], "", "vlm", None), (9, ["h"], "", None, None), (10, ["h"], "", None, None), (None, ["h"], "", None, None),
+    ]
+    t = spark.createDataFrame([(1, p, h, [[str(p)]], x, s, n) for p, h, x, s, n in rows], "doc int, pos int, headers array<string>, rows array<array<string>>, title string, source string, notes string")
+    got = [(r.pos, [c for row in r.rows for c in row], r.title, r.notes) for r in tables.adjacent_merged(t, ["doc"]).orderBy("pos").collect()]
+    assert got == [(1, ["1", "2", "3"], "A", "n1；n2"), (4, ["4"], "B", ""), (5, ["5"], "", ""), (6, ["6"], "C", ""), (7, ["7"], "", ""), (8, ["8"], "", ""), (9, ["9", "10"], "", "")]
+
+
+def test_sheet_names_are_legal(spark):
+    name = lambda v: one(spark, text.safe_sheet_name(F.lit(v).cast("string")))
+    assert [name(v) for v in (" a/b ", "", None, "[x]", "y" * 40, "😀" * 20)] == ["a_b", "sheet", "sheet", "_x_", "y" * 31, "😀" * 15]
