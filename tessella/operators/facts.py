@@ -24,13 +24,16 @@ def fact_conflicts(trusted: DataFrame, checked: DataFrame, doc: str = "doc", mos
     that value: ``doc, rank, key, unit, value, known``.
 
     A checked text counts with its first value of a (key, unit), a conflict with its first text
-    (``seq``); at most ``most`` a document, in order. ``known`` lists the trusted values.
+    (``seq``); at most ``most`` a document, in order. ``known`` lists the trusted values, ``recorded`` the first
+    three of them as they come in the text.
     """
-    known = numeric_facts(trusted, [doc]).groupBy(doc, "key", "unit").agg(F.array_sort(F.collect_set("value")).alias("known"))
+    values = numeric_facts(trusted, [doc]).groupBy(doc, "key", "unit", "value").agg(F.min("pos").alias("pos"))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda v: v["value"])
+    known = values.groupBy(doc, "key", "unit").agg(F.array_sort(F.collect_list("value")).alias("known"), F.array_join(F.slice(in_order, 1, 3), "、").alias("recorded"))
     stated = numeric_facts(checked, [doc, "seq"]).groupBy(doc, "seq", "key", "unit").agg(F.min(F.struct("pos", "value")).alias("f"))
     bad = stated.join(known, [doc, "key", "unit"]).filter(~F.array_contains("known", F.col("f.value")))
-    first = bad.groupBy(doc, "key", "unit").agg(F.min(F.struct("seq", F.col("f.pos").alias("pos"), F.col("f.value").alias("value"))).alias("f"), F.first("known").alias("known"))
+    first = bad.groupBy(doc, "key", "unit").agg(F.min(F.struct("seq", F.col("f.pos").alias("pos"), F.col("f.value").alias("value"))).alias("f"), F.first("known").alias("known"), F.first("recorded").alias("recorded"))
     # A row for each (key, unit) of a document that conflicts; the array holds no more than that.
-    best = first.groupBy(doc).agg(F.expr("collect_list(struct(f.seq AS seq, f.pos AS pos, key, unit, f.value AS value, known))").alias("c"))
+    best = first.groupBy(doc).agg(F.expr("collect_list(struct(f.seq AS seq, f.pos AS pos, key, unit, f.value AS value, known, recorded))").alias("c"))
     ranked = best.select(doc, F.posexplode(F.slice(F.array_sort("c"), 1, most)).alias("rank", "c"))
-    return ranked.select(doc, (F.col("rank") + 1).alias("rank"), "c.key", "c.unit", "c.value", F.array_join("c.known", ",").alias("known"))
+    return ranked.select(doc, (F.col("rank") + 1).alias("rank"), "c.key", "c.unit", "c.value", F.array_join("c.known", ",").alias("known"), "c.recorded")

@@ -41,20 +41,21 @@ def is_contentful(*values: Column) -> Column:
     return F.coalesce(*[v.cast("string") for v in values]).isNotNull()
 
 
-def pruned_tree(nodes: DataFrame) -> DataFrame:
-    """``nodes`` (``doc, id, ancestors`` as names' flags) is pruned by flags of each node's ancestors.
+def prune_reason(above: Column, name: Column, visible: Column) -> Column:
+    """Why a node is pruned: hidden, backup or operand; null if it is not.
 
-    Takes ``doc, id, chain`` (ids from the root to the node itself), ``visible, name``; gives the rows
-    that no hidden, backup or boolean ancestor takes away, with ``pruned_by`` null, and the others with
-    the reason: hidden, backup or operand. The first reason from the root down counts.
+    ``above`` are its ancestors (``name, visible``) from the root down. A hidden or backup node takes its whole
+    subtree, a boolean one what lies below it. The first reason from the root down counts.
     """
-    own = F.when(F.col("visible") == False, "hidden").when(F.col("name").rlike(BACKUP_NAME), "backup").when(F.trim("name").rlike(BOOLEAN_NAME), "boolean")  # noqa: E712
-    flags = nodes.select("doc", F.col("id").alias("f_id"), own.alias("flag")).filter("flag IS NOT NULL")
-    steps = nodes.select("doc", "id", F.posexplode("chain").alias("at", "f_id"))
-    hits = steps.join(flags, ["doc", "f_id"]).filter((F.col("flag") != "boolean") | (F.col("f_id") != F.col("id")))
-    first = hits.groupBy("doc", "id").agg(F.min_by("flag", "at").alias("flag"))
-    reason = F.when(F.col("flag") == "boolean", "operand").otherwise(F.col("flag"))
-    return nodes.join(first, ["doc", "id"], "left").withColumn("pruned_by", reason).drop("flag")
+    own = lambda n, v: F.when(v == False, "hidden").when(n.rlike(BACKUP_NAME), "backup")  # noqa: E712, E731
+    theirs = F.transform(above, lambda a: F.coalesce(own(a["name"], a["visible"]), F.when(F.trim(a["name"]).rlike(BOOLEAN_NAME), "operand")))
+    return F.coalesce(F.get(F.array_compact(theirs), 0), own(name, visible))
+
+
+def parent_path(above: Column) -> Column:
+    """The ancestors' meaningful names joined by slashes; null if there is none."""
+    names = F.array_compact(F.transform(above, lambda a: shown_name(a["name"], F.lit(False))))
+    return F.when(F.size(names) > 0, F.array_join(names, "/"))
 
 
 def fill_color(value: Column, color_alpha: Column, layer_opacity: Column, fill_opacity: Column) -> Column:
@@ -106,3 +107,10 @@ def clean_layers(layers: DataFrame, least_visible: float = LEAST_VISIBLE, occlus
 def rounded_frame(x: Column, y: Column, w: Column, h: Column) -> list[Column]:
     """Whole-pixel ``x, y, w, h``; missing numbers count as 0."""
     return [js_round(F.coalesce(v.try_cast("double"), F.lit(0.0))).cast("long").alias(n) for v, n in ((x, "x"), (y, "y"), (w, "w"), (h, "h"))]
+
+
+def pruned_counts(nodes: DataFrame, doc: str = "doc") -> DataFrame:
+    """``doc, n_nodes, n_hidden, n_backup, n_operand`` of design nodes, by the first reason of each."""
+    marked = nodes.select(doc, prune_reason(F.col("above"), F.col("name"), F.col("visible")).alias("_why"))
+    counts = [F.count(F.when(F.col("_why") == why, 1)).alias(f"n_{why}") for why in ("hidden", "backup", "operand")]
+    return marked.groupBy(doc).agg(F.count("*").alias("n_nodes"), *counts)

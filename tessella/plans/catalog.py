@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tessella.plans import flows, shapes, sheets, texts
+from tessella.plans import flows, merges, shapes, sheets, styles, texts
 
-QUERIES = sheets.QUERIES | shapes.QUERIES | texts.QUERIES | flows.QUERIES
-ORACLES = sheets.ORACLES | shapes.ORACLES | texts.ORACLES | flows.ORACLES
+_PARTS = (sheets, shapes, styles, texts, flows, merges)
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}

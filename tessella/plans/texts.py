@@ -34,11 +34,11 @@ def svg_html_safety(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", *[v.alias(k) for k, v in flags.items()], documents.is_unsafe_svg(F.col("html")).alias("unsafe"))
 
 
-_FACT_TEXT = "regexp_replace(p_brand, '#', '') || '场 +' || p_size || CASE WHEN p_partkey % 3 = 0 THEN '积分' ELSE '个' END || ', x' || p_type || ': ' || (p_partkey % 4) || '.5K'"
+FACT_TEXT = "regexp_replace(p_brand, '#', '') || '场 +' || p_size || CASE WHEN p_partkey % 3 = 0 THEN '积分' ELSE '个' END || ', x' || p_type || ': ' || (p_partkey % 4) || '.5K'"
 
 
 def _fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").selectExpr("p_size AS doc", "p_partkey AS seq", f"{_FACT_TEXT} AS text")
+    return table(spark, sf_dir, "part").selectExpr("p_size AS doc", "p_partkey AS seq", f"{FACT_TEXT} AS text")
 
 
 def num_facts(spark, sf_dir):
@@ -185,7 +185,7 @@ _LINES = f"SELECT doc_id, source, lang, CAST(i - 1 AS INTEGER) AS line_no, {sql_
 _SVG = {k: f"regexp_matches(html, '{_Q(v)}')" for k, v in documents.SVG_RULES.items()} | {"html": f"regexp_matches(html, '{documents.HTML_START}')"}
 _OUT = {k: f"CAST(len(list_filter(regexp_extract_all(html, '{_Q(v)}', 1), lambda u: NOT starts_with(trim(u), '#'))) AS INTEGER)" for k, v in (("outside_refs", documents.HREF), ("outside_paints", documents.PAINT))}
 _FACTS = f"""
-WITH t AS (SELECT p_size AS doc, p_partkey AS seq, {_FACT_TEXT} AS text FROM part),
+WITH t AS (SELECT p_size AS doc, p_partkey AS seq, {FACT_TEXT} AS text FROM part),
 m AS (SELECT doc, seq, regexp_extract_all(text, '{facts.FACT}', 1) AS k, regexp_extract_all(text, '{facts.FACT}', 2) AS v, regexp_extract_all(text, '{facts.FACT}', 3) AS u FROM t),
 f AS (SELECT doc, seq, CAST(i - 1 AS INTEGER) AS pos, k[i] AS "key", v[i] AS value, u[i] AS unit FROM (SELECT *, unnest(range(1, len(k) + 1)) AS i FROM m))"""
 _PAGES = "SELECT conv_id AS page, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (role = 'user'), '') AS text, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (role = 'assistant'), '') AS corpus FROM conversations GROUP BY conv_id"
@@ -217,10 +217,10 @@ ORACLES = {
     "noise_filter": f"SELECT doc_id, line_no, {', '.join(f'{v} AS {k}' for k, v in _TOOL.items())}, {' OR '.join(_TOOL.values())} AS noise FROM ({_LINES}) WHERE line <> ''",
     "svg_html_safety": f"SELECT page_id, {', '.join(f'{v} AS {k}' for k, v in (_SVG | _OUT).items())}, {' OR '.join(_SVG.values())} OR {_OUT['outside_refs']} > 0 OR {_OUT['outside_paints']} > 0 AS unsafe FROM pages",
     "num_facts": _FACTS + ' SELECT doc, seq, pos, "key", value, unit FROM f',
-    "num_conflicts": _FACTS + """, known AS (SELECT doc, "key", unit, list_sort(list(DISTINCT value)) AS known FROM f WHERE seq % 2 = 0 GROUP BY ALL),
+    "num_conflicts": _FACTS + """, known AS (SELECT doc, "key", unit, list_sort(list(value)) AS known, array_to_string(list(value ORDER BY pos, value)[1:3], '、') AS recorded FROM (SELECT doc, "key", unit, value, min(pos) AS pos FROM f WHERE seq % 2 = 0 GROUP BY ALL) GROUP BY ALL),
         one AS (SELECT * FROM f WHERE seq % 2 = 1 QUALIFY row_number() OVER (PARTITION BY doc, seq, "key", unit ORDER BY pos) = 1),
-        bad AS (SELECT one.*, known.known FROM one JOIN known USING (doc, "key", unit) WHERE NOT list_contains(known.known, value) QUALIFY row_number() OVER (PARTITION BY doc, "key", unit ORDER BY seq, pos) = 1)
-        SELECT doc, CAST(row_number() OVER (PARTITION BY doc ORDER BY seq, pos, "key", unit) AS INTEGER) AS rank, "key", unit, value, array_to_string(known, ',') AS known FROM bad QUALIFY rank <= 8""",
+        bad AS (SELECT one.*, known.known, recorded FROM one JOIN known USING (doc, "key", unit) WHERE NOT list_contains(known.known, value) QUALIFY row_number() OVER (PARTITION BY doc, "key", unit ORDER BY seq, pos) = 1)
+        SELECT doc, CAST(row_number() OVER (PARTITION BY doc ORDER BY seq, pos, "key", unit) AS INTEGER) AS rank, "key", unit, value, array_to_string(known, ',') AS known, recorded FROM bad QUALIFY rank <= 8""",
     "char_jaccard": f"SELECT p_partkey, round({sql_text_similarity('p_name', 'p_type')}, 9) AS name_type, round({sql_text_similarity('p_brand', 'p_type')}, 9) AS brand_type FROM part",
     "header_similarity": f"""
         WITH n AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey)

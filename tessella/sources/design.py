@@ -10,13 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.text import js_round
-from tessella.operators.layers import fill_color, is_contentful, layer_type, pruned_tree, shown_name
-from tessella.session import shared_checkpoint
+from tessella.operators.layers import fill_color, is_contentful, layer_type, parent_path, prune_reason, shown_name
 
 _FIELDS = [
-    ("id", pa.int64()), ("chain", pa.list_(pa.int64())), ("name", pa.string()), ("visible", pa.bool_()), ("kind", pa.string()),
+    ("id", pa.int64()), ("above", pa.list_(pa.struct([("name", pa.string()), ("visible", pa.bool_())]))), ("name", pa.string()), ("visible", pa.bool_()), ("kind", pa.string()),
     ("fx", pa.float64()), ("fy", pa.float64()), ("fw", pa.float64()), ("fh", pa.float64()), ("color", pa.string()), ("color_alpha", pa.float64()),
-    ("fill_opacity", pa.float64()), ("opacity", pa.float64()), ("text", pa.string()), ("is_slice", pa.bool_()), ("image_url", pa.string()),
+    ("fill_opacity", pa.float64()), ("opacity", pa.float64()), ("text", pa.string()), ("is_slice", pa.bool_()), ("image_url", pa.string()), ("slice_url", pa.string()), ("style", pa.string()),
     ("canvas_w", pa.float64()), ("canvas_h", pa.float64()),
 ]
 #: Rows a batch.
@@ -87,8 +86,17 @@ def _nested_from_info(info: list[dict]) -> list[dict]:
     return roots
 
 
-def layer_rows(text: str | None) -> Iterator[tuple]:
-    """Rows of a file's layers in drawing order (pre-order), see ``_FIELDS``; none if it is no JSON object."""
+def _style(node: dict) -> dict:
+    """What :mod:`tessella.operators.style` reads of a node, as it is in the file."""
+    style, content = node.get("style") or node.get("css") or {}, node.get("text")
+    text_style = content.get("style") or {} if isinstance(content, dict) else {}
+    paths = [p.get("radius") for p in node.get("paths") or [] if isinstance(p, dict)]
+    return {"fills": style.get("fills"), "borders": style.get("borders"), "shadows": style.get("shadows"), "paths": paths, "radius": node.get("radius"), "font": text_style.get("font"), "color": text_style.get("color")}
+
+
+def layer_rows(text: str | None, style: bool = False) -> Iterator[tuple]:
+    """Rows of a file's layers in drawing order (pre-order), see ``_FIELDS``; none if it is no JSON object.
+    ``style`` is null unless asked for."""
     try:
         root = json.loads(text or "")
     except ValueError:
@@ -108,33 +116,34 @@ def layer_rows(text: str | None) -> Iterator[tuple]:
         box = node.get("frame") or node.get("rect") or node.get("boundingBox") or node
         fills = (node.get("style") or {}).get("fills") or [{}]
         content = node.get("text")
-        style = content.get("style") or {} if isinstance(content, dict) else {}
-        color = style.get("color") or (fills[0] or {}).get("color") or {}
-        value = content if isinstance(content, str) else style.get("content") or content.get("value") if isinstance(content, dict) else None
-        chain = (*above, at)
+        worded = content.get("style") or {} if isinstance(content, dict) else {}
+        color = worded.get("color") or (fills[0] or {}).get("color") or {}
+        value = content if isinstance(content, str) else worded.get("content") or content.get("value") if isinstance(content, dict) else None
         kind = node.get("type") or node.get("shapeType") or ("text" if content is not None else "rect")
         slice_, image = bool(node.get("hasExportImage")), (node.get("image") or {}).get("imageUrl")
+        name, visible = None if node.get("name") is None else str(node["name"]), node.get("visible") is not False
         yield (
-            at, list(chain), None if node.get("name") is None else str(node["name"]), node.get("visible") is not False, str(kind),
+            at, list(above), name, visible, str(kind),
             _number(box.get("x", box.get("left"))), _number(box.get("y", box.get("top"))), _number(box.get("width", box.get("w"))), _number(box.get("height", box.get("h"))),
             color.get("value") if isinstance(color.get("value"), str) else None, _number(color.get("a")), _number((fills[0] or {}).get("opacity")), _number(node.get("opacity")),
-            value or None, slice_, None if slice_ else image, *canvas,
+            value or None, slice_, None if slice_ else image, image if slice_ else None, json.dumps(_style(node), ensure_ascii=False) if style else None, *canvas,
         )
         at += 1
         children = node.get("layers")
         if isinstance(children, list):
-            stack += [(c, chain) for c in reversed(children)]
+            here = (*above, {"name": name, "visible": visible})
+            stack += [(c, here) for c in reversed(children)]
 
 
-def design_nodes(files: DataFrame, key: str = "doc", text: str = "json") -> DataFrame:
+def design_nodes(files: DataFrame, key: str = "doc", text: str = "json", style: bool = False) -> DataFrame:
     """All layers of design files as rows: the key and the fields of :func:`layer_rows`."""
     narrow = files.select(F.col(key), F.col(text))
     kind = narrow.schema[0].dataType.simpleString()
-    schema = ", ".join(f"{n} {'array<bigint>' if n == 'chain' else {pa.int64(): 'bigint', pa.string(): 'string', pa.bool_(): 'boolean', pa.float64(): 'double'}[t]}" for n, t in _FIELDS)
+    schema = ", ".join(f"{n} {'array<struct<name:string,visible:boolean>>' if n == 'above' else {pa.int64(): 'bigint', pa.string(): 'string', pa.bool_(): 'boolean', pa.float64(): 'double'}[t]}" for n, t in _FIELDS)
 
     def run(batches):
         for batch in batches:
-            rows = [(i, *r) for i, body in enumerate(batch.column(1).to_pylist()) for r in layer_rows(body)]
+            rows = [(i, *r) for i, body in enumerate(batch.column(1).to_pylist()) for r in layer_rows(body, style)]
             for k in range(0, len(rows), BATCH):  # the rows of many files share a batch
                 at, *columns = zip(*rows[k : k + BATCH])
                 made = [pa.array(c, t) for c, (_, t) in zip(columns, _FIELDS)]
@@ -147,20 +156,25 @@ def design_layers(nodes: DataFrame) -> DataFrame:
     """Layers ready for cleaning, of :func:`design_nodes` with key ``doc``.
 
     Hidden, backup and operand subtrees are gone; layers without size or content as well; frames are
-    whole pixels; ``parent_path`` joins the ancestors' meaningful names. Nodes are checkpointed, so
-    files are parsed once.
+    whole pixels; ``parent_path`` joins the ancestors' meaningful names. A node carries its ancestors, so
+    there is no shuffle.
     """
-    nodes = shared_checkpoint(nodes)
-    flagged = pruned_tree(nodes)
-    steps = nodes.select("doc", "id", F.posexplode(F.slice("chain", 1, F.size("chain") - 1)).alias("at", "step"))
-    named = nodes.select("doc", F.col("id").alias("step"), shown_name(F.col("name"), F.lit(False)).alias("n")).filter("n IS NOT NULL")
-    paths = steps.join(named, ["doc", "step"]).groupBy("doc", "id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "n"))), lambda s: s["n"]), "/").alias("parent_path"))
     size = lambda c: js_round(F.coalesce(F.col(c), F.lit(0.0))).cast("long")
     fill = fill_color(F.col("color"), F.col("color_alpha"), F.col("opacity"), F.col("fill_opacity"))
-    out = flagged.filter("pruned_by IS NULL").join(paths, ["doc", "id"], "left").select(
+    kept = nodes.filter(prune_reason(F.col("above"), F.col("name"), F.col("visible")).isNull())
+    out = kept.select(
         "doc", F.col("id").alias("seq"), shown_name(F.col("name"), F.col("is_slice")).alias("name"), layer_type(F.col("kind")).alias("type"),
-        size("fx").alias("x"), size("fy").alias("y"), size("fw").alias("w"), size("fh").alias("h"), fill.alias("fill"), "parent_path", "is_slice", "image_url", "text",
+        size("fx").alias("x"), size("fy").alias("y"), size("fw").alias("w"), size("fh").alias("h"), fill.alias("fill"), parent_path(F.col("above")).alias("parent_path"), "is_slice", "image_url", "text",
         size("canvas_w").alias("canvas_w"), size("canvas_h").alias("canvas_h"),
     )
     drawn = is_contentful(F.col("fill"), F.col("text"), F.col("image_url"), F.when(F.col("is_slice"), F.lit("1")))
     return out.filter((F.col("w") > 0) & (F.col("h") > 0) & drawn)
+
+
+def collected_slices(nodes: DataFrame, doc: str = "doc") -> DataFrame:
+    """``doc, id, name, url, x, y, w, h`` of the layers marked for export that have an image, of
+    :func:`design_nodes`; hidden and backup ones count too, as files are collected from the raw tree."""
+    size = lambda c: js_round(F.coalesce(F.col(c), F.lit(0.0))).cast("long")
+    marked = nodes.filter(F.col("is_slice") & (F.col("slice_url") != ""))
+    name = F.when(F.coalesce("name", F.lit("")) != "", F.col("name")).otherwise(F.lit("slice"))
+    return marked.select(doc, "id", name.alias("name"), F.col("slice_url").alias("url"), size("fx").alias("x"), size("fy").alias("y"), size("fw").alias("w"), size("fh").alias("h"))
