@@ -72,3 +72,42 @@ def mermaid(nodes: DataFrame, edges: DataFrame, doc: str = "doc") -> DataFrame:
     lines = lines.unionByName(edges.select(doc, F.lit(1).alias("part"), "seg", "seq", arrow.alias("line")))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "seg", "seq", "line"))), lambda s: s["line"]), "\n")
     return lines.groupBy(doc).agg(F.concat(F.lit("```mermaid\nflowchart TD\n"), text, F.lit("\n```")).alias("mermaid"))
+
+
+def _mapped(rows: DataFrame, column: str, ids: DataFrame, out: str, doc: str) -> DataFrame:
+    """``rows`` with ``out``, the merged id of the segment's node in ``column``; an id that is no node keeps itself."""
+    last = ids.groupBy(doc, "seg", "node_id").agg(F.max_by("merged", "seq").alias("_m"))
+    last = last.select(F.col(doc).alias("_d"), F.col("seg").alias("_s"), F.col("node_id").alias("_n"), "_m")
+    joined = rows.join(last, (F.col(doc) == F.col("_d")) & (F.col("seg") == F.col("_s")) & (F.col(column) == F.col("_n")), "left")
+    return joined.withColumn(out, F.coalesce("_m", column)).drop("_d", "_s", "_n", "_m")
+
+
+def merged_main_flow(steps: DataFrame, ids: DataFrame, doc: str = "doc") -> DataFrame:
+    """``doc, merged, seg, k``: the nodes of the segments' main flows (``seg, k, node_id``), each where it comes first."""
+    mapped = _mapped(steps, "node_id", ids, "merged", doc)
+    return mapped.groupBy(doc, "merged").agg(F.min(F.struct("seg", "k")).alias("at")).select(doc, "merged", "at.seg", "at.k")
+
+
+def merged_branches(branches: DataFrame, ids: DataFrame, doc: str = "doc") -> DataFrame:
+    """``doc, node, conditions, targets`` of branches (``seg, seq, node_id, conditions, targets``).
+
+    Branches of one merged node are one; of its conditions, equal ones up to white space, case and
+    punctuation count once, with the target of the first; a missing target is empty. A branch
+    without conditions is there with none.
+    """
+    placed = _mapped(branches, "node_id", ids, "node", doc)
+    each = placed.select(doc, "seg", "seq", "node", "targets", F.posexplode_outer("conditions").alias("k", "condition"))
+    each = each.withColumn("target_id", F.get("targets", F.col("k"))).drop("targets")
+    aimed = _mapped(each, "target_id", ids, "target", doc)
+    key = merge_key(F.col("condition"))
+    first = aimed.filter("condition IS NOT NULL").groupBy(doc, "node", key.alias("_c")).agg(F.min(F.struct("seg", "seq", "k", "condition", F.coalesce("target", F.lit("")).alias("target"))).alias("b"))
+    listed = first.groupBy(doc, "node").agg(F.array_sort(F.collect_list("b")).alias("b"))
+    nodes = placed.select(doc, "node").distinct().join(listed, [doc, "node"], "left")
+    part = lambda c: F.coalesce(F.transform("b", lambda x: x[c]), F.array().cast("array<string>")).alias(f"{c}s")
+    return nodes.select(doc, "node", part("condition"), part("target"))
+
+
+def merged_exceptions(texts: DataFrame, doc: str = "doc") -> DataFrame:
+    """``doc, seg, seq, text``: exceptional flows (``seg, seq, text``), equal ones up to normalisation once."""
+    first = texts.groupBy(doc, merge_key(F.col("text")).alias("_k")).agg(F.min(F.struct("seg", "seq", "text")).alias("f"))
+    return first.select(doc, "f.seg", "f.seq", "f.text")

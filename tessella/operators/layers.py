@@ -21,7 +21,6 @@ MARKER_NAME = r"(?i)^(蒙版|mask|切片|slice)"
 BOOLEAN_NAME = r"(?i)^(subtract|union|intersect|difference)([\s_-]?\d*)?$"
 BACKUP_NAME = r"(?i)备份|backup"
 LEAST_VISIBLE = 0.25
-COUNTERS = ("outside", "repeated", "occluded", "sliver", "fragment")
 
 
 def layer_type(kind: Column) -> Column:
@@ -70,38 +69,39 @@ def clean_layers(layers: DataFrame, least_visible: float = LEAST_VISIBLE, occlus
     Outside the canvas; repeated (slices by place and size, others by every field but the name; an
     image stays, else the last); covered whole by a later opaque layer; visible for less than
     ``least_visible`` of the area; chains of small fragments in a container. Text, slices and images
-    are exempt from the last three. ``counters`` has a row a document. Each pass is checkpointed, so
-    the counters read what the next pass reads.
+    are exempt from the last three. ``counters`` has a row a document. The layers are checkpointed once with a
+    mark of what the first two passes take, before the join that looks for covers, and once after the last pass.
     """
     exempt = (F.col("type") == "text") | F.coalesce("is_slice", F.lit(False)) | F.col("image_url").isNotNull()
-    stages = [("input", shared_checkpoint(layers))]
-
-    def done(name: str, df: DataFrame) -> DataFrame:
-        stages.append((name, shared_checkpoint(df.select(layers.columns))))
-        return stages[-1][1]
-
-    now = done("outside", inside_canvas(stages[0][1]))
+    sized = F.coalesce((F.col("canvas_w") > 0) & (F.col("canvas_h") > 0), F.lit(False))
     slice_key = F.when(F.coalesce("is_slice", F.lit(False)), F.lit("slice"))
     rest = [F.when(slice_key.isNull(), F.col(c)) for c in ("type", "fill", "parent_path", "image_url", "text")]
     keys = [F.col("doc"), slice_key, F.col("x"), F.col("y"), F.col("w"), F.col("h"), *rest]
-    now = done("repeated", keep_preferred_last(now, keys, F.col("type") == "image", ["seq"]))
-    if occlusion:
-        now = done("occluded", visible_layers(now))
-    if least_visible > 0:
-        sized = F.coalesce((F.col("canvas_w") > 0) & (F.col("canvas_h") > 0), F.lit(False))
-        now = done("sliver", now.filter(exempt | ~sized | (visible_fraction() >= least_visible)))
+    input_counts = layers.groupBy("doc").agg(F.count("*").alias("n_input"))
+    inside = inside_canvas(layers)
+    # Of equal layers the one kept knows how many there were, so the pass needs no second look at the others.
+    kept = keep_preferred_last(inside, keys, F.col("type") == "image", ["seq"])
+    kept = shared_checkpoint(kept.select(*layers.columns, "group_size"))
+    shown = visible_layers(kept) if occlusion else kept
+    sliver = (~exempt & sized & (visible_fraction() < least_visible)) if least_visible > 0 else F.lit(False)
+    shown = shown.withColumn("_sliver", F.coalesce(sliver, F.lit(False)))
     if fragments:
-        small = now.filter(~exempt & F.col("parent_path").isNotNull())
-        chain = fragment_chains(small, ["doc", "parent_path"]).select("doc", "seq")
-        now = done("fragment", now.join(chain, ["doc", "seq"], "left_anti"))
-    counts = None
-    for name, df in stages:
-        row = df.groupBy("doc").agg(F.count("*").alias("n")).withColumn("pass", F.lit(name))
-        counts = row if counts is None else counts.unionByName(row)
-    names = [name for name, _ in stages]
-    left = counts.groupBy("doc").agg(*[F.sum(F.when(F.col("pass") == n, F.col("n")).otherwise(0)).alias(f"_{n}") for n in names])
-    lost = [(F.col(f"_{a}") - F.col(f"_{b}")).alias(f"n_{b}") for a, b in zip(names, names[1:])]
-    return now, left.select("doc", F.col("_input").alias("n_input"), *lost, F.col(f"_{names[-1]}").alias("n_kept"))
+        small = shown.filter(~F.col("_sliver") & ~exempt & F.col("parent_path").isNotNull())
+        chain = fragment_chains(small.drop("_sliver", "group_size"), ["doc", "parent_path"]).select("doc", "seq").withColumn("_chain", F.lit(True))
+        shown = shown.join(chain, ["doc", "seq"], "left")
+    else:
+        shown = shown.withColumn("_chain", F.lit(None).cast("boolean"))
+    marked = shared_checkpoint(shown.select(*layers.columns, "_sliver", F.coalesce("_chain", F.lit(False)).alias("_chain")))
+    before = kept.groupBy("doc").agg(F.sum("group_size").alias("n_inside"), F.count("*").alias("n_once"))
+    after = marked.groupBy("doc").agg(F.count("*").alias("n_seen"), F.count(F.when(F.col("_sliver"), 1)).alias("n_sliver"), F.count(F.when(F.col("_chain"), 1)).alias("n_fragment"))
+    n = lambda c: F.coalesce(c, F.lit(0))
+    lost = {"outside": n("n_input") - n("n_inside"), "repeated": n("n_inside") - n("n_once")}
+    lost |= {"occluded": n("n_once") - n("n_seen")} if occlusion else {}
+    lost |= {"sliver": n("n_sliver")} if least_visible > 0 else {}
+    lost |= {"fragment": n("n_fragment")} if fragments else {}
+    counts = input_counts.join(before, "doc", "left").join(after, "doc", "left")
+    counters = counts.select("doc", "n_input", *[c.alias(f"n_{name}") for name, c in lost.items()], (n("n_seen") - n("n_sliver") - n("n_fragment")).alias("n_kept"))
+    return marked.filter("NOT _sliver AND NOT _chain").select(*layers.columns), counters
 
 
 def rounded_frame(x: Column, y: Column, w: Column, h: Column) -> list[Column]:

@@ -27,15 +27,11 @@ def pruned_grid(grid: DataFrame, table: str = "table_id") -> DataFrame:
     """A grid without blank rows and, if any data row has text, without columns whose data is blank;
     tables of fewer than two columns go. Rows and columns are numbered anew."""
     full = F.coalesce(F.col("text"), F.lit("")) != ""
-    rows = grid.filter(full).select(table, "row").distinct()
-    data = grid.filter(full & (F.col("row") > 0)).select(table, "col").distinct()
-    any_data = data.select(table).distinct()
-    bare = grid.join(any_data, table, "left_anti").select(table, "col").distinct()
-    cols = data.unionByName(bare)
-    shape = lambda df, c: df.groupBy(table).agg(F.array_sort(F.collect_set(c)).alias(f"{c}s"))
-    kept = grid.join(rows, [table, "row"]).join(cols, [table, "col"]).join(shape(rows, "row"), table).join(shape(cols, "col"), table)
+    some = lambda c, cond: F.array_sort(F.collect_set(F.when(cond, F.col(c))))
+    shape = grid.groupBy(table).agg(some("row", full).alias("rows"), some("col", full & (F.col("row") > 0)).alias("data"), some("col", F.lit(True)).alias("all"))
+    shape = shape.select(table, "rows", F.when(F.size("data") > 0, F.col("data")).otherwise(F.col("all")).alias("cols")).filter(F.size("cols") >= 2)
     place = lambda c: (F.array_position(f"{c}s", F.col(c)) - 1).cast("int").alias(c)
-    return kept.filter(F.size("cols") >= 2).select(table, place("row"), place("col"), "text")
+    return grid.join(shape, table).select(table, place("row"), place("col"), "text").filter("row >= 0 AND col >= 0")
 
 
 def adjacent_merged(tables: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:

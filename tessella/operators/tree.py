@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.functions.arrays import scan
 from tessella.session import shared_checkpoint
 
 
@@ -48,33 +49,36 @@ def subtree_sizes(nodes: DataFrame) -> DataFrame:
     return ancestors(nodes).select(F.explode("ancestors").alias("id")).groupBy("id").agg(F.count("*").alias("size"))
 
 
+_ROW = "struct<p:bigint,level:int,name:string,is_group:boolean>"
+
+
+def _outlines(items: DataFrame, emit, kind: str, tree: str, pos: str, name: Column, is_group: Column) -> DataFrame:
+    """``tree, o``: what ``emit`` makes of each row and the rows above it, as an outline's levels say."""
+    row = F.struct(F.col(pos).cast("long").alias("p"), F.col("level").cast("int").alias("level"), name.alias("name"), is_group.alias("is_group"))
+    above = lambda stack, x: F.filter(stack, lambda y: y["level"] < x["level"])
+    push = lambda stack, x: F.concat(above(stack, x), F.array(x))
+    results = scan(F.col("l"), F.array().cast(f"array<{_ROW}>"), push, lambda stack, x, _: emit(above(stack, x), x), f"array<{_ROW}>", kind)
+    listed = items.groupBy(tree).agg(F.array_sort(F.collect_list(row)).alias("l"))
+    return listed.select(tree, F.explode(results).alias("o"))
+
+
 def level_paths(items: DataFrame, tree: str = "tree", pos: str = "pos", separator: str = "/") -> DataFrame:
     """``items`` (``level, name``) with ``path``: each row's parents are the last earlier rows of lower
-    levels, as an outline lists them. An outline is one document's; it is folded in one expression.
+    levels, as an outline lists them. An outline is one document's; a pass over it keeps the open rows only.
     """
-    listed = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), "level", "name")))
-    kind = "struct<stack:array<struct<level:int,name:string>>,out:array<struct<p:bigint,path:string>>>"
-
-    def step(s: Column, x: Column) -> Column:
-        stack = F.concat(F.filter(s["stack"], lambda y: y["level"] < x["level"]), F.array(F.struct(x["level"].cast("int").alias("level"), x["name"].alias("name"))))
-        path = F.array_join(F.transform(stack, lambda y: y["name"]), separator)
-        return F.struct(stack.alias("stack"), F.concat(s["out"], F.array(F.struct(x["p"].cast("bigint").alias("p"), path.alias("path")))).alias("out")).cast(kind)
-
-    start = F.struct(F.array().cast("array<struct<level:int,name:string>>").alias("stack"), F.array().cast("array<struct<p:bigint,path:string>>").alias("out")).cast(kind)
-    folded = items.groupBy(tree).agg(listed.alias("l")).select(tree, F.explode(F.aggregate("l", start, step, lambda s: s["out"])).alias("o"))
-    return items.join(folded.select(tree, F.col("o.p").alias(pos), F.col("o.path").alias("path")), [tree, pos])
+    path = lambda above, x: F.array_join(F.concat(F.transform(above, lambda y: y["name"]), F.array(x["name"])), separator)
+    emit = lambda above, x: F.struct(x["p"].alias("p"), path(above, x).alias("path"))
+    found = _outlines(items, emit, "struct<p:bigint,path:string>", tree, pos, F.col("name"), F.lit(None).cast("boolean"))
+    return items.join(found.select(tree, F.col("o.p").alias(pos), F.col("o.path").alias("path")), [tree, pos])
 
 
 def group_members(items: DataFrame, tree: str = "tree", pos: str = "pos") -> DataFrame:
     """``tree, group_pos, pos``: pages below each group row (``is_group, level``): the rows after it up
-    to the next one of its level or a higher one."""
-    order = F.struct(F.col(pos).alias("p"), "level", "is_group")
-    listed = items.groupBy(tree).agg(F.array_sort(F.collect_list(order)).alias("l"))
-    group = listed.select(tree, "l", F.explode(F.filter("l", lambda x: x["is_group"])).alias("g"))
-    later = F.filter("l", lambda x: x["p"] > F.col("g")["p"])
-    end = F.array_min(F.transform(F.filter(later, lambda x: x["level"] <= F.col("g")["level"]), lambda x: x["p"]))
-    members = F.filter(later, lambda x: ~x["is_group"] & (end.isNull() | (x["p"] < end)))
-    return group.select(tree, F.col("g.p").alias("group_pos"), F.explode(members).alias("m")).select(tree, "group_pos", F.col("m.p").alias(pos))
+    to the next one of its level or a higher one. A page knows the groups that are open where it stands."""
+    groups = lambda above: F.transform(F.filter(above, lambda y: y["is_group"]), lambda y: y["p"])
+    emit = lambda above, x: F.struct(x["p"].alias("p"), F.when(~x["is_group"], groups(above)).alias("groups"))
+    found = _outlines(items, emit, "struct<p:bigint,groups:array<bigint>>", tree, pos, F.lit(None).cast("string"), F.col("is_group"))
+    return found.select(tree, F.explode("o.groups").alias("group_pos"), F.col("o.p").alias(pos))
 
 
 def page_numbers(items: DataFrame, tree: str = "tree", pos: str = "pos") -> DataFrame:

@@ -114,6 +114,26 @@ def flow_mermaid(spark, sf_dir):
     return flow.mermaid(typed, edges)
 
 
+def flow_main(spark, sf_dir):
+    """Main flows of the segments as one: every other sentence."""
+    steps = _segments(spark, sf_dir).filter("seq % 2 = 0").withColumnRenamed("seq", "k").drop("text")
+    return flow.merged_main_flow(steps, flow.merged_nodes(_segments(spark, sf_dir))[1])
+
+
+def flow_branches(spark, sf_dir):
+    """Branches of each segment's first sentence: the others as conditions, and targets for some."""
+    listed = F.transform(F.array_sort(F.collect_list(F.when(F.col("seq") > 0, F.struct("seq", "text")))), lambda s: s["text"])
+    aims = F.transform(F.sequence(F.lit(1), F.greatest(F.count("*").cast("int"), F.lit(1))), lambda i: F.when(i % 3 == 0, F.lit("nowhere")).when(i % 3 == 1, (i - 1).cast("string")))
+    rows = _segments(spark, sf_dir).groupBy("doc", "seg").agg(listed.alias("conditions"), aims.alias("targets")).selectExpr("doc", "seg", "0 AS seq", "'0' AS node_id", "conditions", "targets")
+    found = flow.merged_branches(rows, flow.merged_nodes(_segments(spark, sf_dir))[1])
+    return found.select("doc", "node", F.array_join("conditions", "|").alias("conditions"), F.array_join("targets", "|").alias("targets"))
+
+
+def flow_exceptions(spark, sf_dir):
+    """Sentences of an odd length as exceptional flows, each once."""
+    return flow.merged_exceptions(_segments(spark, sf_dir).filter("length(text) % 2 = 1"))
+
+
 def sector_listing(spark, sf_dir):
     """Nations of each region by name, nameless ones by id."""
     sectors = table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("sector_id")).agg(F.collect_list("n_nationkey").alias("images"))
@@ -194,7 +214,7 @@ def similar_tables(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     adjacent_collapse, running_limit, tree_paths, subtree_size, outline_paths, outline_members, outline_targets, flow_merge_nodes, flow_merge_edges, segment_stitch, flow_degree,
-    flow_mermaid, sector_listing, sector_designs, directory_listing, slice_files, content_cache_key, cache_resume, cache_lookup, cache_totals, adjacent_tables, similar_tables,
+    flow_mermaid, flow_main, flow_branches, flow_exceptions, sector_listing, sector_designs, directory_listing, slice_files, content_cache_key, cache_resume, cache_lookup, cache_totals, adjacent_tables, similar_tables,
 )}
 
 _TREE = """
@@ -241,6 +261,13 @@ ORACLES = {
     "flow_mermaid": _FLOW + """, l AS (SELECT n.doc, 0 AS part, first_at AS o, '    ' || n.merged || CASE WHEN type = 'process' THEN '[' || t || ']' ELSE '([' || t || '])' END AS line FROM (SELECT *, replace(replace(text, '"', ''''), chr(10), ' ') AS t FROM n) n JOIN d ON d.doc = n.doc AND d.merged = n.merged
           UNION ALL SELECT doc, 1, seg * 1000000 + seq, '    ' || "from" || ' --> ' || "to" FROM e)
         SELECT doc, '```mermaid' || chr(10) || 'flowchart TD' || chr(10) || string_agg(line, chr(10) ORDER BY part, o) || chr(10) || '```' AS mermaid FROM l GROUP BY doc""",
+    "flow_main": _FLOW + " SELECT doc, merged, arg_min(seg, seg * 1000000 + seq) AS seg, arg_min(seq, seg * 1000000 + seq) AS k FROM m WHERE seq % 2 = 0 GROUP BY doc, merged",
+    "flow_branches": _FLOW + f""", b AS (SELECT r.doc, r.seg, r.seq, r.text, CASE WHEN r.seq % 3 = 0 THEN 'nowhere' WHEN r.seq % 3 = 1 THEN coalesce(t.merged, CAST(r.seq - 1 AS VARCHAR)) ELSE '' END AS target, h.merged AS node
+            FROM r JOIN m h ON h.doc = r.doc AND h.seg = r.seg AND h.seq = 0 LEFT JOIN m t ON t.doc = r.doc AND t.seg = r.seg AND t.seq = r.seq - 1 WHERE r.seq > 0),
+        q AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY doc, node, {sql_merge_key('text')} ORDER BY seg, seq) = 1)
+        SELECT h.doc, h.node, coalesce(string_agg(text, '|' ORDER BY seg, seq), '') AS conditions, coalesce(string_agg(target, '|' ORDER BY seg, seq), '') AS targets
+        FROM (SELECT DISTINCT doc, merged AS node FROM m WHERE seq = 0) h LEFT JOIN q ON q.doc = h.doc AND q.node = h.node GROUP BY h.doc, h.node""",
+    "flow_exceptions": _FLOW + " SELECT doc, seg, seq, text FROM r WHERE length(text) % 2 = 1 QUALIFY row_number() OVER (PARTITION BY doc, k ORDER BY seg, seq) = 1",
     "sector_listing": "SELECT n_regionkey AS sector_id, n_nationkey AS image_id, CASE WHEN n_nationkey % 3 <> 0 THEN n_name ELSE CAST(n_nationkey AS VARCHAR) END AS image_name FROM nation",
     "sector_designs": "SELECT n_regionkey AS sector_id, n_nationkey AS image_id, count(c_custkey) AS n_layers, max(c_custkey % 300 + 10) AS width, max(c_custkey % 200 + 20) AS height, count(c_custkey) = 0 AS failed FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_nationkey % 7 <> 0 GROUP BY ALL",
     "directory_listing": "SELECT s_nationkey AS folder_id, s_suppkey AS project_id, s_name AS project, CASE WHEN s_suppkey % 9 <> 0 THEN (SELECT count(*) FROM lineitem WHERE l_suppkey = s_suppkey) END AS n_sectors, CASE WHEN s_suppkey % 9 = 0 THEN 'HTTP 403' END AS error FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation)",

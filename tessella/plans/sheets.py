@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import text as T
 from tessella.operators import i18n, sequence, sheet
 from tessella.plans.common import sql_trim, table
+from tessella.session import shared_folder
 from tessella.sources import sheets, xlsx
 
 # Rows of ``part`` as a sheet: some brands are blank, some rows all blank.
@@ -155,8 +154,7 @@ def xlsx_roundtrip(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     cells = F.array(F.col("p_name"), F.lit(""), F.col("p_type"), F.col("p_size").cast("string"), F.concat(F.lit("<&\">"), F.col("p_brand")))
     rows = part.select(F.col("p_brand").alias("book"), F.concat(F.lit("s/"), (F.col("p_partkey") % 3).cast("string")).alias("sheet"), (F.col("p_partkey") + 1).alias("_row"), cells.alias("cells"))
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessella-xlsx-")
-    listed = [r.path for r in xlsx.write_workbooks(rows, f"{shared.rstrip('/')}/books").select("path").collect()]  # a name a book
+    listed = [r.path for r in xlsx.write_workbooks(rows, f"{shared_folder(spark)}/books").select("path").collect()]  # a name a book
     found = xlsx.read_workbooks(spark.read.format("binaryFile").load(listed))
     return found.select("sheet", "_row", F.array_join("cells", "|").alias("cells"))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +25,11 @@ def page_type_classify(spark, sf_dir):
 
 
 def noise_filter(spark, sf_dir):
-    """Rules of tool noise on every page and document line."""
+    """Rules of tool noise on every document line."""
     lines = documents.text_lines(table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", "line_no", "line")
     flags = documents.tool_flags(F.col("line"))
-    return lines.select("doc_id", "line_no", *[v.alias(k) for k, v in flags.items()], documents.is_tool_text(F.col("line")).alias("noise"))
+    flagged = lines.select("doc_id", "line_no", *[v.alias(k) for k, v in flags.items()])
+    return flagged.withColumn("noise", reduce(or_, map(F.col, flags)))  # each rule is matched once a line
 
 
 def svg_html_safety(spark, sf_dir):

@@ -39,14 +39,24 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
     return spark
 
 
-def shared_checkpoint(df):
-    """``df`` with its lineage cut by a checkpoint in the folder that the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    Reads ``spark.checkpoint.dir``; a folder of its own is set only where the session names none, as
-    in local tests.
+    A local session that names none gets a temporary one; on a cluster that is an error, as executors
+    would not see each other's files.
     """
-    context = df.sparkSession.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="tessella-shared-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def shared_checkpoint(df):
+    """``df`` with its lineage cut by a checkpoint in the shared folder."""
+    context, folder = df.sparkSession.sparkContext, shared_folder(df.sparkSession)
     if not context.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessella-checkpoint-"))
+        context.setCheckpointDir(folder)
     return df.checkpoint()

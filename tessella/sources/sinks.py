@@ -25,6 +25,10 @@ def split_by_size(reports: DataFrame, text: str = "markdown", most: int = SPILL_
     return reports.filter(size <= most), reports.filter(size > most)
 
 
-def write_reports(reports: DataFrame, path: str, doc: str = "doc", text: str = "markdown") -> None:
-    """Each report as a text of its own folder, named by its document."""
-    reports.select(doc, F.col(text).alias("value")).write.mode("overwrite").partitionBy(doc).text(path)
+def write_reports(reports: DataFrame, path: str, doc: str = "doc", text: str = "markdown") -> DataFrame:
+    """All reports as one table, sorted by document within files that a range of documents shares; returns its
+    manifest ``doc, file, n_bytes``. However many reports there are, the number of files is that of tasks."""
+    rows = reports.select(doc, F.col(text).alias("text"))
+    rows.repartitionByRange(doc).sortWithinPartitions(doc).write.mode("overwrite").parquet(path)
+    kept = reports.sparkSession.read.parquet(path)
+    return kept.select(doc, F.input_file_name().alias("file"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))

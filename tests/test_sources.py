@@ -50,6 +50,8 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "l")).count() == 2
     inline, spilled = sinks.split_by_size(spark.createDataFrame([(1, "a"), (2, "b" * 40000)], "doc int, markdown string"))
     assert inline.count() == 1 and spilled.count() == 1
+    listed = sinks.write_reports(spark.createDataFrame([(2, "b"), (1, "é"), (3, None)], "doc int, markdown string"), str(tmp_path / "r")).orderBy("doc").collect()
+    assert [(r.doc, r.n_bytes) for r in listed] == [(1, 2), (2, 1), (3, 0)] and all(r.file.endswith(".parquet") for r in listed)
 
 
 def test_stream_works_off_gaps_only(spark, tmp_path):
