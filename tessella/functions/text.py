@@ -123,3 +123,29 @@ def cell_text(value: Column) -> Column:
     text = F.coalesce(F.get_json_object(value, "$.text"), F.get_json_object(value, "$.value"))
     bare = F.when(value.startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), value, F.lit("}")), "$.v")).otherwise(value)
     return F.when(value.isNull() | (value == "null"), F.lit("")).when(value.startswith("{"), F.coalesce(text, value)).otherwise(bare)
+
+
+def unfenced(text: Column) -> Column:
+    """A model's answer without the code fence around it."""
+    return F.regexp_replace(F.regexp_replace(text, rf"(?U)(?i)^```(?:json)?{SPACE}*", ""), rf"(?U){SPACE}*```$", "")
+
+
+def number_after(text: Column, mark: str) -> Column:
+    """The whole number that ends a text after ``mark``; 0 if there is none. Parts of a picture sort by it."""
+    found = F.regexp_extract(text, rf"{mark}([0-9]+)$", 1)
+    return F.coalesce(F.when(found != "", found.try_cast("long")), F.lit(0))
+
+
+def day_stamp(moment: Column) -> Column:
+    """The day of a moment as YYYY-MM-DD; the clock is the caller's."""
+    return F.date_format(moment, "yyyy-MM-dd")
+
+
+def short_key(parts: Column) -> Column:
+    """Sixteen hex digits of the SHA-1 of an array of texts, set apart by NUL."""
+    return F.substring(F.sha1(F.array_join(parts, "\u0000").cast("binary")), 1, 16)
+
+
+def head_lines(lines: Column, most: int = 5) -> Column:
+    """The first lines of an array, one a line."""
+    return F.array_join(F.slice(lines, 1, most), "\n")

@@ -48,7 +48,7 @@ def floats_in_cells(grid: DataFrame, axes: DataFrame, boxes: DataFrame, floats:
         (F.col("x") >= F.col("t_x") - FLOAT_SLACK) & (F.col("y") >= F.col("t_y") - FLOAT_SLACK)
         & (F.col("x") + F.col("w") <= F.col("t_x") + F.col("t_w") + FLOAT_SLACK) & (F.col("y") + F.col("h") <= F.col("t_y") + F.col("t_h") + FLOAT_SLACK)
     )
-    over = floats.filter(_text(F.col("lines")) != "").join(frame, (F.col(doc) == F.col("_doc")) & inside)
+    over = floats.select(doc, "seq", "x", "y", "w", "h", "lines").filter(_text(F.col("lines")) != "").join(frame, (F.col(doc) == F.col("_doc")) & inside)
     placed = over.select(
         F.col(f"t_{key}").alias(key), nearest_of(F.col("t_ys"), F.col("y") + F.col("h") / 2).alias("row"), nearest_of(F.col("t_xs"), F.col("x") + F.col("w") / 2).alias("col"),
         F.struct("seq", _text(F.col("lines"), "<br>").alias("t")).alias("e"),
@@ -67,7 +67,8 @@ def sections(blocks: DataFrame, pictures: DataFrame, doc: str = "doc") -> tuple[
     ``sections`` are numbered by place from the top, pictures without blocks left out, with ``text`` in
     reading order; ``members`` gives each block its ``section``.
     """
-    shown = blocks.filter((_text(F.col("lines")) != "") | (F.coalesce("n_images", F.lit(0)) > 0))
+    rows = blocks.select(doc, "seq", "x", "y", "w", "h", "lines", "n_images").dropna(subset=["x", "y", "w", "h"])
+    shown = rows.filter((_text(F.col("lines")) != "") | (F.coalesce("n_images", F.lit(0)) > 0))
     big = pictures.filter((F.col("w") >= BIG_WIDTH) & (F.col("h") >= BIG_HEIGHT))
     much = shown.groupBy(doc).agg(F.sum(F.length(_text(F.col("lines"), ""))).alias("_chars"))
     many = big.groupBy(doc).agg(F.count("*").alias("_n")).join(much, doc)

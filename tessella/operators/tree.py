@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.arrays import scan
+from tessella.functions.text import trimmed
 from tessella.session import shared_checkpoint
 
+NOT_FOUND = "no page of this name"
+
 
 def ancestors(nodes: DataFrame, most_depth: int = 1024) -> DataFrame:
     """``id, ancestors`` (ids from the root to the node itself) of an adjacency list ``id, parent``.
@@ -101,3 +104,13 @@ def matched_targets(items: DataFrame, wanted: DataFrame, tree: str = "tree") ->
     chosen = stages.groupBy(tree, "target").agg(F.min_by(F.when(F.col("n") == 1, F.col("p")), F.when(F.col("n") == 1, F.col("_s")).otherwise(F.lit(9) + F.col("_s"))).alias("path"))
     count = hit.filter(F.size("_stage") > 0).groupBy(tree, "target").agg(F.count_distinct("_path").alias("n_candidates"))
     return wanted.join(chosen, [tree, "target"], "left").join(count, [tree, "target"], "left").fillna(0, ["n_candidates"])
+
+
+def wanted_pages(pages: DataFrame, wanted: DataFrame, tree: str = "tree", pos: str = "pos") -> DataFrame:
+    """``tree, pos, name, error``: pages (``name, path``) that a wanted name or path picks, in their place, and a row with
+    an error for each wanted name that picks none. Names are trimmed; blank ones and repeats do not count."""
+    names = wanted.select(tree, trimmed(F.col("name")).alias("_want")).filter("_want <> ''").distinct()
+    hits = pages.select(tree, pos, "name", F.explode(F.array_distinct(F.array("name", "path"))).alias("_want")).join(names, [tree, "_want"])
+    found = hits.groupBy(tree, pos).agg(F.first("name").alias("name")).withColumn("error", F.lit(None).cast("string"))
+    missing = names.join(hits.select(tree, "_want").distinct(), [tree, "_want"], "left_anti")
+    return found.unionByName(missing.select(tree, F.lit(None).cast(pages.schema[pos].dataType).alias(pos), F.col("_want").alias("name"), F.lit(NOT_FOUND).alias("error")))

@@ -69,6 +69,14 @@ def outline_targets(spark, sf_dir):
     return tree.matched_targets(items, wanted)
 
 
+def outline_wanted(spark, sf_dir):
+    """Pages asked for by name or path, and names that pick none."""
+    items = tree.level_paths(_outline(spark, sf_dir))
+    by_path = items.filter("pos % 3 = 0").select("tree", F.col("path").alias("name"))
+    by_name = items.filter("pos % 4 = 1").select("tree", F.concat(F.lit(" "), "name", F.when(F.col("tree") % 2 == 0, "?").otherwise("")).alias("name"))
+    return tree.wanted_pages(items, by_path.unionByName(by_name))
+
+
 _SPLIT = r"\. "
 
 
@@ -213,7 +221,7 @@ def similar_tables(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    adjacent_collapse, running_limit, tree_paths, subtree_size, outline_paths, outline_members, outline_targets, flow_merge_nodes, flow_merge_edges, segment_stitch, flow_degree,
+    adjacent_collapse, running_limit, tree_paths, subtree_size, outline_paths, outline_members, outline_targets, outline_wanted, flow_merge_nodes, flow_merge_edges, segment_stitch, flow_degree,
     flow_mermaid, flow_main, flow_branches, flow_exceptions, sector_listing, sector_designs, directory_listing, slice_files, content_cache_key, cache_resume, cache_lookup, cache_totals, adjacent_tables, similar_tables,
 )}
 
@@ -253,6 +261,10 @@ ORACLES = {
         h AS (SELECT w.tree, w.target, i.path, i.path = w.target AS s1, i.name = w.target AS s2, ends_with(i.path, w.target) AS s3 FROM w JOIN i ON i.tree = w.tree),
         c AS (SELECT tree, target, count(*) FILTER (s1) AS n1, count(*) FILTER (s2) AS n2, count(*) FILTER (s3) AS n3, min(path) FILTER (s1) AS p1, min(path) FILTER (s2) AS p2, min(path) FILTER (s3) AS p3, count(DISTINCT path) FILTER (s1 OR s2 OR s3) AS n FROM h GROUP BY tree, target)
         SELECT tree, target, CASE WHEN n1 = 1 THEN p1 WHEN n2 = 1 THEN p2 WHEN n3 = 1 THEN p3 END AS path, n AS n_candidates FROM c""",
+    "outline_wanted": _PATHS + """, i AS (SELECT tree, pos, name, path FROM p JOIN o USING (tree, pos)),
+        w AS (SELECT DISTINCT tree, want FROM (SELECT tree, path AS want FROM i WHERE pos % 3 = 0 UNION ALL SELECT tree, name || CASE WHEN tree % 2 = 0 THEN '?' ELSE '' END FROM i WHERE pos % 4 = 1))
+        SELECT DISTINCT tree, pos, name, CAST(NULL AS VARCHAR) AS error FROM i WHERE EXISTS (SELECT 1 FROM w WHERE w.tree = i.tree AND (want = name OR want = path))
+        UNION ALL SELECT tree, NULL, want, 'no page of this name' FROM w WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.tree = w.tree AND (want = name OR want = path))""",
     "flow_merge_nodes": _FLOW + " SELECT doc, merged, text, first_at // 1000000 AS seg, CAST(first_at % 1000000 AS INTEGER) AS seq FROM n",
     "flow_merge_edges": _FLOW + ' SELECT doc, seg, seq, "from", "to" FROM e',
     "segment_stitch": _FLOW + """, s AS (SELECT doc, seg, arg_min(merged, seq) AS head, arg_max(merged, seq) AS tail FROM m GROUP BY doc, seg), p AS (SELECT doc, seg, tail AS "from", lead(head) OVER (PARTITION BY doc ORDER BY seg) AS "to" FROM s)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import color, similarity, urls
+from tessella.functions import text as T
 from tessella.operators import documents, facts, sequence
 from tessella.plans.common import sql_merge_key, sql_squash, sql_text_similarity, sql_trim, table
 from tessella.sources import html
@@ -172,6 +173,15 @@ def url_checks(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", urls.host(u).alias("host"), urls.query_parameter(u, "page").alias("page"), urls.path_id(u, "en").alias("en_id"), urls.is_allowed_asset(u, ["example.com", "m.example.net"]).alias("allowed"))
 
 
+_ANSWER = "CASE page_id % 4 WHEN 0 THEN '```json' || chr(10) || url || chr(10) || '```' WHEN 1 THEN '```  ' || url WHEN 2 THEN url || ' ```' ELSE 'x```' || url END"
+
+
+def text_extras(spark, sf_dir):
+    """Fences, numbers at ends, day stamps, short keys and first lines."""
+    p = table(spark, sf_dir, "pages").selectExpr("page_id", f"{_ANSWER} AS answer", "CASE WHEN page_id % 5 = 0 THEN url ELSE concat('u', url, '_seg', page_id) END AS part", "split(html, chr(10)) AS lines", "timestampadd(HOUR, CAST(page_id AS INT) * 7, TIMESTAMP_NTZ '2024-02-27 05:00:00') AS moment", "url")
+    return p.select("page_id", T.unfenced(F.col("answer")).alias("answer"), T.number_after(F.col("part"), "_seg").alias("number"), T.day_stamp(F.col("moment")).alias("day"), T.short_key(F.array("url", F.lit("m"))).alias("key"), F.md5(T.head_lines(F.col("lines"))).alias("head"))
+
+
 def html_extract(spark, sf_dir):
     """Elements of every page."""
     return html.html_elements(table(spark, sf_dir, "pages"))
@@ -179,7 +189,7 @@ def html_extract(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     page_type_classify, noise_filter, svg_html_safety, num_facts, num_conflicts, char_jaccard, header_similarity, label_rule_counts, dom_text_clean, prefix_crossvalidate,
-    dedup_keep_last, dedup_keep_first, page_rollup, vision_need, doc_render, segment_text, image_sizes, color_normalize, scale_urls, url_checks, html_extract,
+    dedup_keep_last, dedup_keep_first, page_rollup, vision_need, doc_render, segment_text, image_sizes, color_normalize, scale_urls, url_checks, html_extract, text_extras,
 )}
 
 _Q = lambda s: s.replace("'", "''")
@@ -274,6 +284,10 @@ ORACLES = {
           WHEN length(h) = 6 THEN 'rgba(' || {_hexed(1)} || ',' || {_hexed(3)} || ',' || {_hexed(5)} || ',' || t || ')' ELSE c END AS composed,
           (c[1] = '#' AND length(c) = 7) OR (starts_with(c, 'rgba') AND len(g) = 4 AND g[4] = '1' AND {_WHOLE}) AS opaque FROM h""",
     "scale_urls": "SELECT page_id, " + ", ".join(f"{_scaled(s)} AS u_{s}" for s in ("original", "1x", "2x", "ios_3x", "android_hdpi", "android_xxxhdpi")) + f", {_scaled('2x', 'webp')} AS webp, " + ", ".join(f"{_scaled(s, 'png', n)} AS u{n}_{s}" for n in (2, 3) for s in ("2x", "ios_3x", "android_xxxhdpi")) + " FROM pages",
+    "text_extras": f"""
+        WITH p AS (SELECT page_id, url, {_ANSWER} AS a, string_split(html, chr(10)) AS l FROM pages)
+        SELECT page_id, regexp_replace(regexp_replace(a, '(?i)^```(?:json)?\\s*', ''), '\\s*```$', '') AS answer, CASE WHEN page_id % 5 = 0 THEN 0 ELSE page_id END AS number,
+          strftime(TIMESTAMP '2024-02-27 05:00:00' + to_hours(CAST(page_id * 7 AS INTEGER)), '%Y-%m-%d') AS day, sha1(url || chr(0) || 'm')[:16] AS key, md5(array_to_string(l[1:5], chr(10))) AS head FROM p""",
     "url_checks": f"""SELECT page_id, {_HOST} AS host, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page, nullif(regexp_extract(url, '/en/([A-Za-z0-9_-]+)', 1), '') AS en_id,
         coalesce(regexp_matches(url, '(?i)^https://') AND NOT regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*@') AND ({_HOST} = 'example.com' OR ends_with({_HOST}, '.example.com') OR {_HOST} = 'm.example.net' OR ends_with({_HOST}, '.m.example.net')), false) AS allowed FROM pages""",
 }
