@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.operators import cache, flow, listing, sequence, tables, tree
-from tessella.plans.common import sql_merge_key, table
+from tessella.plans.common import sql_merge_key, sql_text_similarity, table
 
 
 def adjacent_collapse(spark, sf_dir):
@@ -213,9 +213,10 @@ def adjacent_tables(spark, sf_dir):
 
 
 def similar_tables(spark, sf_dir):
-    """Turns as tables merged by title or like headers."""
-    words = F.split("text", " ")
-    t = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("seq"), F.concat("role", (F.length("text") % 3).cast("string")).alias("title"), F.slice(words, 1, 2).alias("headers"), F.array(F.array("role", F.element_at(words, 1))).alias("rows"))
+    """Turns as tables merged by title or like headers: two words as headers, every sentence a row."""
+    rows = F.transform(F.split("text", _SPLIT), lambda s: F.split(s, " "))
+    title = F.when(F.length("text") % 4 == 0, F.concat("role", (F.length("text") % 3).cast("string"))).otherwise(F.lit(""))
+    t = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("seq"), title.alias("title"), F.slice(F.split("text", " "), 1, 2).alias("headers"), rows.alias("rows"))
     found = tables.similar_merged(t)
     return found.select("doc", "seq", "title", F.array_join("headers", "|").alias("headers"), F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), ";").alias("rows"))
 
@@ -290,6 +291,16 @@ ORACLES = {
     "cache_resume": f"WITH {_KEYED} SELECT key, min(doc_id) AS doc_id FROM k WHERE key NOT IN (SELECT key FROM done WHERE NOT coalesce(failed, false)) GROUP BY key",
     "cache_lookup": f"WITH {_KEYED}, r AS (SELECT key, arg_max(quality, written_at) AS quality FROM done WHERE NOT coalesce(failed, false) GROUP BY key) SELECT k.key, doc_id, quality FROM k LEFT JOIN r ON r.key = k.key",
     "cache_totals": "SELECT count(*) AS n_entries, CAST(coalesce(sum(strlen(text)), 0) AS BIGINT) AS n_bytes FROM documents",
+    "similar_tables": f"""
+        WITH RECURSIVE t AS (SELECT conv_id AS doc, turn AS seq, CASE WHEN length(text) % 4 = 0 THEN role || (length(text) % 3) ELSE '' END AS title, string_split(text, ' ')[1:2] AS h, string_split(text, '. ') AS rows, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations),
+        k AS (SELECT *, [{{'title': title, 'h': h}}] AS kept, CAST(0 AS BIGINT) AS place FROM t WHERE n = 1 UNION ALL
+          SELECT t.*, CASE WHEN p IS NULL THEN list_append(k.kept, {{'title': t.title, 'h': t.h}}) ELSE k.kept END, coalesce(p, len(k.kept)) FROM k JOIN t ON t.doc = k.doc AND t.n = k.n + 1,
+            LATERAL (SELECT list_min(list_filter(range(len(k.kept)), lambda i: (t.title <> '' AND k.kept[i + 1].title = t.title) OR (len(k.kept[i + 1].h) = len(t.h) AND {sql_text_similarity('k.kept[i + 1].h[1]', 't.h[1]')} > 0.6
+              AND (len(t.h) < 2 OR {sql_text_similarity('k.kept[i + 1].h[2]', 't.h[2]')} > 0.6)))) AS p)),
+        r AS (SELECT doc, place, seq, i, rows[i] AS row, min(seq) OVER (PARTITION BY doc, place) AS first_seq FROM (SELECT *, unnest(range(1, len(rows) + 1)) AS i FROM k)),
+        d AS (SELECT * FROM r QUALIFY seq = first_seq OR row_number() OVER (PARTITION BY doc, place, {sql_merge_key("replace(row, ' ', '|')")} ORDER BY seq, i) = 1)
+        SELECT doc, first_seq AS seq, any_value(title) AS title, any_value(headers) AS headers, string_agg(replace(row, ' ', '|'), ';' ORDER BY d.seq, i) AS rows
+        FROM d JOIN (SELECT doc AS k_doc, place AS k_place, arg_min(title, seq) AS title, arg_min(array_to_string(h, '|'), seq) AS headers FROM k GROUP BY ALL) ON k_doc = doc AND k_place = place GROUP BY doc, first_seq, place""",
     "adjacent_tables": f"""
         WITH RECURSIVE t AS (SELECT {', '.join(f'{e} AS {n}' for n, e in _ADJACENT.items())}, CASE WHEN l_suppkey % 5 = 0 THEN '' ELSE l_returnflag END AS headers, CAST(l_partkey AS VARCHAR) AS row FROM lineitem),
         k AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY pos) AS n FROM t),
