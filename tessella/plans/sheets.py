@@ -91,10 +91,13 @@ _HEADERS = ["中文", "英文", "印尼语", "备注"]
 
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two documents a row, in two of three languages by turns; the third is blank, as null or white space."""
     docs = table(spark, sf_dir, "documents")
-    slot = F.col("doc_id") % 4
-    row = (F.floor(F.col("doc_id") / 4) + 2).alias("_row")
-    return docs.groupBy(row).agg(*[F.max(F.when(slot == i, F.when(F.col("doc_id") % 13 == i, F.lit(" ")).otherwise(F.col("text")))).alias(h) for i, h in enumerate(_HEADERS)])
+    row = F.floor(F.col("doc_id") / 2)
+    slot = (F.col("doc_id") % 2 + row) % 3
+    wide = docs.groupBy((row + 2).alias("_row")).agg(*[F.max(F.when(slot == i, F.col("text"))).alias(h) for i, h in enumerate(_HEADERS[:3])])
+    blank = F.when(F.col("_row") % 4 < 2, F.lit(" "))
+    return wide.select("_row", *[F.coalesce(h, blank).alias(h) for h in _HEADERS[:3]], F.lit("note").alias(_HEADERS[3]))
 
 
 def i18n_export(spark, sf_dir):
@@ -113,7 +116,7 @@ def i18n_key_counts(spark, sf_dir):
     return i18n.key_counts(i18n.export_translations(_wide(spark, sf_dir), _HEADERS).entries)
 
 
-_WIDE_SQL = "SELECT CAST(floor(doc_id / 4) AS BIGINT) + 2 AS r, " + ", ".join(f"max(CASE WHEN doc_id % 4 = {i} THEN CASE WHEN doc_id % 13 = {i} THEN ' ' ELSE text END END) AS c{i}" for i in range(4)) + " FROM documents GROUP BY 1"
+_WIDE_SQL = "SELECT r, " + ", ".join(f"coalesce(max(CASE WHEN slot = {i} THEN text END), CASE WHEN r % 4 < 2 THEN ' ' END) AS c{i}" for i in range(3)) + ", 'note' AS c3 FROM (SELECT text, CAST(floor(doc_id / 2) AS BIGINT) + 2 AS r, (doc_id % 2 + CAST(floor(doc_id / 2) AS BIGINT)) % 3 AS slot FROM documents) GROUP BY r"
 _I18N_SQL = f"""
 WITH wide AS ({_WIDE_SQL}),
 v AS (SELECT r, {', '.join(f"{sql_trim(f'coalesce(c{i}, {chr(39) * 2})')} AS c{i}" for i in range(4))} FROM wide),
