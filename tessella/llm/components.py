@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import written
+from tessella.llm.common import small, written
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with ``m``, the least of u and its neighbours.
 
-    The least neighbour is a pre-aggregated row per node, joined back, so the edges of a node with
-    very many neighbours can be split over tasks.
+    The least neighbour is a pre-aggregated row per node. It is written before it is joined back, so the
+    join has a shuffle of its own, which Spark splits where a node has very many neighbours.
     """
-    least = edges.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
-    return edges.join(least, F.col("u") == F.col("k")).select("u", "v", F.least("u", "m").alias("m"))
+    least = written(edges.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")), "components-least")
+    return edges.join(small(least), F.col("u") == F.col("k")).select("u", "v", F.least("u", "m").alias("m"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -37,6 +37,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         mark = tuple(state)
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        small = _with_least(large)
-        linked = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
+        near = _with_least(large)
+        linked = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v")))
         current = written(linked.filter("u <> v").distinct(), "components")

@@ -8,35 +8,40 @@
    give components.
 4. Buckets that still hold several components are worked off in pairs of blocks: nodes of different
    components are compared by signature, and where those leave it possible by full sets, until they
-   are one component. So no link between different texts is lost to the leaders, nothing is capped,
-   and a task returns at most a link a member.
+   are one component. Sets are sent only for nodes with a possible partner in the block pair. So no
+   link between different texts is lost to the leaders, nothing is capped, and a task returns at most a
+   link a member.
 
-At similarity 0.75 a pair misses all bands with probability (1 - 0.75^5)^40 = 2e-5.
+At similarity 0.75 exactly a pair misses all bands with probability (1 - 0.75^5)^40 = 2e-5, and an
+estimate from 200 minima falls below ``POSSIBLE`` with probability 3e-9; both fall fast as the
+similarity grows.
 
 Defined cases: a null or empty text, or one of white space, has no shingles, links with nothing and
 is its own component; fewer than five words are one shingle; the component is named by its least
-non-null id (null if it has none); equal texts are one component whatever their ids; repeated rows
+non-null id (if it has none it is named null, and of its texts the one with the least hash is kept); equal texts are one component whatever their ids; repeated rows
 give repeated result rows; only the id and text columns are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import small, written
+from tessella.llm.common import in_batches, slices, small, written
 from tessella.llm.components import connected_components
 
 WORDS = 5
 BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
-#: Pairs whose estimated similarity is below this surely fail 0.75 (more than six deviations).
+#: Pairs whose estimated similarity is below this almost surely fail 0.75 (see the probability above).
 POSSIBLE = 0.56
 BLOCK = 256
 
@@ -62,6 +67,11 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
+def other_word_hashes(words: list[bytes]) -> np.ndarray:
+    """A second 64-bit hash of each word, independent of the first."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, itertools.repeat(977)), dtype=np.uint64, count=len(words))
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles; bytes lower-case and split as the contract says."""
     words = (text or "").encode().lower().split()
@@ -106,7 +116,7 @@ def _signed(docs: DataFrame) -> DataFrame:
     """``id, th`` (hash of the text)``, n, set_key, bands, sig`` of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 2):
             n, keys, sigs = [], [], []
             for text in batch.column(2).to_pylist():
                 items = shingles(text)
@@ -121,7 +131,7 @@ def _signed(docs: DataFrame) -> DataFrame:
                 names=["id", "th", "n", "set_key", "bands", "sig"],
             )
 
-    return docs.select("id", "th", "text").mapInArrow(run, "id long, th long, n long, set_key binary, bands array<long>, sig binary")
+    return in_batches(docs.select("id", "th", "text")).mapInArrow(run, "id long, th long, n long, set_key binary, bands array<long>, sig binary")
 
 
 def _possible(pairs: DataFrame) -> DataFrame:
@@ -136,7 +146,7 @@ def _possible(pairs: DataFrame) -> DataFrame:
             ok = similarity((x == y).sum(axis=1)) >= POSSIBLE
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["a", "b"])
 
-    return pairs.select("a", "b", "a_sig", "b_sig").mapInArrow(run, "a long, b long")
+    return in_batches(pairs.select("a", "b", "a_sig", "b_sig")).mapInArrow(run, "a long, b long")
 
 
 def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -150,27 +160,34 @@ def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     found = docs.join(small(wanted), where).select("text", "node", *other)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 0):
             sets = [shingles(t).view(np.int64) for t in batch.column(0).to_pylist()]
             ends = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32)
             lists = pa.ListArray.from_arrays(ends, np.concatenate(sets) if sets else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], lists], names=[*batch.schema.names[1:], "items"])
 
     schema = T.StructType([*found.drop("text").schema.fields, T.StructField("items", T.ArrayType(T.LongType()))])
-    return written(found.mapInArrow(run, schema), "near-sets")
+    return written(in_batches(found).mapInArrow(run, schema), "near-sets")
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that link by their full sets; ``a`` ships its set once for each pair
-    to where ``b`` is."""
-    wanted = pairs.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("to")).withColumn("lead", F.lit(False))
-    leads = pairs.select(F.col("b").alias("node")).distinct().select("node", F.array().cast("array<long>").alias("to"), F.lit(True).alias("lead"))
-    wanted = wanted.unionByName(leads).groupBy("node").agg(F.flatten(F.collect_list("to")).alias("to"), F.max("lead").alias("lead"))
+    """Those of the pairs (a, b) that link by their full sets.
+
+    ``a`` sends its set once for each pair to where ``b`` is. A ``b`` of very many pairs is in as many places
+    as its pairs have blocks of ``BLOCK``, so no place gets more sets than that.
+    """
+    places = pairs.groupBy(F.col("b").alias("p_b")).agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("places"))
+    places = written(places, "near-places")
+    dealt = pairs.join(small(places), F.col("b") == F.col("p_b")).select("a", "b", F.pmod(F.xxhash64("a"), F.col("places")).cast("int").alias("at"))
+    where = "array<struct<b:bigint,at:int>>"
+    wanted = dealt.groupBy(F.col("a").alias("node")).agg(F.collect_list(F.struct("b", "at")).alias("to")).withColumn("places", F.lit(0))
+    leads = places.select(F.col("p_b").alias("node"), F.array().cast(where).alias("to"), "places")
+    wanted = wanted.unionByName(leads).groupBy("node").agg(F.flatten(F.collect_list("to")).alias("to"), F.max("places").alias("places"))
     sets = _sets(wanted, nodes, docs)
-    left = sets.select(F.col("node").alias("a"), F.explode("to").alias("b"), F.col("items").alias("a_items"))
-    right = sets.filter("lead").select(F.col("node").alias("k"), F.col("items").alias("b_items"))
+    left = sets.select(F.col("node").alias("a"), F.inline("to"), F.col("items").alias("a_items"))
+    right = sets.filter("places > 0").select(F.col("node").alias("k"), F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("k_at"), F.col("items").alias("b_items"))
     both = F.size(F.array_intersect("a_items", "b_items"))
-    linked = left.join(right, F.col("b") == F.col("k")).filter(100 * both >= 75 * (F.size("a_items") + F.size("b_items") - both))
+    linked = left.join(right, (F.col("b") == F.col("k")) & (F.col("at") == F.col("k_at"))).filter(100 * both >= 75 * (F.size("a_items") + F.size("b_items") - both))
     return written(linked.select("a", "b").distinct(), "near-links")
 
 
@@ -184,7 +201,8 @@ def _dealt(members: DataFrame) -> DataFrame:
     sizes = members.groupBy("key", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy(F.col("key").alias("m_key")).agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("all"))
     main = main.select("m_key", F.col("main.root").alias("main"), F.col("main.n").alias("n_main"), (F.col("all") - F.col("main.n")).alias("n_rest")).filter("n_rest > 0")
-    rows = members.join(main, F.col("key") == F.col("m_key"))
+    # Written first, as the buckets were, so that the join's own shuffle can be split at a key of very many members.
+    rows = members.join(small(written(main, "near-main")), F.col("key") == F.col("m_key"))
     blocks = lambda n: F.ceil(F.col(n) / F.lit(BLOCK)).cast("int")
     rows = rows.withColumn("rest_blocks", blocks("n_rest")).withColumn("main_blocks", blocks("n_main"))
     in_main = F.col("root") == F.col("main")
@@ -195,21 +213,53 @@ def _dealt(members: DataFrame) -> DataFrame:
     return rows.select("key", "band", "node", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
 
+def _partners(x: int, second: np.ndarray, label: np.ndarray, n: np.ndarray, sig: np.ndarray, bands: np.ndarray, band: int) -> np.ndarray:
+    """Of ``second`` the nodes of other components that sizes and signatures leave possible for node ``x``, likest
+    first. A pair that shares an earlier band is left to that band's bucket."""
+    y = second[label[second] != label[x]]
+    y = y[100 * np.minimum(n[y], n[x]) >= 75 * np.maximum(n[y], n[x])]
+    estimate = similarity((sig[y] == sig[x]).sum(axis=1))
+    y, estimate = y[estimate >= POSSIBLE], estimate[estimate >= POSSIBLE]
+    y = y[np.argsort(-estimate, kind="stable")]
+    return y[~(bands[y, :band] == bands[x, :band]).any(axis=1)]
+
+
+def _columns(table: pa.Table):
+    """The columns of a block pair as arrays: node, label of the component, own block, n, sig, bands."""
+    node, root, own, n = (table.column(c).to_numpy() for c in ("node", "root", "own", "n"))
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
+    bands = pc.list_flatten(table.column("bands")).to_numpy().reshape(-1, BANDS)
+    return node, np.unique(root, return_inverse=True)[1], own, n, sig, bands
+
+
+def _with_partners(dealt: DataFrame, facts: DataFrame) -> DataFrame:
+    """Those rows of the block pairs whose node has a possible partner there. Only signatures are sent, so a
+    large bucket of unlike texts sends no set at all."""
+    fields = dealt.columns
+
+    def run(key, table):
+        _, label, own, n, sig, bands = _columns(table)
+        first, second = np.flatnonzero(own == key[1].as_py()), np.flatnonzero(own == key[2].as_py())
+        band, wanted = table.column("band")[0].as_py(), np.zeros(len(own), dtype=bool)
+        for x in first.tolist():
+            y = _partners(x, second, label, n, sig, bands, band)
+            wanted[y] = True
+            wanted[x] |= len(y) > 0
+        return table.select(fields).filter(pa.array(wanted))
+
+    return dealt.join(facts, "node").groupBy("key", "i", "j").applyInArrow(run, dealt.select(*fields).schema)
+
+
 def _linked_across(dealt: DataFrame, facts: DataFrame) -> DataFrame:
     """Links (a, b) between components within block pairs, confirmed on the full sets.
 
-    A task keeps its own union of components, so it returns at most a link a member. A pair that
-    shares an earlier band is left to that band's bucket.
+    A task keeps its own union of components, so it returns at most a link a member.
     """
 
     def run(key, table):
-        i, j, band = key[1].as_py(), key[2].as_py(), table.column("band")[0].as_py()
-        node, root, own, n = (table.column(c).to_numpy() for c in ("node", "root", "own", "n"))
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
-        bands = np.array(table.column("bands").to_pylist(), dtype=np.int64).reshape(-1, BANDS)
-        items = table.column("items").combine_chunks()
-        label = np.unique(root, return_inverse=True)[1]
-        first, second = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        node, label, own, n, sig, bands = _columns(table)
+        first, second = np.flatnonzero(own == key[1].as_py()), np.flatnonzero(own == key[2].as_py())
+        band, items = table.column("band")[0].as_py(), table.column("items").combine_chunks()
         sets, a, b = {}, [], []
 
         def of(x: int) -> np.ndarray:
@@ -218,15 +268,7 @@ def _linked_across(dealt: DataFrame, facts: DataFrame) -> DataFrame:
             return sets[x]
 
         for x in first.tolist():
-            y = second[label[second] != label[x]]
-            y = y[100 * np.minimum(n[y], n[x]) >= 75 * np.maximum(n[y], n[x])]
-            if not len(y):
-                continue
-            estimate = similarity((sig[y] == sig[x]).sum(axis=1))
-            y, estimate = y[estimate >= POSSIBLE], estimate[estimate >= POSSIBLE]
-            y = y[np.argsort(-estimate, kind="stable")]
-            y = y[~(bands[y, :band] == bands[x, :band]).any(axis=1)]
-            for z in y.tolist():
+            for z in _partners(x, second, label, n, sig, bands, band).tolist():
                 if label[z] == label[x]:
                     continue
                 both = len(np.intersect1d(of(x), of(z), assume_unique=True))
@@ -236,13 +278,12 @@ def _linked_across(dealt: DataFrame, facts: DataFrame) -> DataFrame:
                     label[label == label[z]] = label[x]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    ready = dealt.join(facts, "node")
-    return ready.groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+    return dealt.join(facts, "node").groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, th`` (xxhash64 of the text)``, n_shingles, component_id, root`` of every row; ``root`` tells components
-    apart that share a least id, null without shingles."""
+    """``id, th`` (xxhash64 of the text)``, n_shingles, component_id, kept, root`` of every row; ``root`` tells
+    components apart that share a least id, null without shingles."""
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).withColumn("th", F.xxhash64("text"))
     signed = written(_signed(rows), "near-signed")
     # One node for each distinct non-empty set, standing for its least (id, text hash).
@@ -254,8 +295,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1")
-    buckets = buckets.select(F.col("key").alias("b_key"), "leader", "size")
-    met = written(members.join(buckets, F.col("key") == F.col("b_key")).select("key", "band", "node", "leader", "size"), "near-met")
+    # Written first, so that the join has a shuffle of its own, which Spark splits where a key holds very many members.
+    buckets = written(buckets.select(F.col("key").alias("b_key"), "leader", "size"), "near-buckets")
+    met = written(members.join(small(buckets), F.col("key") == F.col("b_key")).select("key", "band", "node", "leader", "size"), "near-met")
 
     pairs = met.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     left = facts.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("sig").alias("a_sig"))
@@ -266,23 +308,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = connected_components(links).select(F.col("node").alias("r_node"), "root")
     placed = met.filter("size > 2").join(rooted, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "node"))
     dealt = written(_dealt(placed.select("key", "band", "node", "root")), "near-dealt")
+    facts = nodes.select("node", "n", "sig", "bands")
+    dealt = written(_with_partners(dealt, facts), "near-partners")
     items = _sets(dealt.select("node").distinct(), nodes, rows).select("node", "items")
-    more = written(_linked_across(dealt, items.join(nodes.select("node", "n", "sig", "bands"), "node")), "near-more")
+    more = written(_linked_across(dealt, items.join(facts, "node")), "near-more")
     rooted = connected_components(links.unionByName(more)).select(F.col("node").alias("r_node"), "root")
 
-    named = nodes.select("node", "set_key", "rep_id").join(rooted, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy(F.col("root").alias("c_root")).agg(F.min("rep_id").alias("component_id"))
-    classes = named.join(least, F.col("root") == F.col("c_root")).select(F.col("set_key").alias("c_key"), "component_id", "root")
+    named = nodes.select("node", "set_key", "rep_id", "rep_th").join(rooted, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "node"))
+    place = F.struct(F.col("rep_id").isNull().alias("no"), F.col("rep_id").alias("id"), F.col("rep_th").alias("th"))
+    least = written(named.groupBy(F.col("root").alias("c_root")).agg(F.min(place).alias("least")), "near-least")
+    classes = named.join(small(least), F.col("root") == F.col("c_root")).select(F.col("set_key").alias("c_key"), "least", "root")
     joined = signed.select("id", "th", "n", F.when(F.col("n") > 0, F.col("set_key")).alias("set_key")).join(classes, F.col("set_key") == F.col("c_key"), "left")
-    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return joined.select("id", "th", F.col("n").alias("n_shingles"), own.alias("component_id"), "root")
+    own = F.when(F.col("n") > 0, F.col("least.id")).otherwise(F.col("id"))
+    # Where no document of a component has an id, the one with the least hash of the text stands for it.
+    kept = F.col("id").eqNullSafe(own) & (F.col("id").isNotNull() | (F.col("n") == 0) | F.col("th").eqNullSafe(F.col("least.th")))
+    return joined.select("id", "th", F.col("n").alias("n_shingles"), own.alias("component_id"), kept.alias("kept"), "root")
 
 
 def near_duplicate_digest(docs: DataFrame) -> DataFrame:
     """The contract's columns of :func:`near_duplicates`."""
-    return near_duplicates(docs).select(
-        F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    return near_duplicates(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
 ORACLE = """
