@@ -7,10 +7,12 @@ cover, so two equal windows share an aligned anchor inside them.
 
 1. Equal texts are classes: every window of a later copy starts earlier in the first one, so only the
    first goes on.
-2. Anchors are deduplicated per Arrow batch and shuffled by hash; an anchor seen more than once marks
-   the windows around it as candidates. A passage in very many documents is shipped once a batch.
-3. Matches are extended to whole windows: candidate windows are hashed over all their words, again
-   one a batch, sorted by (hash, document, start), and all but the first are repeats.
+2. Anchors are deduplicated per slice of an Arrow batch and shuffled by hash; an anchor seen more than
+   once marks the windows around it as candidates. A passage in very many documents is shipped once a slice.
+3. Matches are extended to whole windows: candidate windows are hashed over all their words, by two
+   independent 64-bit hashes of each word, again one a slice, sorted by (both hashes, document, start),
+   and all but the first are repeats. Two of 10^13 different windows agree in 128 bits with a
+   probability of about 10^-13; an anchor's 64 bits only choose candidates.
 
 Every exchange carries numbers only; candidate and repeat runs come back to the texts per document,
 broadcast up to the bounds of :func:`~tessella.llm.common.small` and by a shuffle join beyond. Sorted partitions are
@@ -27,17 +29,20 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import partition_count, small, written
-from tessella.llm.neardup import mixed, word_hashes
+from tessella.llm.common import in_batches, partition_count, slices, small, written
+from tessella.llm.neardup import mixed, other_word_hashes, word_hashes
 
 WINDOW, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 
 _C = np.random.default_rng(8).integers(0, 2**64, WINDOW, dtype=np.uint64) | np.uint64(1)
-_RUN = "h long, d long, s int, n int, known boolean"
+_RUN = "h long, g long, d long, s int, n int, known boolean"
+#: Larger slices find more repeats within them, which are not shuffled.
+SLICE_BYTES = 8 * 2**20
 
 
 def windows(h: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
@@ -73,11 +78,9 @@ def runs(d: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.nd
     return d[begin], s[begin], reach[last] - s[begin]
 
 
-def _batch(h, d, s, n, known) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(h.view(np.int64)), d if isinstance(d, pa.Array) else pa.array(d, pa.int64()), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(known, pa.bool_())],
-        names=["h", "d", "s", "n", "known"],
-    )
+def _batch(h, g, d, s, n, known: bool) -> pa.RecordBatch:
+    columns = [h.view(np.int64), g.view(np.int64), d, s.astype(np.int32), n.astype(np.int32), np.full(len(h), known)]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=["h", "g", "d", "s", "n", "known"])
 
 
 def _spread(d: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -86,9 +89,9 @@ def _spread(d: np.ndarray, s: np.ndarray) -> np.ndarray:
 
 
 def _anchors(batches):
-    """Anchors of (d, text) batches. Anchors that repeat within a batch are known as candidates there
-    and send one row without a document to tell the other batches."""
-    for batch in batches:
+    """Anchors of (d, text) batches. Anchors that repeat within a slice are known as candidates there
+    and send one row without a document to tell the other slices."""
+    for batch in slices(batches, 1, SLICE_BYTES):
         hs, ds, ps = [], [], []
         for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             h = word_hashes((text or "").encode().split())
@@ -104,27 +107,28 @@ def _anchors(batches):
         new = np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
         many = ~(new & np.r_[new[1:], True]) if len(h) else new
         start = np.maximum(p - (WINDOW - ANCHOR), 0)  # an anchor stands for the windows around it
-        yield _batch(h[~many], d[~many], start[~many], (p - start + 1)[~many], np.zeros((~many).sum(), bool))
+        none = np.zeros(len(h), np.uint64)
+        yield _batch(h[~many], none[~many], d[~many], start[~many], (p - start + 1)[~many], False)
         signal = h[many & new]
-        yield _batch(signal, pa.nulls(len(signal), pa.int64()), np.zeros(len(signal), int), np.ones(len(signal), int), np.zeros(len(signal), bool))
+        yield _batch(signal, none[: len(signal)], pa.nulls(len(signal), pa.int64()), np.zeros(len(signal), int), np.ones(len(signal), int), False)
         kd, ks, kn = runs(d[many], start[many], (p - start + 1)[many])
-        yield _batch(_spread(kd, ks), kd, ks, kn, np.ones(len(kd), bool))
+        yield _batch(_spread(kd, ks), none[: len(kd)], kd, ks, kn, True)
 
 
 def _repeated(keep_first: bool):
-    """A stream over rows sorted by hash (and order): rows that share their hash, as (d, s, n);
-    without the first of each hash if ``keep_first``, however often a repeated row sends it."""
+    """A stream over rows sorted by both hashes (and order): rows that share them, as (d, s, n);
+    without the first of each if ``keep_first``, however often a repeated row sends it."""
 
     def run(batches):
         last, held, first = None, None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h, known = batch.column(0).to_numpy(), batch.column(4).to_numpy(zero_copy_only=False)
-            same = np.r_[last is not None and h[0] == last, h[1:] == h[:-1]]
+            h, g, known = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(5).to_numpy(zero_copy_only=False)
+            same = np.r_[last == (h[0], g[0]), (h[1:] == h[:-1]) & (g[1:] == g[:-1])]
             if keep_first:
                 # A row is the first itself while hash, document and start stay those of the row that opened its hash.
-                d, s = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+                d, s = batch.column(2).to_numpy(), batch.column(3).to_numpy()
                 opened = np.maximum.accumulate(np.where(same, -1, np.arange(len(h))))
                 held_d, held_s = first or (-1, -1)
                 d_first = np.where(opened < 0, held_d, d[opened])
@@ -136,12 +140,12 @@ def _repeated(keep_first: bool):
                 out[:-1] |= same[1:]
                 if held is not None and same[0]:
                     yield held
-            keep = pa.array(out & batch.column(1).is_valid().to_numpy(zero_copy_only=False))
+            keep = pa.array(out & batch.column(2).is_valid().to_numpy(zero_copy_only=False))
             picked = batch.select(["d", "s", "n"]).filter(keep)
             if picked.num_rows:
                 yield picked
-            last = h[-1]
-            held = None if out[-1] or not batch.column(1)[-1].is_valid else batch.select(["d", "s", "n"]).slice(batch.num_rows - 1)
+            last = h[-1], g[-1]
+            held = None if out[-1] or not batch.column(2)[-1].is_valid else batch.select(["d", "s", "n"]).slice(batch.num_rows - 1)
 
     return run
 
@@ -151,42 +155,45 @@ def _merged(pieces: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            s, n = [], []
-            for pairs in batch.column(1).to_pylist():
-                a = np.array([(p["s"], p["n"]) for p in pairs], dtype=np.int64)
-                _, rs, rn = runs(np.zeros(len(a), np.int64), a[:, 0], a[:, 1])
-                s.append(rs.tolist())
-                n.append(rn.tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))], names=["d", "starts", "lengths"])
+            lists = batch.column(1)
+            lens, pairs = pc.list_value_length(lists).to_numpy(), lists.flatten()
+            row = np.repeat(np.arange(len(lens)), lens)
+            at, s, n = runs(row, *(pc.struct_field(pairs, name).to_numpy().astype(np.int64) for name in ("s", "n")))
+            offsets = np.r_[0, np.cumsum(np.bincount(at, minlength=len(lens)))].astype(np.int32)
+            listed = [pa.ListArray.from_arrays(offsets, x.astype(np.int32)) for x in (s, n)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *listed], names=["d", "starts", "lengths"])
 
     gathered = pieces.groupBy("d").agg(F.collect_list(F.struct("s", "n")).alias("pairs"))
-    return gathered.mapInArrow(run, "d long, starts array<int>, lengths array<int>")
+    return in_batches(gathered).mapInArrow(run, "d long, starts array<int>, lengths array<int>")
 
 
 def _candidates(batches):
     """Hashes of the candidate windows of (d, text, starts, lengths) batches. Of windows equal within
-    a batch only the first is open; the later ones are known repeats, sent as runs."""
-    for batch in batches:
-        hs, ds, ss = [], [], []
+    a slice only the first is open; the later ones are known repeats, sent as runs."""
+    for batch in slices(batches, 1, SLICE_BYTES):
+        hs, gs, ds, ss = [], [], [], []
         for d, text, starts, lengths in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            h = word_hashes((text or "").encode().split())
+            words = (text or "").encode().split()
+            h, g = word_hashes(words), other_word_hashes(words)
             at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, lengths)])
             at = at[at <= len(h) - WINDOW]
             hs.append(windows(h, at, WINDOW))
+            gs.append(windows(g, at, WINDOW))
             ds.append(np.full(len(at), d, np.int64))
             ss.append(at)
         if not hs:
             continue
-        h, d, s = np.concatenate(hs), np.concatenate(ds), np.concatenate(ss)
-        order = np.lexsort((s, d, h))
-        h, d, s = h[order], d[order], s[order]
+        h, g, d, s = map(np.concatenate, (hs, gs, ds, ss))
+        order = np.lexsort((s, d, g, h))
+        h, g, d, s = h[order], g[order], d[order], s[order]
         # Repeated rows are one document and send each of its windows once.
-        new = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]) | (s[1:] != s[:-1])] if len(h) else np.zeros(0, bool)
-        h, d, s = h[new], d[new], s[new]
-        first = np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
-        yield _batch(h[first], d[first], s[first], np.ones(first.sum(), int), np.zeros(first.sum(), bool))
+        opens = np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])] if len(h) else np.zeros(0, bool)
+        new = opens.copy()
+        new[1:] |= (d[1:] != d[:-1]) | (s[1:] != s[:-1])
+        h, g, d, s, first = (x[new] for x in (h, g, d, s, opens))
+        yield _batch(h[first], g[first], d[first], s[first], np.ones(first.sum(), int), False)
         kd, ks, kn = runs(d[~first], s[~first], np.ones((~first).sum(), int))
-        yield _batch(_spread(kd, ks), kd, ks, kn, np.ones(len(kd), bool))
+        yield _batch(_spread(kd, ks), np.zeros(len(kd), np.uint64), kd, ks, kn, True)
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -209,11 +216,11 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = partition_count(spark)
     texts = docs.select("d", "text")
-    anchors = texts.mapInArrow(_anchors, _RUN).repartition(parts, "h").sortWithinPartitions("h")
-    candidates = written(_merged(anchors.mapInArrow(_repeated(False), "d long, s int, n int")), "substring-candidates").withColumnRenamed("d", "c_d")
+    anchors = in_batches(texts).mapInArrow(_anchors, _RUN).repartition(parts, "h").sortWithinPartitions("h")
+    candidates = written(_merged(in_batches(anchors).mapInArrow(_repeated(False), "d long, s int, n int")), "substring-candidates").withColumnRenamed("d", "c_d")
     found = texts.join(small(candidates), F.col("d") == F.col("c_d")).select("d", "text", "starts", "lengths")
-    hashed = found.mapInArrow(_candidates, _RUN).repartition(parts, "h").sortWithinPartitions("h", "known", "d", "s")
-    return written(_merged(hashed.mapInArrow(_repeated(True), "d long, s int, n int")), "substring-repeats")
+    hashed = in_batches(found).mapInArrow(_candidates, _RUN).repartition(parts, "h").sortWithinPartitions("h", "g", "known", "d", "s")
+    return written(_merged(in_batches(hashed).mapInArrow(_repeated(True), "d long, s int, n int")), "substring-repeats")
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
@@ -231,7 +238,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     name = "kept" if texts else "kept_sha256"
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             total, removed, kept = [], [], []
             for text, copy, starts, lengths in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
                 words = (text or "").encode().split()
@@ -254,7 +261,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["id", "n_words", "n_removed", name]
             )
 
-    return joined.mapInArrow(run, f"id long, n_words long, n_removed long, {name} string")
+    return in_batches(joined).mapInArrow(run, f"id long, n_words long, n_removed long, {name} string")
 
 
 def substring_digest(docs: DataFrame) -> DataFrame:
