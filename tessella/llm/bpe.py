@@ -25,18 +25,21 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
+from tessella.llm.common import in_batches, release_memory, slices
+
 #: Characters of the Unicode property White_Space.
 SPACE = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f"[^{SPACE}]+")
 #: The tokenizer's own split pattern, with white space spelled out and letters and numbers as parameters.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^" + SPACE + r"{letter}{number}]+"
 SUFFIX = "</w>"
-#: Texts are worked off in slices of about so many characters; the chunk cache holds so many entries.
-SLICE_CHARS = 2_000_000
-CACHE_ENTRIES = 600_000
+#: The chunk cache is emptied beyond so many bytes of chunks and ids; an entry counts for its objects too.
+CACHE_BYTES = 24 * 2**20
+ENTRY_BYTES = 150
 NONE = np.int64(2**62)
 
 
@@ -124,6 +127,7 @@ class Bpe:
         unknown, self.recent = recent_characters(path)
         self.piece = piece_pattern(unknown)
         self.cache: dict[str, bytes] = {}
+        self.cached = 0
 
     def _look_up(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and product of each pair; NONE where there is no merge."""
@@ -184,7 +188,9 @@ class Bpe:
         for i in range(0, len(pieces), 50_000):
             part = pieces[i : i + 50_000]
             known.update(zip(part, self.merge(part)))
-        self.cache.update((c, b"".join(map(known.__getitem__, ps))) for c, ps in split.items())
+        for c, ps in split.items():
+            ids = self.cache[c] = b"".join(map(known.__getitem__, ps))
+            self.cached += ENTRY_BYTES + len(c) + len(ids)
 
     def _parts(self, text: str) -> list[str]:
         """Chunks of a text and the special tokens in it (kept in the cache as chunks of their own)."""
@@ -197,8 +203,8 @@ class Bpe:
 
     def encode_slice(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if not self.cache or len(self.cache) > CACHE_ENTRIES:
-            self.cache = {s: i.to_bytes(4, "little") for s, i in self.special.items()}
+        if not self.cache or self.cached > CACHE_BYTES:
+            self.cache, self.cached = {s: i.to_bytes(4, "little") for s, i in self.special.items()}, 0
         parts = [self._parts(t) for t in texts]
         new = set()
         for p in parts:
@@ -217,41 +223,28 @@ class Bpe:
 @functools.lru_cache(maxsize=2)
 def load(path: str) -> Bpe:
     """The tables of a tokenizer file, once per Python worker."""
-    return Bpe(path)
-
-
-def sliced(texts: list[str | None], most: int = SLICE_CHARS):
-    """(start, texts) slices of about ``most`` characters; nulls are empty."""
-    at, size, out = 0, 0, []
-    for i, t in enumerate(texts):
-        out.append(t or "")
-        size += len(out[-1])
-        if size >= most:
-            yield at, out
-            at, size, out = i + 1, 0, []
-    if out:
-        yield at, out
+    loaded = Bpe(path)
+    release_memory()  # reading the file takes several times what is kept
+    return loaded
 
 
-def encoded_texts(texts: list[str | None], path: str):
-    """Ids of each text, slice by slice, as little-endian bytes."""
-    bpe = load(path)
-    for _, part in sliced(texts):
-        yield from bpe.encode_slice(part)
+def encoded_texts(texts: list[str | None], path: str) -> list[bytes]:
+    """Ids of each text (nulls are empty) as little-endian bytes."""
+    return load(path).encode_slice([t or "" for t in texts])
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, ids`` (array of int) of every text."""
 
     def run(batches):
-        for batch in batches:
-            ids = [np.frombuffer(b, dtype="<u4").astype(np.int32) for b in encoded_texts(batch.column(1).to_pylist(), path)]
-            sizes = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
-            values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(sizes, values)], names=["id", "ids"])
+        for batch in slices(batches, 1):
+            raw = encoded_texts(batch.column(1).to_pylist(), path)
+            ends = np.cumsum([0, *map(len, raw)], dtype=np.int64) // 4
+            values = np.frombuffer(b"".join(raw), dtype="<i4")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends.astype(np.int32), values)], names=["id", "ids"])
 
     kind = docs.select(docs[id_col].alias("id")).schema["id"].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
+    return in_batches(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))).mapInArrow(run, f"id {kind}, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, path: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
@@ -259,19 +252,21 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "id", ids_col:
 
     def run(batches):
         for batch in batches:
-            bpe = load(path)
-            out = [bpe.decode(np.asarray(x or [], dtype=np.int64)).decode() for x in batch.column(1).to_pylist()]
+            bpe, lists = load(path), batch.column(1)
+            ends = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())].tolist()
+            ids = lists.flatten().to_numpy()  # null lists hold none
+            out = [bpe.decode(ids[a:b]).decode() for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["id", "text"])
 
     kind = encoded.select(encoded[id_col].alias("id")).schema["id"].dataType.simpleString()
-    return encoded.select(encoded[id_col].alias("id"), encoded[ids_col].alias("ids")).mapInArrow(run, f"id {kind}, text string")
+    return in_batches(encoded.select(encoded[id_col].alias("id"), encoded[ids_col].alias("ids"))).mapInArrow(run, f"id {kind}, text string")
 
 
 def bpe_digest(docs: DataFrame, path: str) -> DataFrame:
     """Per document the number of ids and digests of the ids and of the text decoded from them."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             bpe, n, of_ids, of_text = load(path), [], [], []
             for raw in encoded_texts(batch.column(1).to_pylist(), path):
                 n.append(len(raw) // 4)
@@ -282,4 +277,4 @@ def bpe_digest(docs: DataFrame, path: str) -> DataFrame:
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

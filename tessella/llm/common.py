@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.session import shared_folder
+
 #: A word everywhere in the contracts: a run of anything but these six white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
@@ -21,7 +23,9 @@ WORD_RE = re.compile(WORD)
 BROADCAST_ROWS = 400_000
 BROADCAST_BYTES = 64 * 2**20
 #: Python tasks work off Arrow batches in slices of about so many bytes of text.
-SLICE_BYTES = 4 * 2**20
+SLICE_BYTES = 2 * 2**20
+#: Spark's setting for the bytes of an Arrow batch, its default, and what the operators set instead.
+BATCH_SETTING, DEFAULT_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 4 * 2**20
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -41,33 +45,57 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose Arrow batches are to be small: the session's bound on their bytes is lowered if it is the default.
+
+    The JVM keeps the native memory of large batches, and workers hold several times a batch.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING) == DEFAULT_BATCH:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
+def release_memory() -> None:
+    """Give the free pages of this process's heap back to the system, as its workers live on beside the JVM; nothing
+    happens where the C library has no call for it."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: int | str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of about ``most`` bytes of the text column (one row at least).
+    """The batches joined and cut into slices of about ``most`` bytes of the text column (one row at least).
 
-    A batch of Spark's holds up to 64 MB; what a task makes of it in Python is several times larger, so tasks
-    make it slice by slice. What they free goes back to the system at once, as workers are reused.
+    What a task makes of a batch in Python is several times larger, so tasks make it slice by slice. What
+    they free goes back to the system at once, as workers are reused.
     """
     pa.set_memory_pool(pa.system_memory_pool())
+    held, size = [], 0
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        slot = (np.cumsum(sizes, dtype=np.int64) - sizes) // most
+        slot = (size + np.cumsum(sizes, dtype=np.int64) - sizes) // most
         cuts = [0, *(np.flatnonzero(np.diff(slot)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            if b > a:
-                yield batch.slice(a, b - a)
+        parts = [batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a]
+        if held and (not parts or slot[0]):
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        for part in parts[:-1]:
+            yield pa.concat_batches([*held, part]) if held else part
+            held, size = [], 0
+        if parts:
+            held.append(parts[-1])
+            size += int(sizes[len(sizes) - parts[-1].num_rows :].sum())
+    if held:
+        yield pa.concat_batches(held) if len(held) > 1 else held[0]
+    del held
+    release_memory()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the cluster names it.
-
-    Read from ``spark.checkpoint.dir``; a temporary one is set only where the session names none
-    (local tests).
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="tessella-shared-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+    """The folder that driver and executors share, as the cluster names it; see :func:`tessella.session.shared_folder`."""
+    return shared_folder(spark)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -23,6 +23,7 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import slices, small
+from tessella.llm.common import in_batches, slices, small
 
 PROFILE = 400
 SAMPLE = 400
@@ -40,8 +41,9 @@ UND = "und"
 CELLS = 64
 #: A prefilter leaves about so many times the sample of each language to choose from.
 SPARE = 4
-#: Longer texts are counted in pieces that end at a word's end.
-PIECE_CHARS = 1_000_000
+#: Longer texts are counted in pieces that end at a word's end. A character takes about 80 bytes while it is counted.
+PIECE_CHARS = 500_000
+SLICE_BYTES = 2**20
 NO_LETTER = re.compile(r"[\W\d_]")
 #: The number of the mark at both ends of a word; less than any lower-case letter's, as "_" is.
 END = 1
@@ -81,7 +83,7 @@ def pieces_of(text: str) -> list[str]:
     return [*out, text[at:]] if out else [text]
 
 
-def piece_grams(pieces: list[str]) -> list[np.ndarray]:
+def piece_grams(pieces: list[str]) -> Iterator[np.ndarray]:
     """The n-grams of each piece, in no order, as often as they occur."""
     lens = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) + 2
     chars = np.frombuffer("".join(f" {p} " for p in pieces).encode("utf-32-le"), dtype=np.uint32)
@@ -100,18 +102,17 @@ def piece_grams(pieces: list[str]) -> list[np.ndarray]:
         for i in range(1, n):
             key |= code[at + i] << (2 - i) * BITS
         grams.append((key, np.searchsorted(at, ends).tolist()))
-    out, last = [], [0, 0, 0]
+    last = [0, 0, 0]
     for i in range(len(pieces)):
-        out.append(np.concatenate([key[a : upto[i]] for (key, upto), a in zip(grams, last)]))
+        yield np.concatenate([key[a : upto[i]] for (key, upto), a in zip(grams, last)])
         last = [upto[i] for _, upto in grams]
-    return out
 
 
-def counted(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def counted(grams: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams in order and their counts, over the pieces of one text or more."""
-    if len(grams) == 1:
-        return np.unique(grams[0], return_counts=True)
     keys, counts = zip(*(np.unique(g, return_counts=True) for g in grams))
+    if len(keys) == 1:
+        return keys[0], counts[0]
     which, at = np.unique(np.concatenate(keys), return_inverse=True)
     return which, np.bincount(at, weights=np.concatenate(counts), minlength=len(which)).astype(np.int64)
 
@@ -119,9 +120,10 @@ def counted(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def text_counts(texts: list[str | None]):
     """(n-grams, counts) of each whole text; nulls have none."""
     pieces = [pieces_of(t or "") for t in texts]
-    flat = iter(piece_grams([p for ps in pieces for p in ps]))
-    for ps in pieces:
-        yield counted([next(flat) for _ in ps])
+    if sum(map(len, pieces)) == len(pieces):
+        yield from (counted([g]) for g in piece_grams([ps[0] for ps in pieces]))
+    else:  # a very long text's pieces are counted one by one
+        yield from (counted(g for p in ps for g in piece_grams([p])) for ps in pieces)
 
 
 def ranked(keys: np.ndarray, counts: np.ndarray, most: int = PROFILE) -> np.ndarray:
@@ -187,7 +189,7 @@ def fit_profiles(labelled: DataFrame, sample: int = SAMPLE) -> dict[str, list[st
     chosen = rows.join(small(limits), F.col("lang") == F.col("d_lang")).filter(F.col("draw") <= F.col("most"))
 
     def run(batches):
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE_BYTES):
             langs = np.array(batch.column(1).to_pylist(), dtype=object)
             per_text = list(text_counts(batch.column(0).to_pylist()))
             for lang in sorted(set(langs)):
@@ -197,7 +199,7 @@ def fit_profiles(labelled: DataFrame, sample: int = SAMPLE) -> dict[str, list[st
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(which), pa.string()), pa.array(which), pa.array(total)], names=["lang", "gram", "n"])
 
     once = chosen.dropDuplicates(["id", "draw"]).select("text", "lang")
-    counts = once.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = in_batches(once).mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = lambda entries: F.slice(F.array_sort(entries), 1, PROFILE)
     cells = counts.groupBy("lang", F.pmod(F.xxhash64("gram"), F.lit(CELLS)).alias("cell")).agg(best(F.collect_list(F.struct((-F.col("n")).alias("less"), "gram"))).alias("top"))
     found = cells.groupBy("lang").agg(best(F.flatten(F.collect_list("top"))).alias("top")).limit(LANGUAGES + 1).collect()
@@ -212,13 +214,13 @@ def with_language(rows: DataFrame, profiles: dict[str, list[str]], text_col: str
 
     def run(batches):
         model = Profiles(profiles)
-        for batch in slices(batches, at):
+        for batch in slices(batches, at, SLICE_BYTES):
             found = [model.nearest(*grams) for grams in text_counts(batch.column(at).to_pylist())]
             added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "lang_pred", "score"])
 
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return in_batches(rows).mapInArrow(run, schema)
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import written
+from tessella.llm.common import in_batches, written
 
 SHARDS = 16
 FIRST_BITS = 12
@@ -126,7 +126,7 @@ def _split(rows: DataFrame, lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, i
                 names=["cell", "lo", "hi", "size"],
             )
 
-    parts = rows.select("h", "size").mapInArrow(run, "cell long, lo long, hi long, size long")
+    parts = in_batches(rows.select("h", "size")).mapInArrow(run, "cell long, lo long, hi long, size long")
     return [(r.lo, r.hi, r.size) for r in _piece_rows(parts, ["cell"])]
 
 

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import new_folder, partition_count, slices, written
+from tessella.llm.common import in_batches, new_folder, partition_count, release_memory, slices, written
 
 MAGIC = b"TSLATOK1"
 FOOTER = struct.Struct("<8sIIQQQ")
@@ -312,7 +312,9 @@ def _cut(text: str) -> list[str]:
 def load(path: str) -> ChunkEncoder:
     """One encoder for each tokenizer file and Python worker; Spark already runs a worker for each core."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return ChunkEncoder(path)
+    loaded = ChunkEncoder(path)
+    release_memory()  # reading the file takes several times what is kept
+    return loaded
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, file_ids: int = FILE_IDS) -> DataFrame:
@@ -348,7 +350,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     dealt = rows.repartitionByRange(partition_count(spark), F.col("id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(
         F.col("id").asc_nulls_first(), F.xxhash64("text"), "text"
     )
-    manifest = written(dealt.mapInArrow(run, "part int, seq int, path string, n_docs long, n_ids long"), "token-manifest")
+    manifest = written(in_batches(dealt).mapInArrow(run, "part int, seq int, path string, n_docs long, n_ids long"), "token-manifest")
     before = lambda window: F.coalesce(F.sum("n_ids").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))  # at most a row a shuffle partition
     parts = parts.select("part", before(Window.orderBy("part")).alias("part_start"))
@@ -370,4 +372,4 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=names)
 
     dealt = manifest.select("path", "start").repartition(partition_count(manifest.sparkSession))
-    return dealt.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return in_batches(dealt).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
