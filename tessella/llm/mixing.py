@@ -3,15 +3,23 @@
 Sources in code-point order (null last) weigh 5, 2, 1, repeating, and share ``share`` times all
 words; a target stops at ``most`` times its source's size and the excess is reshared by weight until
 none is above. Within a source every document first gets ``floor(target / size)`` certain whole
-copies. The rest is drawn: documents are ranked by random odds over inclusion odds,
-``(u / (1 - u)) / (p / (1 - p))``, and taken in that order while they fit the words left; inclusion
-odds grow with the document's size within bounds, so the sample has unequal probabilities. The
-sample's fixed size is counted in words: where the ranking crosses the target, documents that still
-fit are taken in rank order, in a few passes, so a source ends within less than its smallest
-remaining document of the target, whatever its longest one.
-
-Nothing is gathered: ranks are cut into buckets whose number follows a source's rows, words are
-summed per bucket, and only the one bucket in which a source's target falls is ordered.
+copies. One more copy is drawn for some:
+
+1. Inclusion probabilities are proportional to a document's words, at most 1, and such that the words
+   expected are the words left: ``p = min(1, c * size)`` with ``sum(p * size) = left``. Documents whose
+   probability is 1 are taken for certain, so the longest ones are never left to chance. They sum to the
+   number of documents drawn. ``c`` is found on the counts of equal sizes, in a few aggregates.
+2. The others are ranked by random odds over inclusion odds, ``(u / (1 - u)) / (p / (1 - p))``, and taken
+   in that order.
+3. The sample's fixed size is counted in words, as the targets are: documents are taken in rank order up to
+   the one that no longer fits the words left; of those behind it the ones that still fit are taken, again in
+   rank order, until none fits. So a source ends within less than its smallest remaining document of the
+   target. What this costs: the number of documents drawn follows the sizes met, within a few of the sum of
+   the probabilities, and what fills the last gap, at most the words of one document, leans to short ones.
+
+Nothing is gathered: ranks are cut into buckets whose number follows a source's rows (the cut lies near
+rank 1, where a step holds at most an even share of them), words are summed per bucket, and only the
+one bucket in which a source's target falls is ordered.
 
 Defined cases: a null or empty text has size 0 and takes 0; a null source is a source of its own;
 the draw hashes (id, hash of text), so reruns agree, and rows alike in both are interchangeable;
@@ -20,19 +28,32 @@ an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import n_words, uniform, written
+from tessella.llm.common import n_words, partition_count, small, uniform, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
 BUCKET_ROWS = 4000
-FILL_PASSES = 4
 SEED = 20240229
 
 
+def _numbered(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``place``, their place in code-point order (null last), counted from 0.
+
+    Rows are sorted by ranges; the offsets are running sums over the ranges, whose number the session fixes.
+    """
+    order = F.col("source").asc_nulls_last()
+    ranged = sources.repartitionByRange(partition_count(sources.sparkSession), order).sortWithinPartitions(order)
+    rows = written(ranged.withColumn("row", F.monotonically_increasing_id()), "mix-order").withColumn("cell", F.shiftright("row", 33))
+    before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("cell").agg(F.count("*").alias("n_cell")).select("cell", F.coalesce(F.sum("n_cell").over(before), F.lit(0)).alias("offset"))
+    place = F.col("offset") + F.col("row") - F.shiftleft("cell", 33)
+    return rows.join(F.broadcast(offsets), "cell").withColumn("place", place).drop("row", "cell", "offset")
+
+
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """One row per source: ``source, source_size, n, target``.
 
@@ -40,11 +61,9 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     it to its cap, and capping raises the level. Each pass is an aggregate over the table of
     sources; only two sums reach the driver.
     """
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())  # the table of sources: a row for each name
-    place = (F.row_number().over(order) - 1) % len(weights)
-    sources = sources.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place + 1))
-    sources = written(sources.withColumn("cap", F.lit(float(most)) * F.col("source_size")), "mix-sources")
+    sources = _numbered(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights)).cast("int") + 1)
+    sources = written(sources.withColumn("weight", weight).withColumn("cap", F.lit(float(most)) * F.col("source_size")), "mix-sources")
     total = float(sources.agg(F.sum("source_size")).first()[0] or 0) * share
     level = None
     while True:
@@ -60,21 +79,41 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return sources.withColumn("target", F.least("cap", reached)).select("source", "source_size", "n", "target")
 
 
-def _rank(copies: Column, mean: Column) -> Column:
-    """Random odds over inclusion odds. The draw's share is the fraction left after whole copies;
-    odds are tilted by size over the source's mean size, kept between 1/4 and 4."""
-    p = F.least(F.greatest(copies - F.floor(copies), F.lit(1e-9)), F.lit(1 - 1e-9))
-    tilt = F.least(F.greatest(F.col("size") / mean, F.lit(0.25)), F.lit(4.0))
-    u = F.col("u")
-    return (u / (1 - u)) / (p / (1 - p) * tilt)
+def _with_scale(facts: DataFrame, sized: DataFrame) -> DataFrame:
+    """``facts`` (source, left, ...) with ``c``, by which sizes become inclusion probabilities, and ``sure``, the words
+    of the documents whose probability is 1.
+
+    Capping raises ``c``, so passes over the counts of equal sizes go on until no more sizes are capped. Sums are
+    exact, so reruns agree.
+    """
+    counts = sized.filter("size > 0").groupBy("source", "size").agg(F.count("*").alias("k"))
+    lefts = facts.filter("left > 0").select(F.col("source").alias("l_source"), "left")
+    counts = written(counts.join(small(lefts), F.col("source").eqNullSafe(F.col("l_source"))).drop("l_source"), "mix-counts")
+    scale, known = None, -1
+    while True:
+        rows = counts.withColumn("c", F.lit(0.0)) if scale is None else counts.join(small(scale), F.col("source").eqNullSafe(F.col("c_source"))).drop("c_source")
+        capped, size = F.col("size") * F.col("c") >= 1, F.col("size").cast("decimal(38,0)")
+        sums = rows.groupBy("source").agg(
+            F.max("left").alias("left"),
+            F.coalesce(F.sum(F.when(capped, F.col("size") * F.col("k"))), F.lit(0)).alias("sure"),
+            F.sum(F.when(~capped, F.col("k").cast("decimal(38,0)") * size * size)).cast("double").alias("squares"),
+            F.sum(F.when(capped, F.col("k"))).alias("n_sure"),
+        )
+        c = F.coalesce(F.try_divide(F.greatest(F.col("left") - F.col("sure"), F.lit(0.0)), F.col("squares")), F.lit(0.0))
+        scale = written(sums.select(F.col("source").alias("c_source"), c.alias("c"), "sure", "n_sure"), "mix-scale")
+        n_sure = scale.agg(F.sum("n_sure")).first()[0] or 0
+        scale = scale.drop("n_sure")
+        if n_sure == known:
+            break
+        known, scale = n_sure, scale.drop("sure")
+    return facts.join(small(scale), F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
 
 
 def _drawn(rest: DataFrame) -> DataFrame:
-    """One pass: of ``rest`` (key, source, size, rank, left) the rows that the words left take whole
-    in rank order. Returns rest with ``hit``.
+    """One pass: ``rest`` (source, id, h, size, rank, bucket, left) with ``hit``, the rows in rank order that the
+    words left take whole, up to the first that they do not.
 
-    ``bucket`` cuts the ranks; summed words per bucket locate the crossing, only whose bucket is
-    ordered row by row.
+    Summed words per bucket locate the cut, only whose bucket is ordered row by row.
     """
     words = rest.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -103,47 +142,39 @@ def mix_sources(
     rows = rows.select("id", "source", n_words(F.col("text")).alias("size"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     sized = written(rows, "mix-sizes")  # four narrow columns: the texts are read once
     targets = source_targets(sized, weights, share, most)
-    facts = targets.select(F.col("source").alias("s_source"), "source_size", "n", "target")
-    joined = sized.join(F.broadcast(facts) if _is_small(facts) else facts, F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source")
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    ratio = F.least(ratio, F.lit(float(most)))
+    ratio = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
+    certain = F.least(F.floor(ratio + 1e-12), F.lit(int(most))).cast("int")
+    left = F.when(F.col("certain") < F.lit(float(most)), F.greatest(F.col("target") - F.col("certain") * F.col("source_size"), F.lit(0.0))).otherwise(F.lit(0.0))
+    facts = _with_scale(targets.withColumn("certain", certain).withColumn("left", left), sized)
+    facts = written(facts.withColumnRenamed("source", "s_source"), "mix-facts")
+    joined = sized.join(small(facts), F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source")
+    p = F.col("size") * F.coalesce("c", F.lit(0.0))
+    joined = joined.withColumn("p", p)
+    sure, open_ = (F.col("p") >= 1) & (F.col("size") > 0), (F.col("p") > 0) & (F.col("p") < 1)
+    u = F.col("u")
     drawn = (
-        joined.withColumn("u", uniform(F.col("id"), F.col("h"), seed=seed))
-        .withColumn("ratio", ratio)
-        .withColumn("certain", F.floor(F.col("ratio") + 1e-12))
-        .withColumn("rank", _rank(F.col("ratio"), F.col("source_size") / F.col("n")))
-        .withColumn("left", F.col("target") - F.col("certain") * F.col("source_size"))
+        joined.filter(open_)
+        .withColumn("left", F.col("left") - F.col("sure"))
+        .withColumn("u", uniform(F.col("id"), F.col("h"), seed=seed))
+        .withColumn("rank", F.try_divide(u * (1 - F.col("p")), (1 - u) * F.col("p")))
+        # Ranks in (0, 1); about their middle, where the cut lies, equal steps hold at most an even share of the rows.
+        .withColumn("bucket", F.floor(F.col("rank") / (1 + F.col("rank")) * F.greatest(F.ceil(F.col("n") / F.lit(BUCKET_ROWS)), F.lit(1)) * 2))
     )
-    # The rank's own distribution is squeezed to (0, 1), so equal steps hold about equal rows.
-    steps = F.greatest(F.ceil(F.col("n") / F.lit(BUCKET_ROWS)), F.lit(1))
-    place = F.col("rank") * F.col("ratio_odds") / (1 + F.col("rank") * F.col("ratio_odds"))
-    fraction = F.least(F.greatest(F.col("ratio") - F.col("certain"), F.lit(1e-9)), F.lit(1 - 1e-9))
-    drawn = drawn.withColumn("ratio_odds", fraction / (1 - fraction)).withColumn("bucket", F.least(F.floor(place * steps * 4), steps * 4 - 1)).drop("ratio_odds", "u", "n")
-    candidate = (F.col("size") > 0) & (F.col("left") > 0) & (F.col("certain") < F.lit(float(most)))
-    taken = drawn.filter(~candidate).withColumn("hit", F.lit(False))
-    rest = drawn.filter(candidate)
-    for _ in range(FILL_PASSES):
+    keep = ["id", "h", "source", "size", "source_size", "target", "certain", "hit"]
+    out = joined.filter(~open_).withColumn("hit", sure).select(*keep)
+    rest = written(drawn.filter(F.col("size") <= F.col("left")).drop("u", "p", "c", "sure", "n"), "mix-open")
+    out = out.unionByName(drawn.filter(F.col("size") > F.col("left")).withColumn("hit", F.lit(False)).select(*keep))
+    while not rest.isEmpty():
         passed = written(_drawn(rest), "mix-pass")
-        taken = taken.unionByName(passed.filter("hit"))
         got = passed.groupBy("source").agg(F.sum(F.when(F.col("hit"), F.col("size")).otherwise(0)).alias("got"))
-        got = got.select(F.col("source").alias("g_source"), "got")
-        open_rows = passed.filter(~F.col("hit")).drop("hit")
-        rest = open_rows.join(F.broadcast(got) if _is_small(got) else got, F.col("source").eqNullSafe(F.col("g_source"))).withColumn("left", F.col("left") - F.col("got")).drop("g_source", "got")
-        full = rest.filter(F.col("size") > F.col("left")).withColumn("hit", F.lit(False))
-        taken = taken.unionByName(full)
-        rest = rest.filter(F.col("size") <= F.col("left"))
-    taken = taken.unionByName(rest.withColumn("hit", F.lit(False)))
+        got = written(got.withColumnRenamed("source", "g_source"), "mix-got")
+        rest = passed.filter(~F.col("hit")).drop("hit").join(small(got), F.col("source").eqNullSafe(F.col("g_source")))
+        rest = rest.withColumn("left", F.col("left") - F.col("got")).drop("g_source", "got")
+        fits = F.col("size") <= F.col("left")
+        out = out.unionByName(passed.filter("hit").select(*keep)).unionByName(rest.filter(~fits).withColumn("hit", F.lit(False)).select(*keep))
+        rest = written(rest.filter(fits), "mix-open")
     copies = F.col("certain") + F.when(F.col("hit"), 1).otherwise(0)
-    return taken.select("id", "h", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
-
-
-#: A table of sources is broadcast only up to so many rows.
-SMALL_ROWS = 10_000
-
-
-def _is_small(facts: DataFrame) -> bool:
-    """Whether a table of sources is proven to have at most :data:`SMALL_ROWS` rows."""
-    return facts.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+    return out.select("id", "h", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
