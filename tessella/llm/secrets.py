@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.functions.arrays import BLOCK, bound, scan
 from tessella.llm.common import written
 
 # Fixed patterns of the base kinds.
@@ -52,15 +53,13 @@ def _spans(text: Column, kind: str, pattern: str, keep=None) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(found, F.slice(F.split(text, pattern, -1), 1, F.size(found)), lambda m, gap: F.struct(m.alias("m"), gap.alias("gap")))
 
-    def step(state: Column, x: Column) -> Column:
-        start = (state["at"] + F.length(x["gap"])).cast("int")
-        end = (start + F.length(x["m"])).cast("int")
-        span = F.array(F.struct(start.alias("start"), F.lit(order).alias("ord"), end.alias("end")))
-        kept = span if keep is None else F.when(keep(x["m"]), span).otherwise(F.array().cast(_SPAN))
-        return F.struct(end.alias("at"), F.concat(state["out"], kept).alias("out"))
+    def emit(at: Column, x: Column, _: Column) -> Column:
+        start = at + F.length(x["gap"])
+        kept = F.lit(True) if keep is None else F.coalesce(keep(x["m"]), F.lit(False))
+        return F.struct(kept.alias("kept"), F.struct(start.alias("start"), F.lit(order).alias("ord"), (start + F.length(x["m"])).alias("end")).alias("span"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-    spans = F.aggregate(pairs, start, step, lambda state: state["out"])
+    all_spans = scan(pairs, F.lit(0), lambda at, x: at + F.length(x["gap"]) + F.length(x["m"]), emit, "int", f"struct<kept:boolean,span:{_SPAN[6:-1]}>")
+    spans = F.transform(F.filter(all_spans, lambda e: e["kept"]), lambda e: e["span"])
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
 
 
@@ -74,17 +73,30 @@ def _loose(run: Column) -> Column:
     return run.rlike("[A-Za-z]") & run.rlike("[0-9]") & ~_mixed(run)
 
 
-def _apart(spans: Column, others: Column) -> Column:
-    """The spans that overlap none of the others."""
-    return F.filter(spans, lambda s: ~F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
-
-
 def _rendered(spans: Column) -> Column:
     """``kind:start:end`` by start, then kind as listed, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.element_at(names, s["ord"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _bins(rows: DataFrame, scope: int, wider: int = 0) -> DataFrame:
+    """A row for each bin of ``scope`` code points that a span touches, and ``wider`` bins to either side."""
+    at = lambda c: F.floor(F.col(c) / F.lit(scope)).cast("int")
+    return rows.withColumn("bin", F.explode(F.sequence(at("start") - wider, at("end") + wider)))
+
+
+def _parts(scanned: DataFrame, scope: int) -> DataFrame:
+    """All parts of the documents with weak ones, a row a span; of the loose runs those that overlap no other part."""
+    span = lambda spans: open_docs.select("id", "h", F.explode(spans).alias("s")).select("id", "h", "s.start", "s.ord", "s.end").distinct()
+    open_docs = scanned.filter((F.size("weak") > 0) | (F.size("loose") > 0))
+    others, loose = span(F.concat("base", "weak")), span("loose")
+    taken = _bins(others, scope).select(F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("bin").alias("o_bin"), F.col("start").alias("o_start"), F.col("end").alias("o_end"))
+    overlap = F.col("id").eqNullSafe(F.col("o_id")) & (F.col("h") == F.col("o_h")) & (F.col("bin") == F.col("o_bin")) & (F.col("o_start") < F.col("end")) & (F.col("start") < F.col("o_end"))
+    hit = _bins(loose, scope).join(taken, overlap).select(F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("start").alias("o_start")).distinct()
+    free = loose.join(hit, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("h") == F.col("o_h")) & (F.col("start") == F.col("o_start")), "left_anti")
+    return written(others.unionByName(free), "secret-spans")
+
+
 def _linked(scanned: DataFrame, scope: int) -> DataFrame:
     """Interval join of weak candidates with all parts: (id, h, added spans).
 
@@ -92,17 +104,11 @@ def _linked(scanned: DataFrame, scope: int) -> DataFrame:
     side. Spans of a kind do not overlap, so a bin holds a bounded number whatever the document's
     length, and no bin is ever shared between documents.
     """
-    parts = (
-        scanned.filter(F.size("weak") > 0)
-        .select("id", "h", F.explode(F.concat("base", "weak")).alias("s"))
-        .select("id", "h", "s.start", "s.ord", "s.end")
-        .distinct()
+    parts = _parts(scanned, scope)
+    weak = _bins(parts.filter(F.col("ord") > 2), scope, 1)
+    other = _bins(parts, scope).select(
+        F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("start").alias("o_start"), F.col("ord").alias("o_ord"), F.col("end").alias("o_end"), F.col("bin").alias("o_bin")
     )
-    bin_of = lambda c: F.floor(c / F.lit(scope)).cast("int")
-    weak = parts.filter(F.col("ord") > 2).withColumn("bin", F.explode(F.sequence(bin_of(F.col("start")) - 1, bin_of(F.col("end")) + 1)))
-    other = parts.select(
-        F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("start").alias("o_start"), F.col("ord").alias("o_ord"), F.col("end").alias("o_end")
-    ).withColumn("o_bin", F.explode(F.sequence(bin_of(F.col("o_start")), bin_of(F.col("o_end")))))
     near = (F.col("o_start") - F.col("end") <= scope) & (F.col("start") - F.col("o_end") <= scope)
     hits = weak.join(other, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("h") == F.col("o_h")) & (F.col("bin") == F.col("o_bin")) & near)
     has = lambda *kinds: F.max(F.col("o_ord").isin(*[KINDS.index(k) for k in kinds]))
@@ -139,7 +145,6 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ).alias("weak"),
         _spans(text, "secret", SECRET, _loose).alias("loose"),
     )
-    scanned = scanned.select("id", "h", "base", F.concat("weak", _apart(F.col("loose"), F.concat("base", "weak"))).alias("weak"))
     scanned = written(scanned, "secret-parts")  # a few spans per document; the texts are scanned once
     added = _linked(scanned, scope).select(F.col("id").alias("a_id"), F.col("h").alias("a_h"), "added")
     joined = scanned.join(added, F.col("id").eqNullSafe(F.col("a_id")) & (F.col("h") == F.col("a_h")), "left")
@@ -160,20 +165,31 @@ def secret_digest(docs: DataFrame) -> DataFrame:
 
 
 def mask_secrets(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """``text`` with each span replaced; overlapping spans are replaced once together."""
-
-    def step(state: Column, s: Column) -> Column:
-        begin = F.greatest(state["at"], s["start"])
-        fresh = s["end"] > state["at"]
-        piece = F.concat(F.substring(text, state["at"] + 1, begin - state["at"]), F.when(s["start"] >= state["at"], F.lit(mask)).otherwise(F.lit("")))
-        return F.struct(
-            F.when(fresh, s["end"]).otherwise(state["at"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], F.array(piece))).otherwise(state["out"]).alias("out"),
+    """``text`` with each span replaced; overlapping spans are replaced once together.
+
+    A block of spans is cut out of the text first, so that a span is cut out of a short stretch.
+    """
+    merged = F.array_sort(spans)
+
+    def emit(at: Column, s: Column, begin: Column) -> Column:
+        return F.struct(at.alias("at"), F.greatest(at, s["start"]).alias("upto"), (s["start"] >= at).alias("opens"), begin.alias("begin"), F.greatest(at, s["end"]).alias("end"))
+
+    kind = "struct<at:int,upto:int,opens:boolean,begin:int,end:int>"
+    gaps = scan(merged, F.lit(0), lambda at, s: F.greatest(at, s["end"]), emit, "int", kind)
+
+    def block_text(block: Column) -> Column:
+        first, last = F.element_at(block, 1)["begin"], F.element_at(block, -1)["end"]
+        piece = lambda stretch: F.array_join(
+            F.transform(block, lambda g: F.concat(F.substring(stretch, g["at"] - first + 1, g["upto"] - g["at"]), F.when(g["opens"], F.lit(mask)).otherwise(F.lit("")))), ""
         )
+        return bound(F.substring(text, first + 1, last - first), piece)
+
+    def run(all_gaps: Column) -> Column:
+        begins = F.sequence(F.lit(1), F.size(all_gaps), F.lit(BLOCK))
+        done = F.array_join(F.transform(begins, lambda at: bound(F.slice(all_gaps, at, BLOCK), block_text)), "")
+        return F.concat(done, F.substring(text, F.element_at(all_gaps, -1)["end"] + 1, F.length(text)))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate(F.array_sort(spans), start, step, lambda state: F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text) - state["at"])))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return F.when(F.size(spans) > 0, bound(gaps, run)).otherwise(text)
 
 
 #: The SQL's weak parts: lower-case names and strict runs only. The given tables hold none that are wider.
