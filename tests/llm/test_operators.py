@@ -3,8 +3,9 @@
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -37,6 +38,27 @@ def test_edge_cases_give_a_row_a_document(spark, name):
     assert DIGESTS[name](docs(spark)).count() == len(EDGES) + 1
 
 
+def test_edge_cases_have_their_defined_values(spark):
+    """Null, empty, blank, very long and repeated texts by id (2 is a null id): sizes, words, spans, tokens and languages."""
+    rows = {name: defaultdict(list) for name in DIGESTS}
+    for name, digest in DIGESTS.items():
+        for r in digest(docs(spark)).collect():
+            rows[name][r.doc_id].append(r)
+    one = lambda name, i: rows[name][i][0]
+    texts = {None if i == 2 else i: t or "" for i, t in enumerate(EDGES)}
+    for i, t in texts.items():
+        words = t.encode().split()
+        assert one("op2", i)["size"] == len(words) and one("op2", i).taken in (0, len(words), 2 * len(words))
+        assert (one("op4", i)["size"], one("op4", i).text_crc32) == (len(t.encode()) + 1, zlib.crc32(t.encode()))
+        assert one("op8", i).n_words == len(words) and one("op6", i).n_tokens == one("op3", i).n_tokens - 1 == 0 if not t else True
+        assert one("op10", i).lang_pred == langid.UND if not re.search("[^\\W\\d_]", t) else True
+    assert (one("op1", 9).n_access, one("op1", 0).spans, one("op1", 9).spans) == (1, "", "access:0:20")
+    # Copies (5, repeated, and 6) and what contains them (7): only later documents lose the 40 words; one word 30,000 times keeps one window.
+    assert [(r.n_removed, r.n_words) for i in (5, 6, 7) for r in rows["op8"][i]] == [(0, 40), (0, 40), (40, 40), (40, 41)] and one("op8", 8).n_removed == 29_999
+    assert {(r.component_id, r.kept) for i in (5, 6, 7) for r in rows["op7"][i]} == {(5, True), (5, False)} and one("op7", 0).kept and one("op7", None).kept
+    assert sorted(r.start for i in texts for r in rows["op3"][i]) == sorted(np.cumsum([0] + [r.n_tokens for i in [None, *sorted(k for k in texts if k is not None)] for r in rows["op3"][i]])[:-1].tolist())
+
+
 @pytest.mark.parametrize("name", sorted(DIGESTS))
 def test_empty_tables_give_no_rows(spark, name):
     assert DIGESTS[name](docs(spark, [])).count() == 0
@@ -74,6 +96,22 @@ def test_masked_spans_do_not_overlap(spark):
     assert out == '[SECRET]" end'
 
 
+def test_very_many_spans_in_one_text(spark):
+    """100,000 spans, weak parts and loose runs among them, in one text: positions and the masked text by brute force."""
+    text = "é " + "".join(f"token={i:07d}é user: bob{i} k3v-9xq2_mm81-{i:06d} " for i in range(33_400))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = secrets.scan_secrets(df).first()
+    want = [(m.start(), 0, m.end()) for m in re.finditer("token=[0-9]+", text)] + [(m.start(), 3, m.end()) for m in re.finditer("user: bob[0-9]+", text)]
+    want += [(m.start(), 4, m.end()) for m in re.finditer("k3v-9xq2_mm81-[0-9]+", text)]
+    assert len(want) > 100_000 and sorted(map(tuple, found.spans)) == sorted(want)
+    out, at = [], 0
+    for start, _, end in sorted(want):
+        out += [text[at:start], "[SECRET]"]
+        at = end
+    rows = spark.createDataFrame([(text, [tuple(s) for s in found.spans])], "text string, spans array<struct<start:int,ord:int,end:int>>")
+    assert rows.select(secrets.mask_secrets(F.col("text"), F.col("spans"))).first()[0] == "".join([*out, text[at:]])
+
+
 def test_mix_meets_its_targets(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(["w"] * rng.randint(0, 60)), None, rng.choice(["a", "b", "b", "b", None]), 0, "", "", 0) for i in range(600)]
@@ -90,6 +128,58 @@ def test_mix_meets_its_targets(spark):
     assert sum(target.values()) == pytest.approx(1.5 * sum(size.values())) and all(target[s] <= 2 * size[s] + 1e-6 for s in target)
 
 
+def test_mix_equals_a_plain_simulation(spark):
+    """The same draws in plain Python: targets, inclusion probabilities, ranks and the fill up to the last document that fits."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(["w"] * int(rng.lognormvariate(2, 1.5))), None, rng.choice(["a", "b", "b", "c", "d", "e", None]), 0, "", "", 0) for i in range(500)]
+    df = spark.createDataFrame(rows, DOCS)
+    drawn = df.select("doc_id", "source", F.size(F.filter(F.split("text", " "), lambda w: w != "")).alias("size"), mixing.uniform(F.col("doc_id"), F.xxhash64("text"), seed=mixing.SEED).alias("u"), F.xxhash64("text").alias("h")).collect()
+    by = defaultdict(list)
+    for r in drawn:
+        by[r.source].append(r)
+    names = sorted(by, key=lambda s: (s is None, s or ""))
+    size, weight = {s: sum(r["size"] for r in by[s]) for s in names}, {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(names)}
+    target, free, left = {}, set(names), 1.5 * sum(size.values())
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * level >= 2 * size[s]}
+        for s in over or free:
+            target[s] = 2.0 * size[s] if over else weight[s] * level
+        left -= sum(target[s] for s in over)
+        free = free - over if over else set()
+    want = {}
+    for s in names:
+        certain = min(2, int(target[s] / size[s] + 1e-12)) if size[s] else 0
+        words = target[s] - certain * size[s] if certain < 2 else 0
+        want |= {r.doc_id: certain for r in by[s]}
+        some = [r for r in by[s] if r["size"]] if words > 0 else []
+        sure = []
+        while some:
+            c = (words - sum(r["size"] for r in sure)) / sum(r["size"] ** 2 for r in some)
+            more = [r for r in some if c * r["size"] >= 1]
+            if not more:
+                break
+            sure, some = sure + more, [r for r in some if r not in more]
+        words -= sum(r["size"] for r in sure)
+        taken = list(sure)
+        some = sorted(((r.u * (1 - c * r["size"]) / ((1 - r.u) * c * r["size"]), r.doc_id, r.h, r) for r in some), key=lambda x: x[:3]) if some else []
+        while some := [x for x in some if x[3]["size"] <= words]:
+            for x in list(some):
+                if x[3]["size"] > words:
+                    break
+                words -= x[3]["size"]
+                taken.append(x[3])
+                some.remove(x)
+        for r in taken:
+            want[r.doc_id] += 1
+    out = mixing.mix_sources(df).collect()
+    assert {r.id: r.copies for r in out} == want
+    assert all(r.target == pytest.approx(target[r.source]) for r in out)
+    for s in names:  # nothing that could be drawn still fits
+        gap = target[s] - sum(r.copies * r["size"] for r in out if r.source == s)
+        assert gap >= -1e-6 and not [r for r in out if r.source == s and 0 < r["size"] <= gap and r.copies == int(target[s] / size[s] + 1e-12) < 2]
+
+
 def test_bits_pack_and_unpack():
     rng = np.random.default_rng(0)
     for bits in (1, 7, 8, 15, 16, 17, 24):
@@ -134,16 +224,34 @@ def test_bpe_equals_the_library():
         assert bpe.load(WORD).decode(np.array(ids, dtype=np.int64)).decode() == library.decode(ids, skip_special_tokens=False)
 
 
-def test_shards_are_even_and_keep_groups(spark):
+def test_shards_are_the_least_cut_and_keep_groups(spark):
+    """Sizes, checksums, gapless slots, whole groups, and the largest shard as small as any cut of the groups in order can make it."""
     rng = random.Random(2)
-    df = docs(spark, [rng.choice(["a" * 50, "b", None, f"t{i}" * rng.randint(1, 9)]) for i in range(800)])
+    texts = [rng.choice(["a" * 50, "b", None, "é" * 9, f"t{i}" * rng.randint(1, 9)]) for i in range(800)]
+    df = docs(spark, texts)
+    plain = {r.doc_id: r for r in df.select("doc_id", "text", F.xxhash64("text").alias("x")).collect()}
     rows = sharding.shard_digest(df).collect()
-    sizes, slots, groups = defaultdict(int), defaultdict(list), defaultdict(set)
+    sizes, slots, groups, by_hash = defaultdict(int), defaultdict(list), defaultdict(set), defaultdict(int)
     for r in rows:
+        raw = (plain[r.doc_id].text or "").encode()
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "bytes", None)
         sizes[r.shard] += r["size"]
         slots[r.shard].append(r.slot)
-        groups[(r["size"], r.text_crc32)].add(r.shard)
-    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and all(len(g) == 1 for g in groups.values())
+        groups[plain[r.doc_id].x].add(r.shard)
+        by_hash[plain[r.doc_id].x] += r["size"]
+    assert len(rows) == len(texts) + 1 and all(sorted(s) == list(range(len(s))) for s in slots.values()) and all(len(g) == 1 for g in groups.values())
+    assert all(0 <= s < sharding.SHARDS for s in sizes)
+    ordered = [by_hash[h] for h in sorted(by_hash)]
+
+    def fits(capacity):
+        n, at = 1, 0
+        for size in ordered:
+            if size > capacity:
+                return False
+            n, at = (n + 1, size) if at + size > capacity else (n, at + size)
+        return n <= sharding.SHARDS
+
+    assert max(sizes.values()) == next(c for c in range(1, sum(ordered) + 1) if fits(c))
 
 
 def test_shard_capacity_is_the_least():
@@ -167,16 +275,50 @@ def vector_rows(spark, n=400):
     return spark.createDataFrame(rows, VECTORS)
 
 
-def test_nearest_recall(spark):
+def test_nearest_edge_cases(spark):
     df = vector_rows(spark)
     plain = {r.vec_id: np.array(r.embedding, dtype=float) for r in df.collect() if r.vec_id is not None and r.embedding and np.isfinite(r.embedding).all() and any(r.embedding)}
+    assert recall(vectors.nearest(df).collect(), plain, 20, 20) >= 0.9
+
+
+def recall(rows, plain, every, k):
+    """Share of the true nearest that were found; every row is checked for its score and the whole for its shape."""
+    ids = np.array(sorted(plain))
+    x = np.zeros((len(ids), max(map(len, plain.values()))))
+    for i, v in enumerate(ids):
+        x[i, : len(plain[v])] = plain[v]
+    at = {int(v): i for i, v in enumerate(ids)}
     found = defaultdict(list)
-    for r in sorted(vectors.nearest(df).collect(), key=lambda r: (r.query_id, r.rank)):
-        assert r.score == pytest.approx(float(plain[r.query_id] @ plain[r.vec_id]))
-        found[r.query_id].append(r.vec_id)
-    assert set(found) == {i for i in plain if i % 20 == 0} and all(len(v) == 20 for v in found.values())
-    hits = sum(len(set(v) & set(sorted((i for i in plain if i != q), key=lambda i: (-(plain[i] @ plain[q]), i))[:20])) for q, v in found.items())
-    assert hits >= 0.9 * 20 * len(found)
+    for r in sorted(rows, key=lambda r: (r.query_id, r.rank)):
+        assert r.score == pytest.approx(float(x[at[r.query_id]] @ x[at[r.vec_id]])) and r.vec_id != r.query_id
+        found[r.query_id].append((-r.score, r.vec_id))
+    assert set(found) == {v for v in at if v % every == 0} and all(len(f) == min(k, len(ids) - 1) and f == sorted(f) for f in found.values())
+    hits = 0
+    for q, f in found.items():
+        score = x @ x[at[q]]
+        score[at[q]] = -np.inf
+        hits += len({v for _, v in f} & {int(v) for v in ids[np.lexsort((ids, -score))[:k]]})
+    return hits / sum(map(len, found.values()))
+
+
+def test_nearest_recall_beyond_one_block(spark):
+    """Over 8192 rows whose lengths differ by orders of magnitude, with a large group of copies, where less than a tenth is reranked."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(9000, 24)) * np.exp(rng.normal(size=(9000, 1)) * 0.8)
+    x[3000:6000] = x[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    assert recall(vectors.nearest(df, every=100).collect(), dict(enumerate(x)), 100, 20) >= 0.9
+
+
+def test_footrule_equals_brute_force():
+    rng = np.random.default_rng(7)
+    order = np.array([rng.permutation(40)[:8] for _ in range(300)])
+    files = vectors.InvertedFiles.post(order, 40)
+    beyond = int(vectors.BEYOND * 8)
+    place = lambda o, p: o.tolist().index(p) if p in o else beyond
+    for q in order[:20]:
+        assert files.footrule(q).tolist() == [sum(abs(place(q, p) - place(o, p)) for p in {*q.tolist(), *o.tolist()}) for o in order]
+    assert sum(len(o) for o in order) == len(files.members) and files.footrule(order[5])[5] == 0
 
 
 @pytest.mark.parametrize("search", [vectors.nearest, vectors.exact_top_k])
@@ -185,19 +327,24 @@ def test_empty_vectors(spark, search):
     assert search(spark.createDataFrame([(0, [1.0], 0, "", "")], VECTORS)).count() == 0
 
 
-def test_nearest_recall_on_the_table(spark):
-    rows = spark.read.parquet(f"{SF}/embeddings.parquet")
-    data = [(r.vec_id, np.array(r.embedding, dtype=float)) for r in rows.collect()]
-    ids, x = np.array([i for i, _ in data]), np.stack([v for _, v in data])
-    found = defaultdict(set)
-    for r in vectors.nearest(rows).collect():
-        found[r.query_id].add(r.vec_id)
-    hits = total = 0
-    for i in np.flatnonzero(ids % 20 == 0):
-        score = x @ x[i]
-        best = [int(ids[j]) for j in np.lexsort((ids, -score)) if j != i][:20]
-        hits, total = hits + len(found[int(ids[i])] & set(best)), total + len(best)
-    assert hits >= 0.9 * total
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_nearest_recall_on_the_table(spark, sf):
+    rows = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    plain = {r.vec_id: np.array(r.embedding, dtype=float) for r in rows.collect()}
+    assert recall(vectors.nearest(rows).collect(), plain, 20, 20) >= 0.9
+
+
+def test_exact_scores_are_not_clipped(spark):
+    rows = [(0, [1.0, 1e6]), (1, [1.0, 1e6]), (2, [-1.0, 1e6 + 0.5]), (3, [2.0**25, 3.0]), (100, [2.0**11, 2.0**-10]), (200, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(np.floor(1024 * c)) for c in v] for i, v in rows}
+    want = []
+    for q in (0, 100, 200):
+        scores = sorted(((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q))
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)]
+    assert sorted(map(tuple, vectors.exact_top_k(df).collect())) == want and want[1][3] == 1048576000001048576
+    with pytest.raises(Exception, match="int64|long|too large|Overflow"):
+        vectors.exact_top_k(spark.createDataFrame([(0, [2.0**60]), (1, [2.0**60])], "vec_id long, embedding array<double>")).collect()
 
 
 def test_components(spark):
@@ -240,7 +387,52 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == {i: (len(sets[i]), root[i], root[i] == i) for i in range(len(texts))}
 
 
-def test_repeated_windows_equal_brute_force(spark):
+def test_links_at_exactly_the_threshold(spark):
+    """75 of 100 shingles link, 74 of 100 do not; null ids keep one text a component."""
+    word = lambda c, n: [f"{c}{i}" for i in range(n)]
+    # Of two texts with a shared head of k + 4 words (k shingles) and m more each, k of k + 2m shingles are shared.
+    pair = lambda c, shared, rest: [" ".join(word(c, shared + 4) + word(c + t, rest)) for t in "pq"]
+    texts = pair("a", 150, 25) + pair("b", 149, 26) + pair("d", 150, 25)
+    ids = [0, 1, 2, 3, None, None]
+    sets = _sets(texts)
+    assert [100 * len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in (0, 2)] == [75.0, 100 * 149 / 201]
+    rows = near_rows(spark, list(zip(ids, texts)))
+    assert [r.component_id for r in rows if r.doc_id is not None] == [0, 0, 2, 3] and sum(r.kept for r in rows if r.doc_id is None) == 1
+
+
+def near_rows(spark, rows):
+    found = neardup.near_duplicate_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return sorted(found, key=lambda r: (r.doc_id is None, r.doc_id or 0))
+
+
+def test_large_buckets_of_unlike_texts_and_hot_leaders(spark, monkeypatch):
+    """Blocks of a few nodes, joins by shuffle only: a bucket of many near copies of two kinds still gives their links."""
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr("tessella.llm.common.BROADCAST_ROWS", 0)
+    rng = random.Random(9)
+    base = [f"v{i}" for i in range(120)]
+    half = base[:80] + [f"o{i}" for i in range(40)]
+    texts = []
+    for kind in (base, half):
+        for _ in range(30):
+            copy = list(kind)
+            for at in rng.sample(range(120), rng.randint(0, 2)):
+                copy[at] = f"n{rng.randint(0, 99)}"
+            texts.append(" ".join(copy))
+    sets, root = _sets(texts), list(range(len(texts)))
+    for _ in range(8):
+        for i in range(len(texts)):
+            for j in range(i):
+                if root[i] != root[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                    low, high = sorted((root[i], root[j]))
+                    root = [low if r == high else r for r in root]
+    assert [r.component_id for r in near_rows(spark, list(enumerate(texts)))] == root
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_repeated_windows_equal_brute_force(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr("tessella.llm.common.BROADCAST_ROWS", 0)
     rng = random.Random(7)
     passage = [f"p{i}" for i in range(55)]
     texts = [None, ""]
@@ -279,14 +471,57 @@ def test_language_held_out_accuracy(spark):
     assert len(held) > 200 and sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held) and all(0 <= r.score <= 1 for r in held)
 
 
+def test_predictions_equal_brute_force(spark):
+    """Profiles and out-of-place distances in plain Python, over whole texts."""
+
+    def counts(text):
+        out = Counter()
+        letters = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in unicodedata.normalize("NFC", text or "").lower())
+        for word in letters.split():
+            marked = f"_{word}_"
+            out.update(g for n in (1, 2, 3) for i in range(len(marked) - n + 1) if word and (g := marked[i : i + n]) != "_")
+        return out
+
+    def top(c):
+        return sorted(c, key=lambda g: (-c[g], g))[: langid.PROFILE]
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = rows.collect()
+    learned = [r for r in plain if r.lang and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    profiles = {lang: top(sum((counts(r.text) for r in learned if r.lang == lang), Counter())) for lang in {r.lang for r in learned}}
+    assert langid.fit_profiles(rows.filter(~langid.held_out(F.col("doc_id"))).withColumnRenamed("doc_id", "id")) == profiles
+    rank = {lang: {g: i for i, g in enumerate(grams)} for lang, grams in profiles.items()}
+    want = {}
+    for r in plain:
+        own = top(counts(r.text))
+        far = {lang: sum(abs(rank[lang][g] - i) if g in rank[lang] else langid.PROFILE for i, g in enumerate(own)) for lang in rank}
+        best = min(sorted(far), key=far.get)
+        want[r.doc_id] = (best, 1 - far[best] / (langid.PROFILE * len(own))) if own else (langid.UND, 0.0)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.language_digest(rows).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()} and all(got[k][1] == pytest.approx(v[1]) for k, v in want.items())
+
+
+def test_letters_are_of_category_l():
+    model = langid.Profiles({"en": ["a", "_a"], "de": ["b"]})
+    assert [model.predict(t) for t in ("½ ① Ⅷ ²", None, "", "１２")] == [(langid.UND, 0.0)] * 4 and model.predict("ª")[0] == "de"
+
+
+def test_very_long_texts_are_counted_in_pieces(monkeypatch):
+    text = "".join(random.Random(3).choices("abcäß 1中.\n", k=5000)) + "x" * 700
+    whole = [a.tolist() for a in next(langid.text_counts([text]))]
+    monkeypatch.setattr(langid, "PIECE_CHARS", 300)
+    assert [a.tolist() for a in next(langid.text_counts([text]))] == whole and len(langid.pieces_of(text)) > 10
+
+
 def test_out_of_place_distance_by_hand():
     model = langid.Profiles({"aa": ["a", "_a", "a_"], "bb": ["b"]})
     assert model.predict("aaa")[0] == "aa" and model.predict("bb")[0] == "bb" and model.predict("12 !") == (langid.UND, 0.0)
 
 
 def test_repeated_rows_stay_one_document_across_batches():
-    h, d, s = [1, 1, 1, 1, 1, 1, 2, 2, 2], [5, 5, 5, 5, 7, 7, 5, 6, 6], [0, 0, 0, 9, 0, 0, 1, 1, 1]
+    h, d, s = [1, 1, 1, 1, 1, 1, 2, 2, 2, 2], [5, 5, 5, 5, 7, 7, 5, 6, 6, 4], [0, 0, 0, 9, 0, 0, 1, 1, 1, 0]
+    g = [3] * 9 + [4]  # the last window agrees with others in one hash only
     for size in range(1, 10):
-        batches = [substring._batch(*(np.array(x[i : i + size]) for x in (h, d, s)), np.ones(len(h[i : i + size]), int), np.zeros(len(h[i : i + size]), bool)) for i in range(0, len(h), size)]
+        batches = [substring._batch(*(np.array(x[i : i + size]) for x in (h, g, d, s)), np.ones(len(h[i : i + size]), int), False) for i in range(0, len(h), size)]
         got = [(r["d"], r["s"]) for b in substring._repeated(True)(batches) for r in b.to_pylist()]
         assert got == [(5, 9), (7, 0), (7, 0), (6, 1), (6, 1)]

@@ -27,9 +27,57 @@ def test_order_and_columns(staged):
     assert all(list(after.columns) == COLUMNS for _, after in staged[0])
 
 
-def test_language_stage_keeps_what_has_letters(staged):
+def test_language_stage_keeps_what_has_letters_and_writes_the_language(staged):
     before, after = staged[0][0]
     assert set(after.doc_id) == set(before[before.text.fillna("").str.contains(r"[^\W\d_]", regex=True)].doc_id)
+    both = before.merge(after, on="doc_id")
+    assert (both.text_x == both.text_y).all() and (both.lang_x == both.lang_y).mean() > 0.97 and both.lang_y.notna().all()
+
+
+CASES = [
+    (1, None, "en", "s", 0), (2, "", None, None, 0), (None, "½ ① 12", "en", "s", 6), (4, "中文字", None, "s", 3), (9, "the cat and the dog", "en", "s", 19),
+    (9, "the cat and the dog", "en", "s", 19), (None, "the bird and the fish", None, None, 21), (7, "der hund und die katze " * 20_000, "de", "t", 460_000), (8, "password=abcdef99 und der", "de", None, 25),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, h string, root long, spans string, copies int"
+
+
+def cases(spark, rows=CASES):
+    """Documents with nulls, repeated rows and columns whose names clash with inner ones."""
+    return spark.createDataFrame([(*r, "i", "h", 7, "s", 9) for r in rows], SCHEMA)
+
+
+def test_language_stage_by_hand(spark):
+    out = pipeline.language_id(spark, cases(spark), SF)
+    assert out.columns == COLUMNS
+    assert sorted((r.doc_id or 0, r.lang) for r in out.collect()) == [(0, "en"), (7, "de"), (8, "de"), (9, "en"), (9, "en")]
+    unlabelled = cases(spark, [(i, t, None, s, n) for i, t, _, s, n in CASES])
+    assert sorted(r.doc_id or 0 for r in pipeline.language_id(spark, unlabelled, SF).collect()) == [0, 4, 7, 8, 9, 9]
+
+
+def test_dedup_stage_by_hand(spark):
+    out = pipeline.near_dedup(spark, cases(spark), SF)
+    assert out.columns == COLUMNS and sorted((r.doc_id or 0, (r.text or "")[:5]) for r in out.collect()) == sorted(
+        {(i or 0, (t or "")[:5]) for i, t, *_ in CASES}
+    )
+
+
+def test_mix_stage_by_hand(spark):
+    """Certain copies and sums by source; repeated rows share their copies."""
+    rows = [(1, "a b c", "en", "s", 5)] * 3 + [(2, "d e f g", "en", "t", 7), (None, "x y", None, None, 3), (3, None, "en", "s", 0), (4, "", "en", "t", 0)]
+    out = [(r.doc_id, r.text, r.source) for r in pipeline.source_mix(spark, cases(spark, rows), SF).collect()]
+    # Targets: s 15 * 1.5 * 5 / 8 = 14.1 of 9 words, t 5.6 of 4, null 2.8 of 2: one or two copies of each.
+    want = {(1, "a b c", "s"): 4, (2, "d e f g", "t"): 1, (None, "x y", None): 1, (3, None, "s"): 1, (4, "", "t"): 1}
+    assert {x: out.count(x) for x in set(out)} == want
+
+
+def test_encode_stage_by_hand(spark):
+    out = pipeline.bpe_encode(spark, cases(spark), SF).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens == len(r.ids), r.n_tokens > 0) for r in out) == sorted((i or 0, True, bool(t)) for i, t, *_ in CASES)
+
+
+@pytest.mark.parametrize("stage", [f for _, f in pipeline.STAGES])
+def test_stages_take_an_empty_table(spark, stage):
+    assert stage(spark, cases(spark, []), SF).count() == 0
 
 
 def test_dedup_stage_keeps_one_of_each_group(staged):
@@ -80,5 +128,5 @@ def test_mix_stage_repeats_whole_documents(staged):
 def test_last_stage_encodes_every_copy(spark, staged):
     docs = staged[1]
     path = queries.tokenizer_path("word_bpe_49k.json")
-    want = sorted((r.doc_id, np.frombuffer(next(bpe.encoded_texts([r.text], path)), "<u4").tolist()) for r in docs.collect())
+    want = sorted((r.doc_id, np.frombuffer(bpe.encoded_texts([r.text], path)[0], "<u4").tolist()) for r in docs.collect())
     assert sorted((r.doc_id, r.ids) for r in pipeline.bpe_encode(spark, docs, SF).collect()) == want
