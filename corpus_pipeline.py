@@ -5,8 +5,9 @@ DataFrame; all but the last return the columns of ``documents``. Decisions come
 per document: by a broadcast where the table of decisions is proven small, by a shuffle join beyond.
 
 Defined cases: a null text or one without letters is rejected by the first stage; null and repeated
-ids are handled by (id, hash of the text); repeated rows are one document from the second stage on;
-an empty table passes through as empty.
+ids are handled by (id, hash of the text); repeated rows are one document from the second stage on, and each
+stage on its own takes them; null sources are a source of their own; an empty table passes through as
+empty; columns beyond those of ``documents`` are not carried on.
 """
 
 from __future__ import annotations
@@ -22,12 +23,16 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that have a language; only those without a letter go. A text in a script that
-    no profile knows stays."""
+    """Keep the documents that have a language and write it into ``lang``. Rejected are those without a letter
+    and those in a script that no profile knows (score 0). Without any labelled document all with a letter
+    stay as they are."""
     docs = docs.select(*COLUMNS)
     labelled = docs.select(F.col("doc_id").alias("id"), "text", "lang").filter(~langid.held_out(F.col("id")))
-    found = langid.with_language(docs, langid.fit_profiles(labelled))
-    return found.filter(F.col("lang_pred") != langid.UND).select(*COLUMNS)
+    profiles = langid.fit_profiles(labelled)
+    if not profiles:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = langid.with_language(docs, profiles).filter((F.col("lang_pred") != langid.UND) & (F.col("score") > 0))
+    return found.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,12 +62,19 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it."""
+    """Each document as many times as the mix takes it.
+
+    Of rows with one id and text each gets an even share of their copies, and one of them what is left over.
+    """
     docs = docs.select(*COLUMNS)
-    copies = mixing.mix_sources(docs).groupBy("id", "h").agg(F.avg("copies").alias("copies"))
-    copies = written(copies.withColumn("copies", F.ceil("copies").cast("int")).filter("copies > 0"), "pipeline-copies")
+    taken = mixing.mix_sources(docs).groupBy("id", "h").agg(F.sum("copies").alias("all"), F.count("*").alias("n")).filter(F.col("all") > 0)
+    each, left = F.floor(F.col("all") / F.col("n")).cast("int"), (F.col("all") % F.col("n")).cast("int")
+    taken = written(taken.select("id", "h", each.alias("each"), left.alias("left")), "pipeline-copies")
     where = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("h"))
-    return docs.join(small(copies), where).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    times = lambda rows, n: rows.filter(F.col(n) > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(n)))).select(*COLUMNS)
+    rows = times(docs.join(small(taken.filter("each > 0")), where), "each")
+    rest = taken.filter(F.col("left") > 0)
+    return rows if rest.isEmpty() else rows.unionByName(times(docs.join(small(rest), where).dropDuplicates(["id", "h"]), "left"))
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
