@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import bpe, langid, mixing, neardup, secrets, sharding, substring, tokenfile, vectors
+from tessella.llm import bpe, extract, fim, langid, mixing, neardup, negatives, secrets, sharding, substring, tokenfile, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,21 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector's positives."""
+    return negatives.negatives_digest(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document."""
+    return fim.fim_digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_mixing": op2_mixing,
@@ -79,6 +94,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLES = {
@@ -86,4 +104,7 @@ ORACLES = {
     "op7_near_dedup": neardup.ORACLE,
     "op8_substring_dedup": substring.ORACLE,
     "op9_exact_top_k": vectors.EXACT_ORACLE,
+    "op11_hard_negatives": negatives.ORACLE,
+    "op12_html_extraction": extract.ORACLE,
+    "op13_fill_in_middle": fim.ORACLE,
 }
