@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.functions.text import js_round
+from tessella.functions.text import js_round, utf16_length
 from tessella.operators.geometry import nearest_anchor, renamed, smallest_container
 from tessella.operators.sequence import nearest_of
 
@@ -17,6 +17,8 @@ BIG_WIDTH, BIG_HEIGHT = 250, 200
 SECTION_PICTURES, SECTION_CHARS, SECTION_RADIUS = 3, 3000, 400
 CONTAINER_WIDTH, CONTAINER_HEIGHT = 150, 120
 FLOAT_SLACK = 6
+# Fixed value: heading of the texts near no picture.
+SCATTERED = "【画布散落文字，未邻近任何界面截图】"
 
 
 def _text(lines: Column, between: str = "\n") -> Column:
@@ -70,7 +72,7 @@ def sections(blocks: DataFrame, pictures: DataFrame, doc: str = "doc") -> tuple[
     rows = blocks.select(doc, "seq", "x", "y", "w", "h", "lines", "n_images").dropna(subset=["x", "y", "w", "h"])
     shown = rows.filter((_text(F.col("lines")) != "") | (F.coalesce("n_images", F.lit(0)) > 0))
     big = pictures.filter((F.col("w") >= BIG_WIDTH) & (F.col("h") >= BIG_HEIGHT))
-    much = shown.groupBy(doc).agg(F.sum(F.length(_text(F.col("lines"), ""))).alias("_chars"))
+    much = shown.groupBy(doc).agg(F.sum(utf16_length(_text(F.col("lines"), ""))).alias("_chars"))
     many = big.groupBy(doc).agg(F.count("*").alias("_n")).join(much, doc)
     cut = many.filter((F.col("_n") >= SECTION_PICTURES) | (F.col("_chars") >= SECTION_CHARS)).select(doc)
     shown, big = shown.join(cut, doc, "left_semi"), big.join(cut, doc, "left_semi")
@@ -86,7 +88,7 @@ def sections(blocks: DataFrame, pictures: DataFrame, doc: str = "doc") -> tuple[
     whole = lambda own, other: js_round(F.when(loose, other).otherwise(own)).cast("long")
     found = numbered.select(
         doc, F.when(loose, -1).otherwise(F.col("place")).alias("section"), "l.anchor", whole(F.col("l.x"), first["x"]).alias("x"), whole(F.col("l.y"), first["y"]).alias("y"),
-        whole(F.col("l.w"), F.lit(0)).alias("w"), whole(F.col("l.h"), F.lit(0)).alias("h"), F.when(loose, lines("s")).otherwise(lines("e")).alias("text"),
+        whole(F.col("l.w"), F.lit(0)).alias("w"), whole(F.col("l.h"), F.lit(0)).alias("h"), F.when(loose, F.concat(F.lit(SCATTERED + "\n"), lines("s"))).otherwise(lines("e")).alias("text"),
     )
     members = near.select(doc, "seq", "anchor").join(found.select(F.col(doc).alias("_doc"), F.col("anchor").alias("_anchor"), "section"), (F.col(doc) == F.col("_doc")) & F.col("anchor").eqNullSafe(F.col("_anchor")))
     return found, members.select(doc, "seq", "section")

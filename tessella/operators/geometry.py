@@ -1,7 +1,12 @@
 """Rectangle operators: anti joins by containment, nearest and smallest partners, bands and grids.
 
-Rectangles have a document key and ``seq`` (their order in it), ``x, y, w, h``. Every join carries
-the document key, so partners meet within a document only. Ties go to the smaller ``seq``.
+Rectangles have a document key and ``seq`` (their order in it, unique there), ``x, y, w, h``. Containment and
+nearest partners are joined by tiles (:mod:`tessella.operators.spatial`), so partners meet within a document's
+tiles only. Ties go to the smaller ``seq``.
+
+Defined cases: rectangles without a place or document meet nothing and are kept by the anti joins; of repeated rows one
+result row is given, but the anti joins keep or drop them all; empty tables give no rows; columns that begin with an
+underscore, ``o_`` or ``c_`` are the operators' own.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from pyspark.sql import functions as F
 from tessella.functions.color import is_opaque_solid
 from tessella.functions.text import utf16_length
 from tessella.operators.sequence import anchored_clusters
+from tessella.operators.spatial import framed, nearest_boxes, points_in_boxes
 
 
 def renamed(rects: DataFrame, prefix: str, doc: str = "doc") -> DataFrame:
@@ -36,36 +42,45 @@ def visible_layers(layers: DataFrame, doc: str = "doc") -> DataFrame:
     """
     cover = renamed(layers.filter((F.col("type") != "text") & is_opaque_solid(F.col("fill"))).select(doc, "seq", "x", "y", "w", "h"), "o_", doc)
     exempt = (F.col("type") == "text") | F.coalesce("is_slice", F.lit(False)) | F.col("image_url").isNotNull()
-    hit = (F.col("o_seq") > F.col("seq")) & _holds("o_", "") & ~exempt
-    return layers.join(cover.withColumnRenamed(doc, "_doc"), (F.col(doc) == F.col("_doc")) & hit, "left_anti")
+    return _without_held(layers, layers.filter(~exempt), cover, F.col("o_seq") > F.col("seq"), doc)
+
+
+def _without_held(rects: DataFrame, judged: DataFrame, other: DataFrame, condition: Column, doc: str, slack: float = 0) -> DataFrame:
+    """``rects`` without those ``judged`` that lie in one of ``other`` (``o_`` columns) under a condition on the pair.
+
+    A rectangle lies in another only if its corner does, so the corner looks for holders in its tile.
+    """
+    own = [doc, "seq", "x", "y", "w", "h"]
+    corners = judged.select(*own, F.col("x").cast("double").alias("_px"), F.col("y").cast("double").alias("_py"))
+    holders = framed(other, doc, slack, "o_x", "o_y", "o_w", "o_h")
+    held = points_in_boxes(corners, holders, doc, condition & _holds("o_", "", slack)).select(*own).distinct()
+    return rects.join(held.withColumn("_held", F.lit(True)), own, "left_anti")
 
 
 def outer_containers(rects: DataFrame, doc: str = "doc", slack: float = 2) -> DataFrame:
     """Rectangles that do not lie in a strictly larger one of their document (within ``slack``)."""
-    other = renamed(rects.select(doc, "seq", "x", "y", "w", "h"), "o_", doc).withColumnRenamed(doc, "_doc")
-    larger = F.col("o_w") * F.col("o_h") > F.col("w") * F.col("h")
-    return rects.join(other, (F.col(doc) == F.col("_doc")) & larger & _holds("o_", "", slack), "left_anti")
+    other = renamed(rects.select(doc, "seq", "x", "y", "w", "h"), "o_", doc)
+    return _without_held(rects, rects, other, F.col("o_w") * F.col("o_h") > F.col("w") * F.col("h"), doc, slack)
+
+
+def _centres(rects: DataFrame, doc: str) -> DataFrame:
+    middle = lambda at, size: (F.col(at) + F.col(size) / 2).cast("double")
+    return rects.select(doc, "seq", middle("x", "w").alias("_px"), middle("y", "h").alias("_py"))
 
 
 def smallest_container(items: DataFrame, containers: DataFrame, doc: str = "doc") -> DataFrame:
     """``doc, seq, container``: the smallest container that holds an item's centre, or null."""
-    boxes = renamed(containers.select(doc, "seq", "x", "y", "w", "h"), "c_", doc).withColumnRenamed(doc, "_doc")
-    cx, cy = F.col("x") + F.col("w") / 2, F.col("y") + F.col("h") / 2
-    inside = cx.between(F.col("c_x"), F.col("c_x") + F.col("c_w")) & cy.between(F.col("c_y"), F.col("c_y") + F.col("c_h"))
-    joined = items.join(boxes, (F.col(doc) == F.col("_doc")) & inside, "left")
-    return joined.groupBy(doc, "seq").agg(F.min_by("c_seq", F.struct(F.col("c_w") * F.col("c_h"), "c_seq")).alias("container"))
+    boxes = renamed(containers.select(doc, "seq", "x", "y", "w", "h"), "c_", doc)
+    centres = _centres(items, doc)
+    held = points_in_boxes(centres, framed(boxes, doc, 0, "c_x", "c_y", "c_w", "c_h"), doc).select(doc, "seq", F.struct((F.col("c_w") * F.col("c_h")).alias("area"), "c_seq").alias("c"))
+    alone = centres.select(doc, "seq", F.lit(None).cast(held.schema["c"].dataType).alias("c"))
+    return held.unionByName(alone).groupBy(doc, "seq").agg(F.min("c").alias("c")).select(doc, "seq", F.col("c.c_seq").alias("container"))
 
 
 def nearest_anchor(blocks: DataFrame, anchors: DataFrame, doc: str = "doc", radius: float = 400) -> DataFrame:
     """``doc, seq, anchor, distance``: the anchor nearest to a block's centre, null beyond ``radius``."""
-    boxes = renamed(anchors.select(doc, "seq", "x", "y", "w", "h"), "a_", doc).withColumnRenamed(doc, "_doc")
-    cx, cy = F.col("x") + F.col("w") / 2, F.col("y") + F.col("h") / 2
-    dx = F.greatest(F.col("a_x") - cx, F.lit(0.0), cx - (F.col("a_x") + F.col("a_w")))
-    dy = F.greatest(F.col("a_y") - cy, F.lit(0.0), cy - (F.col("a_y") + F.col("a_h")))
-    joined = blocks.join(boxes, F.col(doc) == F.col("_doc"), "left").withColumn("_d", F.sqrt(dx * dx + dy * dy))
-    best = joined.groupBy(doc, "seq").agg(F.min(F.when(F.col("a_seq").isNotNull(), F.struct("_d", "a_seq"))).alias("b"))
-    near = F.col("b._d") <= radius
-    return best.select(doc, "seq", F.when(near, F.col("b.a_seq")).alias("anchor"), F.when(near, F.col("b._d")).alias("distance"))
+    best = nearest_boxes(_centres(blocks, doc), anchors, radius, ["seq"], doc)
+    return best.select(doc, "seq", F.col("best.seq").alias("anchor"), F.col("best.d").alias("distance"))
 
 
 def inferred_titles(tables: DataFrame, blocks: DataFrame, doc: str = "doc") -> DataFrame:
@@ -161,10 +176,9 @@ def connector_edges(connectors: DataFrame, nodes: DataFrame, doc: str = "doc", t
     ends = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("side"), F.col(f"{p}x{k}").cast("double").alias("px"), F.col(f"{p}y{k}").cast("double").alias("py")) for i, (s, p, k) in enumerate([("s", "s", 1), ("s", "s", 2), ("e", "e", 1), ("e", "e", 2)])])
     points = connectors.select(doc, F.col("seq").alias("c_seq"), F.explode(ends).alias("p")).select(doc, "c_seq", "p.*")
     several = nodes.groupBy(doc).agg(F.count("*").alias("_n")).filter("_n >= 3").select(doc)
-    boxes = renamed(nodes.join(several, doc, "left_semi").select(doc, "seq", "x", "y", "w", "h"), "n_", doc)
-    dx = F.greatest(F.col("n_x") - F.col("px"), F.lit(0.0), F.col("px") - (F.col("n_x") + F.col("n_w")))
-    dy = F.greatest(F.col("n_y") - F.col("py"), F.lit(0.0), F.col("py") - (F.col("n_y") + F.col("n_h")))
-    best = points.join(boxes, doc).groupBy(doc, "c_seq", "i", "side").agg(F.min(F.struct(F.sqrt(dx * dx + dy * dy).alias("d"), "n_seq")).alias("b")).filter(F.col("b.d") <= tolerance)
+    boxes = nodes.join(several, doc, "left_semi").select(doc, "seq", "x", "y", "w", "h")
+    best = nearest_boxes(points.withColumnsRenamed({"px": "_px", "py": "_py"}), boxes, tolerance, ["c_seq", "i", "side"], doc).filter(F.col("best").isNotNull())
+    best = best.select(doc, "c_seq", "i", "side", F.struct("best.d", F.col("best.seq").alias("n_seq")).alias("b"))
     start = best.filter("side = 's'").select(doc, "c_seq", F.col("i").alias("si"), F.col("b.d").alias("sd"), F.col("b.n_seq").alias("from"))
     end = best.filter("side = 'e'").select(doc, "c_seq", F.col("i").alias("ei"), F.col("b.d").alias("ed"), F.col("b.n_seq").alias("to"))
     pairs = start.join(end, [doc, "c_seq"]).filter(F.col("from") != F.col("to"))

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.operators import canvas, sequence, tables
-from tessella.plans.common import derived, select_sql, sql_anchors, sql_nearest, table
+from tessella.plans.common import PLACE, derived, select_sql, sql_anchors, sql_nearest, table
 
-_SEQ = "l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey % 100000"
 _WIDGET = {
-    "doc": "l_suppkey % 61", "seq": _SEQ, "x": "l_partkey % 40 * 60 + 0.5", "y": "l_orderkey % 50 * 50 + l_linenumber", "w": "60 + l_quantity * 5", "h": "90 + l_linenumber * 25",
+    "doc": "l_suppkey % 61", "seq": PLACE, "x": "l_partkey % 40 * 60 + 0.5", "y": "l_orderkey % 50 * 50 + l_linenumber", "w": "60 + l_quantity * 5", "h": "90 + l_linenumber * 25",
     "word": "CASE WHEN l_partkey % 3 > 0 THEN 't' || l_partkey END", "is_picture": "l_suppkey % 3 = 0 AND l_orderkey % 9 = 0", "n_images": "CASE WHEN l_partkey % 6 = 0 THEN 1 ELSE 0 END", "is_table": "l_partkey % 15 = 0",
 }
 
@@ -43,10 +42,10 @@ def canvas_members(spark, sf_dir):
 def canvas_groups(spark, sf_dir):
     """Widgets with text by the container that holds them."""
     rows = _widgets(spark, sf_dir)
-    return canvas.grouped_content(rows.filter("lines IS NOT NULL"), canvas.containers(rows).filter("seq % 40 = 0"))
+    return canvas.grouped_content(rows.filter("lines IS NOT NULL"), canvas.containers(rows))
 
 
-_CELL = {"table_id": "l_orderkey", "seq": f"({_SEQ}) * 100 + CAST(l_quantity AS BIGINT)", "x": "l_partkey % 3 * 80", "y": "l_suppkey % 4 * 30", "w": "70", "h": "25", "text": "CASE WHEN l_quantity > 10 THEN 'c' || l_linenumber END", "over": "l_linenumber > 4"}
+_CELL = {"table_id": "l_orderkey", "seq": PLACE, "x": "l_partkey % 3 * 80", "y": "l_suppkey % 4 * 30", "w": "70", "h": "25", "text": "CASE WHEN l_quantity > 10 THEN 'c' || l_linenumber END", "over": "l_linenumber > 4"}
 
 
 def table_floats(spark, sf_dir):
@@ -78,11 +77,11 @@ _r = lambda own, other: f"CAST(floor(CASE WHEN anchor IS NULL THEN {other} ELSE
 
 ORACLES = {
     "canvas_containers": _W + " SELECT * FROM box",
-    "canvas_sections": _S + f" SELECT doc, section, anchor, {_r('x', 'fx')} AS x, {_r('y', 'fy')} AS y, {_r('w', 0)} AS w, {_r('h', 0)} AS h, md5(CASE WHEN anchor IS NULL THEN loose ELSE text END) AS text FROM s",
+    "canvas_sections": _S + f" SELECT doc, section, anchor, {_r('x', 'fx')} AS x, {_r('y', 'fy')} AS y, {_r('w', 0)} AS w, {_r('h', 0)} AS h, md5(CASE WHEN anchor IS NULL THEN '{canvas.SCATTERED}' || chr(10) || loose ELSE text END) AS text FROM s",
     "canvas_members": _S + " SELECT m.doc, m.seq, section FROM m JOIN s ON s.doc = m.doc AND s.anchor IS NOT DISTINCT FROM m.anchor",
     "canvas_groups": _W + """,
   i AS (SELECT * FROM w WHERE word IS NOT NULL),
-  h AS (SELECT i.doc, i.seq, i.x, i.y, c.seq AS container FROM i LEFT JOIN (SELECT * FROM box WHERE seq % 40 = 0) c ON c.doc = i.doc AND i.x + i.w / 2 BETWEEN c.x AND c.x + c.w AND i.y + i.h / 2 BETWEEN c.y AND c.y + c.h
+  h AS (SELECT i.doc, i.seq, i.x, i.y, c.seq AS container FROM i LEFT JOIN box c ON c.doc = i.doc AND i.x + i.w / 2 BETWEEN c.x AND c.x + c.w AND i.y + i.h / 2 BETWEEN c.y AND c.y + c.h
         QUALIFY row_number() OVER (PARTITION BY i.doc, i.seq ORDER BY c.w * c.h, c.seq) = 1)
   SELECT doc, container, seq, CAST(row_number() OVER (PARTITION BY doc, container ORDER BY y, x, seq) - 1 AS INTEGER) AS place FROM h""",
     "table_floats": f"""

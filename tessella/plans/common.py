@@ -10,6 +10,9 @@ WS = r"[\x09-\x0D\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202
 #: A unique order of an order's line items.
 SEQ = "CAST(l_linenumber AS BIGINT) * 10000000000000 + l_partkey * 10000000 + l_suppkey * 100 + CAST(l_quantity AS BIGINT)"
 
+#: A unique place of a line item in the whole table; these five columns repeat in no row.
+PLACE = "(((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey) * 64 + CAST(l_quantity AS BIGINT)"
+
 #: Layer rectangles derived from line items, as expressions both engines understand.
 RECT = {
     "doc": "l_orderkey",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.operators import cache, flow, listing, sequence, tables, tree
-from tessella.plans.common import sql_merge_key, sql_text_similarity, table
+from tessella.plans.common import PLACE, sql_merge_key, sql_text_similarity, table
 
 
 def adjacent_collapse(spark, sf_dir):
@@ -166,7 +166,7 @@ def directory_listing(spark, sf_dir):
 def slice_files(spark, sf_dir):
     """Slices still to fetch, named by part."""
     slices = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")).selectExpr(
-        "l_orderkey * 1000000000 + l_linenumber * 10000000 + l_partkey AS seq", "p_name AS name", "concat('https://x/', l_partkey, '.png') AS url", "CAST(p_partkey % 40 + 1 AS BIGINT) AS w", "CAST(p_partkey % 30 + 1 AS BIGINT) AS h")
+        f"{PLACE} AS seq", "p_name AS name", "concat('https://x/', l_partkey, '.png') AS url", "CAST(p_partkey % 40 + 1 AS BIGINT) AS w", "CAST(p_partkey % 30 + 1 AS BIGINT) AS h")
     there = table(spark, sf_dir, "part").filter("p_size > 40").selectExpr("concat(replace(p_name, ' ', '_'), '_', substr(md5(concat('https://x/', p_partkey, '.png')), 1, 8), '@2x.png') AS file_name")
     return listing.slice_plan(slices, there)
 
@@ -200,7 +200,7 @@ def cache_totals(spark, sf_dir):
 
 
 _ADJACENT = {
-    "doc": "l_suppkey % 97", "pos": "l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey % 100000", "title": "CASE l_partkey % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN '' END",
+    "doc": "l_suppkey % 97", "pos": PLACE, "title": "CASE l_partkey % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN '' END",
     "source": "CASE WHEN l_orderkey % 6 = 0 THEN 'vlm' WHEN l_orderkey % 6 > 1 THEN 'dom' END", "notes": "CASE l_linenumber % 3 WHEN 0 THEN 'n' || l_linenumber WHEN 1 THEN '' END",
 }
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.operators import geometry, layers, sequence, tables
-from tessella.plans.common import RECT_SQL, SEQ, derived, rects, select_sql, sql_anchors, sql_nearest, table
+from tessella.plans.common import PLACE, RECT_SQL, SEQ, derived, rects, select_sql, sql_anchors, sql_nearest, table
 from tessella.sources import design
 
 
@@ -58,7 +58,7 @@ def anchored_cluster(spark, sf_dir):
 
 
 _FRAGMENT = {
-    "doc": "l_orderkey % 97", "parent_path": "CAST(l_suppkey % 5 AS STRING)", "seq": "l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey % 100000",
+    "doc": "l_orderkey % 97", "parent_path": "CAST(l_suppkey % 5 AS STRING)", "seq": PLACE,
     "x": "CAST(l_orderkey % 500 * 3 + l_linenumber AS BIGINT)", "y": "CAST(l_partkey % 7 * 10 AS BIGINT)", "w": "CAST(1 + l_quantity AS BIGINT)", "h": "CAST(l_linenumber + 2 AS BIGINT)",
 }
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessella.functions import color, similarity, urls
 from tessella.functions import text as T
 from tessella.operators import documents, facts, sequence
-from tessella.plans.common import sql_merge_key, sql_squash, sql_text_similarity, sql_trim, table
+from tessella.plans.common import SEQ, sql_merge_key, sql_squash, sql_text_similarity, sql_trim, table
 from tessella.sources import html
 
 # Words of the input's own languages, given as parameters beside the built-in ones.
@@ -147,7 +147,7 @@ def segment_text(spark, sf_dir):
 
 def image_sizes(spark, sf_dir):
     """Images of each order by size."""
-    images = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS page", "CAST(l_linenumber AS BIGINT) * 100000000 + l_partkey AS seq", "CAST(40 + l_quantity % 5 * 60 AS BIGINT) AS width", "CAST(30 + l_suppkey % 4 * 50 AS BIGINT) AS height", "concat('i', l_partkey, '_seg', l_linenumber, '.svg') AS src")
+    images = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS page", f"{SEQ} AS seq", "CAST(40 + l_quantity % 5 * 60 AS BIGINT) AS width", "CAST(30 + l_suppkey % 4 * 50 AS BIGINT) AS height", "concat('i', l_partkey, '_seg', l_linenumber, '.svg') AS src")
     return documents.image_sizes(documents.content_images(images))
 
 
@@ -270,8 +270,8 @@ ORACLES = {
     "segment_text": """
         SELECT conv_id AS doc, coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role = 'user' AND text <> ''), '') AS summary,
           coalesce(string_agg('[第' || (turn + 1) || '段] ' || text, chr(10) ORDER BY turn) FILTER (role <> 'user' AND text <> ''), '') AS layout FROM conversations WHERE length(text) % 5 <> 0 GROUP BY conv_id""",
-    "image_sizes": """
-        WITH i AS (SELECT l_orderkey AS page, CAST(l_linenumber AS BIGINT) * 100000000 + l_partkey AS seq, CAST(40 + l_quantity % 5 * 60 AS BIGINT) || '×' || (30 + l_suppkey % 4 * 50) AS size, 40 + l_quantity % 5 * 60 AS w, 30 + l_suppkey % 4 * 50 AS h FROM lineitem),
+    "image_sizes": f"""
+        WITH i AS (SELECT l_orderkey AS page, {SEQ} AS seq, CAST(40 + l_quantity % 5 * 60 AS BIGINT) || '×' || (30 + l_suppkey % 4 * 50) AS size, 40 + l_quantity % 5 * 60 AS w, 30 + l_suppkey % 4 * 50 AS h FROM lineitem),
         g AS (SELECT page, size, count(*) AS n, min(seq) AS seq FROM i WHERE w >= 40 AND h >= 40 GROUP BY page, size)
         SELECT page, CAST(sum(n) AS BIGINT) AS n_images, string_agg(size || CASE WHEN n > 1 THEN '×' || n ELSE '' END, '、' ORDER BY seq) AS sizes FROM g GROUP BY page""",
     "color_normalize": f"""
