@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tessella.functions.color import is_opaque_solid
 from tessella.functions.text import utf16_length
 from tessella.operators.sequence import anchored_clusters
-from tessella.operators.spatial import framed, nearest_boxes, points_in_boxes
+from tessella.operators.spatial import framed, nearest_boxes, points_in_boxes, points_in_no_box
 
 
 def renamed(rects: DataFrame, prefix: str, doc: str = "doc") -> DataFrame:
@@ -42,25 +42,23 @@ def visible_layers(layers: DataFrame, doc: str = "doc") -> DataFrame:
     """
     cover = renamed(layers.filter((F.col("type") != "text") & is_opaque_solid(F.col("fill"))).select(doc, "seq", "x", "y", "w", "h"), "o_", doc)
     exempt = (F.col("type") == "text") | F.coalesce("is_slice", F.lit(False)) | F.col("image_url").isNotNull()
-    return _without_held(layers, layers.filter(~exempt), cover, F.col("o_seq") > F.col("seq"), doc)
+    return _without_held(layers, cover, (F.col("o_seq") > F.col("seq")) & ~exempt, doc)
 
 
-def _without_held(rects: DataFrame, judged: DataFrame, other: DataFrame, condition: Column, doc: str, slack: float = 0) -> DataFrame:
-    """``rects`` without those ``judged`` that lie in one of ``other`` (``o_`` columns) under a condition on the pair.
+def _without_held(rects: DataFrame, other: DataFrame, condition: Column, doc: str, slack: float = 0) -> DataFrame:
+    """``rects`` without those that lie in one of ``other`` (``o_`` columns) under a condition on the pair.
 
     A rectangle lies in another only if its corner does, so the corner looks for holders in its tile.
     """
-    own = [doc, "seq", "x", "y", "w", "h"]
-    corners = judged.select(*own, F.col("x").cast("double").alias("_px"), F.col("y").cast("double").alias("_py"))
+    corners = rects.withColumns({"_px": F.col("x").cast("double"), "_py": F.col("y").cast("double")})
     holders = framed(other, doc, slack, "o_x", "o_y", "o_w", "o_h")
-    held = points_in_boxes(corners, holders, doc, condition & _holds("o_", "", slack)).select(*own).distinct()
-    return rects.join(held.withColumn("_held", F.lit(True)), own, "left_anti")
+    return points_in_no_box(corners, holders, doc, condition & _holds("o_", "", slack)).drop("_px", "_py")
 
 
 def outer_containers(rects: DataFrame, doc: str = "doc", slack: float = 2) -> DataFrame:
     """Rectangles that do not lie in a strictly larger one of their document (within ``slack``)."""
     other = renamed(rects.select(doc, "seq", "x", "y", "w", "h"), "o_", doc)
-    return _without_held(rects, rects, other, F.col("o_w") * F.col("o_h") > F.col("w") * F.col("h"), doc, slack)
+    return _without_held(rects, other, F.col("o_w") * F.col("o_h") > F.col("w") * F.col("h"), doc, slack)
 
 
 def _centres(rects: DataFrame, doc: str) -> DataFrame:

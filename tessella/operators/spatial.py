@@ -1,10 +1,8 @@
 """Tiled joins of points and rectangles, so that a page's widgets meet their neighbours only.
 
-A rectangle is posted to the tiles it touches, in the grid whose tiles are about its size: grids grow by
-``STEP``, and a rectangle takes the finest one of which it spans four tiles at most, so it is posted to
-25 tiles at most (but for those wider than the coarsest grid's). A point looks up its one tile in every grid. The
-join is on (document, grid, tile): no document gives all pairs, and a page with very many widgets is
-spread over as many keys as it has tiles.
+A rectangle is posted to the tiles it touches, in the fine grid, or in the coarse one if it spans more than
+``SPAN`` fine tiles. A point looks up its one tile in each grid. The join is on (document, tile): no
+document gives all pairs, and a page with very many widgets is spread over as many keys as it has tiles.
 
 Defined cases: points and rectangles without a document or a place meet nothing; repeated rows meet as often as they are
 there; empty sides give no pairs; columns other than the underscored ones of this module are passed on.
@@ -15,9 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Side of the finest tiles, growth from grid to grid, number of grids, and tiles a rectangle spans at most.
-FINEST, STEP, GRIDS, SPAN = 128.0, 8.0, 4, 4.0
-_TILE = ["_grid", "_tx", "_ty"]
+#: Sides of the tiles of the fine and the coarse grid, and fine tiles that a rectangle of the fine grid spans at most.
+SIDES, SPAN = (512.0, 32768.0), 16.0
 
 
 def framed(boxes: DataFrame, doc: str = "doc", grow: float = 0.0, x: str = "x", y: str = "y", w: str = "w", h: str = "h") -> DataFrame:
@@ -27,20 +24,29 @@ def framed(boxes: DataFrame, doc: str = "doc", grow: float = 0.0, x: str = "x",
     return boxes.withColumns(sides).withColumnRenamed(doc, "_doc")
 
 
-def _side(grid: int) -> float:
-    return FINEST * STEP**grid
+def _key(grid: int, tx: Column, ty: Column) -> Column:
+    """A tile as one number: its grid, and its column and row by 31 bits each."""
+    low = lambda t: t.bitwiseAND(F.lit(2**31 - 1))
+    return F.shiftleft(low(tx), 32).bitwiseOR(F.shiftleft(low(ty), 1)).bitwiseOR(F.lit(grid))
 
 
-def _tiles(boxes: DataFrame) -> DataFrame:
-    """A row for each tile that a framed box touches."""
+def _in_grid(boxes: DataFrame, grid: int) -> DataFrame:
+    """A row (``_tile``) for each tile that a framed box of the grid touches."""
     longer = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
-    grid = F.lit(GRIDS - 1)
-    for k in range(GRIDS - 2, -1, -1):
-        grid = F.when(longer <= SPAN * _side(k), k).otherwise(grid)
-    sides = F.element_at(F.array(*[F.lit(_side(k)) for k in range(GRIDS)]), grid + 1)
-    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / sides), F.greatest(F.floor(F.col(hi) / sides), F.floor(F.col(lo) / sides)))
-    placed = boxes.filter(F.col("_doc").isNotNull() & longer.isNotNull()).withColumn("_grid", grid)
-    return placed.withColumn("_tx", F.explode(span("_x0", "_x1"))).withColumn("_ty", F.explode(span("_y0", "_y1")))
+    fine = longer <= SPAN * SIDES[0]
+    at = lambda c: F.floor(F.col(c) / SIDES[grid])
+    span = lambda lo, hi: F.sequence(at(lo), F.greatest(at(hi), at(lo)))
+    tiles = F.flatten(F.transform(span("_x0", "_x1"), lambda tx: F.transform(span("_y0", "_y1"), lambda ty: _key(grid, tx, ty))))
+    return boxes.filter(F.col("_doc").isNotNull() & (~fine if grid else fine)).withColumn("_tile", F.explode(tiles))
+
+
+def _point_tile(grid: int) -> Column:
+    return _key(grid, F.floor(F.col("_px") / SIDES[grid]), F.floor(F.col("_py") / SIDES[grid]))
+
+
+def _met(doc: str, condition: Column | None) -> Column:
+    inside = F.col("_px").between(F.col("_x0"), F.col("_x1")) & F.col("_py").between(F.col("_y0"), F.col("_y1"))
+    return (F.col(doc) == F.col("_doc")) & inside & (F.lit(True) if condition is None else condition)
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, doc: str = "doc", condition: Column | None = None) -> DataFrame:
@@ -49,12 +55,16 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, doc: str = "doc", condi
     A pair meets in one tile only, the point's in the box's grid, so none comes twice. ``condition`` is a further
     condition on a pair.
     """
-    tiles = F.array(*[F.struct(F.lit(k).alias("grid"), F.floor(F.col("_px") / _side(k)).alias("tx"), F.floor(F.col("_py") / _side(k)).alias("ty")) for k in range(GRIDS)])
-    looked = points.withColumn("_tile", F.explode(tiles))
-    inside = F.col("_px").between(F.col("_x0"), F.col("_x1")) & F.col("_py").between(F.col("_y0"), F.col("_y1"))
-    same = (F.col(doc) == F.col("_doc")) & (F.col("_tile.grid") == F.col("_grid")) & (F.col("_tile.tx") == F.col("_tx")) & (F.col("_tile.ty") == F.col("_ty"))
-    joined = looked.join(_tiles(boxes), same & inside & (F.lit(True) if condition is None else condition))
-    return joined.drop("_tile", "_doc", *_TILE)
+    looked = points.withColumn("_at", F.explode(F.array(*[_point_tile(grid) for grid in range(len(SIDES))])))
+    posted = _in_grid(boxes, 0).unionByName(_in_grid(boxes, 1))
+    return looked.join(posted, (F.col("_at") == F.col("_tile")) & _met(doc, condition)).drop("_at", "_tile", "_doc")
+
+
+def points_in_no_box(points: DataFrame, boxes: DataFrame, doc: str = "doc", condition: Column | None = None) -> DataFrame:
+    """The points that :func:`points_in_boxes` finds in no box: an anti join for each grid, so points stay one row."""
+    for grid in range(len(SIDES)):
+        points = points.withColumn("_at", _point_tile(grid)).join(_in_grid(boxes, grid), (F.col("_at") == F.col("_tile")) & _met(doc, condition), "left_anti").drop("_at")
+    return points
 
 
 def distance_to_box(px: Column, py: Column) -> Column:
@@ -64,16 +74,16 @@ def distance_to_box(px: Column, py: Column) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
-def nearest_boxes(points: DataFrame, boxes: DataFrame, radius: float, keys: list[str], doc: str = "doc", near: float = 0.25) -> DataFrame:
+def nearest_boxes(points: DataFrame, boxes: DataFrame, radius: float, keys: list[str], doc: str = "doc") -> DataFrame:
     """``points``' document and keys with ``best`` (``d, seq``): the nearest box (``seq, x, y, w, h``) within ``radius``, the
     least ``seq`` on ties; null where there is none. One row for each document and keys.
 
-    Boxes within ``near`` of the radius are looked for first; only points that have none look further, so a crowded
-    page does not compare all that lies within the radius.
+    Where the radius is wide, a quarter of it is looked at first, and only points that have no box there look further,
+    so a crowded page does not compare all that lies within the radius.
     """
     named = boxes.select(doc, F.col("seq").alias("_bseq"), *[F.col(c).cast("double").alias(f"_b{c}") for c in ("x", "y", "w", "h")])
     done, rest = None, points.select(doc, *keys, "_px", "_py")
-    for reach in (radius * near, radius):
+    for reach in (radius / 4, radius) if radius > SIDES[0] / 4 else (radius,):
         frame = framed(named, doc, reach * (1 + 1e-9) + 1e-6, "_bx", "_by", "_bw", "_bh")
         pairs = points_in_boxes(rest, frame, doc).withColumn("_d", distance_to_box(F.col("_px"), F.col("_py"))).filter(F.col("_d") <= reach)
         found = pairs.select(doc, *keys, "_px", "_py", F.struct(F.col("_d").alias("d"), F.col("_bseq").alias("seq")).alias("best"))
