@@ -2,8 +2,8 @@
 
 A plain window puts a whole key into one task. The operators here cut a key's positions into
 blocks: a block is worked off on its own, one small row a block carries totals or edge values on to
-the next. Positions are numbers that are unique within a key; keys must not be null (rows with a
-null key or position are dropped, as a join on them would).
+the next. Positions are numbers; where they repeat within a key, ``ties`` names the columns that order equal
+ones. Keys must not be null (rows with a null key or position are dropped, as a join on them would).
 """
 
 from __future__ import annotations
@@ -24,27 +24,28 @@ def _blocked(rows: DataFrame, keys: Sequence[str], pos: str, block: int) -> Data
     return rows.filter(known).withColumn("_block", F.floor(F.col(pos) / F.lit(block)))
 
 
-def running_sum(rows: DataFrame, value: Column, keys: Sequence[str], pos: str, out: str, block: int = BLOCK) -> DataFrame:
+def running_sum(rows: DataFrame, value: Column, keys: Sequence[str], pos: str, out: str, block: int = BLOCK, ties: Sequence[str] = ()) -> DataFrame:
     """``rows`` with ``out``, the sum of ``value`` over a key's rows up to and including this one."""
     keys = list(keys)
     dealt = _blocked(rows.withColumn("_value", value), keys, pos, block)
     totals = dealt.groupBy(*keys, "_block").agg(F.sum("_value").alias("_total"))
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*keys, "_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*keys, "_block").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_block").orderBy(pos, *ties).rowsBetween(Window.unboundedPreceding, 0)
     summed = dealt.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
     return summed.join(carried, [*keys, "_block"]).withColumn(out, F.col("_before") + F.col("_inside")).drop("_block", "_value", "_inside", "_before")
 
 
-def neighbour(rows: DataFrame, value: Column, keys: Sequence[str], pos: str, out: str, ahead: bool = False, block: int = BLOCK) -> DataFrame:
+def neighbour(rows: DataFrame, value: Column, keys: Sequence[str], pos: str, out: str, ahead: bool = False, block: int = BLOCK, ties: Sequence[str] = ()) -> DataFrame:
     """``rows`` with ``out``, the value of the row before (or ``ahead``) within the key; null at its edge."""
     keys = list(keys)
     dealt = _blocked(rows.withColumn("_value", F.struct(value.alias("v"))), keys, pos, block)
-    edge = F.min_by("_value", pos) if ahead else F.max_by("_value", pos)
+    place = F.struct(pos, *ties)
+    edge = F.min_by("_value", place) if ahead else F.max_by("_value", place)
     edges = dealt.groupBy(*keys, "_block").agg(edge.alias("_edge"))
     step = F.lead if ahead else F.lag
     carried = edges.select(*keys, "_block", step("_edge").over(Window.partitionBy(*keys).orderBy("_block")).alias("_other"))
-    inside = step("_value").over(Window.partitionBy(*keys, "_block").orderBy(pos))
+    inside = step("_value").over(Window.partitionBy(*keys, "_block").orderBy(pos, *ties))
     found = dealt.withColumn("_inside", inside).join(carried, [*keys, "_block"])
     return found.withColumn(out, F.coalesce("_inside", "_other")["v"]).drop("_block", "_value", "_inside", "_other")
 
@@ -68,11 +69,11 @@ def filled(rows: DataFrame, value: Column, keys: Sequence[str], pos: str, out: s
     return found.withColumn(out, F.coalesce("_inside", "_other")).drop("_block", "_value", "_inside", "_other")
 
 
-def islands(rows: DataFrame, value: Column, keys: Sequence[str], pos: str, out: str = "island", block: int = BLOCK) -> DataFrame:
+def islands(rows: DataFrame, value: Column, keys: Sequence[str], pos: str, out: str = "island", block: int = BLOCK, ties: Sequence[str] = ()) -> DataFrame:
     """``rows`` with ``out``, a number from 1 for each run of adjacent rows of one value."""
-    rows = neighbour(rows.withColumn("_same", value), F.col("_same"), keys, pos, "_before_it", block=block)
+    rows = neighbour(rows.withColumn("_same", value), F.col("_same"), keys, pos, "_before_it", block=block, ties=ties)
     change = F.when(F.col("_before_it").eqNullSafe(F.col("_same")) & F.col("_before_it").isNotNull(), 0).otherwise(1)
-    return running_sum(rows, change, keys, pos, out, block).drop("_same", "_before_it")
+    return running_sum(rows, change, keys, pos, out, block, ties).drop("_same", "_before_it")
 
 
 def collapsed(rows: DataFrame, value: str, keys: Sequence[str], pos: str, block: int = BLOCK) -> DataFrame:
