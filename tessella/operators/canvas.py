@@ -67,7 +67,7 @@ def sections(blocks: DataFrame, pictures: DataFrame, doc: str = "doc") -> tuple[
     and at least one large picture. A block (with lines or ``n_images``) belongs to the one nearest to its centre,
     the first on ties, within ``SECTION_RADIUS``; the others are scattered (section -1).
     ``sections`` are numbered by place from the top, pictures without blocks left out, with ``text`` in
-    reading order; ``members`` gives each block its ``section``.
+    reading order, and a ``heading`` over scattered texts; ``members`` gives each block its ``section``.
     """
     rows = blocks.select(doc, "seq", "x", "y", "w", "h", "lines", "n_images").dropna(subset=["x", "y", "w", "h"])
     shown = rows.filter((_text(F.col("lines")) != "") | (F.coalesce("n_images", F.lit(0)) > 0))
@@ -88,7 +88,7 @@ def sections(blocks: DataFrame, pictures: DataFrame, doc: str = "doc") -> tuple[
     whole = lambda own, other: js_round(F.when(loose, other).otherwise(own)).cast("long")
     found = numbered.select(
         doc, F.when(loose, -1).otherwise(F.col("place")).alias("section"), "l.anchor", whole(F.col("l.x"), first["x"]).alias("x"), whole(F.col("l.y"), first["y"]).alias("y"),
-        whole(F.col("l.w"), F.lit(0)).alias("w"), whole(F.col("l.h"), F.lit(0)).alias("h"), F.when(loose, F.concat(F.lit(SCATTERED + "\n"), lines("s"))).otherwise(lines("e")).alias("text"),
+        whole(F.col("l.w"), F.lit(0)).alias("w"), whole(F.col("l.h"), F.lit(0)).alias("h"), F.when(loose, lines("s")).otherwise(lines("e")).alias("text"), F.when(loose, F.lit(SCATTERED)).alias("heading"),
     )
     members = near.select(doc, "seq", "anchor").join(found.select(F.col(doc).alias("_doc"), F.col("anchor").alias("_anchor"), "section"), (F.col(doc) == F.col("_doc")) & F.col("anchor").eqNullSafe(F.col("_anchor")))
     return found, members.select(doc, "seq", "section")

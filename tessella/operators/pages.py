@@ -2,19 +2,21 @@
 
 The structured content of a page (its own text, tables, blocks, flow) is trusted; what a model read from
 its pictures is checked against it and marked. Pages have ``page, type, text``; what belongs to them
-carries ``page``. A page's tables are few and are folded in one array; everything else is joins and
-aggregates by page. Null texts count as empty; a page without any reading is there with none.
+carries ``page``. Everything is joins and aggregates by page; only like headers are chosen in order, on the linked ones.
+Null texts count as empty; a page without any reading is there with none; tables are told apart by ``seq``, which
+is unique for a page and source and not negative.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.functions.similarity import header_similarity
 from tessella.functions.text import utf16_length
+from tessella.operators.alike import header_links, known_nodes, like_itself
 from tessella.operators.documents import confidence, unverified_texts
 from tessella.operators.facts import fact_conflicts
+from tessella.session import shared_checkpoint
 
 # Texts of the report.
 ALL_FAILED = "该页面所有分段 VLM 解析失败，已降级为纯 DOM 输出，建议检查 VLM_API_KEY / 网络后重试"
@@ -33,6 +35,8 @@ NUMERALS = ("一", "二", "三", "四", "五", "六", "七", "八", "九", "十"
 #: What is checked on a page of each type: kind of item, characters of its head, least characters.
 CHECKS = {"flowchart": ("node", 4, 3), "table": ("cell", 4, 4), "page": ("component", 3, 3)}
 SHORT_TEXT = 10
+#: Added to no place: trusted tables are numbered this much below the read ones.
+LATE = 2**62
 
 
 def merged_tables(trusted: DataFrame, read: DataFrame, page: str = "page", alike: float = 0.8) -> DataFrame:
@@ -40,19 +44,19 @@ def merged_tables(trusted: DataFrame, read: DataFrame, page: str = "page", alike
     the read ones whose headers are not more than ``alike`` to those of any table kept before."""
     fields = ["seq", "title", "headers", "rows", "notes", "is_panel"]
     rows = trusted.select(page, F.lit("dom").alias("source"), *fields).unionByName(read.select(page, F.lit("vlm").alias("source"), *fields))
-    entry = F.struct((F.col("source") != "dom").alias("late"), *[F.col(c) for c in ("seq", "source", "title", "headers", "rows", "notes", "is_panel")])
-    gathered = rows.groupBy(page).agg(F.array_sort(F.collect_list(entry), _by_place).alias("t"))
-
-    def step(kept: Column, t: Column) -> Column:
-        known = t["late"] & F.exists(kept, lambda k: header_similarity(k["headers"], t["headers"]) > alike)
-        return F.when(known, kept).otherwise(F.concat(kept, F.array(t)))
-
-    folded = gathered.select(page, F.aggregate("t", F.slice("t", 1, 0), step).alias("t"))
-    return folded.select(page, F.posexplode("t").alias("place", "t")).select(page, "place", "t.source", "t.title", "t.headers", "t.rows", "t.notes", "t.is_panel")
-
-
-def _by_place(a: Column, b: Column) -> Column:
-    return F.when(a["late"] != b["late"], F.when(a["late"], 1).otherwise(-1)).when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0)
+    # A node is a distinct header list of a page and source by its first table; trusted ones come first.
+    rows = rows.withColumn("_late", F.col("source") != "dom")
+    lists = rows.groupBy(page, "_late", "headers").agg(F.min("seq").cast("long").alias("_first"))
+    order = F.when(F.col("_late"), F.col("_first")).otherwise(F.col("_first") - F.lit(LATE))
+    heads = lists.withColumn("node", order)
+    known = known_nodes(header_links(heads, alike, page).filter("node >= 0"), page).withColumn("_known", F.lit(True))
+    judged = heads.join(known, [page, "node"], "left").select(page, "_late", "headers", "_first", F.coalesce("_known", F.lit(False)).alias("_known"))
+    same = (F.col(page) == F.col("_page")) & (F.col("_late") == F.col("_l")) & F.col("headers").eqNullSafe(F.col("_h"))
+    judged = judged.select(F.col(page).alias("_page"), F.col("_late").alias("_l"), F.col("headers").alias("_h"), "_first", "_known")
+    again = (F.col("seq") != F.col("_first")) & like_itself(F.col("headers"), alike)
+    kept = rows.join(judged, same).filter(~F.col("_late") | (~F.col("_known") & ~again))
+    place = F.row_number().over(Window.partitionBy(page).orderBy("_late", "seq")) - 1
+    return kept.withColumn("place", place).select(page, "place", "source", *fields[1:])
 
 
 def cross_checked(pages: DataFrame, items: DataFrame, page: str = "page") -> DataFrame:
@@ -118,6 +122,7 @@ def appendix_lines(pages: DataFrame, doc: str = "doc") -> DataFrame:
     ``n_segments, unverified``. The appendix's number follows the chapters that are there; its two parts are
     the sources table and the pending items, in the pages' order. A report's headings are a row a report.
     """
+    pages = shared_checkpoint(pages)  # six parts of the appendix read them
     rated = confidence(pages)
     label = F.col("type")
     for kind, name in TYPE_LABELS.items():

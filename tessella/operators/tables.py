@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.functions.similarity import header_similarity
 from tessella.functions.text import merge_key, trimmed
+from tessella.operators.alike import header_links, joined_nodes, like_itself
 from tessella.operators.sequence import anchored_clusters, nearest_of, neighbour, running_sum
 
 ROW_TOLERANCE, COLUMN_TOLERANCE = 2, 3
@@ -63,38 +63,29 @@ def _row_key(row: Column) -> Column:
     return merge_key(F.array_join(row, "|", ""))
 
 
-def _same_table(a: Column, b: Column, alike: float) -> Column:
-    titled = F.coalesce((a["title"] != "") & (b["title"] != "") & (merge_key(a["title"]) == merge_key(b["title"])), F.lit(False))
-    return titled | (header_similarity(a["headers"], b["headers"]) > alike)
-
-
 def similar_merged(tables: DataFrame, doc: str = "doc", seq: str = "seq", alike: float = 0.7) -> DataFrame:
     """Tables (``title, headers, rows``) of a document merged greedily in order.
 
-    A table joins the first earlier one with the same title or headers more alike than ``alike``; of
-    its rows those not yet there are added (a first table's own repeats stay). The order matters, so
-    a document's tables are folded in sequence, in one JVM expression; a page's tables are few.
+    A table joins the first earlier one that stands for itself and has the same title or headers more alike than
+    ``alike``; of its rows those not yet there are added (a first table's own repeats stay). Tables that agree in
+    title and headers are judged once (:mod:`tessella.operators.alike`), rows are merged by their keys.
     """
-    kind = "array<struct<first:bigint,title:string,headers:array<string>,rows:array<array<string>>>>"
-    listed = F.transform(F.array_sort(F.collect_list(F.struct(F.col(seq).cast("long").alias("first"), "title", "headers", "rows"))), lambda s: s)
-
-    def step(out: Column, t: Column) -> Column:
-        place = F.array_min(F.filter(F.transform(out, lambda o, i: F.when(_same_table(o, t, alike), i)), lambda i: i.isNotNull()))
-
-        def joined(o: Column) -> Column:
-            keys = F.transform(o["rows"], _row_key)
-            fresh = F.aggregate(
-                t["rows"], F.slice(t["rows"], 1, 0),
-                lambda seen, r: F.when(F.array_contains(keys, _row_key(r)) | F.exists(seen, lambda s: _row_key(s) == _row_key(r)), seen).otherwise(F.concat(seen, F.array(r))),
-            )
-            return F.struct(o["first"].alias("first"), o["title"].alias("title"), o["headers"].alias("headers"), F.concat(o["rows"], fresh).alias("rows"))
-
-        merged = F.transform(out, lambda o, i: F.when(i == place, joined(o)).otherwise(o))
-        return F.when(place.isNull(), F.concat(out, F.array(t))).otherwise(merged)
-
-    gathered = tables.groupBy(doc).agg(listed.alias("t"))
-    folded = gathered.select(doc, F.aggregate("t", F.array().cast(kind), step).alias("t"))
-    return folded.select(doc, F.explode("t").alias("t")).select(doc, "t.*").withColumnRenamed("first", seq)
+    title = F.coalesce("title", F.lit(""))
+    rows = tables.select(doc, F.col(seq).cast("long").alias("_seq"), "title", "headers", "rows", F.when(title == "", F.lit("")).otherwise(F.concat(F.lit("="), merge_key(title))).alias("_key"))
+    nodes = rows.groupBy(doc, "_key", "headers").agg(F.min("_seq").alias("node"))
+    firsts = joined_nodes(nodes.withColumnRenamed("_key", "title"), header_links(nodes, alike, doc), doc)
+    judged = nodes.join(firsts, [doc, "node"]).select(F.col(doc).alias("_doc"), F.col("_key").alias("_k"), F.col("headers").alias("_h"), "node", "first")
+    same = (F.col(doc) == F.col("_doc")) & (F.col("_key") == F.col("_k")) & F.col("headers").eqNullSafe(F.col("_h"))
+    # A copy of a table that is not even like itself stands for itself as the first one does.
+    alone = (F.col("node") == F.col("first")) & (F.col("_key") == "") & ~F.coalesce(like_itself(F.col("headers"), alike), F.lit(False))
+    placed = rows.join(judged, same).withColumn("_to", F.when(alone, F.col("_seq")).otherwise(F.col("first")))
+    cells = placed.select(doc, "_to", "_seq", F.posexplode("rows").alias("_i", "_row"))
+    seen = F.min(F.struct("_seq", "_i")).over(Window.partitionBy(doc, "_to", _row_key(F.col("_row"))))
+    kept = cells.withColumn("_seen", seen).filter((F.col("_seq") == F.col("_to")) | (F.struct("_seq", "_i") == F.col("_seen")))
+    listed = kept.groupBy(doc, F.col("_to").alias("_seq")).agg(F.transform(F.array_sort(F.collect_list(F.struct("_seq", "_i", "_row"))), lambda r: r["_row"]).alias("rows"))
+    heads = placed.filter(F.col("_seq") == F.col("_to")).select(doc, "_seq", "title", "headers")
+    merged = heads.join(listed, [doc, "_seq"], "left")
+    return merged.select(doc, F.col("_seq").alias(seq), "title", "headers", F.coalesce("rows", F.array().cast("array<array<string>>")).alias("rows"))
 
 
 def header_only(rows: Column) -> Column:

@@ -77,7 +77,7 @@ _r = lambda own, other: f"CAST(floor(CASE WHEN anchor IS NULL THEN {other} ELSE
 
 ORACLES = {
     "canvas_containers": _W + " SELECT * FROM box",
-    "canvas_sections": _S + f" SELECT doc, section, anchor, {_r('x', 'fx')} AS x, {_r('y', 'fy')} AS y, {_r('w', 0)} AS w, {_r('h', 0)} AS h, md5(CASE WHEN anchor IS NULL THEN '{canvas.SCATTERED}' || chr(10) || loose ELSE text END) AS text FROM s",
+    "canvas_sections": _S + f" SELECT doc, section, anchor, {_r('x', 'fx')} AS x, {_r('y', 'fy')} AS y, {_r('w', 0)} AS w, {_r('h', 0)} AS h, md5(CASE WHEN anchor IS NULL THEN loose ELSE text END) AS text, CASE WHEN anchor IS NULL THEN '{canvas.SCATTERED}' END AS heading FROM s",
     "canvas_members": _S + " SELECT m.doc, m.seq, section FROM m JOIN s ON s.doc = m.doc AND s.anchor IS NOT DISTINCT FROM m.anchor",
     "canvas_groups": _W + """,
   i AS (SELECT * FROM w WHERE word IS NOT NULL),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.operators import facts, pages
+from tessella.operators import documents, facts, pages, structures
 from tessella.plans.common import sql_merge_key, sql_text_similarity, table
 from tessella.plans.texts import FACT_TEXT
 
@@ -66,7 +66,52 @@ def image_results(spark, sf_dir):
     return pages.kept_images(rows).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (page_tables, page_merge, doc_appendix, image_results)}
+#: What a turn of a conversation, read as a reading of a page, says; ``w`` are the turn's words.
+_READING = {
+    "page": "conv_id", "seg": "turn", "failed": "length(text) % 7 = 0", "page_type": "CASE WHEN turn % 2 = 1 THEN role ELSE '' END", "layout": "CASE WHEN length(text) % 3 > 0 THEN role END",
+    "visual_hierarchy": "CASE WHEN length(text) % 2 = 0 THEN concat(role, turn) END", "a": "CASE WHEN length(text) % 4 = 0 THEN 'Top Bar' ELSE role END", "b": "CASE WHEN turn % 3 = 0 THEN '翻页' ELSE 'button' END",
+    "c": "substr(text, 1, 3)", "d": "CASE WHEN length(text) % 5 = 0 THEN 'Figma' ELSE substr(text, 1, 2) END",
+}
+
+
+def page_structures(spark, sf_dir):
+    """Readings of each conversation's turns as one structure."""
+    rows = table(spark, sf_dir, "conversations").selectExpr(*[f"{e} AS {n}" for n, e in _READING.items()])
+    both = lambda x, y: F.array(x, y)
+    component = lambda n, t, d: F.struct(F.col(n).alias("name"), F.col(t).alias("type"), F.col(d).alias("description"))
+    rows = rows.withColumns({
+        "components": both(component("a", "b", "c"), component("c", "a", "d")), "interactions": both(F.col("a"), F.concat("c", F.lit("，"))), "states": both(F.col("d"), F.lower("c")), "key_info": both(F.col("c"), F.lit(" 3/6 ")),
+        "states_detail": both(F.struct(F.col("d").alias("element"), F.col("c").alias("detail")), F.struct(F.col("a").alias("element"), F.col("b").alias("detail"))),
+    })
+    found = structures.merged_structures(rows)
+    flat = lambda c, *names: F.array_join(F.transform(c, lambda e: F.concat_ws("/", *[e[n] for n in names])), ";").alias(c)
+    lists = [F.array_join(c, ";").alias(c) for c in structures.LISTS]
+    return found.select("page", "n_segments", "page_type", "layout", "visual_hierarchy", flat("components", "name", "type", "description"), *lists, flat("states_detail", "element", "detail"))
+
+
+QUERIES = {f.__name__: f for f in (page_tables, page_merge, doc_appendix, image_results, page_structures)}
+
+
+def _tool(x: str) -> str:
+    rules = [f"regexp_matches({x}, '{rule}')" for rule in documents.TOOL_RULES.values()]
+    return "(" + " OR ".join([*rules, f"(regexp_matches({x}, '{documents.PAGE_NUMBER}') AND (length({x}) <= 12 OR contains({x}, '页')))"]) + ")"
+
+
+_STRUCTURES = f"""
+WITH r AS (SELECT {', '.join(f'{e} AS "{n}"' for n, e in _READING.items())} FROM conversations),
+  g AS (SELECT *, count(*) OVER (PARTITION BY page) AS n, row_number() OVER (PARTITION BY page ORDER BY seg) AS k FROM r WHERE NOT failed),
+  e0 AS (SELECT page, n, seg, 'components' AS kind, unnest([0, 1]) AS i, unnest([a, c]) AS x, unnest([b, a]) AS y, unnest([c, d]) AS z FROM g
+         UNION ALL SELECT page, n, seg, 'interactions', unnest([0, 1]), unnest([a, c || '，']), '', '' FROM g UNION ALL SELECT page, n, seg, 'states', unnest([0, 1]), unnest([d, lower(c)]), '', '' FROM g
+         UNION ALL SELECT page, n, seg, 'key_info', unnest([0, 1]), unnest([c, ' 3/6 ']), '', '' FROM g UNION ALL SELECT page, n, seg, 'states_detail', unnest([0, 1]), unnest([d, a]), '', unnest([c, b]) FROM g WHERE n = 1),
+  e1 AS (SELECT * FROM e0 QUALIFY row_number() OVER (PARTITION BY page, kind, CASE WHEN n = 1 THEN CAST(i AS VARCHAR) ELSE {sql_merge_key("CASE WHEN kind = 'components' THEN x || '|' || y ELSE x END")} END ORDER BY seg, i) = 1),
+  e AS (SELECT * FROM e1 WHERE NOT {_tool('x')} AND NOT (kind = 'components' AND ({_tool('y')} OR {_tool('z')}))),
+  l AS (SELECT page, {', '.join(f"coalesce(string_agg({v}, ';' ORDER BY seg, i) FILTER (kind = '{k}'), '') AS {k}" for k, v in (('components', "x || '/' || y || '/' || z"), ('interactions', 'x'), ('states', 'x'), ('key_info', 'x'), ('states_detail', "x || '/' || z")))} FROM e GROUP BY page),
+  h AS (SELECT r.page, CAST(count(g.seg) AS INTEGER) AS n_segments, coalesce(arg_min(g.page_type, g.seg) FILTER (g.page_type <> ''), '') AS page_type,
+          CASE WHEN count(g.seg) > 1 THEN string_agg('[第' || g.k || '段] ' || coalesce(g.layout, ''), chr(10) ORDER BY g.k) ELSE coalesce(any_value(g.layout), '') END AS layout,
+          coalesce(string_agg(g.visual_hierarchy, ' ' ORDER BY g.k) FILTER (g.visual_hierarchy <> ''), '') AS visual_hierarchy
+        FROM r LEFT JOIN g ON g.page = r.page AND g.seg = r.seg GROUP BY r.page)
+SELECT h.*, {', '.join(f"coalesce({c}, '') AS {c}" for c in ('components', 'interactions', 'states', 'key_info', 'states_detail'))} FROM h LEFT JOIN l USING (page)
+"""
 
 _TABLES = f"""
   t AS (SELECT p_size AS page, p_partkey AS seq, CASE WHEN p_partkey % 4 = 0 THEN 'dom' ELSE 'vlm' END AS source, p_brand AS title, CASE WHEN p_partkey % 9 = 0 THEN CAST([] AS VARCHAR[]) ELSE [p_name, p_type] END AS headers,
@@ -116,4 +161,5 @@ ORACLES = {
     {{'part': 2, 'k': 0, 'line': '### ' || no || '.2 待确认项'}}, {{'part': 2, 'k': 1, 'line': CASE WHEN NOT any_todo THEN '无' END}}]) AS t FROM h)
   SELECT * FROM r UNION ALL SELECT * FROM w UNION ALL SELECT doc, t.part, CAST(0 AS BIGINT), t.k, t.line FROM z WHERE t.line IS NOT NULL""",
     "image_results": "SELECT doc_id FROM documents WHERE doc_id % 3 = 1 OR (doc_id % 5 = 0 AND coalesce(source, '') <> '') OR doc_id % 7 = 0",
+    "page_structures": _STRUCTURES,
 }

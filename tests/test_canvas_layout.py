@@ -131,5 +131,5 @@ def test_scattered_texts_have_a_heading(spark):
     pictures = spark.createDataFrame([(1, i, 1000.0 * i, 0.0, 300.0, 300.0) for i in range(3)], BOX)
     blocks = spark.createDataFrame([(1, 10, 0.0, 0.0, 9.0, 9.0, ["near"], 0), (1, 11, 0.0, 5000.0, 9.0, 9.0, ["far"], 0)], BOX + ", lines array<string>, n_images int")
     found, members = canvas.sections(blocks, pictures)
-    assert {r.section: r.text for r in found.collect()} == {0: "near", -1: canvas.SCATTERED + "\nfar"}
+    assert {r.section: (r.heading, r.text) for r in found.collect()} == {0: (None, "near"), -1: (canvas.SCATTERED, "far")}
     assert {r.seq: r.section for r in members.collect()} == {10: 0, 11: -1}
