@@ -41,7 +41,7 @@ def row_bytes(df: DataFrame) -> Column:
 
 def small(df: DataFrame) -> DataFrame:
     """``df`` marked for broadcast if its rows and bytes are proven few; else as it is, for a shuffle join."""
-    n, size = df.select(row_bytes(df).alias("b")).limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0))).first()
+    n, size = df.select(row_bytes(df).alias("b")).agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0))).first()  # a row a partition
     return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 

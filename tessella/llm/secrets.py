@@ -3,14 +3,14 @@
 Strong spans (the base kinds ``assign``, ``access``, ``hex``) are always reported. Weak candidates
 (``ident`` a login or client id, ``secret`` a high-entropy run too weak to report alone,
 ``endpoint`` a URL or host setting) are reported only when complementary parts co-occur within a
-scope: spans of one document at most ``scope`` code points apart.
+scope: disjoint spans of one document at most ``scope`` code points apart.
 
 - ``ident`` needs a secret part (``assign``, ``hex`` or ``secret``),
 - ``secret`` needs an identifier part (``access`` or ``ident``) or an endpoint,
-- ``endpoint`` needs an identifier part and a secret part.
+- ``endpoint`` needs an identifier part and a secret part, disjoint from each other too.
 
-A run of lower case, upper case and digits is a ``secret`` wherever it stands; one of letters and
-digits only where it is no piece of another part (a host name, a login, an assigned value).
+A run of letters and digits is a ``secret`` only where it stands on its own: not as a piece of another part (a
+login, an assigned value, a host setting) or of a URL with its path, so no text confirms itself.
 
 Defined cases: a null text is scanned as empty (no spans); null or repeated ids and repeated rows
 give one result row each; documents are linked by (id, hash of text), so rows that agree in both
@@ -34,6 +34,8 @@ MIN_ASSIGN_VALUE = 6
 IDENT = r"""(?i)(access_?key_?id|client_?id|user_?name|username|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]+)"""
 SECRET = r"[A-Za-z0-9+/_-]{16,}"
 ENDPOINT = r"""(?i)(https?://[A-Za-z0-9.:-]+|(host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.:/-]+)"""
+#: A URL with its path; runs within it are no secrets of their own.
+URL = r"""(?i)https?://[^\x00-\x20"'<>)\]]+"""
 MIN_IDENT_VALUE = 3
 SCOPE = 200
 
@@ -63,14 +65,9 @@ def _spans(text: Column, kind: str, pattern: str, keep=None) -> Column:
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
 
 
-def _mixed(run: Column) -> Column:
-    """A run that looks random: lower case, upper case and digits together."""
-    return run.rlike("[a-z]") & run.rlike("[A-Z]") & run.rlike("[0-9]")
-
-
-def _loose(run: Column) -> Column:
-    """A run that may be random: letters and digits together, but not all three kinds of :func:`_mixed`."""
-    return run.rlike("[A-Za-z]") & run.rlike("[0-9]") & ~_mixed(run)
+def _random(run: Column) -> Column:
+    """A run that may be random: letters and digits together."""
+    return run.rlike("[A-Za-z]") & run.rlike("[0-9]")
 
 
 def _rendered(spans: Column) -> Column:
@@ -86,14 +83,14 @@ def _bins(rows: DataFrame, scope: int, wider: int = 0) -> DataFrame:
 
 
 def _parts(scanned: DataFrame, scope: int) -> DataFrame:
-    """All parts of the documents with weak ones, a row a span; of the loose runs those that overlap no other part."""
+    """All parts of the documents with weak ones, a row a span; of the runs those that overlap no other part and no URL."""
     span = lambda spans: open_docs.select("id", "h", F.explode(spans).alias("s")).select("id", "h", "s.start", "s.ord", "s.end").distinct()
-    open_docs = scanned.filter((F.size("weak") > 0) | (F.size("loose") > 0))
-    others, loose = span(F.concat("base", "weak")), span("loose")
-    taken = _bins(others, scope).select(F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("bin").alias("o_bin"), F.col("start").alias("o_start"), F.col("end").alias("o_end"))
+    open_docs = scanned.filter((F.size("weak") > 0) | (F.size("runs") > 0))
+    others, runs = span(F.concat("base", "weak")), span("runs")
+    taken = _bins(others.unionByName(span("urls")), scope).select(F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("bin").alias("o_bin"), F.col("start").alias("o_start"), F.col("end").alias("o_end"))
     overlap = F.col("id").eqNullSafe(F.col("o_id")) & (F.col("h") == F.col("o_h")) & (F.col("bin") == F.col("o_bin")) & (F.col("o_start") < F.col("end")) & (F.col("start") < F.col("o_end"))
-    hit = _bins(loose, scope).join(taken, overlap).select(F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("start").alias("o_start")).distinct()
-    free = loose.join(hit, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("h") == F.col("o_h")) & (F.col("start") == F.col("o_start")), "left_anti")
+    hit = _bins(runs, scope).join(taken, overlap).select(F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("start").alias("o_start")).distinct()
+    free = runs.join(hit, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("h") == F.col("o_h")) & (F.col("start") == F.col("o_start")), "left_anti")
     return written(others.unionByName(free), "secret-spans")
 
 
@@ -109,16 +106,16 @@ def _linked(scanned: DataFrame, scope: int) -> DataFrame:
     other = _bins(parts, scope).select(
         F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("start").alias("o_start"), F.col("ord").alias("o_ord"), F.col("end").alias("o_end"), F.col("bin").alias("o_bin")
     )
-    near = (F.col("o_start") - F.col("end") <= scope) & (F.col("start") - F.col("o_end") <= scope)
+    near = (F.col("o_start") - F.col("end")).between(0, scope) | (F.col("start") - F.col("o_end")).between(0, scope)
     hits = weak.join(other, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("h") == F.col("o_h")) & (F.col("bin") == F.col("o_bin")) & near)
-    has = lambda *kinds: F.max(F.col("o_ord").isin(*[KINDS.index(k) for k in kinds]))
-    scored = hits.groupBy("id", "h", "start", "ord", "end").agg(
-        has("access", "ident").alias("ident"), has("assign", "hex", "secret").alias("secret"), has("endpoint").alias("endpoint")
-    )
+    of = lambda *kinds: F.col("o_ord").isin(*[KINDS.index(k) for k in kinds])
+    ends = lambda name, kinds: (F.max(F.when(of(*kinds), F.col("o_start"))).alias(f"{name}_last"), F.min(F.when(of(*kinds), F.col("o_end"))).alias(f"{name}_first"))
+    scored = hits.groupBy("id", "h", "start", "ord", "end").agg(*ends("ident", ("access", "ident")), *ends("secret", ("assign", "hex", "secret")), F.max(of("endpoint")).alias("endpoint"))
+    ident, secret = F.col("ident_last").isNotNull(), F.col("secret_last").isNotNull()
+    # Two disjoint ones are there if and only if the first to end of one kind ends before the last of the other begins.
+    apart = (F.col("ident_first") <= F.col("secret_last")) | (F.col("secret_first") <= F.col("ident_last"))
     kept = scored.filter(
-        ((F.col("ord") == KINDS.index("ident")) & F.col("secret"))
-        | ((F.col("ord") == KINDS.index("secret")) & (F.col("ident") | F.col("endpoint")))
-        | ((F.col("ord") == KINDS.index("endpoint")) & F.col("ident") & F.col("secret"))
+        ((F.col("ord") == KINDS.index("ident")) & secret) | ((F.col("ord") == KINDS.index("secret")) & (ident | F.col("endpoint"))) | ((F.col("ord") == KINDS.index("endpoint")) & apart)
     )
     return kept.groupBy("id", "h").agg(F.collect_list(F.struct("start", "ord", "end")).alias("added"))
 
@@ -140,10 +137,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ).alias("base"),
         F.concat(
             _spans(text, "ident", IDENT, lambda m: F.length(F.regexp_extract(m, IDENT, 2)) >= MIN_IDENT_VALUE),
-            _spans(text, "secret", SECRET, _mixed),
             _spans(text, "endpoint", ENDPOINT),
         ).alias("weak"),
-        _spans(text, "secret", SECRET, _loose).alias("loose"),
+        _spans(text, "secret", SECRET, _random).alias("runs"),
+        _spans(text, "endpoint", URL).alias("urls"),
     )
     scanned = written(scanned, "secret-parts")  # a few spans per document; the texts are scanned once
     added = _linked(scanned, scope).select(F.col("id").alias("a_id"), F.col("h").alias("a_h"), "added")
@@ -192,12 +189,6 @@ def mask_secrets(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) > 0, bound(gaps, run)).otherwise(text)
 
 
-#: The SQL's weak parts: lower-case names and strict runs only. The given tables hold none that are wider.
-_SQL_IDENT = r"""(access_?key_?id|client_?id|user_?name|username|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]+)"""
-_SQL_SECRET = r"[A-Za-z0-9+/]{16,}"
-_SQL_ENDPOINT = r"""(https?://[A-Za-z0-9.:-]+|(host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.:/-]+)"""
-
-
 def _sql_spans(kind: str, pattern: str, keep: str = "true") -> str:
     """DuckDB rows (doc_id, ord, s, e) of one kind: the same split-and-sum on lists."""
     quoted = pattern.replace("'", "''")
@@ -215,17 +206,18 @@ base AS (
   {_sql_spans("assign", ASSIGN, f"length(regexp_extract(m, '{ASSIGN.replace(chr(39), chr(39) * 2)}', 2)) >= {MIN_ASSIGN_VALUE}")}
   UNION ALL {_sql_spans("access", ACCESS)}
   UNION ALL {_sql_spans("hex", HEX)}),
-weak AS (
-  {_sql_spans("ident", _SQL_IDENT, f"length(regexp_extract(m, '{_SQL_IDENT.replace(chr(39), chr(39) * 2)}', 2)) >= {MIN_IDENT_VALUE}")}
-  UNION ALL {_sql_spans("secret", _SQL_SECRET, "regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]')")}
-  UNION ALL {_sql_spans("endpoint", _SQL_ENDPOINT)}),
+named AS (
+  {_sql_spans("ident", IDENT, f"length(regexp_extract(m, '{IDENT.replace(chr(39), chr(39) * 2)}', 2)) >= {MIN_IDENT_VALUE}")}
+  UNION ALL {_sql_spans("endpoint", ENDPOINT)}),
+taken AS (SELECT * FROM base UNION ALL SELECT * FROM named UNION ALL {_sql_spans("endpoint", URL)}),
+runs AS ({_sql_spans("secret", SECRET, "regexp_matches(m, '[A-Za-z]') AND regexp_matches(m, '[0-9]')")}),
+weak AS (SELECT * FROM named UNION ALL SELECT * FROM runs r WHERE NOT EXISTS (SELECT 1 FROM taken t WHERE t.doc_id = r.doc_id AND t.s < r.e AND r.s < t.e)),
 parts AS (SELECT * FROM base UNION ALL SELECT * FROM weak),
-scored AS (
-  SELECT w.doc_id, w.ord, w.s, w.e, bool_or(p.ord IN (1, 3)) AS has_ident, bool_or(p.ord IN (0, 2, 4)) AS has_secret, bool_or(p.ord = 5) AS has_endpoint
-  FROM weak w JOIN parts p ON w.doc_id = p.doc_id AND p.s - w.e <= {SCOPE} AND w.s - p.e <= {SCOPE} GROUP BY ALL),
+near AS (SELECT w.doc_id, w.ord, w.s, w.e, p.ord AS p_ord, p.s AS p_s, p.e AS p_e FROM weak w JOIN parts p ON w.doc_id = p.doc_id AND (p.s - w.e BETWEEN 0 AND {SCOPE} OR w.s - p.e BETWEEN 0 AND {SCOPE})),
 added AS (
-  SELECT doc_id, ord, s, e FROM scored
-  WHERE (ord = 3 AND has_secret) OR (ord = 4 AND (has_ident OR has_endpoint)) OR (ord = 5 AND has_ident AND has_secret)),
+  SELECT DISTINCT doc_id, ord, s, e FROM near n
+  WHERE (ord = 3 AND p_ord IN (0, 2, 4)) OR (ord = 4 AND p_ord IN (1, 3, 5))
+     OR (ord = 5 AND p_ord IN (1, 3) AND EXISTS (SELECT 1 FROM near m WHERE m.doc_id = n.doc_id AND m.ord = 5 AND m.s = n.s AND m.p_ord IN (0, 2, 4) AND (m.p_e <= n.p_s OR n.p_e <= m.p_s)))),
 names AS (SELECT unnest([0, 1, 2, 3, 4, 5]) AS ord, unnest(['assign', 'access', 'hex', 'ident', 'secret', 'endpoint']) AS kind),
 b AS (SELECT doc_id, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access, count(*) FILTER (ord = 2) AS n_hex,
              string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord) AS txt FROM base JOIN names USING (ord) GROUP BY doc_id),
