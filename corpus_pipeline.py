@@ -46,7 +46,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     other = ~(F.col("id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")))
     gone = found.join(small(groups), F.col("root") == F.col("k_root")).filter(other).select(F.col("id").alias("g_id"), F.col("th").alias("g_th")).distinct()
     where = F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.xxhash64("text") == F.col("g_th"))
-    kept = docs.join(small(gone), where, "left_anti")
+    kept = docs.join(small(written(gone, "pipeline-gone")), where, "left_anti")
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
 
 
