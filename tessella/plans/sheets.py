@@ -175,7 +175,22 @@ WITH RECURSIVE s AS (SELECT p_partkey, p_partkey + 1 AS n, '' AS l FROM part
   UNION ALL SELECT p_partkey, (n - 1) // 26, chr(CAST(65 + (n - 1) % 26 AS INTEGER)) || l FROM s WHERE n > 0)
 SELECT p_partkey, l AS letters, p_partkey AS back FROM s WHERE n = 0"""
 
+#: Documents as files: some of a type without sheets, some whose stream failed or names nothing.
+_FILE = {
+    "file_id": "doc_id", "name": "source", "type": "CASE doc_id % 7 WHEN 0 THEN 'newdoc' WHEN 1 THEN 'sheet' WHEN 2 THEN 'mosheet' END", "list_error": "CASE WHEN doc_id % 3 = 1 THEN 'HTTP 500' END",
+    "raw": "CASE WHEN doc_id % 3 < 2 THEN concat('x[\"B:', lang, '\",\"C*', doc_id % 5, '\"]') END",
+}
+
+
+def sheet_fallback(spark, sf_dir):
+    """Sheets of documents by their stream, or by conversations as exported workbooks."""
+    files = table(spark, sf_dir, "documents").selectExpr(*[f"{e} AS {n}" for n, e in _FILE.items()])
+    cells = table(spark, sf_dir, "conversations").selectExpr("conv_id AS file_id", "role AS sheet", "turn + 1 AS _row", "CASE WHEN turn % 4 = 2 THEN array(' ', '') ELSE array(role, '', substr(text, 1, 3)) END AS cells")
+    return sheets.sheets_with_fallback(files, cells).withColumn("headers", F.array_join("headers", "|"))
+
+
 QUERIES = {
+    "sheet_fallback": sheet_fallback,
     "sheet_read": sheet_read,
     "sheet_read_all": sheet_read_all,
     "sheet_headers": sheet_headers,
@@ -194,6 +209,14 @@ QUERIES = {
     "a1_columns": a1_columns,
 }
 ORACLES = {
+    "sheet_fallback": f"""
+        WITH f AS (SELECT {', '.join(f'{e} AS "{n}"' for n, e in _FILE.items())}, lang, doc_id FROM documents),
+        b AS (SELECT conv_id AS file_id, role AS name, count(*) FILTER (turn > 0 AND turn % 4 <> 2) AS "rows", max(CASE WHEN turn = 0 THEN role END) AS h1, max(CASE WHEN turn = 0 THEN nullif(substr(text, 1, 3), '') END) AS h2 FROM conversations GROUP BY ALL),
+        u AS (SELECT *, coalesce(nullif(name, ''), CAST(file_id AS VARCHAR)) AS document FROM f)
+        SELECT file_id, document, NULL AS source, NULL AS fallback_reason, 'no sheets in type ' || type AS error, NULL AS name, NULL::INTEGER AS "index", NULL::BIGINT AS "rows", NULL::INTEGER AS cols, NULL AS headers FROM u WHERE type = 'newdoc'
+        UNION ALL SELECT file_id, document, '{sheets.STREAM}', NULL, NULL, lang, CAST(doc_id % 5 AS INTEGER), NULL, NULL, NULL FROM u WHERE coalesce(type, '') <> 'newdoc' AND doc_id % 3 = 0 AND lang <> ''
+        UNION ALL SELECT u.file_id, document, '{sheets.EXPORT}', coalesce(list_error, '{sheets.NO_TOKEN}'), NULL, b.name, NULL, b."rows", CASE WHEN b.name IS NOT NULL THEN CAST((h1 IS NOT NULL)::INTEGER + (h2 IS NOT NULL)::INTEGER AS INTEGER) END, CASE WHEN b.name IS NOT NULL THEN concat_ws('|', h1, h2) END
+          FROM u LEFT JOIN b ON b.file_id = u.file_id WHERE coalesce(type, '') <> 'newdoc' AND NOT (doc_id % 3 = 0 AND coalesce(lang, '') <> '')""",
     "sheet_read": f'SELECT p_partkey + 2 AS _row, {_BRAND} AS "Brand", CAST(p_size AS VARCHAR) AS "Size", p_name AS "Name" FROM part WHERE {_NONBLANK} ORDER BY p_partkey LIMIT 200',
     "sheet_read_all": f'SELECT p_partkey + 2 AS _row, p_name AS "Name", {_BRAND} AS "Brand", p_type AS "Col3", CAST(p_size AS VARCHAR) AS "Size" FROM part WHERE {_NONBLANK}',
     "sheet_headers": f"""

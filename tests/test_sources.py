@@ -62,3 +62,15 @@ def test_stream_works_off_gaps_only(spark, tmp_path):
         spark.createDataFrame(rows, "key string, n bigint").write.mode("append").parquet(source)
         resume_stream(spark.readStream.schema("key string, n bigint").parquet(source), work, results, schema, str(tmp_path / "cp")).awaitTermination()
     assert sorted((r.key, r.n) for r in spark.read.parquet(results).collect()) == [("a", 0), ("b", 1), ("b", 2), ("c", 4)]
+
+
+def test_sheets_fall_back_file_by_file(spark):
+    files = [("ok", "Doc", "sheet", '["B:s","C*1"]', None), ("broken", "", None, '["B:s","C*1"]', "HTTP 500"), ("silent", None, "mosheet", "nothing", None), ("text", "T", "newdoc", None, None), (None, "n", "sheet", None, None)]
+    cells = [("broken", "a", 1, ["h", "", None, "i"]), ("broken", "a", 2, ["", " "]), ("broken", "a", 3, ["x"]), ("broken", "b", 2, ["y"]), ("ok", "unused", 1, ["z"])]
+    found = lambda f, c: sheets.sheets_with_fallback(spark.createDataFrame(f, "file_id string, name string, type string, raw string, list_error string"), spark.createDataFrame(c, "file_id string, sheet string, _row bigint, cells array<string>"))
+    got = {(r.file_id, r.name): (r.document, r.source, r.fallback_reason, r.error, r["index"], r.rows, r.cols, r.headers) for r in found(files, cells).collect()}
+    assert got == {
+        ("ok", "s"): ("Doc", sheets.STREAM, None, None, 1, None, None, None), ("broken", "a"): ("broken", sheets.EXPORT, "HTTP 500", None, None, 1, 2, ["h", "i"]), ("broken", "b"): ("broken", sheets.EXPORT, "HTTP 500", None, None, 1, 0, []),
+        ("silent", None): ("silent", sheets.EXPORT, sheets.NO_TOKEN, None, None, None, None, None), ("text", None): ("T", None, None, "no sheets in type newdoc", None, None, None, None),
+    }
+    assert found([], []).count() == 0
