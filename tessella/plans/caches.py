@@ -1,4 +1,4 @@
-"""Queries of the two-level cache of pages: conversations as pages, turns as their parts."""
+"""Queries of the two-level cache of pages (conversations, turns as parts) and of fetched files (documents as bodies)."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessella.operators import pagecache
 from tessella.plans.common import table
+from tessella.sources import assets
 
 _PARTS = {"page": "conv_id", "kind": "CASE WHEN role = 'user' THEN 'segment' ELSE 'image' END", "type": "CASE WHEN role = 'user' THEN 'page' ELSE 'image' END", "pos": "CAST(turn AS BIGINT)", "content": "text"}
 # What earlier runs left: pages of every third conversation, two versions of them, and parts by their length.
@@ -48,7 +49,21 @@ def page_cache_entries(spark, sf_dir):
     return pagecache.page_entries(_scattered(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (page_cache_plan, page_cache_queue, page_cache_scatter, page_cache_entries)}
+# Bodies of every kind: an SVG (an active one at times), a page, an empty answer, a picture's header, plain text.
+_BODY = {
+    0: "encode(concat('<svg><desc>', doc_id, '</desc>', CASE WHEN doc_id % 4 = 0 THEN '<script>' ELSE '' END, '</svg>'), 'UTF-8')", 1: "encode(concat('  <!DOCTYPE html>', text), 'UTF-8')",
+    2: "CAST('' AS BINARY)", 3: "unhex(concat('89504E470D0A1A0A0000000D49484452', lpad(hex(doc_id), 8, '0'), '00000280', md5(text)))", 4: "encode(text, 'UTF-8')",
+}
+
+
+def asset_manifest(spark, sf_dir):
+    """What the bytes of each fetched file are, or why it is refused."""
+    body = "CASE doc_id % 6 " + " ".join(f"WHEN {k} THEN {v}" for k, v in _BODY.items()) + " END"
+    files = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{body} AS body")
+    return assets.inspected(files).drop("body")
+
+
+QUERIES = {f.__name__: f for f in (asset_manifest, page_cache_plan, page_cache_queue, page_cache_scatter, page_cache_entries)}
 
 _number = lambda start: f"sum(CAST('0x' || substr(md5(pos || ':' || key), {start}, 15) AS BIGINT))"
 _SQL = f"""
@@ -59,6 +74,12 @@ l AS (SELECT *, EXISTS (SELECT 1 FROM k o WHERE o.key = k.key AND {_OLD_PART.rep
 r AS (SELECT *, CASE WHEN {_OLD_PAGE} THEN 'page' WHEN by_part THEN 'part' END AS level, CASE WHEN {_OLD_PAGE} THEN 'page ' || pos WHEN by_part THEN 'part ' || key[:4] END AS result FROM l),
 s AS (SELECT *, level IS NULL AND {_FAILS} AS failed FROM r)"""
 ORACLES = {
+    "asset_manifest": """
+        WITH b AS (SELECT doc_id, doc_id % 6 AS k, CASE doc_id % 6 WHEN 0 THEN encode('<svg><desc>' || doc_id || '</desc>' || CASE WHEN doc_id % 4 = 0 THEN '<script>' ELSE '' END || '</svg>') WHEN 1 THEN encode('  <!DOCTYPE html>' || text)
+            WHEN 3 THEN unhex('89504E470D0A1A0A0000000D49484452' || lpad(hex(doc_id), 8, '0') || '00000280' || md5(text)) WHEN 4 THEN encode(text) ELSE encode('') END AS body FROM documents),
+          r AS (SELECT *, CASE WHEN octet_length(body) = 0 THEN 'empty_asset' WHEN k = 0 AND doc_id % 4 = 0 THEN 'unsafe_svg' WHEN k = 1 THEN 'html_response' WHEN k = 4 THEN 'invalid_image' END AS reason FROM b)
+        SELECT doc_id, sha256(body) AS sha256, CASE WHEN reason IS NULL THEN CASE k WHEN 0 THEN 'svg' WHEN 3 THEN 'png' END END AS format, octet_length(body) AS n_bytes,
+          CASE WHEN k = 3 AND reason IS NULL THEN doc_id END AS width, CASE WHEN k = 3 AND reason IS NULL THEN CAST(640 AS BIGINT) END AS height, reason FROM r""",
     "page_cache_plan": f"{_SQL} SELECT page, kind, pos, key, page_key, n_parts, level, result FROM r",
     "page_cache_queue": f"{_SQL} SELECT key, page, kind, type, pos, n_parts, md5(content) AS content FROM r WHERE level IS NULL QUALIFY row_number() OVER (PARTITION BY key ORDER BY page, kind, type, pos, n_parts) = 1",
     "page_cache_scatter": f"""{_SQL} SELECT page, kind, count(*) AS n_parts, count(*) FILTER (level = 'page') AS n_page, count(*) FILTER (level = 'part') AS n_part, count(*) FILTER (level IS NULL AND NOT failed) AS n_worked,
