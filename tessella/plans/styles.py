@@ -59,11 +59,57 @@ def layer_pruned(spark, sf_dir):
     return layers.pruned_counts(_nodes(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (layer_style, text_style, slice_collect, layer_pruned)}
+# A plugin file for each part: an artboard, a node of a lost parent before the artboard's own, a group with a box, a text.
+_PLUGIN = """
+'{"info":[{"id":"r","name":"Board","width":300,"height":200},{"id":"s","parentID":"gone","name":"stray","left":1,"top":1,"width":2,"height":2},{"id":"g","parentID":"r","name":"Panel","isVisible":' || CASE WHEN p_partkey % 9 = 0 THEN 'false' ELSE 'true' END
+|| '},{"id":"t","parentID":"r","name":"label","type":"text","left":3,"top":4,"width":5,"height":6,"characterSpacing":1.25,"font":{"font":"Sans-' || CASE p_partkey % 4 WHEN 0 THEN 'BoldItalic' WHEN 1 THEN 'Heavy' ELSE 'Regular' END
+|| '","displayName":"Sans","size":' || p_size || '.6,"line":20.5,"align":"center","verticalAlignment":' || (p_partkey % 3) || ',"color":{"value":"rgba(1,2,3,1)","a":0},' || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE '"content":"hi",' END
+|| '"styles":[{"content":"run","decorationLine":"' || CASE WHEN p_partkey % 2 = 0 THEN 'underline' ELSE 'line-through' END || '"}]}},{"id":"b","parentID":"g","name":"box","type":"' || CASE WHEN p_partkey % 6 = 2 THEN 'bitmap' ELSE 'shapePath' END
+|| '","left":' || p_size || ',"top":2.5,"width":7,"height":8,"ddsOriginFrame":{"x":' || p_size || '.5,"y":-2.5,"width":' || CASE WHEN p_partkey % 2 = 0 THEN '30' ELSE '0' END || ',"height":9}'
+|| CASE WHEN p_partkey % 3 = 0 THEN ',"opacity":50' ELSE '' END || CASE WHEN p_partkey % 6 = 1 THEN ',"exportable":true' ELSE '' END || CASE WHEN p_partkey % 6 < 4 THEN ',"ddsImage":{"imageUrl":"https://x/' || p_partkey || '.png"}' ELSE '' END
+|| ',"fills":[{"isEnabled":false,"color":{"value":"#ffffff"}},' || CASE WHEN p_partkey % 5 < 2 THEN '{"color":{"value":"rgba(10,20,30,0.2)","a":0}}' ELSE '{"color":{"value":"#0a0b0c","a":0.5}}' END
+|| '],"borders":[' || CASE p_partkey % 7 WHEN 1 THEN '{"isEnabled":false},{"color":{"value":"#010203"},"thickness":2,"width":9,"position":"外边框"}' WHEN 2 THEN '{"color":{"value":"#010203"},"width":1.5,"position":"内边框"}' WHEN 3 THEN '{"color":{"value":"#010203"},"thickness":1}' ELSE '' END
+|| '],"shadows":[' || CASE WHEN p_partkey % 3 = 1 THEN '{"color":{"value":"rgba(0,0,0,0.4)","a":0},"x":1,"y":2,"blur":3,"spread":0}' ELSE '' END
+|| '],' || CASE p_partkey % 4 WHEN 0 THEN '"points":[{"cornerRadius":4},{"cornerRadius":4},{"cornerRadius":4},{"cornerRadius":4}],"radius":[9]' WHEN 1 THEN '"points":[{"cornerRadius":8},{"cornerRadius":2},{},{"cornerRadius":1}]' WHEN 2 THEN '"points":[],"radius":[6]' ELSE '"radius":[0,0,0,0]' END
+|| '}]}'"""
+
+
+def plugin_style(spark, sf_dir):
+    """Layers of plugin files in drawing order with their looks."""
+    files = table(spark, sf_dir, "part").selectExpr("p_partkey AS doc", f"{_PLUGIN} AS json")
+    found = style.styled_layers(design.design_nodes(files, style=True), layers.layer_type(F.col("kind")))
+    listed = lambda c, *names: F.concat_ws(",", *[F.col(f"{c}.{n}").cast("string") for n in names])
+    whole = lambda c: F.col(c).cast("long")
+    return found.select(
+        "doc", F.col("id").alias("seq"), "name", F.concat_ws("/", F.transform("above", lambda a: a["name"])).alias("above"), "visible", whole("canvas_w").alias("canvas_w"), whole("fx").alias("x"), whole("fy").alias("y"), whole("fw").alias("w"),
+        "fill", listed("border", "color", "width", "alignment").alias("border"), listed("shadow", "color", "x", "y", "blur", "spread").alias("shadow"), "corner_radius", F.array_join("corners", ",").alias("corners"),
+        "is_slice", "image_url", "slice_url", "text", "text_color", listed("text_style", "font_size", "font_weight", "font_family", "line_height", "letter_spacing", "align", "vertical_align", "italic", "underline", "linethrough").alias("text_style"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (plugin_style, layer_style, text_style, slice_collect, layer_pruned)}
 
 _OPACITY = "CASE WHEN p_partkey % 3 = 0 THEN 0.5 ELSE 1.0 END"
 _half = "p_partkey % 3 = 0"
+_box = lambda value: f"CASE WHEN name = 'box' THEN {value} END"
+_words = lambda value: f"CASE WHEN name = 'label' THEN {value} END"
+_listed = lambda value: f"CASE WHEN name = 'box' THEN {value} ELSE '' END"
 ORACLES = {
+    "plugin_style": f"""
+        WITH n AS (SELECT part.*, unnest(['Panel', 'box', 'label', 'stray']) AS name, unnest([0, 1, 2, 3]) AS seq FROM part)
+        SELECT p_partkey AS doc, CAST(seq AS BIGINT) AS seq, name, CASE WHEN name = 'box' THEN 'Panel' ELSE '' END AS above, name <> 'Panel' OR p_partkey % 9 <> 0 AS visible, CAST(300 AS BIGINT) AS canvas_w,
+          CAST(CASE name WHEN 'Panel' THEN 0 WHEN 'stray' THEN 1 WHEN 'label' THEN 3 ELSE p_size + CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END END AS BIGINT) AS x,
+          CAST(CASE name WHEN 'Panel' THEN 0 WHEN 'stray' THEN 1 WHEN 'label' THEN 4 ELSE CASE WHEN p_partkey % 2 = 0 THEN -2 ELSE 3 END END AS BIGINT) AS y,
+          CAST(CASE name WHEN 'Panel' THEN 0 WHEN 'stray' THEN 2 WHEN 'label' THEN 5 ELSE CASE WHEN p_partkey % 2 = 0 THEN 30 ELSE 7 END END AS BIGINT) AS w,
+          {_box(f"CASE WHEN p_partkey % 5 < 2 THEN CASE WHEN {_half} THEN 'rgba(10,20,30,0.5)' ELSE 'rgba(10,20,30,0.2)' END WHEN {_half} THEN 'rgba(10,11,12,0.25)' ELSE 'rgba(10,11,12,0.5)' END")} AS fill,
+          {_listed(f"CASE WHEN p_partkey % 7 BETWEEN 1 AND 3 THEN CASE WHEN {_half} THEN 'rgba(1,2,3,0.5)' ELSE '#010203' END || CASE p_partkey % 7 WHEN 1 THEN ',2.0,outside' WHEN 2 THEN ',1.5,inside' ELSE ',1.0,center' END ELSE '' END")} AS border,
+          {_listed("CASE WHEN p_partkey % 3 = 1 THEN 'rgba(0,0,0,0.4),1,2,3,0' ELSE '' END")} AS shadow,
+          CAST({_box("CASE p_partkey % 4 WHEN 0 THEN 4 WHEN 2 THEN 6 END")} AS BIGINT) AS corner_radius, {_box("CASE WHEN p_partkey % 4 = 1 THEN '8,2,1,0' END")} AS corners,
+          name = 'box' AND p_partkey % 6 = 1 AS is_slice, {_box("CASE WHEN p_partkey % 6 = 2 THEN 'https://x/' || p_partkey || '.png' END")} AS image_url, {_box("CASE WHEN p_partkey % 6 = 1 THEN 'https://x/' || p_partkey || '.png' END")} AS slice_url,
+          {_words("CASE WHEN p_partkey % 5 = 0 THEN 'run' ELSE 'hi' END")} AS text, {_words("'#010203'")} AS text_color,
+          CASE WHEN name = 'label' THEN (p_size + 1) || CASE WHEN p_partkey % 4 < 2 THEN ',700.0' ELSE '' END || ',Sans,21,1.3,center' || CASE p_partkey % 3 WHEN 1 THEN ',middle' WHEN 2 THEN ',bottom' ELSE '' END
+            || CASE WHEN p_partkey % 4 = 0 THEN ',true' ELSE '' END || ',true' ELSE '' END AS text_style
+        FROM n""",
     "layer_style": f"""
         SELECT p_partkey AS doc,
           CASE p_partkey % 5 WHEN 2 THEN CASE WHEN {_half} THEN 'rgba(10,20,30,0.1)' ELSE 'rgba(10,20,30,0.2)' END WHEN 3 THEN CASE WHEN {_half} THEN 'rgba(9,8,7,0.5)' ELSE '#090807' END WHEN 4 THEN CASE WHEN {_half} THEN 'rgba(9,8,7,0.5)' ELSE '#090807' END END AS fill,

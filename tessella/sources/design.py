@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,6 +20,11 @@ _FIELDS = [
     ("fill_opacity", pa.float64()), ("opacity", pa.float64()), ("text", pa.string()), ("is_slice", pa.bool_()), ("image_url", pa.string()), ("slice_url", pa.string()), ("style", pa.string()),
     ("canvas_w", pa.float64()), ("canvas_h", pa.float64()),
 ]
+#: Words of font names and of border places, and numbers of upright alignments (fixed values of plugin files).
+HEAVY, SLANTED = ("bold", "heavy", "black"), ("italic", "oblique")
+PLACES = {"外边框": "outside", "内边框": "inside"}
+UPRIGHT = {0: "top", 1: "middle", 2: "bottom"}
+_ALPHA = re.compile(r"rgba\(\s*\d+\s*,\s*\d+\s*,\s*\d+\s*,\s*(\d+\.?\d*|\.\d+)\s*\)")
 #: Rows a batch.
 BATCH = 20_000
 
@@ -66,24 +73,102 @@ def _nested(root: dict) -> list:
     return []
 
 
-def _nested_from_info(info: list[dict]) -> list[dict]:
-    """Flat plugin nodes linked by parentID as nested layers; opacity of 0 to 100 as 0 to 1."""
-    made = {}
+def _object(value) -> dict:
+    return value if isinstance(value, dict) else {}
+
+
+def _plugin_color(color) -> dict | None:
+    """A colour of a plugin file without its alpha where that contradicts the alpha of its own text, which holds."""
+    color = color if isinstance(color, dict) else None
+    value = _object(color).get("value")
+    stated = _ALPHA.search(value) if isinstance(value, str) else None
+    alpha = _number(color.get("a")) if stated else None
+    if alpha is None or abs(alpha - float(stated[1])) <= 1e-3:
+        return color
+    return {k: v for k, v in color.items() if k != "a"}
+
+
+def _plugin_paints(items) -> list[dict]:
+    """Fills, borders or shadows that are not switched off, in the fields of nested files."""
+    made = []
+    for item in items if isinstance(items, list) else []:
+        if not isinstance(item, dict) or item.get("isEnabled") is False:
+            continue
+        paint = item | {"color": _plugin_color(item.get("color"))}
+        stops = _object(item.get("gradient")).get("colorStops")
+        if isinstance(stops, list):
+            paint["gradient"] = {"stops": [{"position": s.get("position"), "color": _plugin_color(s.get("color"))} for s in stops if isinstance(s, dict)]}
+        made.append(paint)
+    return made
+
+
+def _plugin_corners(node: dict) -> dict | None:
+    """The corners by the points' radii, else the ``radius`` list; null if all are square."""
+    points = node.get("points")
+    listed = [p.get("cornerRadius") if isinstance(p, dict) else None for p in points] if isinstance(points, list) and points else node.get("radius")
+    radii = [_number(r) or 0.0 for r in listed] if isinstance(listed, list) else []
+    if not any(radii):
+        return None
+    return {name: radii[i] if i < len(radii) else radii[0] for i, name in enumerate(("topLeft", "topRight", "bottomRight", "bottomLeft"))}
+
+
+def _plugin_text(node: dict) -> dict | None:
+    """Content, colour and font of a text layer; bold and slanted faces are told by the font's name."""
+    font = node.get("font")
+    if node.get("type") != "text" or not isinstance(font, dict):
+        return None
+    runs = font.get("styles")
+    run = runs[0] if isinstance(runs, list) and runs and isinstance(runs[0], dict) else {}
+    first = lambda *values: next((v for v in values if v is not None), None)
+    face, line = str(font.get("font") or font.get("displayName") or "").lower(), run.get("decorationLine")
+    size, height, upright = _number(first(font.get("size"), run.get("size"))), font.get("line"), _number(font.get("verticalAlignment"))
+    look = {
+        "size": size or None, "name": font.get("displayName") or None, "postScriptName": font.get("font") or None, "fontWeight": 700 if any(w in face for w in HEAVY) else None,
+        "lineHeight": None if height is None else {"unit": "PIXELS", "value": _number(height) or 0.0}, "letterSpacing": {"value": _number(first(node.get("characterSpacing"), font.get("kerning"))) or 0.0},
+        "align": font["align"] if isinstance(font.get("align"), str) else None, "verticalAlignment": UPRIGHT.get(upright, "top"),
+        "italic": any(w in face for w in SLANTED) or None, "underline": line == "underline" or None, "linethrough": line == "line-through" or None,
+    }
+    content = first(font.get("content"), run.get("content"))
+    return {"style": {"content": "" if content is None else str(content), "color": first(_plugin_color(font.get("color")), _plugin_color(run.get("color"))), "font": look}}
+
+
+def _plugin_frame(node: dict) -> dict:
+    """The origin frame if it has a size, else left and top; whole pixels, half up."""
+    origin = node.get("ddsOriginFrame")
+    sized = isinstance(origin, dict) and (_number(origin.get("width")) or 0) > 0 and (_number(origin.get("height")) or 0) > 0
+    names = ("x", "y", "width", "height") if sized else ("left", "top", "width", "height")
+    return {to: math.floor((_number((origin if sized else node).get(name)) or 0.0) + 0.5) for to, name in zip(("x", "y", "width", "height"), names)}
+
+
+def _nested_from_info(info: list[dict]) -> tuple[dict, list[dict]]:
+    """Flat plugin nodes linked by parentID: the frame of the artboard and its nested layers.
+
+    The artboard is the first node without a known parent; other such nodes come after its own children. Of nodes with
+    one id the first holds the children, so that no loop can be reached; nodes on a loop of parents, which no root
+    reaches, are left out, and nodes without an id have no children.
+    """
+    known = {n["id"] for n in info if n.get("id") is not None}
+    below, roots = {}, []
     for n in info:
-        frame = n.get("ddsOriginFrame") or n
-        image = n.get("ddsImage") or {}
-        made[n.get("id")] = {
-            "name": n.get("name"), "type": n.get("type"), "visible": n.get("isVisible", True), "layers": [],
-            "opacity": None if _number(n.get("opacity")) is None else _number(n.get("opacity")) / 100,
-            "frame": {"x": frame.get("x", frame.get("left")), "y": frame.get("y", frame.get("top")), "width": frame.get("width"), "height": frame.get("height")},
-            "style": {"fills": n.get("fills") or []}, "text": (n.get("font") or {}).get("content"),
-            "hasExportImage": bool(n.get("exportable")), "image": {"imageUrl": image.get("imageUrl")},
-        }
-    roots = []
+        above = n.get("parentID")
+        (roots if above is None or above not in known else below.setdefault(above, [])).append(n)
+    if not roots:
+        return {}, []
+    made = []
     for n in info:
-        parent = made.get(n.get("parentID"))
-        (parent["layers"] if parent is not None and parent is not made[n.get("id")] else roots).append(made[n.get("id")])
-    return roots
+        image, vector = _object(n.get("ddsImage")).get("imageUrl"), _object(n.get("image"))
+        marked = n.get("exportable") is True
+        shown = {"imageUrl": image} if image and (marked or n.get("type") == "bitmap") else vector if not marked and vector.get("svgUrl") else {}
+        made.append((n, {
+            "name": n.get("name"), "type": n.get("type"), "visible": n.get("isVisible") is not False, "frame": _plugin_frame(n), "radius": _plugin_corners(n), "text": _plugin_text(n),
+            "opacity": n["opacity"] / 100 if isinstance(n.get("opacity"), (int, float)) and not isinstance(n.get("opacity"), bool) else None, "hasExportImage": marked, "image": shown,
+            "style": {"fills": _plugin_paints(n.get("fills")), "shadows": _plugin_paints(n.get("shadows")),
+                      "borders": [b | {"width": b["thickness"] if b.get("thickness") is not None else b.get("width"), "lineAlignment": PLACES.get(b.get("position"), "center")} for b in _plugin_paints(n.get("borders"))]},
+        }))
+    by_node = {id(n): layer for n, layer in made}
+    for n, layer in made:
+        layer["layers"] = [by_node[id(c)] for c in below.pop(n.get("id"), [])] if n.get("id") is not None else []
+    return _plugin_frame(roots[0]), by_node[id(roots[0])]["layers"] + [by_node[id(r)] for r in roots[1:]]
 
 
 def _style(node: dict) -> dict:
@@ -103,10 +188,12 @@ def layer_rows(text: str | None, style: bool = False) -> Iterator[tuple]:
         return
     if not isinstance(root, dict):
         return
-    frame = (root.get("artboard") or {}).get("frame") or {}
+    frame, info = (root.get("artboard") or {}).get("frame") or {}, root.get("info")
+    if isinstance(info, list) and info and not root.get("artboard"):
+        frame, top = _nested_from_info([n for n in info if isinstance(n, dict)])
+    else:
+        top = _nested(root.get("artboard") or root)
     canvas = _number(frame.get("width")), _number(frame.get("height"))
-    info = root.get("info")
-    top = _nested_from_info([n for n in info if isinstance(n, dict)]) if isinstance(info, list) else _nested(root.get("artboard") or root)
     stack = [(n, ()) for n in reversed(top)]
     at = 0
     while stack:

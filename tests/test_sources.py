@@ -35,12 +35,23 @@ def test_html_elements(spark):
 
 def test_design_shapes(spark):
     nested = {"artboard": {"frame": {"width": 100, "height": 100}, "layers": [{"name": "Panel", "frame": {"width": 5, "height": 5}, "layers": [{"name": "t", "type": "text", "text": "hi", "frame": {"x": 1, "y": 1, "width": 2, "height": 2}}, {"name": "x 备份", "layers": [{"name": "y"}]}]}]}}
-    flat = {"info": [{"id": "1", "name": "Panel", "type": "group"}, {"id": "2", "parentID": "1", "name": "t", "type": "text", "font": {"content": "hi"}, "ddsOriginFrame": {"x": 1, "y": 1, "width": 2, "height": 2}, "opacity": 50}]}
+    flat = {"info": [{"id": "0", "name": "Board"}, {"id": "1", "parentID": "0", "name": "Panel", "type": "group"}, {"id": "2", "parentID": "1", "name": "t", "type": "text", "font": {"content": "hi"}, "ddsOriginFrame": {"x": 1, "y": 1, "width": 2, "height": 2}, "opacity": 50}]}
     files = spark.createDataFrame([(1, json.dumps(nested)), (2, json.dumps(flat)), (3, "no json"), (4, None)], "doc int, json string")
     got = sorted((r.doc, r.text, r.parent_path, r.x) for r in design.design_layers(design.design_nodes(files)).collect())
     assert got == [(1, "hi", "Panel", 1), (2, "hi", "Panel", 1)]
 
 
+def test_plugin_files_of_odd_shapes():
+    rows = lambda info: [(r[2], [a["name"] for a in r[1]]) for r in design.layer_rows(json.dumps({"info": info}))]
+    node = lambda i, above=None, **more: {"id": i, "parentID": above, "name": i, **more}
+    assert rows([node("a"), node("b", "gone"), node("c", "a"), node("d", "c")]) == [("c", []), ("d", ["c"]), ("b", [])]
+    assert rows([node("a", "b"), node("b", "a")]) == [] and rows([]) == [] and rows([None, 3]) == []
+    assert rows([node("r"), node("x", "r"), node("x", "x"), node("y", "x")]) == [("x", []), ("x", ["x"]), ("y", ["x"])]
+    assert rows([node("r"), node(None, "r"), node(None), node("l", "l")]) == [(None, []), (None, [])]
+    odd = dict(fills="x", borders=[None, 1, {"color": "red"}], shadows={}, points=[None, 5], radius="r", font=7, ddsImage="u", image=3, opacity="half", ddsOriginFrame=[1], left="x", type="text")
+    assert rows([node("r"), node("o", "r", **odd)]) == [("o", [])]
+
+
 def test_charsets():
     assert design.decoded("中文".encode("gbk")) == "中文" and design.decoded("é".encode()) == "é" and design.decoded(None) == ""
 
