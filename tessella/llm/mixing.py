@@ -12,10 +12,13 @@ copies. One more copy is drawn for some:
 2. The others are ranked by random odds over inclusion odds, ``(u / (1 - u)) / (p / (1 - p))``, and taken
    in that order.
 3. The sample's fixed size is counted in words, as the targets are: documents are taken in rank order up to
-   the one that no longer fits the words left; of those behind it the ones that still fit are taken, again in
-   rank order, until none fits. So a source ends within less than its smallest remaining document of the
-   target. What this costs: the number of documents drawn follows the sizes met, within a few of the sum of
-   the probabilities, and what fills the last gap, at most the words of one document, leans to short ones.
+   the one that no longer fits the words left. Then one document closes the gap: the first in rank order that
+   leaves at most ``close`` of the target open. Where there is none, those behind that still fit are taken in rank
+   order, again up to the first that does not, and so on. A source is done as soon as at most ``close`` of its target
+   is open, so short documents are not drawn just because they fill what is left. What this costs: the number
+   of documents drawn follows the sizes met, within a few of the sum of the probabilities, and one document
+   of a source, as a rule, is chosen for its length; a source stays within ``close`` of its target, or within less
+   than its smallest remaining document.
 
 Nothing is gathered: ranks are cut into buckets whose number follows a source's rows (the cut lies near
 rank 1, where a step holds at most an even share of them), words are summed per bucket, and only the
@@ -36,6 +39,7 @@ from tessella.llm.common import n_words, partition_count, small, uniform, writte
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
+CLOSE = 0.005
 BUCKET_ROWS = 4000
 SEED = 20240229
 
@@ -136,6 +140,7 @@ def mix_sources(
     share: float = SHARE,
     most: float = MOST,
     seed: int = SEED,
+    close: float = CLOSE,
 ) -> DataFrame:
     """Copies of every document in the mix: ``id, h, source, size, source_size, target, copies``."""
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[source_col].alias("source"))
@@ -164,15 +169,20 @@ def mix_sources(
     out = joined.filter(~open_).withColumn("hit", sure).select(*keep)
     rest = written(drawn.filter(F.col("size") <= F.col("left")).drop("u", "p", "c", "sure", "n"), "mix-open")
     out = out.unionByName(drawn.filter(F.col("size") > F.col("left")).withColumn("hit", F.lit(False)).select(*keep))
+    near, gap = F.lit(float(close)) * F.col("target"), F.col("left")
     while not rest.isEmpty():
-        passed = written(_drawn(rest), "mix-pass")
+        passed = written(_drawn(rest).withColumn("row", F.monotonically_increasing_id()), "mix-pass")
         got = passed.groupBy("source").agg(F.sum(F.when(F.col("hit"), F.col("size")).otherwise(0)).alias("got"))
         got = written(got.withColumnRenamed("source", "g_source"), "mix-got")
         rest = passed.filter(~F.col("hit")).drop("hit").join(small(got), F.col("source").eqNullSafe(F.col("g_source")))
-        rest = rest.withColumn("left", F.col("left") - F.col("got")).drop("g_source", "got")
-        fits = F.col("size") <= F.col("left")
-        out = out.unionByName(passed.filter("hit").select(*keep)).unionByName(rest.filter(~fits).withColumn("hit", F.lit(False)).select(*keep))
-        rest = written(rest.filter(fits), "mix-open")
+        rest = rest.withColumn("left", gap - F.col("got")).drop("g_source", "got")
+        closing = rest.filter((gap > near) & (F.col("size") <= gap) & (F.col("size") >= gap - near))
+        closing = written(closing.groupBy(F.col("source").alias("c_source")).agg(F.min_by("row", F.struct("rank", "id", "h", "size")).alias("closing")), "mix-closing")
+        rest = rest.join(small(closing), F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
+        goes_on = F.col("closing").isNull() & (gap > near) & (F.col("size") <= gap)
+        done = rest.filter(~goes_on).withColumn("hit", F.coalesce(F.col("row") == F.col("closing"), F.lit(False)))
+        out = out.unionByName(passed.filter("hit").select(*keep)).unionByName(done.select(*keep))
+        rest = written(rest.filter(goes_on).drop("row", "closing"), "mix-open")
     copies = F.col("certain") + F.when(F.col("hit"), 1).otherwise(0)
     return out.select("id", "h", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
 

@@ -128,8 +128,29 @@ def test_mix_meets_its_targets(spark):
     assert sum(target.values()) == pytest.approx(1.5 * sum(size.values())) and all(target[s] <= 2 * size[s] + 1e-6 for s in target)
 
 
+def test_mix_takes_short_documents_as_often_as_it_should(spark):
+    """A thousand sources alike in sizes, so a thousand draws: shares taken against the probabilities, sixth by sixth."""
+    rng, n, k = random.Random(5), 300, 1000
+    sizes = sorted(min(400, int(rng.lognormvariate(3, 1.2)) + 1) for _ in range(n))
+    base = spark.createDataFrame([(i, " ".join(["w"] * w)) for i, w in enumerate(sizes)], "i long, text string")
+    docs = base.crossJoin(F.broadcast(spark.range(k).withColumnRenamed("id", "s"))).select((F.col("s") * n + F.col("i")).alias("doc_id"), "text", F.col("s").cast("string").alias("source"))
+    out = mixing.mix_sources(docs, weights=(1.0,), share=0.5).groupBy((F.col("id") % n).alias("i")).agg(F.sum("copies").alias("taken")).collect()
+    shares, left, capped = {r.i: r.taken / k for r in out}, sum(sizes) / 2, 0
+    while True:  # the probabilities by hand, the longest first
+        c = (left - sum(sizes[n - capped :])) / sum(w * w for w in sizes[: n - capped])
+        if c * sizes[n - capped - 1] < 1:
+            break
+        capped += 1
+    p = [min(1.0, c * w) for w in sizes]
+    for sixth in range(6):
+        at = range(sixth * 50, sixth * 50 + 50)
+        assert sum(shares[i] for i in at) / 50 == pytest.approx(sum(p[i] for i in at) / 50, abs=0.006, rel=0.04)
+    words = sum(shares[i] * sizes[i] for i in range(n))
+    assert 0.99 * left < words <= left
+
+
 def test_mix_equals_a_plain_simulation(spark):
-    """The same draws in plain Python: targets, inclusion probabilities, ranks and the fill up to the last document that fits."""
+    """The same draws in plain Python: targets, inclusion probabilities, ranks and the one document that closes the gap."""
     rng = random.Random(11)
     rows = [(i, " ".join(["w"] * int(rng.lognormvariate(2, 1.5))), None, rng.choice(["a", "b", "b", "c", "d", "e", None]), 0, "", "", 0) for i in range(500)]
     df = spark.createDataFrame(rows, DOCS)
@@ -163,21 +184,27 @@ def test_mix_equals_a_plain_simulation(spark):
         words -= sum(r["size"] for r in sure)
         taken = list(sure)
         some = sorted(((r.u * (1 - c * r["size"]) / ((1 - r.u) * c * r["size"]), r.doc_id, r.h, r) for r in some), key=lambda x: x[:3]) if some else []
-        while some := [x for x in some if x[3]["size"] <= words]:
+        near, first = mixing.CLOSE * target[s], True
+        while (words > near or first) and (some := [x for x in some if x[3]["size"] <= words]):
+            first = False
             for x in list(some):
                 if x[3]["size"] > words:
                     break
                 words -= x[3]["size"]
                 taken.append(x[3])
                 some.remove(x)
+            if words > near and (closing := [x for x in some if words - near <= x[3]["size"] <= words]):
+                taken.append(closing[0][3])
+                break
         for r in taken:
             want[r.doc_id] += 1
     out = mixing.mix_sources(df).collect()
     assert {r.id: r.copies for r in out} == want
     assert all(r.target == pytest.approx(target[r.source]) for r in out)
-    for s in names:  # nothing that could be drawn still fits
+    for s in names:  # close to the target, or nothing that could be drawn still fits
         gap = target[s] - sum(r.copies * r["size"] for r in out if r.source == s)
-        assert gap >= -1e-6 and not [r for r in out if r.source == s and 0 < r["size"] <= gap and r.copies == int(target[s] / size[s] + 1e-12) < 2]
+        assert gap >= -1e-6
+        assert gap <= mixing.CLOSE * target[s] or not [r for r in out if r.source == s and 0 < r["size"] <= gap and r.copies == int(target[s] / size[s] + 1e-12) < 2]
 
 
 def test_bits_pack_and_unpack():
