@@ -114,3 +114,56 @@ def wanted_pages(pages: DataFrame, wanted: DataFrame, tree: str = "tree", pos: s
     found = hits.groupBy(tree, pos).agg(F.first("name").alias("name")).withColumn("error", F.lit(None).cast("string"))
     missing = names.join(hits.select(tree, "_want").distinct(), [tree, "_want"], "left_anti")
     return found.unionByName(missing.select(tree, F.lit(None).cast(pages.schema[pos].dataType).alias(pos), F.col("_want").alias("name"), F.lit(NOT_FOUND).alias("error")))
+
+
+#: What is said of a target that picks no single row (fixed texts of the library's reports).
+AMBIGUOUS, UNKNOWN, NO_ROWS = "「%s」匹配到 %d 个节点：%s。请使用完整路径（父分组/页面名）区分", "目录中未找到「%s」。可用路径：%s", "目录中没有任何%s"
+NODES, GROUPS = "节点", "分组"
+
+
+def explained_targets(items: DataFrame, wanted: DataFrame, groups_only: bool = False, tree: str = "tree", pos: str = "pos") -> DataFrame:
+    """``wanted`` (``tree, target``), without repeats, with the row it picks and why it picks none.
+
+    ``pos, name, path, level, is_group`` are the row of ``items`` that an exact path, else a unique name, else a unique end
+    of a path picks; else null, with ``candidates``, the paths of all rows that any of these finds (paths, names and ends
+    in this order, then as the outline has them), and ``reason``. ``groups_only`` looks at group rows only.
+    Rows meet targets by equal texts (the ends of a path are listed), not pair by pair. A null target is as an empty one,
+    which every path ends with; a tree without rows says so.
+    """
+    pool = items.filter("is_group") if groups_only else items
+    row = F.struct(F.col(pos).alias("pos"), "name", "path", "level", "is_group")
+    ends = F.transform(F.sequence(F.lit(1), F.char_length("path") + 1), lambda i: F.substring(F.col("path"), i, F.char_length("path")))
+    listed = pool.select(tree, row.alias("row"), F.explode(F.array_distinct(F.concat(ends, F.array("name")))).alias("target"))
+    asked = wanted.select(tree, F.coalesce("target", F.lit("")).alias("target")).distinct()
+    stage = F.when(F.col("row.path") == F.col("target"), 1).when(F.col("row.name") == F.col("target"), 2).otherwise(3)
+    hits = asked.join(listed, [tree, "target"]).withColumn("stage", stage)
+    is_name, is_end = F.col("row.name") == F.col("target"), F.col("row.path").endswith(F.col("target"))
+    only = lambda cond: F.when(F.count_if(cond) == 1, F.max(F.when(cond, F.col("row"))))
+    found = hits.groupBy(tree, "target").agg(
+        F.coalesce(only(F.col("stage") == 1), only(is_name), only(is_end)).alias("row"),
+        F.transform(F.array_sort(F.collect_list(F.struct("stage", "row.pos", "row.path"))), lambda c: c["path"]).alias("candidates"))
+    rows = asked.join(found, [tree, "target"], "left").withColumn("candidates", F.when(F.col("row").isNull(), F.coalesce("candidates", F.array().cast("array<string>"))))
+    # Only targets without any hit need the paths of their tree.
+    lost = rows.filter(F.size("candidates") == 0).select(tree).distinct()
+    paths = pool.join(lost, tree, "left_semi").groupBy(tree).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), "path"))), lambda x: x["path"]), "、").alias("known"))
+    n = F.size("candidates")
+    reason = (
+        F.when(n > 0, F.format_string(AMBIGUOUS, "target", n, F.array_join("candidates", "、")))
+        .when(F.col("known").isNotNull(), F.format_string(UNKNOWN, "target", "known")).otherwise(F.lit(NO_ROWS % (GROUPS if groups_only else NODES)))
+    )
+    return rows.join(paths, tree, "left").select(tree, "target", "row.*", "candidates", F.when(F.col("row").isNull(), reason).alias("reason"))
+
+
+def group_pages(items: DataFrame, targets: DataFrame, tree: str = "tree", pos: str = "pos") -> DataFrame:
+    """``tree, target, own, pos, name, path``: the pages that each target of :func:`explained_targets` stands for.
+
+    A page stands for itself; a group for its own page, if it has one (``has_page``), which comes first (``own``), and the
+    pages below it. Targets without a row have none.
+    """
+    picked = targets.filter("is_group IS NOT NULL").select(tree, "target", F.col("pos").alias("at"), "is_group")
+    rows = items.select(tree, F.col(pos).alias("pos"), "name", "path", "has_page")
+    self_ = picked.join(rows.withColumnRenamed("pos", "at"), [tree, "at"]).filter(~F.col("is_group") | F.coalesce("has_page", F.lit(False)))
+    self_ = self_.select(tree, "target", F.col("is_group").alias("own"), F.col("at").alias("pos"), "name", "path")
+    members = group_members(items, tree, pos).select(tree, F.col("group_pos").alias("at"), F.col(pos).alias("pos"))
+    below = picked.filter("is_group").join(members, [tree, "at"]).join(rows, [tree, "pos"])
+    return self_.unionByName(below.select(tree, "target", F.lit(False).alias("own"), "pos", "name", "path"))

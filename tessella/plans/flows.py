@@ -77,6 +77,25 @@ def outline_wanted(spark, sf_dir):
     return tree.wanted_pages(items, by_path.unionByName(by_name))
 
 
+def _asked(items: DataFrame) -> DataFrame:
+    """Names, ends of paths, and names that are not there."""
+    by_end = items.filter("pos % 2 = 1").select("tree", F.substring("path", 4, 1000).alias("target"))
+    lost = items.filter("pos = 2").select("tree", F.concat("name", F.lit("?")).alias("target"))
+    return items.select("tree", F.col("name").alias("target")).unionByName(by_end).unionByName(lost)
+
+
+def outline_explained(spark, sf_dir):
+    """The row each target picks, or its candidates and the reason."""
+    items = tree.level_paths(_outline(spark, sf_dir))
+    return tree.explained_targets(items, _asked(items)).withColumn("candidates", F.array_join("candidates", "|"))
+
+
+def outline_group_pages(spark, sf_dir):
+    """Pages of the groups and pages that targets pick, a group's own page first."""
+    items = tree.level_paths(_outline(spark, sf_dir)).withColumn("has_page", F.expr("pos % 3 = 0"))
+    return tree.group_pages(items, tree.explained_targets(items, _asked(items)))
+
+
 _SPLIT = r"\. "
 
 
@@ -222,7 +241,7 @@ def similar_tables(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    adjacent_collapse, running_limit, tree_paths, subtree_size, outline_paths, outline_members, outline_targets, outline_wanted, flow_merge_nodes, flow_merge_edges, segment_stitch, flow_degree,
+    adjacent_collapse, running_limit, tree_paths, subtree_size, outline_paths, outline_members, outline_targets, outline_wanted, outline_explained, outline_group_pages, flow_merge_nodes, flow_merge_edges, segment_stitch, flow_degree,
     flow_mermaid, flow_main, flow_branches, flow_exceptions, sector_listing, sector_designs, directory_listing, slice_files, content_cache_key, cache_resume, cache_lookup, cache_totals, adjacent_tables, similar_tables,
 )}
 
@@ -247,7 +266,20 @@ g AS (SELECT n.doc, n.merged, (SELECT count(*) FROM e WHERE e.doc = n.doc AND e.
 d AS (SELECT *, CASE WHEN in_degree = 0 THEN 'start' WHEN out_degree = 0 THEN 'end' ELSE 'process' END AS type FROM g)"""
 _KEYED = "k AS (SELECT doc_id, md5(coalesce(lang, '') || '::' || coalesce(text, '')) AS key FROM documents), done AS (SELECT key, doc_id AS written_at, quality, toxic = 1 AS failed FROM labels JOIN k USING (doc_id))"
 
+_ASKED = _PATHS + f""", i AS (SELECT tree, pos, name, path, level, is_group FROM p JOIN o USING (tree, pos)),
+w AS (SELECT DISTINCT tree, target FROM (SELECT tree, name AS target FROM i UNION ALL SELECT tree, path[4:] FROM i WHERE pos % 2 = 1 UNION ALL SELECT tree, name || '?' FROM i WHERE pos = 2)),
+h AS (SELECT w.tree, w.target, i.*, i.path = w.target AS s1, i.name = w.target AS s2, ends_with(i.path, w.target) AS s3 FROM w JOIN i ON i.tree = w.tree WHERE i.name = w.target OR ends_with(i.path, w.target)),
+c AS (SELECT tree, target, count(*) FILTER (s1) AS n1, count(*) FILTER (s2) AS n2, count(*) FILTER (s3) AS n3, count(*) AS n, min(pos) FILTER (s1) AS p1, min(pos) FILTER (s2) AS p2, min(pos) FILTER (s3) AS p3,
+  string_agg(path, '|' ORDER BY CASE WHEN s1 THEN 1 WHEN s2 THEN 2 ELSE 3 END, pos) AS candidates, string_agg(path, '、' ORDER BY CASE WHEN s1 THEN 1 WHEN s2 THEN 2 ELSE 3 END, pos) AS told FROM h GROUP BY tree, target),
+x AS (SELECT w.tree, w.target, CASE WHEN n1 = 1 THEN p1 WHEN n2 = 1 THEN p2 WHEN n3 = 1 THEN p3 END AS spot, coalesce(n, 0) AS n, candidates, told FROM w LEFT JOIN c ON c.tree = w.tree AND c.target = w.target)"""
+
 ORACLES = {
+    "outline_explained": _ASKED + """ SELECT x.tree, x.target, i.pos, i.name, i.path, CAST(i.level AS INTEGER) AS level, i.is_group, CASE WHEN spot IS NULL THEN coalesce(candidates, '') END AS candidates,
+        CASE WHEN spot IS NOT NULL THEN NULL WHEN n > 0 THEN '「' || x.target || '」匹配到 ' || n || ' 个节点：' || told || '。请使用完整路径（父分组/页面名）区分'
+          ELSE '目录中未找到「' || x.target || '」。可用路径：' || (SELECT string_agg(a.path, '、' ORDER BY a.pos) FROM i a WHERE a.tree = x.tree) END AS reason FROM x LEFT JOIN i ON i.tree = x.tree AND i.pos = x.spot""",
+    "outline_group_pages": _ASKED + """, g AS (SELECT x.tree, x.target, i.*, (SELECT min(e.pos) FROM i e WHERE e.tree = i.tree AND e.pos > i.pos AND e.level <= i.level) AS stop FROM x JOIN i ON i.tree = x.tree AND i.pos = x.spot)
+        SELECT tree, target, is_group AS own, pos, name, path FROM g WHERE NOT is_group OR pos % 3 = 0
+        UNION ALL SELECT g.tree, g.target, false, i.pos, i.name, i.path FROM g JOIN i ON i.tree = g.tree AND NOT i.is_group AND i.pos > g.pos AND (stop IS NULL OR i.pos < stop) WHERE g.is_group""",
     "adjacent_collapse": """
         WITH c AS (SELECT *, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) THEN 0 ELSE 1 END AS c FROM events),
         i AS (SELECT *, sum(c) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM c)
