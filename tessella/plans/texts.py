@@ -182,6 +182,16 @@ def text_extras(spark, sf_dir):
     return p.select("page_id", T.unfenced(F.col("answer")).alias("answer"), T.number_after(F.col("part"), "_seg").alias("number"), T.day_stamp(F.col("moment")).alias("day"), T.short_key(F.array("url", F.lit("m"))).alias("key"), F.md5(T.head_lines(F.col("lines"))).alias("head"))
 
 
+def text_escapes(spark, sf_dir):
+    """Whole pages as file names, XML and there and back, and Markdown rows."""
+    p = table(spark, sf_dir, "pages")
+    xml = T.xml_escaped(F.col("html"))
+    return p.select(
+        "page_id", T.safe_file_name(F.col("url")).alias("file"), F.md5(T.safe_file_name(F.col("html"))).alias("html_file"), F.md5(xml).alias("xml"), F.md5(T.xml_unescaped(xml)).alias("plain"),
+        F.md5(T.markdown_row(F.array(F.col("url"), F.lit(None).cast("string"), F.concat(F.lit(" a|b\r\n"), "html")))).alias("markdown"),
+    )
+
+
 def html_extract(spark, sf_dir):
     """Elements of every page."""
     return html.html_elements(table(spark, sf_dir, "pages"))
@@ -189,7 +199,7 @@ def html_extract(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     page_type_classify, noise_filter, svg_html_safety, num_facts, num_conflicts, char_jaccard, header_similarity, label_rule_counts, dom_text_clean, prefix_crossvalidate,
-    dedup_keep_last, dedup_keep_first, page_rollup, vision_need, doc_render, segment_text, image_sizes, color_normalize, scale_urls, url_checks, html_extract, text_extras,
+    dedup_keep_last, dedup_keep_first, page_rollup, vision_need, doc_render, segment_text, image_sizes, color_normalize, scale_urls, url_checks, html_extract, text_extras, text_escapes,
 )}
 
 _Q = lambda s: s.replace("'", "''")
@@ -222,7 +232,13 @@ _byte = "list_transform(g[1:3], lambda v: CAST(CAST(least(255, greatest(0, floor
 _hexed = lambda i: f"CAST(('0x' || substr(h, {i}, 2)) AS INTEGER)"
 _SHORT = f"CASE WHEN starts_with(c, 'rgba') AND len(g) = 4 AND g[4] = '1' AND {_WHOLE} THEN '#' || array_to_string(list_transform(g[1:3], lambda v: lpad(lower(to_hex(CAST(v AS BIGINT))), 2, '0')), '') ELSE c END"
 
+_NAMED = lambda c: f"regexp_replace({c}, '[/\\\\:*?\"<>|]', '_', 'g')"
+_CELL = lambda c: sql_trim(f"replace(regexp_replace({c}, '\\r?\\n', '<br>', 'g'), '|', '\\|')")
 ORACLES = {
+    "text_escapes": f"""
+        WITH p AS (SELECT *, regexp_replace(html, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g') AS clean, ' a|b' || chr(13) || chr(10) || html AS cell FROM pages)
+        SELECT page_id, {_NAMED('url')} AS file, md5({_NAMED('html')}) AS html_file, md5(replace(replace(replace(replace(clean, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')) AS xml, md5(clean) AS plain,
+          md5('| ' || {_CELL('url')} || ' |  | ' || {_CELL('cell')} || ' |') AS markdown FROM p""",
     "page_type_classify": f"""
         WITH t AS (SELECT doc_id, lower(coalesce(source, '')) AS name, lower(coalesce(text, '')) AS text FROM documents)
         SELECT doc_id, CASE WHEN regexp_matches(name, '{documents.FLOW_NAMES}') OR regexp_matches(text[:300], '{documents.STRONG_FLOW}|{_STRONG}')
