@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.operators import canvas, sequence, tables
-from tessella.plans.common import PLACE, derived, select_sql, sql_anchors, sql_nearest, table
+from tessella.plans.common import PLACE, derived, placed, select_sql, sql_anchors, sql_nearest
 
 _WIDGET = {
     "doc": "l_suppkey % 61", "seq": PLACE, "x": "l_partkey % 40 * 60 + 0.5", "y": "l_orderkey % 50 * 50 + l_linenumber", "w": "60 + l_quantity * 5", "h": "90 + l_linenumber * 25",
@@ -15,7 +15,7 @@ _WIDGET = {
 
 
 def _widgets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = derived(table(spark, sf_dir, "lineitem"), _WIDGET)
+    rows = derived(placed(spark, sf_dir), _WIDGET | {"seq": "place"})
     return rows.withColumn("lines", F.when(F.col("word").isNotNull(), F.array("word", F.lit("z"))))
 
 
@@ -50,7 +50,7 @@ _CELL = {"table_id": "l_orderkey", "seq": PLACE, "x": "l_partkey % 3 * 80", "y":
 
 def table_floats(spark, sf_dir):
     """Cells of each order's table with the texts of widgets over them."""
-    rows = derived(table(spark, sf_dir, "lineitem"), _CELL)
+    rows = derived(placed(spark, sf_dir), _CELL | {"seq": "place"})
     cells, over = rows.filter("NOT over"), rows.filter("over")
     axes = cells.groupBy("table_id").agg(sequence.anchored_clusters(F.array_sort(F.collect_set("y")), tables.ROW_TOLERANCE).alias("ys"), sequence.anchored_clusters(F.array_sort(F.collect_set("x")), tables.COLUMN_TOLERANCE).alias("xs"))
     boxes = canvas.bounding_boxes(cells).withColumn("doc", F.col("table_id"))

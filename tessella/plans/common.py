@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tessella.session import shared_table
 
 #: White space as the library trims it, as an RE2 class.
 WS = r"[\x09-\x0D\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
@@ -12,6 +15,10 @@ SEQ = "CAST(l_linenumber AS BIGINT) * 10000000000000 + l_partkey * 10000000 + l_
 
 #: A unique place of a line item in the whole table; these five columns repeat in no row.
 PLACE = "(((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey) * 64 + CAST(l_quantity AS BIGINT)"
+#: The fields of :data:`PLACE`, the orders it holds in 63 bits, and the lines of an order that :func:`placed` tells apart beyond them.
+_FITS = "l_linenumber BETWEEN 0 AND 7 AND l_partkey BETWEEN 0 AND 999999 AND l_suppkey BETWEEN 0 AND 9999 AND l_quantity >= 0 AND l_quantity < 64"
+_ORDERS, _ORDER_STEP, _LINES = 1_800_000, 8 * 1_000_000 * 10_000 * 64, 1_000_000
+_PLACED = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 
 #: Layer rectangles derived from line items, as expressions both engines understand.
 RECT = {
@@ -34,6 +41,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` (its keys, quantity and flag) with ``place``: :data:`PLACE`, and the like where that does not hold.
+
+    :data:`PLACE` is longer than 63 bits for later orders, and runs over for large keys. Lines of such an order are numbered
+    within it, in the same order of the five columns, so places are unique and ascend with them throughout; an order
+    whose lines fit keeps its places however the table grows. Orders up to 7 billion have places. The numbered
+    table is written once, as its readers read it several times.
+    """
+    rows = table(spark, sf_dir, "lineitem").select(*_PLACED, "l_returnflag")
+    fits = F.expr(f"l_orderkey BETWEEN 0 AND {_ORDERS - 1} AND {_FITS}")
+    if rows.filter(~fits).isEmpty():
+        return rows.withColumn("place", F.expr(PLACE))
+    order = Window.partitionBy("l_orderkey")
+    numbered = rows.withColumns({"_wide": F.max(~fits).over(order), "_n": F.row_number().over(order.orderBy(*_PLACED[1:]))})
+    base = f"CASE WHEN l_orderkey < {_ORDERS} THEN l_orderkey * {_ORDER_STEP}L ELSE {_ORDERS * _ORDER_STEP}L + (l_orderkey - {_ORDERS}) * {_LINES}L END"
+    known = " AND ".join(f"{c} IS NOT NULL" for c in _PLACED)
+    place = F.expr(f"CASE WHEN NOT ({known}) THEN NULL WHEN _wide THEN {base} + _n ELSE {PLACE} END")
+    return shared_table(numbered.withColumn("place", place).drop("_wide", "_n"), "places")
+
+
 def derived(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Columns by expression."""
     return df.selectExpr(*[f"{e} AS `{n}`" for n, e in columns.items()])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.operators import cache, flow, listing, sequence, tables, tree
-from tessella.plans.common import PLACE, sql_merge_key, sql_text_similarity, table
+from tessella.plans.common import PLACE, placed, sql_merge_key, sql_text_similarity, table
 
 
 def adjacent_collapse(spark, sf_dir):
@@ -184,8 +184,8 @@ def directory_listing(spark, sf_dir):
 
 def slice_files(spark, sf_dir):
     """Slices still to fetch, named by part."""
-    slices = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")).selectExpr(
-        f"{PLACE} AS seq", "p_name AS name", "concat('https://x/', l_partkey, '.png') AS url", "CAST(p_partkey % 40 + 1 AS BIGINT) AS w", "CAST(p_partkey % 30 + 1 AS BIGINT) AS h")
+    slices = placed(spark, sf_dir).join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+        "place AS seq", "p_name AS name", "concat('https://x/', l_partkey, '.png') AS url", "CAST(p_partkey % 40 + 1 AS BIGINT) AS w", "CAST(p_partkey % 30 + 1 AS BIGINT) AS h")
     there = table(spark, sf_dir, "part").filter("p_size > 40").selectExpr("concat(replace(p_name, ' ', '_'), '_', substr(md5(concat('https://x/', p_partkey, '.png')), 1, 8), '@2x.png') AS file_name")
     return listing.slice_plan(slices, there)
 
@@ -226,7 +226,7 @@ _ADJACENT = {
 
 def adjacent_tables(spark, sf_dir):
     """Adjacent lines of an order as tables merged: by headers, source and title."""
-    t = table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _ADJACENT.items()], "CASE WHEN l_suppkey % 5 = 0 THEN array() ELSE array(l_returnflag) END AS headers", "array(array(CAST(l_partkey AS STRING))) AS rows")
+    t = placed(spark, sf_dir).selectExpr(*[f"{e} AS {n}" for n, e in (_ADJACENT | {"pos": "place"}).items()], "CASE WHEN l_suppkey % 5 = 0 THEN array() ELSE array(l_returnflag) END AS headers", "array(array(CAST(l_partkey AS STRING))) AS rows")
     found = tables.adjacent_merged(t, ["doc"])
     return found.select("doc", "pos", F.array_join("headers", "|").alias("headers"), "title", "source", F.array_join(F.flatten("rows"), "|").alias("rows"), "notes")
 

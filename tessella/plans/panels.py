@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.operators import canvas, geometry, panels, regions
-from tessella.plans.common import PLACE, derived, select_sql, sql_anchors, table
+from tessella.plans.common import PLACE, derived, placed, select_sql, sql_anchors, table
 
 #: Widgets of a supplier's line items: columns of boxes, windows that overlap, texts between them.
 _WIDGET = {
@@ -18,7 +18,7 @@ _GROUPS = (("outer_group", -2), ("inner_group", -1), ("small_group", -3))
 
 
 def _widgets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = derived(table(spark, sf_dir, "lineitem"), _WIDGET).withColumn("lines", F.when(F.col("word").isNotNull(), F.array("word", F.lit("z"))))
+    rows = derived(placed(spark, sf_dir), _WIDGET | {"seq": "place"}).withColumn("lines", F.when(F.col("word").isNotNull(), F.array("word", F.lit("z"))))
     ids = F.explode(F.array_compact(F.array(*[F.when(F.col(name), F.lit(group).cast("bigint")) for name, group in _GROUPS])))
     groups = rows.select("doc", ids.alias("group"), "seq")
     frames = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS doc", "explode(array(-1L, -2L, -3L)) AS seq").selectExpr("doc", "seq", "10 AS x", "20.5D AS y", "300 AS w", "40 AS h", "CAST(NULL AS array<string>) AS lines")
@@ -41,7 +41,7 @@ _ITEM = {
 
 def region_render(spark, sf_dir):
     """Each canvas as lines in reading order, by its containers."""
-    rows = derived(table(spark, sf_dir, "lineitem"), _ITEM)
+    rows = derived(placed(spark, sf_dir), _ITEM | {"seq": "place"})
     made = rows.withColumn("is_table", F.lit(False)).withColumn("lines", F.when(F.col("kind") == 1, F.array("a")).when(F.col("kind") == 2, F.array("b", "a")).when(F.col("kind") == 3, F.array("b")))
     panel = F.when(F.col("is_panel"), F.array(F.array("a", "b"), F.array(F.lit("g"), F.lit("h"))))
     items = made.withColumn("panel", panel).filter("kind > 0 OR is_panel")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.operators import geometry, layers, sequence, tables
-from tessella.plans.common import PLACE, RECT_SQL, SEQ, derived, rects, select_sql, sql_anchors, sql_nearest, table
+from tessella.plans.common import PLACE, RECT_SQL, SEQ, derived, placed, rects, select_sql, sql_anchors, sql_nearest, table
 from tessella.sources import design
 
 
@@ -65,7 +65,7 @@ _FRAGMENT = {
 
 def run_chain_fragments(spark, sf_dir):
     """Chains of small rectangles."""
-    return geometry.fragment_chains(derived(table(spark, sf_dir, "lineitem"), _FRAGMENT), ["doc", "parent_path"])
+    return geometry.fragment_chains(derived(placed(spark, sf_dir), _FRAGMENT | {"seq": "place"}), ["doc", "parent_path"])
 
 
 def reading_lines(spark, sf_dir):
