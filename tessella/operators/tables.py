@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessella.functions.text import merge_key, trimmed
 from tessella.operators.alike import header_links, joined_nodes, like_itself
 from tessella.operators.sequence import anchored_clusters, nearest_of, neighbour, running_sum
+from tessella.session import shared_table
 
 ROW_TOLERANCE, COLUMN_TOLERANCE = 2, 3
 
@@ -44,12 +45,14 @@ def adjacent_merged(tables: DataFrame, keys: list[str], pos: str = "pos") -> Dat
     keys = list(keys)
     mark = F.struct(F.array_join(F.coalesce("headers", F.array()), "\u0001", "").alias("h"), F.col("source").alias("s"))
     same = F.col("_prior").eqNullSafe(mark) & (F.size("headers") > 0)
-    runs = running_sum(neighbour(tables, mark, keys, pos, "_prior"), F.when(same, 0).otherwise(1), keys, pos, "_run").drop("_prior")
+    # An ordered operator reads its input twice, so each one's result is written before the next one reads it.
+    marked = shared_table(neighbour(tables, mark, keys, pos, "_prior"), "marked")
+    runs = shared_table(running_sum(marked, F.when(same, 0).otherwise(1), keys, pos, "_run").drop("_prior"), "runs")
     # Within a run a title opens a new table unless it is the last one that was named before.
     titled = F.coalesce("title", F.lit("")) != ""
     named = neighbour(runs.filter(titled), F.col("title"), [*keys, "_run"], pos, "_earlier")
     named = named.withColumn("_opens", F.when(F.col("_earlier") == F.col("title"), 0).otherwise(1)).drop("_earlier")
-    parts = running_sum(named.unionByName(runs.filter(~titled).withColumn("_opens", F.lit(0))), F.col("_opens"), [*keys, "_run"], pos, "_part")
+    parts = running_sum(shared_table(named.unionByName(runs.filter(~titled).withColumn("_opens", F.lit(0))), "named"), F.col("_opens"), [*keys, "_run"], pos, "_part")
     entries = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), "rows", "notes")))
     notes = F.array_join(F.filter(F.transform(entries, lambda e: e["notes"]), lambda n: n != ""), "；")
     first = lambda c: F.min_by(c, pos).alias(c)
