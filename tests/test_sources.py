@@ -2,10 +2,13 @@
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tessella.plans import styles
 from tessella.sources import design, html, sheets, sinks, xlsx
 from tessella.streaming.resume import resume_stream
+from tests.compare import SF
 
 
 def test_sheet_tokens(spark):
@@ -85,3 +88,21 @@ def test_sheets_fall_back_file_by_file(spark):
         ("silent", None): ("silent", sheets.EXPORT, sheets.NO_TOKEN, None, None, None, None, None), ("text", None): ("T", None, None, "no sheets in type newdoc", None, None, None, None),
     }
     assert found([], []).count() == 0
+
+
+def test_pages_are_walked_as_their_elements_are_asked_for(monkeypatch):
+    walked, own = [], html.elements
+    monkeypatch.setattr(html, "BATCH", 10)
+    monkeypatch.setattr(html, "elements", lambda text: walked.append(text) or own(text))
+    pages = pa.RecordBatch.from_pydict({"page_id": list(range(50)), "html": ["<p>a</p>" * 4] * 49 + [None]})
+    found = html.element_batches([pages], "page_id")
+    first = next(found)
+    assert first.num_rows == 10 and len(walked) == 3
+    rows = first.to_pylist() + [r for batch in found for r in batch.to_pylist()]
+    assert [(r["page_id"], r["seq"]) for r in rows] == [(page, i) for page in range(49) for i in range(4)]
+
+
+def test_style_files_are_dealt_out(spark):
+    files = styles._parts(spark, SF)
+    assert files.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert files.count() == spark.read.parquet(f"{SF}/part.parquet").count()
