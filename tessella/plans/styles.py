@@ -27,8 +27,14 @@ _FILE = """
 || '}]}]}}'"""
 
 
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys that files are made of, dealt out over the session's partitions: the table is small and lies in few
+    files, but what is made of its rows is not small."""
+    return table(spark, sf_dir, "part").select("p_partkey", "p_size").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+
+
 def _nodes(spark: SparkSession, sf_dir: str, with_style: bool = False) -> DataFrame:
-    files = table(spark, sf_dir, "part").selectExpr("p_partkey AS doc", f"{_FILE} AS json")
+    files = _parts(spark, sf_dir).selectExpr("p_partkey AS doc", f"{_FILE} AS json")
     return design.design_nodes(files, style=with_style)
 
 
@@ -76,7 +82,7 @@ _PLUGIN = """
 
 def plugin_style(spark, sf_dir):
     """Layers of plugin files in drawing order with their looks."""
-    files = table(spark, sf_dir, "part").selectExpr("p_partkey AS doc", f"{_PLUGIN} AS json")
+    files = _parts(spark, sf_dir).selectExpr("p_partkey AS doc", f"{_PLUGIN} AS json")
     found = style.styled_layers(design.design_nodes(files, style=True), layers.layer_type(F.col("kind")))
     listed = lambda c, *names: F.concat_ws(",", *[F.col(f"{c}.{n}").cast("string") for n in names])
     whole = lambda c: F.col(c).cast("long")
