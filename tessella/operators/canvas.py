@@ -97,7 +97,7 @@ def sections(blocks: DataFrame, pictures: DataFrame, doc: str = "doc") -> tuple[
 def grouped_content(items: DataFrame, boxes: DataFrame, doc: str = "doc") -> DataFrame:
     """``doc, container, seq, place``: items by the smallest container that holds their centre, in reading order
     within it; those in none have a null container."""
-    held = smallest_container(items, boxes, doc)
+    held = smallest_container(items, boxes, doc, crowded=True)
     keyed = items.select(doc, "seq", "x", "y").join(held, [doc, "seq"])
     ordered = keyed.groupBy(doc, "container").agg(F.array_sort(F.collect_list(F.struct("y", "x", "seq"))).alias("e"))
     return ordered.select(doc, "container", F.posexplode("e").alias("place", "e")).select(doc, "container", "e.seq", "place")

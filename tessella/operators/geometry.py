@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tessella.functions.color import is_opaque_solid
 from tessella.functions.text import utf16_length
 from tessella.operators.sequence import anchored_clusters
-from tessella.operators.spatial import framed, nearest_boxes, points_in_boxes, points_in_no_box
+from tessella.operators.spatial import framed, least_boxes, nearest_boxes, points_in_boxes, points_in_no_box
 
 
 def renamed(rects: DataFrame, prefix: str, doc: str = "doc") -> DataFrame:
@@ -66,11 +66,17 @@ def _centres(rects: DataFrame, doc: str) -> DataFrame:
     return rects.select(doc, "seq", middle("x", "w").alias("_px"), middle("y", "h").alias("_py"))
 
 
-def smallest_container(items: DataFrame, containers: DataFrame, doc: str = "doc") -> DataFrame:
-    """``doc, seq, container``: the smallest container that holds an item's centre, or null."""
+def smallest_container(items: DataFrame, containers: DataFrame, doc: str = "doc", crowded: bool = False) -> DataFrame:
+    """``doc, seq, container``: the smallest container that holds an item's centre, or null.
+
+    ``crowded`` is for pages on which many containers lie on one another: those that cannot be the smallest
+    are left out before items meet them, at the price of two more shuffles of the containers.
+    """
     boxes = renamed(containers.select(doc, "seq", "x", "y", "w", "h"), "c_", doc)
     centres = _centres(items, doc)
-    held = points_in_boxes(centres, framed(boxes, doc, 0, "c_x", "c_y", "c_w", "c_h"), doc).select(doc, "seq", F.struct((F.col("c_w") * F.col("c_h")).alias("area"), "c_seq").alias("c"))
+    frame, order = framed(boxes, doc, 0, "c_x", "c_y", "c_w", "c_h"), F.struct((F.col("c_w") * F.col("c_h")).alias("area"), "c_seq")
+    pairs = least_boxes(centres, frame, order, doc) if crowded else points_in_boxes(centres, frame, doc).withColumn("_order", order)
+    held = pairs.select(doc, "seq", F.col("_order").alias("c"))
     alone = centres.select(doc, "seq", F.lit(None).cast(held.schema["c"].dataType).alias("c"))
     return held.unionByName(alone).groupBy(doc, "seq").agg(F.min("c").alias("c")).select(doc, "seq", F.col("c.c_seq").alias("container"))
 

@@ -63,7 +63,7 @@ def rendered_regions(items: DataFrame, containers: DataFrame) -> DataFrame:
     line 0 is a region's heading.
     """
     placed = items.dropna(subset=["doc", "x", "y", "w", "h"]).dropDuplicates(["doc", "seq"])
-    held = smallest_container(placed, containers)
+    held = smallest_container(placed, containers, crowded=True)
     keyed = placed.select("doc", "seq", "x", "y", "lines", "panel").join(held, ["doc", "seq"])
     keyed = shared_checkpoint(keyed.withColumns({"_held": F.col("container").isNotNull(), "_c": F.coalesce("container", F.lit(-1))}))
     boxes = containers.select("doc", F.col("seq").alias("_c"), F.lit(True).alias("_held"), *[F.col(c).alias(f"_{c}") for c in ("x", "y", "w", "h")])

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Sides of the tiles of the fine and the coarse grid, and fine tiles that a rectangle of the fine grid spans at most.
 SIDES, SPAN = (512.0, 32768.0), 16.0
+#: Sides for crowded pages, where boxes should often cover a tile whole.
+NARROW = (128.0, 2048.0, 32768.0)
 
 
 def framed(boxes: DataFrame, doc: str = "doc", grow: float = 0.0, x: str = "x", y: str = "y", w: str = "w", h: str = "h") -> DataFrame:
@@ -25,9 +27,9 @@ def framed(boxes: DataFrame, doc: str = "doc", grow: float = 0.0, x: str = "x",
 
 
 def _key(grid: int, tx: Column, ty: Column) -> Column:
-    """A tile as one number: its grid, and its column and row by 31 bits each."""
+    """A tile as one number: its grid by 2 bits, and its column and row by 31 bits each."""
     low = lambda t: t.bitwiseAND(F.lit(2**31 - 1))
-    return F.shiftleft(low(tx), 32).bitwiseOR(F.shiftleft(low(ty), 1)).bitwiseOR(F.lit(grid))
+    return F.shiftleft(low(tx), 33).bitwiseOR(F.shiftleft(low(ty), 2)).bitwiseOR(F.lit(grid))
 
 
 def _in_grid(boxes: DataFrame, grid: int) -> DataFrame:
@@ -60,6 +62,30 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, doc: str = "doc", condi
     return looked.join(posted, (F.col("_at") == F.col("_tile")) & _met(doc, condition)).drop("_at", "_tile", "_doc")
 
 
+def least_boxes(points: DataFrame, boxes: DataFrame, order: Column, doc: str = "doc") -> DataFrame:
+    """Pairs as :func:`points_in_boxes` gives them, with ``_order``, less such as cannot be a point's least by ``order``.
+
+    Where a box covers a tile whole, it holds all of the tile's points, so boxes beyond the least of those are left
+    out there. A crowded page thus keeps a few boxes a tile, however many lie on one another.
+    """
+    longer = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
+    posted, looked = None, []
+    for grid, side in enumerate(NARROW):
+        at = lambda c: F.floor(F.col(c) / side)  # noqa: B023, E731
+        span = lambda lo, hi: F.sequence(at(lo), F.greatest(at(hi), at(lo)))  # noqa: B023, E731
+        whole = lambda t, lo, hi: (F.col(lo) <= t * side) & ((t + 1) * side <= F.col(hi))  # noqa: B023, E731
+        tile = lambda tx, ty: F.struct(_key(grid, tx, ty).alias("tile"), (whole(tx, "_x0", "_x1") & whole(ty, "_y0", "_y1")).alias("whole"))  # noqa: B023, E731
+        fits = F.col("_doc").isNotNull() & (longer > SPAN * NARROW[grid - 1] if grid else F.lit(True)) & (longer <= SPAN * side if grid + 1 < len(NARROW) else F.lit(True))
+        tiles = F.flatten(F.transform(span("_x0", "_x1"), lambda tx: F.transform(span("_y0", "_y1"), lambda ty: tile(tx, ty))))  # noqa: B023
+        rows = boxes.withColumn("_order", order).filter(fits).withColumn("_at_tile", F.explode(tiles)).withColumns({"_tile": F.col("_at_tile.tile"), "_whole": F.col("_at_tile.whole")}).drop("_at_tile")
+        posted = rows if posted is None else posted.unionByName(rows)
+        looked.append(_key(grid, F.floor(F.col("_px") / side), F.floor(F.col("_py") / side)))
+    least = posted.filter("_whole").groupBy("_doc", "_tile").agg(F.min("_order").alias("_least"))
+    kept = posted.join(least, ["_doc", "_tile"], "left").filter(F.col("_least").isNull() | (F.col("_order") <= F.col("_least"))).drop("_least", "_whole")
+    seen = points.withColumn("_at", F.explode(F.array(*looked)))
+    return seen.join(kept, (F.col("_at") == F.col("_tile")) & _met(doc, None)).drop("_at", "_tile", "_doc")
+
+
 def points_in_no_box(points: DataFrame, boxes: DataFrame, doc: str = "doc", condition: Column | None = None) -> DataFrame:
     """The points that :func:`points_in_boxes` finds in no box: an anti join for each grid, so points stay one row."""
     for grid in range(len(SIDES)):
