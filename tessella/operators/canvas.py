@@ -6,7 +6,7 @@ a place takes no part. Joins are within a document; sections and groups are plai
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.text import js_round, utf16_length
@@ -77,18 +77,20 @@ def sections(blocks: DataFrame, pictures: DataFrame, doc: str = "doc") -> tuple[
     cut = many.filter((F.col("_n") >= SECTION_PICTURES) | (F.col("_chars") >= SECTION_CHARS)).select(doc)
     shown, big = shown.join(cut, doc, "left_semi"), big.join(cut, doc, "left_semi")
     near = shown.join(nearest_anchor(shown, big, doc, SECTION_RADIUS).select(doc, "seq", "anchor"), [doc, "seq"])
-    entry = F.struct("y", "x", "seq", _text(F.col("lines")).alias("t"))
-    gathered = near.groupBy(doc, "anchor").agg(F.array_sort(F.collect_list(entry)).alias("e"), F.array_sort(F.collect_list(F.struct("seq", _text(F.col("lines")).alias("t"), "x", "y"))).alias("s"))
+    gathered = near.groupBy(doc, "anchor").agg(F.collect_list(F.struct("y", "x", "seq", _text(F.col("lines")).alias("t"))).alias("e"))
     at = renamed(big.select(doc, "seq", "x", "y", "w", "h"), "a_", doc).withColumnRenamed(doc, "_doc")
-    framed = gathered.join(at, (F.col("anchor") == F.col("a_seq")) & (F.col(doc) == F.col("_doc")), "left")
-    listed = framed.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(F.col("anchor").isNull().alias("last"), F.col("a_y").alias("y"), F.col("a_x").alias("x"), "anchor", F.col("a_w").alias("w"), F.col("a_h").alias("h"), "e", "s"))).alias("l"))
-    numbered = listed.select(doc, F.posexplode("l").alias("place", "l"))
-    lines = lambda c: F.array_join(F.filter(F.transform(f"l.{c}", lambda e: e["t"]), lambda t: t != ""), "\n")
-    loose, first = F.col("l.last"), F.get("l.s", 0)
-    whole = lambda own, other: js_round(F.when(loose, other).otherwise(own)).cast("long")
-    found = numbered.select(
-        doc, F.when(loose, -1).otherwise(F.col("place")).alias("section"), "l.anchor", whole(F.col("l.x"), first["x"]).alias("x"), whole(F.col("l.y"), first["y"]).alias("y"),
-        whole(F.col("l.w"), F.lit(0)).alias("w"), whole(F.col("l.h"), F.lit(0)).alias("h"), F.when(loose, lines("s")).otherwise(lines("e")).alias("text"), F.when(loose, F.lit(SCATTERED)).alias("heading"),
+    loose, by_seq = F.col("anchor").isNull(), lambda e: F.struct(e["seq"], e["t"].alias("t"), e["x"], e["y"])
+    lines = lambda entries: F.array_join(F.filter(F.transform(F.array_sort(entries), lambda e: e["t"]), lambda t: t != ""), "\n")
+    told = gathered.select(
+        doc, "anchor", F.when(loose, lines(F.transform("e", by_seq))).otherwise(lines(F.col("e"))).alias("text"),
+        F.when(loose, F.array_min(F.transform("e", by_seq))).alias("first"))
+    listed = told.join(at, (F.col("anchor") == F.col("a_seq")) & (F.col(doc) == F.col("_doc")), "left")
+    # A row a picture is numbered, without its texts' entries.
+    place = F.row_number().over(Window.partitionBy(doc).orderBy(loose, "a_y", "a_x", "anchor", "a_w", "a_h")) - 1
+    whole = lambda own, other: js_round(F.when(loose, other).otherwise(F.col(own))).cast("long")
+    found = listed.select(
+        doc, F.when(loose, -1).otherwise(place).alias("section"), "anchor", whole("a_x", F.col("first.x")).alias("x"), whole("a_y", F.col("first.y")).alias("y"),
+        whole("a_w", F.lit(0)).alias("w"), whole("a_h", F.lit(0)).alias("h"), "text", F.when(loose, F.lit(SCATTERED)).alias("heading"),
     )
     members = near.select(doc, "seq", "anchor").join(found.select(F.col(doc).alias("_doc"), F.col("anchor").alias("_anchor"), "section"), (F.col(doc) == F.col("_doc")) & F.col("anchor").eqNullSafe(F.col("_anchor")))
     return found, members.select(doc, "seq", "section")

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.session import shared_table
+
 #: Sides of the tiles of the fine and the coarse grid, and fine tiles that a rectangle of the fine grid spans at most.
 SIDES, SPAN = (512.0, 32768.0), 16.0
 #: Sides for crowded pages, where boxes should often cover a tile whole.
@@ -104,17 +106,23 @@ def nearest_boxes(points: DataFrame, boxes: DataFrame, radius: float, keys: list
     """``points``' document and keys with ``best`` (``d, seq``): the nearest box (``seq, x, y, w, h``) within ``radius``, the
     least ``seq`` on ties; null where there is none. One row for each document and keys.
 
-    Where the radius is wide, a quarter of it is looked at first, and only points that have no box there look further,
-    so a crowded page does not compare all that lies within the radius.
+    Where the radius is wide, points that lie in a box are settled first, by the least ``seq`` of those that hold them
+    (:func:`least_boxes`); then a quarter of the radius is looked at, and only points that have no box there look further.
+    So a crowded page does not compare all that lies within the radius.
     """
     named = boxes.select(doc, F.col("seq").alias("_bseq"), *[F.col(c).cast("double").alias(f"_b{c}") for c in ("x", "y", "w", "h")])
     done, rest = None, points.select(doc, *keys, "_px", "_py")
-    for reach in (radius / 4, radius) if radius > SIDES[0] / 4 else (radius,):
-        frame = framed(named, doc, reach * (1 + 1e-9) + 1e-6, "_bx", "_by", "_bw", "_bh")
-        pairs = points_in_boxes(rest, frame, doc).withColumn("_d", distance_to_box(F.col("_px"), F.col("_py"))).filter(F.col("_d") <= reach)
+    for reach in (0.0, radius / 4, radius) if radius > SIDES[0] / 4 else (radius,):
+        if reach:
+            frame = framed(named, doc, reach * (1 + 1e-9) + 1e-6, "_bx", "_by", "_bw", "_bh")
+            pairs = points_in_boxes(rest, frame, doc).withColumn("_d", distance_to_box(F.col("_px"), F.col("_py"))).filter(F.col("_d") <= reach)
+        else:
+            pairs = least_boxes(rest, framed(named, doc, 0.0, "_bx", "_by", "_bw", "_bh"), F.col("_bseq"), doc).withColumn("_d", F.lit(0.0))
         found = pairs.select(doc, *keys, "_px", "_py", F.struct(F.col("_d").alias("d"), F.col("_bseq").alias("seq")).alias("best"))
         empty = rest.withColumn("best", F.lit(None).cast(found.schema["best"].dataType))
         best = found.unionByName(empty).groupBy(doc, *keys, "_px", "_py").agg(F.min("best").alias("best"))
+        if radius > SIDES[0] / 4:  # each reach reads it twice
+            best = shared_table(best, "nearest")
         done = best if done is None else done.filter(F.col("best").isNotNull()).unionByName(best)
         rest = best.filter(F.col("best").isNull()).drop("best")
     return done.select(doc, *keys, "best")

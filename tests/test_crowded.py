@@ -35,3 +35,26 @@ def test_pairs_do_not_grow_with_the_square_of_a_crowded_page(spark):
 
     (few, all_few), (many, all_many) = pairs(200), pairs(1600)
     assert all_many > 30 * all_few and many < 16 * few and many < all_many / 5
+
+
+def test_points_in_a_picture_do_not_look_around(spark, monkeypatch):
+    looked = []
+    plain = spatial.points_in_boxes
+
+    def counted(points, boxes, doc="doc", condition=None):
+        looked.append(points.count())
+        return plain(points, boxes, doc, condition)
+
+    monkeypatch.setattr(spatial, "points_in_boxes", counted)
+    boxes = _boxes(60, (250, 300), 4)
+    items = _boxes(300, (2, 10), 5) + [(0, 900, 5000.0, 5000.0, 2.0, 2.0), (1, 901, 1100.0, 0.0, 2.0, 2.0)]
+    near = geometry.nearest_anchor(spark.createDataFrame(items, SHAPE), spark.createDataFrame(boxes, SHAPE), radius=400).collect()
+    found = {(r["doc"], r["seq"]): (r["anchor"], r["distance"]) for r in near}
+    outside = 0
+    for doc, seq, x, y, w, h in items:
+        px, py = x + w / 2, y + h / 2
+        ways = sorted((max(bx - px, 0, px - bx - bw) ** 2 + max(by - py, 0, py - by - bh) ** 2, s) for d, s, bx, by, bw, bh in boxes if d == doc)
+        outside += ways[0][0] > 0
+        far = ways[0][0] > 400**2
+        assert found[doc, seq] == ((None, None) if far else (ways[0][1], ways[0][0] ** 0.5))
+    assert len(found) == len(items) and looked[0] == outside < len(items) / 2
