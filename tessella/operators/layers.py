@@ -13,7 +13,7 @@ from tessella.functions.color import composed_color, effective_alpha
 from tessella.functions.text import js_round
 from tessella.operators.geometry import fragment_chains, inside_canvas, visible_fraction, visible_layers
 from tessella.operators.sequence import keep_preferred_last
-from tessella.session import shared_checkpoint
+from tessella.session import shared_table
 
 # Names that a design tool gives by itself, markers among them, and boolean operations.
 AUTO_NAME = r"(?i)^(frame|group|编组|矩形|椭圆|形状|切片|蒙版|layer|rect|image|vector|line|subtract|union|intersect|difference)[\s_-]?\d*$"
@@ -69,8 +69,8 @@ def clean_layers(layers: DataFrame, least_visible: float = LEAST_VISIBLE, occlus
     Outside the canvas; repeated (slices by place and size, others by every field but the name; an
     image stays, else the last); covered whole by a later opaque layer; visible for less than
     ``least_visible`` of the area; chains of small fragments in a container. Text, slices and images
-    are exempt from the last three. ``counters`` has a row a document. The layers are checkpointed once with a
-    mark of what the first two passes take, before the join that looks for covers, and once after the last pass.
+    are exempt from the last three. ``counters`` has a row a document. The layers are written as Parquet once
+    with a mark of what the first two passes take, before the join that looks for covers, and once after that join.
     """
     exempt = (F.col("type") == "text") | F.coalesce("is_slice", F.lit(False)) | F.col("image_url").isNotNull()
     sized = F.coalesce((F.col("canvas_w") > 0) & (F.col("canvas_h") > 0), F.lit(False))
@@ -81,17 +81,18 @@ def clean_layers(layers: DataFrame, least_visible: float = LEAST_VISIBLE, occlus
     inside = inside_canvas(layers)
     # Of equal layers the one kept knows how many there were, so the pass needs no second look at the others.
     kept = keep_preferred_last(inside, keys, F.col("type") == "image", ["seq"])
-    kept = shared_checkpoint(kept.select(*layers.columns, "group_size"))
+    kept = shared_table(kept.select(*layers.columns, "group_size"), "layers-once")
     shown = visible_layers(kept) if occlusion else kept
     sliver = (~exempt & sized & (visible_fraction() < least_visible)) if least_visible > 0 else F.lit(False)
-    shown = shown.withColumn("_sliver", F.coalesce(sliver, F.lit(False)))
+    # Written as the passes behind it read it several times, else each would look for covers anew.
+    shown = shared_table(shown.select(*layers.columns, F.coalesce(sliver, F.lit(False)).alias("_sliver")), "layers-shown")
     if fragments:
         small = shown.filter(~F.col("_sliver") & ~exempt & F.col("parent_path").isNotNull())
-        chain = fragment_chains(small.drop("_sliver", "group_size"), ["doc", "parent_path"]).select("doc", "seq").withColumn("_chain", F.lit(True))
+        chain = fragment_chains(small.drop("_sliver"), ["doc", "parent_path"]).select("doc", "seq").withColumn("_chain", F.lit(True))
         shown = shown.join(chain, ["doc", "seq"], "left")
     else:
         shown = shown.withColumn("_chain", F.lit(None).cast("boolean"))
-    marked = shared_checkpoint(shown.select(*layers.columns, "_sliver", F.coalesce("_chain", F.lit(False)).alias("_chain")))
+    marked = shown.select(*layers.columns, "_sliver", F.coalesce("_chain", F.lit(False)).alias("_chain"))
     before = kept.groupBy("doc").agg(F.sum("group_size").alias("n_inside"), F.count("*").alias("n_once"))
     after = marked.groupBy("doc").agg(F.count("*").alias("n_seen"), F.count(F.when(F.col("_sliver"), 1)).alias("n_sliver"), F.count(F.when(F.col("_chain"), 1)).alias("n_fragment"))
     n = lambda c: F.coalesce(c, F.lit(0))

@@ -89,8 +89,13 @@ def least_boxes(points: DataFrame, boxes: DataFrame, order: Column, doc: str = "
 
 
 def points_in_no_box(points: DataFrame, boxes: DataFrame, doc: str = "doc", condition: Column | None = None) -> DataFrame:
-    """The points that :func:`points_in_boxes` finds in no box: an anti join for each grid, so points stay one row."""
+    """The points that :func:`points_in_boxes` finds in no box: an anti join for each grid, so points stay one row.
+
+    Few pages have boxes in the coarse grid; where none has, the points are not shuffled for it.
+    """
     for grid in range(len(SIDES)):
+        if grid and _in_grid(boxes, grid).isEmpty():
+            continue
         points = points.withColumn("_at", _point_tile(grid)).join(_in_grid(boxes, grid), (F.col("_at") == F.col("_tile")) & _met(doc, condition), "left_anti").drop("_at")
     return points
 

@@ -58,3 +58,15 @@ def test_points_in_a_picture_do_not_look_around(spark, monkeypatch):
         far = ways[0][0] > 400**2
         assert found[doc, seq] == ((None, None) if far else (ways[0][1], ways[0][0] ** 0.5))
     assert len(found) == len(items) and looked[0] == outside < len(items) / 2
+
+
+def test_pages_without_huge_boxes_are_shuffled_once(spark):
+    rows = spark.createDataFrame(_boxes(50, (20, 300), 6), SHAPE)
+    huge = spark.createDataFrame(_boxes(50, (20, 40000), 6), SHAPE)
+    joins = lambda df: geometry.outer_containers(df)._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti")
+    assert joins(rows) == 1 and joins(huge) == 2
+    kept = lambda df: {(r["doc"], r["seq"]) for r in geometry.outer_containers(df).collect()}
+    inside = lambda o, i: o[0] == i[0] and o[4] * o[5] > i[4] * i[5] and o[2] - 2 <= i[2] and o[3] - 2 <= i[3] and o[2] + o[4] + 2 >= i[2] + i[4] and o[3] + o[5] + 2 >= i[3] + i[5]
+    for df in (rows, huge):
+        made = [tuple(r) for r in df.collect()]
+        assert kept(df) == {(i[0], i[1]) for i in made if not any(inside(o, i) for o in made)}
