@@ -38,7 +38,9 @@ CHUNK = re.compile(f"[^{SPACE}]+")
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^" + SPACE + r"{letter}{number}]+"
 SUFFIX = "</w>"
 #: The chunk cache is emptied beyond so many bytes of chunks and ids; an entry counts for its objects too.
-CACHE_BYTES = 24 * 2**20
+CACHE_BYTES = 12 * 2**20
+#: Texts are encoded in slices of about so many bytes; their chunks take about 20 times as much while they are.
+SLICE_BYTES = 2**19
 ENTRY_BYTES = 150
 NONE = np.int64(2**62)
 
@@ -237,7 +239,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     """``id, ids`` (array of int) of every text."""
 
     def run(batches):
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE_BYTES):
             raw = encoded_texts(batch.column(1).to_pylist(), path)
             ends = np.cumsum([0, *map(len, raw)], dtype=np.int64) // 4
             values = np.frombuffer(b"".join(raw), dtype="<i4")
@@ -266,7 +268,7 @@ def bpe_digest(docs: DataFrame, path: str) -> DataFrame:
     """Per document the number of ids and digests of the ids and of the text decoded from them."""
 
     def run(batches):
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE_BYTES):
             bpe, n, of_ids, of_text = load(path), [], [], []
             for raw in encoded_texts(batch.column(1).to_pylist(), path):
                 n.append(len(raw) // 4)
