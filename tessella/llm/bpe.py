@@ -42,6 +42,8 @@ CACHE_BYTES = 12 * 2**20
 #: Texts are encoded in slices of about so many bytes; their chunks take about 20 times as much while they are.
 SLICE_BYTES = 2**19
 ENTRY_BYTES = 150
+#: Chunks below this character are split by a short pattern.
+PLAIN_END = "\u0180"
 NONE = np.int64(2**62)
 
 
@@ -81,6 +83,12 @@ def piece_pattern(unknown: set[str]) -> regex.Pattern:
     return regex.compile(PIECE.format(letter=known("L"), number=known("N")))
 
 
+def plain_pattern(unknown: set[str]) -> re.Pattern:
+    """The split pattern for texts of characters below ``PLAIN_END``: the same pieces by short classes, at a fraction of the time."""
+    plain = "".join(c for c in map(chr, range(ord(PLAIN_END))) if c not in unknown)
+    return re.compile(PIECE.format(letter=ranges("".join(regex.findall(r"\p{L}", plain))), number=ranges("".join(regex.findall(r"\p{N}", plain)))))
+
+
 def ranges(chars: str) -> str:
     """Sorted characters as the inside of a regex class."""
     codes = np.array([ord(c) for c in chars])
@@ -127,7 +135,7 @@ class Bpe:
         self.together = bool((first_use[made] > rank).all())
         self.by_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         unknown, self.recent = recent_characters(path)
-        self.piece = piece_pattern(unknown)
+        self.piece, self.plain = piece_pattern(unknown), plain_pattern(unknown)
         self.cache: dict[str, bytes] = {}
         self.cached = 0
 
@@ -182,9 +190,17 @@ class Bpe:
         ends = (np.cumsum(np.bincount(which, minlength=len(words))) * 4).tolist()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
+    def pieces(self, chunk: str) -> list[bytes]:
+        """What a chunk without white space splits into, normalised."""
+        low = lowered(chunk, self.recent)
+        if low.isascii() and low.isalpha():
+            return [low.encode()]
+        pattern = self.plain if low.isascii() or max(low) < PLAIN_END else self.piece
+        return [p.encode() for p in pattern.findall(low)]
+
     def _learn(self, chunks: set[str]) -> None:
         """Put chunks without white space or special tokens into the cache."""
-        split = {c: [p.encode() for p in self.piece.findall(lowered(c, self.recent))] for c in chunks}
+        split = {c: self.pieces(c) for c in chunks}
         pieces = list({p for ps in split.values() for p in ps})
         known: dict[bytes, bytes] = {}
         for i in range(0, len(pieces), 50_000):

@@ -251,6 +251,20 @@ def test_bpe_equals_the_library():
         assert bpe.load(WORD).decode(np.array(ids, dtype=np.int64)).decode() == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_splits_plain_chunks_by_the_short_pattern():
+    """Every character of the short pattern's range beside letters, digits, marks and quotes splits as by the whole pattern, without it being asked."""
+    tables = bpe.load(WORD)
+    chars = [c for c in map(chr, range(0x21, 0x250)) if bpe.CHUNK.fullmatch(c)]
+    chunks = [part for c in chars for part in (c, c + "a", "a" + c, c + "1!", "it's" + c, "'" + c + "ll", "½" + c + "é")]
+    want = [[p.encode() for p in tables.piece.findall(bpe.lowered(c, tables.recent))] for c in chunks]
+    assert [tables.pieces(c) for c in chunks] == want
+    whole, tables.piece = tables.piece, None
+    try:
+        assert tables.pieces("Straße,") == ["straße".encode(), b","] and tables.pieces("don't7") == [b"don", b"'t", b"7"]
+    finally:
+        tables.piece = whole
+
+
 def test_shards_are_the_least_cut_and_keep_groups(spark):
     """Sizes, checksums, gapless slots, whole groups, and the largest shard as small as any cut of the groups in order can make it."""
     rng = random.Random(2)
