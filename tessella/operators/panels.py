@@ -27,6 +27,7 @@ from tessella.functions.text import js_round
 from tessella.operators.geometry import banded
 from tessella.operators.sequence import anchored_clusters
 from tessella.operators.spatial import points_in_boxes
+from tessella.session import shared_table
 
 LEAST, ALIGNED, ROW_TOLERANCE = 4, 6, 14
 BOX_WIDTHS, BOX_HEIGHTS = (60, 200), (14, 80)
@@ -89,29 +90,32 @@ def _claimed(found: pa.Table) -> pa.Table:
     return found.take(pa.array(kept, pa.int64())).select(["doc", "col", "seq"])
 
 
-def panel_members(widgets: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+def panel_members(widgets: DataFrame, groups: DataFrame, columns: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(``doc, group, seq``; ``doc, col, seq``): the members of the group panels and of the column panels.
 
     ``groups`` (``doc, group, seq``) has a row for each widget below a group. Groups are settled without an
     order: an outer group comes before the ones inside it and has all their members, so members go to their
-    outermost group, and where that one is too small, so are those inside.
+    outermost group, and where that one is too small, so are those inside. ``columns`` are the :func:`input_columns`, if
+    the caller has them. Both results are written as Parquet, as what follows reads them several times and would else
+    settle the candidates anew each time.
     """
     texts = widgets.filter(_text(F.col("lines"), "") != "").dropna(subset=["x", "y", "w", "h"]).select("doc", "seq", "x", "y", "w", "h")
     outer = groups.filter(F.col("seq") != F.col("group")).groupBy("doc", "seq").agg(F.min("group").alias("group"))
     grouped = texts.join(outer, ["doc", "seq"]).select("doc", "group", "seq", "y")
     size = grouped.groupBy("doc", "group").agg(F.count("*").alias("_n"), F.size(anchored_clusters(F.array_sort(F.collect_set("y")), ROW_TOLERANCE)).alias("_rows"))
     by_group = grouped.join(size.filter((F.col("_n") >= LEAST) & (F.col("_rows") >= LEAST)), ["doc", "group"]).select("doc", "group", "seq")
+    by_group = shared_table(by_group, "panel-groups")
     # A group that is a panel is taken as a whole, also as a widget with text of its own.
     taken = by_group.select("doc", "seq").unionByName(by_group.select("doc", F.col("group").alias("seq"))).distinct()
     free = texts.join(taken, ["doc", "seq"], "left_anti")
-    windows = _runs(input_columns(widgets)).select(
+    windows = _runs(input_columns(widgets) if columns is None else columns).select(
         F.col("doc").alias("_doc"), "col", "_run", *[F.col(c).cast("double").alias(f"_{c}") for c in ("x0", "y0", "x1", "y1")]
     )
     centres = free.select("doc", "seq", "y", (F.col("x") + F.col("w") / 2).cast("double").alias("_px"), (F.col("y") + F.col("h") / 2).cast("double").alias("_py"))
     candidates = points_in_boxes(centres, windows).select("doc", "_run", "col", "seq", "y")
     kinds = {f.name: f.dataType.simpleString() for f in candidates.schema}
     by_column = candidates.groupBy("doc", "_run").applyInArrow(_claimed, f"doc {kinds['doc']}, col {kinds['col']}, seq {kinds['seq']}")
-    return by_group, by_column
+    return by_group, shared_table(by_column, "panel-columns")
 
 
 def _tables(members: DataFrame, widgets: DataFrame, frames: DataFrame, key: str) -> DataFrame:
@@ -134,8 +138,9 @@ def form_panels(widgets: DataFrame, groups: DataFrame) -> DataFrame:
     as its content; a row of one member has a field only. Rectangles are the group's (null without a place)
     or the column's window, in whole pixels.
     """
-    by_group, by_column = panel_members(widgets, groups)
-    windows = input_columns(widgets).select("doc", "col", F.col("x0").alias("x"), F.col("y0").alias("y"), (F.col("x1") - F.col("x0")).alias("w"), (F.col("y1") - F.col("y0")).alias("h"))
+    columns = shared_table(input_columns(widgets), "panel-windows")
+    by_group, by_column = panel_members(widgets, groups, columns)
+    windows = columns.select("doc", "col", F.col("x0").alias("x"), F.col("y0").alias("y"), (F.col("x1") - F.col("x0")).alias("w"), (F.col("y1") - F.col("y0")).alias("h"))
     declared = _tables(by_group, widgets, widgets.withColumnRenamed("seq", "group"), "group")
     found = _tables(by_column, widgets, windows, "col")
     headers = F.array(*[F.lit(h) for h in HEADERS]).alias("headers")

@@ -91,6 +91,12 @@ def test_form_panels_claim_in_order(spark):
     assert panels.form_panels(widgets.limit(0), none).count() == 0
 
 
+def test_form_panels_settle_their_candidates_once(spark):
+    widgets = spark.createDataFrame([], "doc int, seq long, x double, y double, w double, h double, lines array<string>")
+    plan = panels.form_panels(widgets, spark.createDataFrame([], "doc int, group long, seq long"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroups" not in plan
+
+
 def test_groups_come_before_columns_and_outer_before_inner(spark):
     text = [(1, i, 10.0, 40.0 * i, 50.0, 20.0, [f"f{i}"]) for i in range(6)]
     column = [(1, 20 + i, 80.0, 40.0 * i, 100.0, 20.0, None) for i in range(6)]
