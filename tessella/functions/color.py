@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from pyspark.sql import functions as F
 SAME_ALPHA = 1e-3
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it occurs there."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _arguments(value: Column) -> Column:
     """The arguments of a call of rgb or rgba, in order; an empty array for any other text."""
     inside = F.regexp_extract(value, r"^rgba?\((.*)\)$", 1)
@@ -21,7 +28,10 @@ def _channels(value: Column) -> Column:
     The three of a call are whole numbers or shares in percent, a fourth is a plain number; after a number sign
     there are three hex digits, or six.
     """
-    args = _arguments(value)
+    return _once(_arguments(value), lambda args: _known_channels(value, args))
+
+
+def _known_channels(value: Column, args: Column) -> Column:
     three, fourth = F.slice(args, 1, 3), F.coalesce(F.get(args, 3), F.lit("0"))
     call = F.size(args).between(3, 4) & fourth.rlike("^[0-9.]+$")
     whole = F.forall(three, lambda c: c.rlike("^[0-9]+$"))
@@ -66,9 +76,8 @@ def effective_alpha(color_alpha: Column, layer_opacity: Column, fill_opacity: Co
 
 def composed_color(text: Column, alpha: Column) -> Column:
     """``text`` with ``alpha`` composed in; unknown syntaxes pass unchanged."""
-    channels = _channels(F.trim(text))
-    parts = F.concat(channels, F.array(_number(alpha)))
-    translucent = F.when(channels.isNotNull(), F.concat(F.lit("rgba("), F.array_join(parts, ","), F.lit(")"))).otherwise(text)
+    written = lambda parts: F.when(parts.isNotNull(), F.concat(F.lit("rgba("), F.array_join(parts, ","), F.lit(")"))).otherwise(text)
+    translucent = _once(F.concat(_channels(F.trim(text)), F.array(_number(alpha))), written)
     return F.when(alpha >= 1, short_color(text)).otherwise(translucent)
 
 

@@ -107,16 +107,17 @@ def layer_counters(spark, sf_dir):
 
 def _json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested design files built from each order's line items."""
-    item = F.struct(
-        F.when(F.col("l_partkey") % 10 == 0, "old backup").when(F.col("l_partkey") % 10 == 1, "Rectangle 12").when(F.col("l_partkey") % 10 == 2, "union").otherwise(F.concat(F.lit("item "), F.col("l_linenumber").cast("string"))).alias("name"),
-        (F.col("l_partkey") % 10 != 3).alias("visible"), F.lit("shape").alias("type"),
-        F.struct((F.col("l_partkey") % 50 * 5 + 0.5).alias("left"), (F.col("l_suppkey") % 40 * 5).alias("top"), (F.col("l_quantity") * 4).alias("width"), F.lit(20).alias("height")).alias("frame"),
-        F.struct(F.array(F.struct(F.struct(F.lit("rgba(10,20,30,1)").alias("value"), F.when(F.col("l_linenumber") > 1, F.lit(0.5)).alias("a")).alias("color"))).alias("fills")).alias("style"),
+    item = lambda s: F.struct(
+        F.when(s["l_partkey"] % 10 == 0, "old backup").when(s["l_partkey"] % 10 == 1, "Rectangle 12").when(s["l_partkey"] % 10 == 2, "union").otherwise(F.concat(F.lit("item "), s["l_linenumber"].cast("string"))).alias("name"),
+        (s["l_partkey"] % 10 != 3).alias("visible"), F.lit("shape").alias("type"),
+        F.struct((s["l_partkey"] % 50 * 5 + 0.5).alias("left"), (s["l_suppkey"] % 40 * 5).alias("top"), (s["l_quantity"] * 4).alias("width"), F.lit(20).alias("height")).alias("frame"),
+        F.struct(F.array(F.struct(F.struct(F.lit("rgba(10,20,30,1)").alias("value"), F.when(s["l_linenumber"] > 1, F.lit(0.5)).alias("a")).alias("color"))).alias("fills")).alias("style"),
         F.array(F.struct(F.lit("child").alias("name"), F.lit("text").alias("type"), F.lit("hi").alias("text"), F.struct(F.lit(1).alias("x"), F.lit(2).alias("y"), F.lit(3).alias("width"), F.lit(4).alias("height")).alias("frame"))).alias("layers"),
     )
-    order = F.struct(F.expr(SEQ).alias("k"), item.alias("i"))
-    listed = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doc")).agg(F.array_sort(F.collect_list(order), lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)).alias("l"))
-    panel = F.struct(F.lit("Panel").alias("name"), F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(300).alias("width"), F.lit(200).alias("height")).alias("frame"), F.transform("l", lambda s: s["i"]).alias("layers"))
+    # The few columns of an item are sorted and shuffled, not the nested items made of them.
+    raw = F.struct(F.expr(SEQ).alias("k"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    listed = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doc")).agg(F.sort_array(F.collect_list(raw)).alias("l"))
+    panel = F.struct(F.lit("Panel").alias("name"), F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(300).alias("width"), F.lit(200).alias("height")).alias("frame"), F.transform("l", item).alias("layers"))
     board = F.struct(F.struct(F.lit(300).alias("width"), F.lit(200).alias("height")).alias("frame"), F.array(panel).alias("layers"))
     return listed.select("doc", F.to_json(F.struct(board.alias("artboard"))).alias("json"))
 

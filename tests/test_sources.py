@@ -44,6 +44,13 @@ def test_design_shapes(spark):
     assert got == [(1, "hi", "Panel", 1), (2, "hi", "Panel", 1)]
 
 
+def test_a_fill_is_composed_once_a_layer(spark):
+    """Neither the filter nor the parts of the expression split a colour's arguments anew."""
+    files = spark.createDataFrame([], "doc int, json string")
+    plan = design.design_layers(design.design_nodes(files))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("split(") <= 5
+
+
 def test_plugin_files_of_odd_shapes():
     rows = lambda info: [(r[2], [a["name"] for a in r[1]]) for r in design.layer_rows(json.dumps({"info": info}))]
     node = lambda i, above=None, **more: {"id": i, "parentID": above, "name": i, **more}
