@@ -123,7 +123,11 @@ def needed_cells(rects: DataFrame, pages: DataFrame, doc: str = "doc") -> DataFr
         doc, F.size("xs").alias("n"), places("xs", meets("x", "w", "view_w", "content_w")).alias("xi"), places("ys", meets("y", "h", "view_h", "content_h")).alias("yi")
     )
     cells = F.flatten(F.transform("yi", lambda y: F.transform("xi", lambda x: y * F.col("n") + x)))
-    return hit.select(doc, F.explode(cells).alias("cell")).distinct()
+    # A page's cells are gathered as the bits of a few numbers, so an aggregate holds a row for 60 cells, not one for each.
+    each = hit.select(doc, F.explode(cells).alias("cell"))
+    words = each.groupBy(doc, F.expr("cell div 60").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cell % 60)")).alias("_bits"))
+    found = F.filter(F.sequence(F.lit(0), F.lit(59)), lambda i: F.getbit("_bits", i) == 1)
+    return words.select(doc, "_word", F.explode(found).alias("_bit")).select(doc, (F.col("_word") * 60 + F.col("_bit")).cast("int").alias("cell"))
 
 
 def inside_canvas(layers: DataFrame) -> DataFrame:

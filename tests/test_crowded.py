@@ -70,3 +70,14 @@ def test_pages_without_huge_boxes_are_shuffled_once(spark):
     for df in (rows, huge):
         made = [tuple(r) for r in df.collect()]
         assert kept(df) == {(i[0], i[1]) for i in made if not any(inside(o, i) for o in made)}
+
+
+def test_cells_of_a_long_page_are_held_as_bits(spark):
+    """More cells than a number has bits, each once, and an aggregate by words of cells instead of single ones."""
+    from tessella.operators.geometry import needed_cells
+
+    pages = spark.createDataFrame([(1, 150, 20_000, 150, 200)], "doc int, content_w long, content_h long, view_w long, view_h long")
+    rects = spark.createDataFrame([(1, 0, y, 10, h) for y, h in ((0, 20_000), (0, 50), (5_950, 100), (19_990, 5))], "doc int, x long, y long, w long, h long")
+    found = needed_cells(rects, pages)
+    assert sorted(r.cell for r in found.collect()) == list(range(199)) and found.schema["cell"].dataType.simpleString() == "int"
+    assert "bit_or" in found._jdf.queryExecution().optimizedPlan().toString()
