@@ -55,31 +55,34 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
-def recent_characters(path: str) -> tuple[set[str], dict[int, str]]:
+def recent_characters(spec: dict) -> tuple[set[str], dict[int, str]]:
     """(letters and numbers the library does not know, lower case of others).
 
     Unicode tables differ by release. Characters that this Python has no category for are looked up
-    in the tokenizers library, once for a file and worker; the others are the same in both.
+    in the tokenizers library, once for a file and worker; the others are the same in both. The library gets
+    the file without its vocabulary, which takes 40 MB there and has no part in this.
     """
     from tokenizers import Tokenizer
 
-    library = Tokenizer.from_file(path)
+    library = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": spec["model"] | {"vocab": {}, "merges": []}}))
     split, lower = library.pre_tokenizer.pre_tokenize_str, library.normalizer.normalize_str
-    doubtful = [c for c in regex.findall(r"[\p{L}\p{N}]", every_character()) if unicodedata.category(c) == "Cn"]
+    doubtful = [c for c in characters(r"[\p{L}\p{N}]") if unicodedata.category(c) == "Cn"]
     unknown = {c for c in doubtful if len(split(c + "a")) == 2 and len(split(c + "!")) == 1}
     return unknown, {ord(c): low for c in doubtful if (low := lower(c)) != c}
 
 
-def every_character() -> str:
-    """All characters."""
-    return "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+def characters(kind: str) -> str:
+    """All characters of a regex class in ascending order, looked for in blocks: held one by one, all there are take over 100 MB."""
+    found = regex.compile(kind)
+    blocks = ("".join(map(chr, range(a, a + 0x800))) for a in range(0, 0x110000, 0x800) if a != 0xD800)  # that one is the surrogates
+    return "".join("".join(found.findall(b)) for b in blocks)
 
 
 def piece_pattern(unknown: set[str]) -> regex.Pattern:
     """The split pattern; letters and numbers without the unknown ones."""
     if not unknown:
         return regex.compile(PIECE.format(letter=r"\p{L}", number=r"\p{N}"))
-    known = lambda kind: ranges("".join(c for c in regex.findall(rf"[\p{{{kind}}}]", every_character()) if c not in unknown))
+    known = lambda kind: ranges("".join(c for c in characters(rf"[\p{{{kind}}}]") if c not in unknown))
     return regex.compile(PIECE.format(letter=known("L"), number=known("N")))
 
 
@@ -134,7 +137,7 @@ class Bpe:
         np.minimum.at(first_use, right, rank)
         self.together = bool((first_use[made] > rank).all())
         self.by_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        unknown, self.recent = recent_characters(path)
+        unknown, self.recent = recent_characters(spec)
         self.piece, self.plain = piece_pattern(unknown), plain_pattern(unknown)
         self.cache: dict[str, bytes] = {}
         self.cached = 0
