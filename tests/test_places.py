@@ -1,8 +1,9 @@
 """Places of line items whose keys are longer than the packed number has room for."""
 
+import duckdb
 from pyspark.sql import functions as F
 
-from tessella.plans import canvases, common, flows
+from tessella.plans import canvases, common, flows, shapes
 from tests.compare import SF
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
@@ -43,3 +44,16 @@ def test_queries_by_place_hold_on_large_keys(spark, tmp_path):
     found = canvases.canvas_containers(spark, sf_dir)
     assert found.count() == found.select("doc", "seq").distinct().count() == 2 * whole
     assert flows.slice_files(spark, sf_dir).count() > flows.slice_files(spark, SF).count()
+
+
+def test_fragment_chains_hold_on_large_keys(spark, tmp_path):
+    """The rows of the query's SQL, with its place in 128 bits; only the places' own values differ."""
+    rows, far = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet"), {"l_orderkey": 9_000_000, "l_partkey": 1_200_000, "l_suppkey": 60_000}
+    rows.unionByName(rows.withColumns({k: F.col(k) + n for k, n in far.items()})).write.parquet(f"{tmp_path}/lineitem.parquet")
+    wide = "((((l_orderkey::HUGEINT * 8 + l_linenumber) * 10000000 + l_partkey) * 100000 + l_suppkey) * 64 + CAST(l_quantity AS BIGINT))"
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+        want = db.execute(shapes.ORACLES["run_chain_fragments"].replace(common.PLACE, wide)).fetchall()
+    found = [tuple(r) for r in shapes.run_chain_fragments(spark, str(tmp_path)).collect()]
+    without = lambda rows: sorted((d, p, x, y, w, h) for d, p, _, x, y, w, h in rows)
+    assert without(found) == without(want) and len({r[2] for r in found}) == len(found) > 0
