@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.text import js_round, utf16_length
-from tessella.operators.geometry import nearest_anchor, renamed, smallest_container
+from tessella.operators.geometry import contained, nearest_anchor, renamed
 from tessella.operators.sequence import nearest_of
 
 BIG_WIDTH, BIG_HEIGHT = 250, 200
@@ -28,7 +28,7 @@ def _text(lines: Column, between: str = "\n") -> Column:
 def containers(widgets: DataFrame) -> DataFrame:
     """Large widgets without text that are no table (``is_table``): the ground of a screen or panel, in whole pixels."""
     large = (F.col("w") >= CONTAINER_WIDTH) & (F.col("h") >= CONTAINER_HEIGHT)
-    kept = widgets.filter((_text(F.col("lines")) == "") & ~F.coalesce("is_table", F.lit(False)) & large)
+    kept = widgets.filter(large & ~F.coalesce("is_table", F.lit(False)) & (_text(F.col("lines")) == ""))
     return kept.withColumns({c: js_round(F.col(c)).cast("long") for c in ("x", "y", "w", "h")})
 
 
@@ -98,8 +98,9 @@ def sections(blocks: DataFrame, pictures: DataFrame, doc: str = "doc") -> tuple[
 
 def grouped_content(items: DataFrame, boxes: DataFrame, doc: str = "doc") -> DataFrame:
     """``doc, container, seq, place``: items by the smallest container that holds their centre, in reading order
-    within it; those in none have a null container."""
-    held = smallest_container(items, boxes, doc, crowded=True)
-    keyed = items.select(doc, "seq", "x", "y").join(held, [doc, "seq"])
-    ordered = keyed.groupBy(doc, "container").agg(F.array_sort(F.collect_list(F.struct("y", "x", "seq"))).alias("e"))
-    return ordered.select(doc, "container", F.posexplode("e").alias("place", "e")).select(doc, "container", "e.seq", "place")
+    within it; those in none have a null container. Of repeated rows one counts; items without a document or ``seq`` are left out."""
+    held = contained(items.dropna(subset=[doc, "seq"]), boxes, doc)
+    # The container leads, as rows are sorted by their first key's value before the others are looked at.
+    order = Window.partitionBy("container", doc).orderBy(*[F.asc_nulls_last(c) for c in ("y", "x", "seq")])
+    placed = held.withColumns({"place": F.dense_rank().over(order) - 1, "_again": F.lag("seq").over(order) == F.col("seq")})
+    return placed.filter(~F.coalesce("_again", F.lit(False))).select(doc, "container", "seq", "place")

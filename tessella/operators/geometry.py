@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tessella.functions.color import is_opaque_solid
 from tessella.functions.text import utf16_length
 from tessella.operators.sequence import anchored_clusters
-from tessella.operators.spatial import framed, least_boxes, nearest_boxes, points_in_boxes, points_in_no_box
+from tessella.operators.spatial import framed, least_boxes, nearest_boxes, points_in_boxes, points_in_no_box, with_smallest_box
 
 
 def renamed(rects: DataFrame, prefix: str, doc: str = "doc") -> DataFrame:
@@ -61,9 +61,9 @@ def outer_containers(rects: DataFrame, doc: str = "doc", slack: float = 2) -> Da
     return _without_held(rects, other, F.col("o_w") * F.col("o_h") > F.col("w") * F.col("h"), doc, slack)
 
 
-def _centres(rects: DataFrame, doc: str) -> DataFrame:
+def _centres(rects: DataFrame, doc: str, *kept: str) -> DataFrame:
     middle = lambda at, size: (F.col(at) + F.col(size) / 2).cast("double")
-    return rects.select(doc, "seq", middle("x", "w").alias("_px"), middle("y", "h").alias("_py"))
+    return rects.select(doc, "seq", *kept, middle("x", "w").alias("_px"), middle("y", "h").alias("_py"))
 
 
 def smallest_container(items: DataFrame, containers: DataFrame, doc: str = "doc", crowded: bool = False) -> DataFrame:
@@ -81,6 +81,12 @@ def smallest_container(items: DataFrame, containers: DataFrame, doc: str = "doc"
     return held.unionByName(alone).groupBy(doc, "seq").agg(F.min("c").alias("c")).select(doc, "seq", F.col("c.c_seq").alias("container"))
 
 
+def contained(items: DataFrame, containers: DataFrame, doc: str = "doc") -> DataFrame:
+    """``doc, seq, x, y, container``: items with the smallest container as :func:`smallest_container` finds it, for pages of any
+    crowd; repeated rows may be kept."""
+    return with_smallest_box(_centres(items, doc, "x", "y"), containers, doc).select(doc, "seq", "x", "y", F.col("box").alias("container"))
+
+
 def nearest_anchor(blocks: DataFrame, anchors: DataFrame, doc: str = "doc", radius: float = 400) -> DataFrame:
     """``doc, seq, anchor, distance``: the anchor nearest to a block's centre, null beyond ``radius``."""
     best = nearest_boxes(_centres(blocks, doc), anchors, radius, ["seq"], doc)

@@ -10,7 +10,7 @@ there; empty sides give no pairs; columns other than the underscored ones of thi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.session import shared_table
@@ -19,6 +19,10 @@ from tessella.session import shared_table
 SIDES, SPAN = (512.0, 32768.0), 16.0
 #: Sides for crowded pages, where boxes should often cover a tile whole.
 NARROW = (128.0, 2048.0, 32768.0)
+#: Sides of the first tiles of :func:`with_smallest_box`, the boxes a tile holds uncut, boxes of a tile in one row, the parts a
+#: side is cut into, cuts at most, and rows of boxes a partition up to which they are hashed.
+FIRST, CROWD, LISTED, PARTS, CUTS, HASHED = tuple(128.0 * 16**k for k in range(7)), 32, 512, 4, 3, 200_000
+_TILE, _SIDES, _ORDER = ["_doc", "_tx", "_ty"], ["_x0", "_y0", "_x1", "_y1"], ["_area", "_seq"]
 
 
 def framed(boxes: DataFrame, doc: str = "doc", grow: float = 0.0, x: str = "x", y: str = "y", w: str = "w", h: str = "h") -> DataFrame:
@@ -88,6 +92,85 @@ def least_boxes(points: DataFrame, boxes: DataFrame, order: Column, doc: str = "
     return seen.join(kept, (F.col("_at") == F.col("_tile")) & _met(doc, None)).drop("_at", "_tile", "_doc")
 
 
+def _tiled(rows: DataFrame, side: float, cut: bool, whole: bool = False) -> DataFrame:
+    """A row (``_tx, _ty``) for each tile of a side that a box touches, or covers whole; of boxes dealt to tiles ``PARTS``
+    times as wide before (``cut``), those within their tile."""
+    for tile, lo, hi in (("_tx", "_x0", "_x1"), ("_ty", "_y0", "_y1")):
+        first, last = F.floor(F.col(lo) / side), F.floor(F.col(hi) / side)
+        if whole:
+            first, last = F.ceil(F.col(lo) / side), last - 1
+        if cut:
+            first, last = F.greatest(first, F.col(tile) * PARTS), F.least(last, F.col(tile) * PARTS + (PARTS - 1))
+        rows = rows.filter(first <= last).withColumn(tile, F.explode(F.sequence(first, last)))
+    return rows
+
+
+def _smallest_by_tile(boxes: DataFrame, side: float) -> list[tuple[float, DataFrame, int, bool]]:
+    """(side, boxes by tile, their rows, whether a tile has more than ``LISTED``) for tiles of falling sides.
+
+    Boxes are clipped to their tile. Those beyond the smallest that covers it whole are left out, and of those that look
+    alike in the tile the smallest stays. Tiles of more than ``CROWD`` are cut, and the others with them where they hold fewer
+    boxes; later cuts are for tiles of more than ``LISTED``. Tiles of two sides never overlap.
+    """
+    found, rows = [], boxes
+    for cut in range(CUTS + 1):
+        least = shared_table(_tiled(rows, side, cut > 0, whole=True).groupBy(*_TILE).agg(F.min("_area").alias("_least")), "least")
+        near = _tiled(rows, side, cut > 0).join(least, _TILE, "left").filter(F.col("_least").isNull() | (F.col("_area") <= F.col("_least"))).drop("_least")
+        for tile, lo, hi in (("_tx", "_x0", "_x1"), ("_ty", "_y0", "_y1")):
+            near = near.withColumns({lo: F.greatest(F.col(lo), F.col(tile) * side), hi: F.least(F.col(hi), (F.col(tile) + 1) * side)})
+        alike = F.lag(F.struct(*_SIDES)).over(Window.partitionBy(*_TILE).orderBy(*_SIDES, *_ORDER)) == F.struct(*_SIDES)
+        rows = shared_table(near.withColumn("_alike", alike).filter(~F.coalesce("_alike", F.lit(False))).drop("_alike"), "tiles")
+        sizes, most = rows.groupBy(*_TILE).agg(F.count("*").alias("_n")), LISTED if cut else CROWD
+        held = lambda crowded: F.coalesce(F.sum(F.when(crowded, F.col("_n"))), F.lit(0))
+        many, few, longest = sizes.agg(held(F.col("_n") > most), held(F.col("_n") <= most), F.coalesce(F.max("_n"), F.lit(0))).first()
+        if not many or cut == CUTS:
+            return [*found, (side, rows, many + few, longest > LISTED)]
+        if few > many:
+            crowded = sizes.filter(F.col("_n") > most).select(*_TILE)
+            found.append((side, rows.join(crowded, _TILE, "left_anti"), few, False))
+            rows = rows.join(crowded, _TILE, "left_semi")
+        side /= PARTS
+    return found
+
+
+def with_smallest_box(points: DataFrame, boxes: DataFrame, doc: str = "doc") -> DataFrame:
+    """``points`` (``_px, _py``) with ``box``: the ``seq`` of the smallest box (``seq, x, y, w, h``) that holds the point, edges
+    included, the least ``seq`` on ties; null where there is none. A point keeps its row, repeated ones may become one.
+
+    Boxes are dealt to tiles, and a tile keeps those up to the smallest that covers it whole. Where many are left, it is
+    cut into finer tiles, which more boxes cover whole: so a tile keeps a few boxes, however many lie on one another, and a
+    point meets its tile's one row of them. Only tiles that stay crowded after the last cut, as by edges that lie in one
+    spot, meet the points that their first ``LISTED`` boxes do not hold pair by pair.
+    """
+    once = boxes.groupBy(doc, "x", "y", "w", "h").agg(F.min("seq").alias("_seq")).withColumn("_area", F.col("w") * F.col("h"))
+    sized = framed(once, doc).select("_doc", *_SIDES, *_ORDER).filter("_doc IS NOT NULL AND _x0 <= _x1 AND _y0 <= _y1")
+    longer = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
+    grid = sum((longer > SPAN * side).cast("int") for side in FIRST[:-1])
+    sized = shared_table(sized.withColumn("_grid", grid), "boxes")
+    names, partitions = points.columns, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    inside = lambda b: F.col("_px").between(b("_x0"), b("_x1")) & F.col("_py").between(b("_y0"), b("_y1"))
+    points = points.withColumn("_best", F.lit(None).cast(sized.select(F.struct(*_ORDER).alias("b")).schema["b"].dataType))
+    for g in sorted(r["_grid"] for r in sized.select("_grid").distinct().collect()):
+        for side, tiles, n, crowded in _smallest_by_tile(sized.filter(F.col("_grid") == g).drop("_grid"), FIRST[g]):
+            if crowded:
+                tiles = tiles.withColumn("_n", F.row_number().over(Window.partitionBy(*_TILE).orderBy(*_ORDER)))
+            listed = tiles.filter(F.col("_n") <= LISTED) if crowded else tiles
+            lists = listed.groupBy(*_TILE).agg(F.array_sort(F.collect_list(F.struct(*_ORDER, *_SIDES))).alias("_boxes"))
+            at = (F.col(doc) == F.col("_doc")) & (F.floor(F.col("_px") / side) == F.col("_tx")) & (F.floor(F.col("_py") / side) == F.col("_ty"))
+            first = F.get(F.filter("_boxes", lambda e: inside(lambda c: e[c])), F.lit(0))
+            met = points.join(lists.hint("shuffle_hash") if n <= HASHED * partitions else lists, at, "left").withColumn("_first", first)
+            found = F.when(F.col("_first").isNotNull(), F.struct("_first._area", "_first._seq"))
+            met = met.select(*names, F.least("_best", found).alias("_best"), (F.col("_first").isNull() & (F.size("_boxes") == LISTED)).alias("_rest"))
+            if not crowded:
+                points = met.drop("_rest")
+                continue
+            met = shared_table(met, "met")
+            pairs = met.filter("_rest").join(tiles.filter(F.col("_n") > LISTED), at & inside(F.col), "left")
+            late = pairs.groupBy(*names, "_best").agg(F.min(F.when(F.col("_doc").isNotNull(), F.struct(*_ORDER))).alias("_late"))
+            points = met.filter("_rest IS NOT TRUE").drop("_rest").unionByName(late.select(*names, F.least("_best", "_late").alias("_best")))
+    return points.select(*names, F.col("_best._seq").alias("box"))
+
+
 def points_in_no_box(points: DataFrame, boxes: DataFrame, doc: str = "doc", condition: Column | None = None) -> DataFrame:
     """The points that :func:`points_in_boxes` finds in no box: an anti join for each grid, so points stay one row.
 

@@ -53,8 +53,9 @@ def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     fits = F.expr(f"l_orderkey BETWEEN 0 AND {_ORDERS - 1} AND {_FITS}")
     if rows.filter(~fits).isEmpty():
         return rows.withColumn("place", F.expr(PLACE))
-    order = Window.partitionBy("l_orderkey")
-    numbered = rows.withColumns({"_wide": F.max(~fits).over(order), "_n": F.row_number().over(order.orderBy(*_PLACED[1:]))})
+    order = Window.partitionBy("l_orderkey").orderBy(*_PLACED[1:])  # one window holds both
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    numbered = rows.withColumns({"_wide": F.max(~fits).over(whole), "_n": F.row_number().over(order)})
     base = f"CASE WHEN l_orderkey < {_ORDERS} THEN l_orderkey * {_ORDER_STEP}L ELSE {_ORDERS * _ORDER_STEP}L + (l_orderkey - {_ORDERS}) * {_LINES}L END"
     known = " AND ".join(f"{c} IS NOT NULL" for c in _PLACED)
     place = F.expr(f"CASE WHEN NOT ({known}) THEN NULL WHEN _wide THEN {base} + _n ELSE {PLACE} END")
